@@ -66,7 +66,9 @@ def read_json_envelope(spark: SparkSession, path: str | list[str], array_field:
         reader = reader.schema(schema)
     raw = reader.json(path)
     field = _array_root_field(raw, array_field)
-    records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec")).select("rec.*")
+    records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec"))
+    if isinstance(records.schema["rec"].dataType, T.StructType):
+        records = records.select("rec.*")
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return records.repartition(n)
 

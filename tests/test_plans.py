@@ -1,0 +1,274 @@
+"""The six subject-area jobs end to end on tiny landing fixtures (cases of FIXTURES.md)."""
+
+import csv
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from terrace.plans import Layout, admissions, beds, currency, deaths, health_plans, rail
+
+
+def layout_for(tmp_path):
+    (tmp_path / "landing").mkdir()
+    return Layout(str(tmp_path / "landing"), str(tmp_path / "warehouse"))
+
+
+def write_csv(path, header, rows, delimiter=","):
+    with open(path, "w", newline="", encoding="utf-8") as fh:
+        w = csv.writer(fh, delimiter=delimiter)
+        w.writerow(header)
+        w.writerows(rows)
+
+
+def _key(row):
+    return tuple((v is None, "" if v is None else v) for v in row)
+
+
+def srt(items):
+    return sorted(items, key=_key)
+
+
+def rows(df, *cols):
+    return srt(tuple(r) for r in df.select(*cols).collect())
+
+
+def assert_star_invariants(spark, lay, fact_table, dims):
+    fact = lay.read(spark, "gold", fact_table)
+    for table, sk in dims:
+        dim = lay.read(spark, "gold", table)
+        keys = sorted(r[0] for r in dim.select(sk).collect())
+        assert keys == list(range(1, len(keys) + 1)), f"{table} keys not dense"
+        assert fact.join(dim.select(sk), sk, "left_anti").count() == 0, f"orphan {sk}"
+    return fact
+
+
+# ----------------------------------------------------------------------------- rail
+
+def rail_record(**over):
+    base = {"data_ocorrencia": "10/05/2019", "hora_ocorrencia": "08:00", "n_feridos": "1", "n_obitos": "0",
+            "uf": "SP", "municipio": "Campinas", "Perímetro_Urbano": "S", "gravidade": "Grave",
+            "natureza": "Descarrilamento", "causa_direta": "Via", "interrupção": "S", "concessionaria": "RUMO",
+            "linha": "L1", "outra_ferrovia": None, "pn": None, "estação_anterior": "A", "estação_posterior": None,
+            "serviço_transporte": "Carga", "mercadoria": "Soja", "equipagem": "2", "prefixo": "X1",
+            "quilômetro_inicial": "12"}
+    base.update(over)
+    return base
+
+
+def newer(rec):
+    rec = dict(rec)
+    rec["Perímetro Urbano"] = rec.pop("Perímetro_Urbano")
+    rec.update({"quilômetro_final": "13", "causa_contibutiva": "c", "n_trem": "9", "double_stack": "N",
+                "prejuízo_financeiro": "0"})
+    return rec
+
+
+@pytest.fixture()
+def rail_landing(tmp_path):
+    lay = layout_for(tmp_path)
+    old = [rail_record(),
+           rail_record(hora_ocorrencia="15:30", prefixo="X1"),            # same day, other time
+           rail_record(data_ocorrencia="11/05/2019", hora_ocorrencia=None),  # unknown hour
+           rail_record(data_ocorrencia="31/02/2020", municipio="Jundiai"),  # impossible date
+           rail_record(data_ocorrencia="12/05/2019", n_feridos="x"),      # bad count
+           rail_record(data_ocorrencia="13/05/2019", mercadoria=None)]     # NULL dimension part
+    overlap = newer(rail_record(data_ocorrencia="01/06/2021", hora_ocorrencia="10:00", linha=None))
+    with open(f"{lay.landing}/acidentes_2004-2020.json", "w", encoding="utf-8") as fh:
+        json.dump({"acidentes": old}, fh, ensure_ascii=False)
+    with open(f"{lay.landing}/acidentes_2020-2025.json", "w", encoding="utf-8") as fh:
+        json.dump({"dados": [overlap]}, fh, ensure_ascii=False)
+    with open(f"{lay.landing}/acidentes_2020-2026.json", "w", encoding="utf-8") as fh:
+        json.dump({"dados": [overlap, newer(rail_record(data_ocorrencia="02/06/2022"))]}, fh, ensure_ascii=False)
+    return lay
+
+
+def test_rail_full_key(spark, rail_landing):
+    lay = rail_landing
+    rail.run(spark, lay)
+    cons = lay.read(spark, "silver", "rail/acidentes_consolidado")
+    assert cons.count() == 8  # 6 + 1 overlap kept once + 1
+    assert "quilômetro_final" not in cons.columns and "perimetro_urbano" in cons.columns
+    assert cons.filter(F.col("linha") == "nao_informada").count() == 1
+    # NULL timestamps compare equal in the de-duplication key (bag semantics of the source job)
+    dup = cons.filter(F.col("data_hora_ocorrencia").isNull())
+    assert dup.count() == 2  # unknown hour (Campinas) and impossible date (Jundiai) differ by city
+    silver = lay.read(spark, "silver", "rail/acidentes_2004-2020")
+    assert silver.filter(F.col("data_ocorrencia").isNull()).count() == 1
+    assert silver.filter(F.col("n_feridos").isNull()).count() == 1
+    dims = [("dim_tempo", "sk_tempo"), ("dim_localizacao", "sk_localizacao"), ("dim_acidente", "sk_acidente"),
+            ("dim_ferrovia", "sk_ferrovia"), ("dim_transporte", "sk_transporte")]
+    fact = assert_star_invariants(spark, lay, "fato_acidentes_ferroviarios", dims)
+    # dropped: impossible date (NULL key part) and NULL mercadoria
+    assert fact.count() == 6
+    assert fact.agg(F.sum("quantidade_acidentes")).first()[0] == 6
+    tempo = lay.read(spark, "gold", "dim_tempo")
+    assert rows(tempo.filter(F.col("data_ocorrencia") == dt.date(2019, 5, 10)), "hora") == [(8,), (15,)]
+
+
+def test_rail_date_only_lookup_fans_out(spark, rail_landing):
+    lay = rail_landing
+    rail.run(spark, lay, time_lookup="date")
+    fact = lay.read(spark, "gold", "fato_acidentes_ferroviarios")
+    # the two 10/05/2019 accidents each match both times of that day
+    assert fact.count() == 8
+
+
+# ----------------------------------------------------------------------------- currency
+
+def test_currency(spark, tmp_path):
+    lay = layout_for(tmp_path)
+    recs = [{"DESC_ano": "2020", "DESC_deno": "0.05", "DESC_especie": "Moeda", "DESC_quant_produzida": "1000"},
+            {"DESC_ano": "2021", "DESC_deno": "2", "DESC_especie": "Cédula", "DESC_quant_produzida": "12.5"},
+            {"DESC_ano": "2021", "DESC_deno": "0.05", "DESC_especie": "Moeda", "DESC_quant_produzida": "7"}]
+    with open(f"{lay.landing}/dados_banco.json", "w", encoding="utf-8") as fh:
+        json.dump({"@odata.context": "x", "value": recs}, fh, ensure_ascii=False)
+    currency.run(spark, lay)
+    silver = lay.read(spark, "silver", "currency")
+    assert rows(silver, "ano", "denominacao", "quant_produzida") == srt(
+        [(2020, 0.05, 1000), (2021, 2.0, None), (2021, 0.05, 7)])
+    fact = assert_star_invariants(spark, lay, "fato", [("dim_tempo", "sk_tempo"),
+                                                       ("dim_denominacao", "sk_denominacao"),
+                                                       ("dim_especie", "sk_especie")])
+    assert rows(fact, "sk_tempo", "sk_denominacao", "sk_especie", "quant_produzida", "ano") == srt(
+        [(1, 1, 2, 1000, 2020), (2, 2, 1, None, 2021), (2, 1, 2, 7, 2021)])
+
+
+def test_empty_envelope_reads_no_rows(spark, tmp_path):
+    from terrace.sources import read_json_envelope
+    p = tmp_path / "empty.json"
+    p.write_text(json.dumps({"value": []}))
+    assert read_json_envelope(spark, str(p), array_field="value").count() == 0
+
+
+# ----------------------------------------------------------------------------- admissions
+
+def test_admissions(spark, tmp_path):
+    lay = layout_for(tmp_path)
+    write_csv(f"{lay.landing}/internacoes.csv", ["data_internacao", "municipio", "sexo", "idade", "especialidade"], [
+        ["05/03/2024 10:30", "São João", "M", "45", "Cardio"],
+        ["06/03/2024 11:00", "Águas Claras", "F", "12a", "Pediatria"],
+        ["xx", "Brasília", "M", "30", "Cardio"],
+        ["07/03/2024 09:00", "Goiânia", "", "50", "Clinica"]])
+    admissions.run(spark, lay)
+    silver = lay.read(spark, "silver", "admissions")
+    assert rows(silver, "municipio") == srt([("BRASILIA",), ("GOIANIA",), ("SAO JOAO",), ("ÁGUAS CLARAS",)])
+    assert rows(silver.filter(F.col("municipio") == "SAO JOAO"), "data_internacao", "ano", "mes", "dia", "idade") == [
+        (dt.date(2024, 3, 5), 2024, 3, 5, 45)]
+    assert silver.filter(F.col("idade").isNull()).count() == 1
+    fact = assert_star_invariants(spark, lay, "fato_internacoes", [
+        ("dim_especialidade", "sk_especialidade"), ("dim_municipio", "sk_municipio"),
+        ("dim_data", "sk_data"), ("dim_sx", "sk_sexo")])
+    assert rows(fact, "idade", "mes", "qtd_internacoes") == srt([(45, 3, 1), (None, 3, 1)])
+
+
+# ----------------------------------------------------------------------------- beds
+
+def bed_record(**over):
+    rec = {src: "1" for src in beds.RENAMES if src.startswith("quantidade")}
+    rec.update({"codigo_do_tipo_da_unidade": "05", "descricao_da_natureza_juridica_do_hosptial": "ENTIDADE_PUBLICA",
+                "descricao_do_tipo_da_unidade": "HOSPITAL GERAL", "nome_da_regiao_do_brasil_onde_fica_o_hospital":
+                "Sudeste", "nome_do_municipio_onde_fica_o_hospital": "Campinas",
+                "tipo_da_gestao_do_hospital": "M", "unidade_da_federacao_onde_fica_o_hospital": "SP",
+                "motivo_da_desabilitacao_do_hospital,_caso_esteja_desabilitado": None})
+    rec.update({c: "x" for c in beds.SILVER_DROP})
+    rec.update(over)
+    return rec
+
+
+def test_beds(spark, tmp_path):
+    lay = layout_for(tmp_path)
+    recs = [bed_record(), bed_record(tipo_da_gestao_do_hospital="Z",
+                                     quantidade_total_de_leitos_do_hosptial=""),
+            bed_record(tipo_da_gestao_do_hospital=None, unidade_da_federacao_onde_fica_o_hospital="RJ")]
+    with open(f"{lay.landing}/dados_leitos.json", "w", encoding="utf-8") as fh:
+        json.dump({"hospitais_leitos": recs}, fh, ensure_ascii=False)
+    beds.run(spark, lay)
+    silver = lay.read(spark, "silver", "beds")
+    assert not [c for c in silver.columns if c in beds.SILVER_DROP or "," in c]
+    assert rows(silver, "tipo_gestao", "desc_tipo_gestao", "qnt_total_leitos") == srt(
+        [("M", "Municipal", 1), ("Z", "Não informado", None), (None, "Não informado", 1)])
+    assert rows(silver, "desc_juri_hosp")[0] == ("ENTIDADE PUBLICA",)
+    fact = assert_star_invariants(spark, lay, "fato_leitos", [
+        ("dim_localizacao", "sk_localizacao"), ("dim_gestao", "sk_gestao"),
+        ("dim_natureza_juridica", "sk_natureza_juridica"), ("dim_tipo_unidade", "sk_tipo_unidade")])
+    assert fact.count() == 2  # NULL tipo_gestao drops from the fact
+    assert set(beds.COUNTS) <= set(fact.columns)
+
+
+# ----------------------------------------------------------------------------- deaths
+
+DEATH_HEADER = ["i_ano_obito", "i_mes_obito", "i_idade_anos", "i_faixa_etaria", "i_cid_capitulo", "i_cid_obito",
+                "i_desc_cid_obito", "i_desc_emprego", "i_desc_local_obito", "i_desc_raca_cor", "i_sexo",
+                "i_desc_uf_res", "i_desc_regiao_saude_res", "i_desc_radf_res", "i_desc_regiao_saude_estab",
+                "i_desc_sigla_estab_cnes", "i_desc_tipo_obito", "i_desc_tipo_violencia"]
+
+
+def death_row(age, violencia="Nenhuma"):
+    return ["2022", "3", age, "40-49", "IX", "I21", "Infarto", "Sim", "Hospital", "Parda", "M", "DF", "Central",
+            "Plano Piloto", "Central", "HBDF", "Natural", violencia]
+
+
+def test_deaths(spark, tmp_path):
+    lay = layout_for(tmp_path)
+    write_csv(f"{lay.landing}/obitos.csv", DEATH_HEADER,
+              [death_row(""), death_row("<1"), death_row("45"), death_row("60", violencia="")])
+    raw = spark.read.option("header", True).option("inferSchema", True).csv(f"{lay.landing}/obitos.csv")
+    profile = {r.value: (r.rows, r.kept) for r in deaths.age_profile(raw).collect()}
+    assert profile == {None: (1, 0), "<1": (1, 0), "45": (1, 1), "60": (1, 1)}
+    deaths.run(spark, lay)
+    bronze = lay.read(spark, "bronze", "deaths")
+    assert sorted(r.i_idade_anos for r in bronze.collect()) == [45, 60]
+    silver = lay.read(spark, "silver", "deaths")
+    assert {"ano_obito", "idade_obito", "faixa_etaria", "mes_obito", "tipo_violencia"} <= set(silver.columns)
+    fact = assert_star_invariants(spark, lay, "fato_obito", [
+        ("dim_tempo", "sk_tempo"), ("dim_local_moradia", "sk_local_moradia"),
+        ("dim_local_atendimento", "sk_local_atendimento"), ("dim_pessoa", "sk_pessoa"),
+        ("dim_causa", "sk_causa"), ("dim_tipo_obito", "sk_tipo_obito")])
+    assert rows(fact, "mes_obito", "quantidade_obitos") == [(3, 1)]
+
+
+# ----------------------------------------------------------------------------- health plans
+
+def test_health_plans(spark, tmp_path):
+    lay = layout_for(tmp_path)
+    write_csv(f"{lay.landing}/saude_precificacao.csv",
+              ["ANO_MES", "ID_PLANO", "NT_TIPO", "CD_NOTA", "CD_FAIXA_ETARIA", "VCM", "PCT_DESP_ASS", "PCT_CARREG",
+               "PCT_CARREG_ADMIN", "PCT_CARREG_COML", "PCT_CARREG_LUCRO"],
+              [["2024-01-01", "P1", "NT1", "N1", "1", "1234,56", "10,5", "1", "2", "3", "4"],
+               ["2024-01-01", "P1", "NT2", "N1", "11", "1.234,56", "10,5", "1", "2", "3", "4"],
+               ["2024-02-01", "P2", "NT1", "N2", "10", "99,9", "1", "1", "2", "3", "4"]], delimiter=";")
+    write_csv(f"{lay.landing}/caracteristicas_plano.csv",
+              ["ID_PLANO", "NM_PLANO", "CD_PLANO", "OBSTETRICIA", "COBERTURA", "TIPO_FINANCIAMENTO",
+               "REGISTRO_OPERADORA", "SITUACAO_PLANO", "RAZAO_SOCIAL", "LG_ODONTOLOGICO"],
+              [["P1", "Plano A", "A1", "COM OBSTETRICIA", "Amb", "Pre", "100", "ATIVO", "Op Um", "1"],
+               ["P1", "Plano A2", "A1", "COM OBSTETRICIA", "Amb", "Pre", "100", "ATIVO", "Op Um", "1"],
+               ["P2", "Plano B", "B1", "XYZ", "Hosp", "Pos", "200", "ATIVO", "Op Dois", "0"]], delimiter=";")
+    write_csv(f"{lay.landing}/registro_operadoras.csv",
+              ["reg ans", "Operadora Medico-Hospitalar", "prazo_validade", "data_da_primeira_acreditacao",
+               "inicio_validade", "fim_validade"],
+              [["100", "S", "12", "01/02/2020", "01/02/2020", "01/02/2023"],
+               ["200", "N", "x", "31/02/2020", "01/02/2020", "01/02/2023"],
+               ["300", "S", "6", "01/02/2020", "01/02/2020", "01/02/2023"]], delimiter=";")
+    health_plans.run(spark, lay)
+    pricing = lay.read(spark, "silver", "health_plans/precificacao")
+    assert rows(pricing, "cd_faixa_etaria", "faixa_etaria_desc", "vcm") == srt(
+        [(1, "0-18", 1234.56), (11, None, None), (10, "59+", 99.9)])
+    feats = lay.read(spark, "silver", "health_plans/caracteristicas")
+    assert rows(feats, "id_plano", "nm_plano", "obstetricia", "lg_odontologico") == [
+        ("P1", "Plano A", "COM", True), ("P2", "Plano B", "OUTROS", False)]
+    ops = lay.read(spark, "silver", "health_plans/operadora")
+    assert rows(ops, "reg_ans", "op_medico_hospitalar", "prazo_validade", "data_da_primeira_acreditacao") == [
+        (100, "S", 12, dt.date(2020, 2, 1)), (200, "N", None, None), (300, "S", 6, dt.date(2020, 2, 1))]
+    dim_op = lay.read(spark, "gold", "dim_operadora")
+    assert rows(dim_op, "reg_ans", "razao_social", "sk_operadora") == [
+        (100, "Op Um", 1), (200, "Op Dois", 2), (300, None, 3)]
+    dim_plano = lay.read(spark, "gold", "dim_plano")
+    assert rows(dim_plano, "id_plano", "nt_tipo", "sk_operadora", "sk_plano") == [
+        ("P1", "NT1", 1, 1), ("P2", "NT1", 2, 2)]
+    fact = assert_star_invariants(spark, lay, "fato_planos", [
+        ("dim_plano", "sk_plano"), ("dim_nota", "sk_nota"), ("dim_faixa", "sk_faixa_etaria"),
+        ("dim_tempo", "sk_tempo"), ("dim_operadora", "sk_operadora")])
+    assert fact.count() == 3
+    assert rows(fact, "sk_plano", "sk_operadora", "ano", "mes") == [(1, 1, 2024, 1), (1, 1, 2024, 1), (2, 2, 2024, 2)]
