@@ -18,7 +18,7 @@ from terrace.functions import (
     safe_columns, try_cast, underscores_to_spaces,
 )
 from terrace.operators import (
-    DimRef, build_dimension, build_fact, consolidate, count_rows, dedupe, describe_schema,
+    DimRef, DimensionSpec, build_dimension, build_dimensions, build_fact, consolidate, count_rows, dedupe, describe_schema,
     distinct_members, distinct_values, explode_records, fill_nulls, first_non_null, flatten_struct,
     keep_matching, preview, profile_filter, sorted_distinct_values, star_rollup, store_dimension,
     union_all_by_name, with_constant,
@@ -386,11 +386,11 @@ def join_left_expr(spark, d):
 
 def _orders_star(spark, d):
     silver = _orders_silver(spark, d).withColumns({"ano": F.year("o_date"), "mes": F.month("o_date")})
-    dims = {
-        "date": build_dimension(silver, ["o_date"], "sk_date", attributes=["ano", "mes"]),
-        "status": build_dimension(silver, ["o_orderstatus", "o_orderpriority"], "sk_status_priority"),
-        "customer": build_dimension(silver, ["o_custkey"], "sk_customer"),
-    }
+    dims = build_dimensions(silver, {
+        "date": DimensionSpec(("o_date",), "sk_date", ("ano", "mes")),
+        "status": DimensionSpec(("o_orderstatus", "o_orderpriority"), "sk_status_priority"),
+        "customer": DimensionSpec(("o_custkey",), "sk_customer"),
+    })
     return silver, dims
 
 
@@ -435,8 +435,9 @@ def snowflake_key_carry(spark, d):
 # --------------------------------------------------------------------------- keys, dimensions, roll-up
 
 def surrogate_key_dense(spark, d):
+    # single_partition_max=0: always the distributed path (range sort + per-partition offsets)
     o = _orders_silver(spark, d)
-    return build_dimension(o, ["o_custkey", "o_date"], "sk_cliente_data").df
+    return build_dimension(o, ["o_custkey", "o_date"], "sk_cliente_data", single_partition_max=0).df
 
 
 def dim_build(spark, d):

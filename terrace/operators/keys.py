@@ -1,11 +1,16 @@
-"""Dense, deterministic surrogate keys without a single-partition window.
-
-Recipe: range-sort the (unique) members by their natural key, tag each row with
-``monotonically_increasing_id()`` (partition index in the high bits, position in the
-low 33 bits), cut the lineage with a reliable checkpoint so every later pass sees the
-same partitioning, count rows per partition, turn the counts into running offsets and
-add ``offset + position + 1``. The offsets table has one row per partition, so it is
-bounded by the partition count, not the data, and is safe to broadcast.
+"""Dense, deterministic surrogate keys without a single-partition window over the data.
+
+Members must be unique on the ordering columns. Two paths:
+
+* **small** (measured row count under ``single_partition_max``): members are shuffled
+  into one partition, sorted there, and numbered by position. Re-evaluation gives the
+  same numbers because the sort key is unique.
+* **large**: range-sort the members, tag each row with ``monotonically_increasing_id()``
+  (partition index in the high bits, position in the low 33 bits), cut the lineage by
+  writing the tagged rows to a table in the shared checkpoint folder, count rows per
+  partition (one row per partition: bounded by the partition count, not the data), turn
+  the counts into running offsets and add ``offset + position + 1``. The offsets table is
+  the only thing broadcast, and its size is the partition count.
 """
 
 from __future__ import annotations
@@ -13,12 +18,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.session import checkpoint_dir
+from terrace.session import shared_dir
 
 _POSITION_BITS = 33
+SINGLE_PARTITION_MAX = 2_000_000
 
 
 @dataclass
@@ -28,43 +34,66 @@ class KeyedResult:
     bytes: int
 
 
-def _payload_bytes(cols: Sequence[str]):
-    # Measured size of the row payload: text/binary by octet length, fixed types 8 bytes.
-    return F.sum(sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in cols),
-                     F.lit(0)))
+def payload_bytes(cols: Sequence[str]) -> Column:
+    """Aggregate: measured in-memory payload of ``cols`` (text by octet length, 8 bytes
+    for every other value). The size proof behind a broadcast decision."""
+    per_row = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in cols), F.lit(0))
+    return F.sum(per_row + F.lit(8 * len(cols)))
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, payload bytes) of ``df`` in one aggregation pass."""
+    stats = df.agg(F.count(F.lit(1)).alias("n"), payload_bytes(df.columns).alias("b")).first()
+    return int(stats["n"]), int(stats["b"] or 0)
+
+
+def _order(natural_key: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{c}`").asc_nulls_first() for c in natural_key]
 
 
-def add_surrogate_key_with_stats(df: DataFrame, natural_key: Sequence[str], sk: str) -> KeyedResult:
-    """Like :func:`add_surrogate_key`, also returning the row count and payload bytes
-    (gathered in the same pass that counts rows per partition)."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    order = [F.col(f"`{c}`").asc_nulls_first() for c in natural_key]
-    tagged = (df.orderBy(*order)
-              .withColumn("_row_id", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+def key_members(members: DataFrame, natural_key: Sequence[str], sk: str, rows: int, size: int,
+                single_partition_max: int = SINGLE_PARTITION_MAX) -> KeyedResult:
+    """Number ``members`` (unique on ``natural_key``) 1..n in ``natural_key`` order, NULLs
+    first. ``rows``/``size`` are the measured row count and payload bytes."""
+    spark = members.sparkSession
+    cols = [F.col(f"`{c}`") for c in members.columns]
+    if rows <= single_partition_max:
+        keyed = (members.repartition(1).sortWithinPartitions(*_order(natural_key))
+                 .select(*cols, (F.monotonically_increasing_id() + F.lit(1)).alias(sk)))
+        return KeyedResult(keyed, rows, size + 8 * rows)
+
+    path = shared_dir(spark, "keys")
+    (members.orderBy(*_order(natural_key))
+     .withColumn("_row_id", F.monotonically_increasing_id())
+     .write.mode("overwrite").parquet(path))
+    tagged = spark.read.parquet(path)
     part = F.shiftright(F.col("_row_id"), _POSITION_BITS)
     position = F.col("_row_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    per_part = (tagged.groupBy(part.alias("_part"))
-                .agg(F.count(F.lit(1)).alias("_n"), _payload_bytes(df.columns).alias("_bytes")))
-    running = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # One row per partition: a bounded table, the only thing that is ever broadcast here.
-    offsets = per_part.select("_part", "_n", "_bytes",
-                              (F.sum("_n").over(running) - F.col("_n")).alias("_offset"))
-    offsets = offsets.checkpoint(eager=True)
-    totals = offsets.agg(F.sum("_n").alias("n"), F.sum("_bytes").alias("b")).first()
-    keyed = (tagged.join(F.broadcast(offsets.select("_part", "_offset")), part == F.col("_part"))
-             .select(*[F.col(f"`{c}`") for c in df.columns],
-                     (F.col("_offset") + position + F.lit(1)).cast("long").alias(sk)))
-    rows = int(totals["n"] or 0)
-    payload = int(totals["b"] or 0) + 8 * rows * (len(df.columns) + 1)
-    return KeyedResult(keyed, rows, payload)
-
-
-def add_surrogate_key(df: DataFrame, natural_key: Sequence[str], sk: str) -> DataFrame:
+    counts = sorted((int(r["_part"]), int(r["_n"]))
+                    for r in tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, running = [], 0
+    for p, n in counts:
+        offsets.append((p, running))
+        running += n
+    # One row per sort partition: bounded by the partition count.
+    offsets_df = spark.createDataFrame(offsets, "_part long, _offset long")
+    keyed = (tagged.join(F.broadcast(offsets_df), part == F.col("_part"))
+             .select(*cols, (F.col("_offset") + position + F.lit(1)).alias(sk)))
+    return KeyedResult(keyed, running, size + 8 * running)
+
+
+def add_surrogate_key_with_stats(df: DataFrame, natural_key: Sequence[str], sk: str,
+                                 single_partition_max: int = SINGLE_PARTITION_MAX) -> KeyedResult:
+    """Like :func:`add_surrogate_key`, also returning row count and payload bytes."""
+    rows, size = measure(df)
+    return key_members(df, natural_key, sk, rows, size, single_partition_max)
+
+
+def add_surrogate_key(df: DataFrame, natural_key: Sequence[str], sk: str,
+                      single_partition_max: int = SINGLE_PARTITION_MAX) -> DataFrame:
     """Add ``sk`` = 1..n, dense and ordered by ``natural_key`` (NULLs first).
 
     Rows must be unique on ``natural_key`` for the numbering to be stable; then the key
     depends only on the data, never on partition boundaries or on re-evaluation.
     """
-    return add_surrogate_key_with_stats(df, natural_key, sk).df
+    return add_surrogate_key_with_stats(df, natural_key, sk, single_partition_max).df

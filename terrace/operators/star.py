@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.operators.combine import distinct_members
-from terrace.operators.keys import _payload_bytes, add_surrogate_key_with_stats
+from terrace.operators.keys import SINGLE_PARTITION_MAX, key_members, payload_bytes
+from terrace.operators.keys import measure as _measure
+from terrace.session import shared_dir
 from terrace.sources.tables import read_table, write_table
 
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
@@ -43,26 +45,80 @@ class Dimension:
 
     def measured(self) -> "Dimension":
         if self.rows is None or self.bytes is None:
-            stats = self.df.agg(F.count(F.lit(1)).alias("n"), _payload_bytes(self.df.columns).alias("b")).first()
-            self.rows = int(stats["n"])
-            self.bytes = int(stats["b"] or 0) + 8 * self.rows * len(self.df.columns)
+            self.rows, self.bytes = _measure(self.df)
         return self
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder and return the
+    stored copy: cuts the lineage (and its re-evaluation) and survives executor loss."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def build_dimension(df: DataFrame, natural_key: Sequence[str], sk: str,
-                    attributes: Sequence[str] | Mapping[str, Column] = (),
-                    derived: Mapping[str, Column] | None = None) -> Dimension:
+                    attributes: Sequence[str] = (), derived: Mapping[str, Column] | None = None,
+                    single_partition_max: int = SINGLE_PARTITION_MAX) -> Dimension:
     """Distinct members of ``natural_key`` (+ ``attributes`` that depend on it) with a dense
     key 1..n in natural-key order. ``derived`` adds columns computed from the members
-    (e.g. the hour of a timestamp)."""
-    natural_key = list(natural_key)
-    attr_names = list(attributes)
-    members = distinct_members(df, natural_key + attr_names)
-    if derived:
-        members = members.withColumns(dict(derived))
-        attr_names += [c for c in derived if c not in attr_names]
-    keyed = add_surrogate_key_with_stats(members, natural_key + [a for a in attr_names if a not in (derived or {})], sk)
-    return Dimension(keyed.df, natural_key, sk, attr_names, keyed.rows, keyed.bytes)
+    (e.g. the hour of a timestamp). The member list is written once to shared storage, so
+    keys, measurements and later look-ups all read the same rows."""
+    return build_dimensions(df, {"_": DimensionSpec(tuple(natural_key), sk, tuple(attributes), derived)},
+                            single_partition_max)["_"]
+
+
+@dataclass(frozen=True)
+class DimensionSpec:
+    natural_key: tuple[str, ...]
+    sk: str
+    attributes: tuple[str, ...] = ()
+    derived: Mapping[str, Column] | None = None
+
+    @property
+    def members(self) -> list[str]:
+        return list(dict.fromkeys(self.natural_key + self.attributes))
+
+
+def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
+                     single_partition_max: int = SINGLE_PARTITION_MAX) -> dict[str, Dimension]:
+    """Build several dimensions of one source with a single scan.
+
+    All member lists come out of one ``GROUPING SETS`` aggregation (partial aggregation
+    map-side, one shuffle), tagged by ``grouping_id``; the combined list is written once,
+    measured per dimension in one small pass, and numbered per dimension. On a large
+    source this replaces one full scan per dimension by one scan in total.
+    """
+    all_cols = list(dict.fromkeys(c for spec in specs.values() for c in spec.members))
+    n = len(all_cols)
+
+    def gid_of(cols: Sequence[str]) -> int:
+        return sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in cols)
+
+    sets = {name: gid_of(spec.members) for name, spec in specs.items()}
+    if len(specs) == 1:
+        only = next(iter(specs.values()))
+        combined = materialize(distinct_members(df, only.members).withColumn("_gid", F.lit(next(iter(sets.values())))),
+                               "members")
+    else:
+        unique_sets = list(dict.fromkeys(tuple(spec.members) for spec in specs.values()))
+        grouped = df.groupingSets([[_q(c) for c in cols] for cols in unique_sets], *[_q(c) for c in all_cols])
+        combined = materialize(grouped.agg(F.grouping_id().alias("_gid")), "members")
+    stats = {int(r["_gid"]): (int(r["n"]), int(r["b"] or 0))
+             for r in combined.groupBy("_gid").agg(F.count(F.lit(1)).alias("n"),
+                                                   payload_bytes(all_cols).alias("b")).collect()}
+    out: dict[str, Dimension] = {}
+    for name, spec in specs.items():
+        members = combined.filter(F.col("_gid") == sets[name]).select(*[_q(c) for c in spec.members])
+        rows, size = stats.get(sets[name], (0, 0))
+        derived_names: list[str] = []
+        if spec.derived:
+            members = members.withColumns(dict(spec.derived))
+            derived_names = [c for c in spec.derived if c not in spec.members]
+        keyed = key_members(members, spec.members, spec.sk, rows, size, single_partition_max)
+        attrs = [c for c in spec.members if c not in spec.natural_key] + derived_names
+        out[name] = Dimension(keyed.df, list(spec.natural_key), spec.sk, attrs, keyed.rows, keyed.bytes)
+    return out
 
 
 def store_dimension(dim: Dimension, path: str, fmt: str = "parquet") -> Dimension:
@@ -180,9 +236,7 @@ def star_rollup(fact: DataFrame, dims: Sequence[Dimension], group_by: Sequence[s
 def measure(df: DataFrame) -> tuple[int, int]:
     """(rows, payload bytes) of ``df`` in one aggregation pass: the size proof behind a
     broadcast hint for tables that did not come out of :func:`build_dimension`."""
-    stats = df.agg(F.count(F.lit(1)).alias("n"), _payload_bytes(df.columns).alias("b")).first()
-    rows = int(stats["n"])
-    return rows, int(stats["b"] or 0) + 8 * rows * len(df.columns)
+    return _measure(df)
 
 
 def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] | Sequence[str],

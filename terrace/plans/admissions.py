@@ -41,7 +41,7 @@ def silver(spark: SparkSession, layout: Layout) -> None:
 
 def gold(spark: SparkSession, layout: Layout) -> None:
     s = layout.read(spark, "silver", AREA)
-    d = {k: build_and_store(layout, s, spec) for k, spec in DIMS.items()}
+    d = build_and_store(layout, s, DIMS)
     fact = build_fact(
         s,
         [DimRef(d["especialidade"]), DimRef(d["municipio"]), DimRef(d["data"]), DimRef(d["sexo"])],

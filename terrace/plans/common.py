@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators.star import Dimension, build_dimension, store_dimension
+from terrace.operators.star import Dimension, DimensionSpec, build_dimensions, store_dimension
 from terrace.sources.tables import read_table, write_table
 
 FACT_MAX_RECORDS = 1_000_000
@@ -50,9 +50,12 @@ class DimSpec:
     derived: Mapping[str, str] | None = None
 
 
-def build_and_store(layout: Layout, source: DataFrame, spec: DimSpec) -> Dimension:
-    """Build a dimension from ``source``, write it to gold and return the stored copy, so
-    the fact is built from exactly the keys that were written."""
-    derived = {k: F.expr(v) for k, v in spec.derived.items()} if spec.derived else None
-    dim = build_dimension(source, list(spec.natural_key), spec.sk, list(spec.attributes), derived)
-    return store_dimension(dim, layout.path("gold", spec.table), layout.fmt)
+def build_and_store(layout: Layout, source: DataFrame, specs: Mapping[str, DimSpec]) -> dict[str, Dimension]:
+    """Build the dimensions of one source in a single scan, write each to gold and return
+    the stored copies, so the fact is built from exactly the keys that were written."""
+    dims = build_dimensions(source, {
+        name: DimensionSpec(spec.natural_key, spec.sk, spec.attributes,
+                            {k: F.expr(v) for k, v in spec.derived.items()} if spec.derived else None)
+        for name, spec in specs.items()})
+    return {name: store_dimension(dim, layout.path("gold", specs[name].table), layout.fmt)
+            for name, dim in dims.items()}

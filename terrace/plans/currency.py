@@ -17,11 +17,11 @@ RENAMES = {"DESC_ano": "ano", "DESC_deno": "denominacao", "DESC_especie": "espec
            "DESC_quant_produzida": "quant_produzida"}
 CASTS = {"ano": "int", "denominacao": "double", "quant_produzida": "int"}
 
-DIMS = [
-    DimSpec("dim_tempo", ("ano",), "sk_tempo"),
-    DimSpec("dim_denominacao", ("denominacao",), "sk_denominacao"),
-    DimSpec("dim_especie", ("especie",), "sk_especie"),
-]
+DIMS = {
+    "tempo": DimSpec("dim_tempo", ("ano",), "sk_tempo"),
+    "denominacao": DimSpec("dim_denominacao", ("denominacao",), "sk_denominacao"),
+    "especie": DimSpec("dim_especie", ("especie",), "sk_especie"),
+}
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
@@ -36,8 +36,8 @@ def silver(spark: SparkSession, layout: Layout) -> None:
 
 def gold(spark: SparkSession, layout: Layout) -> None:
     s = layout.read(spark, "silver", AREA)
-    dims = [build_and_store(layout, s, spec) for spec in DIMS]
-    fact = build_fact(s, [DimRef(d) for d in dims], measures=["quant_produzida"], degenerate=["ano"])
+    dims = build_and_store(layout, s, DIMS)
+    fact = build_fact(s, [DimRef(dims[k]) for k in DIMS], measures=["quant_produzida"], degenerate=["ano"])
     layout.write(fact, "gold", "fato", partition_by=["ano"])
 
 

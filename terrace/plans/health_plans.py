@@ -31,6 +31,12 @@ OBSTETRICS_DEFAULT = "OUTROS"
 OPERATOR_RENAMES = {"reg ans": "reg_ans", "Operadora Medico-Hospitalar": "op_medico_hospitalar"}
 OPERATOR_DATES = ["data_da_primeira_acreditacao", "inicio_validade", "fim_validade"]
 
+PRICING_DIMS = {
+    "faixa": DimSpec("dim_faixa", ("cd_faixa_etaria",), "sk_faixa_etaria", ("faixa_etaria_desc",)),
+    "tempo": DimSpec("dim_tempo", ("ano_mes",), "sk_tempo", ("ano", "mes")),
+    "nota": DimSpec("dim_nota", ("cd_nota",), "sk_nota"),
+}
+
 PLAN_COLUMNS = ["id_plano", "nm_plano", "cd_plano", "obstetricia", "cobertura", "tipo_financiamento",
                 "registro_operadora", "situacao_plano", "nt_tipo", "sk_operadora"]
 
@@ -91,10 +97,8 @@ def gold(spark: SparkSession, layout: Layout) -> None:
     features = layout.read(spark, "silver", f"{AREA}/caracteristicas")
     operators = layout.read(spark, "silver", f"{AREA}/operadora")
 
-    faixa = build_and_store(layout, pricing, DimSpec("dim_faixa", ("cd_faixa_etaria",), "sk_faixa_etaria",
-                                                     ("faixa_etaria_desc",)))
-    tempo = build_and_store(layout, pricing, DimSpec("dim_tempo", ("ano_mes",), "sk_tempo", ("ano", "mes")))
-    nota = build_and_store(layout, pricing, DimSpec("dim_nota", ("cd_nota",), "sk_nota"))
+    d = build_and_store(layout, pricing, PRICING_DIMS)
+    faixa, tempo, nota = d["faixa"], d["tempo"], d["nota"]
 
     # Operator: every registered operator, with the first known company name from the plans.
     op_members = left_lookup_first(operators.select("reg_ans"), "reg_ans", features, "registro_operadora",

@@ -82,7 +82,7 @@ def consolidated(spark: SparkSession, layout: Layout) -> None:
 
 def gold(spark: SparkSession, layout: Layout, time_lookup: str = "full") -> None:
     s = fill_nulls(layout.read(spark, "silver", f"{AREA}/acidentes_consolidado"), GOLD_FILL)
-    d = {k: build_and_store(layout, s, spec) for k, spec in DIMS.items()}
+    d = build_and_store(layout, s, DIMS)
     if time_lookup == "full":
         tempo = DimRef(d["tempo"], null_policy={"data_hora_ocorrencia": "match"})
     elif time_lookup == "date":

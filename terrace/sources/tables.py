@@ -2,33 +2,80 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_FORMAT = "parquet"
-
-
-def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
+# Inputs smaller than this are never spread: a shuffle would cost more than it saves.
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
+def _local_path(uri: str) -> str | None:
+    if uri.startswith("file:"):
+        return uri[len("file:"):]
+    return uri if uri.startswith("/") else None
+
+
+def _scan_splits(df: DataFrame, parallelism: int) -> tuple[int, int] | None:
+    """(row groups, bytes) of a parquet input with fewer files than ``parallelism``;
+    None when the input has many files or is not on a local/mounted path. Only footers
+    are read, and only for a handful of files."""
+    files = df.inputFiles()
+    if not files or len(files) >= parallelism:
+        return None
+    try:
+        import pyarrow.parquet as pq
+    except ImportError:  # pragma: no cover
+        return None
+    groups = size = 0
+    for f in files:
+        local = _local_path(f)
+        if local is None or not os.path.exists(local):
+            return None
+        meta = pq.ParquetFile(local).metadata
+        groups += meta.num_row_groups
+        size += os.path.getsize(local)
+    return groups, size
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, spread: bool = True) -> DataFrame:
     """Scan a stored table by path. Hive-style partition folders become columns and
-    filters on them prune folders (``PartitionFilters`` in the plan)."""
-    return spark.read.format(fmt).load(path)
+    filters on them prune folders (``PartitionFilters`` in the plan).
+
+    ``spread``: a parquet split never cuts a row group, so an input written as one big
+    row group (typical of single-process extract tools) scans in one task however many
+    cores there are. When the input has fewer row groups than the cluster has cores and is
+    not tiny, rows are dealt round-robin over ``defaultParallelism`` partitions right
+    after the scan (filters and column pruning still reach the scan). Inputs with many
+    files or row groups, i.e. anything large, are left exactly as the scan splits them.
+    """
+    df = spark.read.format(fmt).load(path)
+    if spread and fmt == "parquet":
+        parallelism = spark.sparkContext.defaultParallelism
+        splits = _scan_splits(df, parallelism)
+        if splits is not None and splits[0] < parallelism and splits[1] >= SPREAD_MIN_BYTES:
+            df = df.repartition(parallelism)
+    return df
 
 
 def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT,
                 partition_by: Sequence[str] = (), max_records: int | None = None,
-                cluster_by_partitions: bool = False) -> None:
+                rebalance: bool = True) -> None:
     """Full-overwrite write of ``df`` to ``path``.
 
     ``partition_by`` gives a Hive-style layout; ``max_records`` caps rows per file.
-    ``cluster_by_partitions=True`` first shuffles rows by the partition columns so each
-    partition value is written by few tasks (fewer, larger files); leave it off when a
-    single partition value can hold a large share of the rows.
+    For a partitioned write, ``rebalance`` first clusters rows by the partition columns
+    with Spark's ``REBALANCE`` hint: each partition value is written by few tasks (few,
+    large files instead of tasks x values small ones), and adaptive execution splits a
+    value that holds a large share of the rows over several tasks, so skew cannot pile
+    it into one writer.
     Never overwrite a path that ``df`` itself reads: a Parquet overwrite is not atomic.
     """
-    if cluster_by_partitions and partition_by:
-        df = df.repartition(*partition_by)
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

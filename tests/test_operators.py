@@ -27,7 +27,10 @@ def test_dedupe_is_deterministic_and_skew_safe(spark):
 
 def test_surrogate_key_dense_across_partitions(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("k")).repartition(17)
-    keyed = add_surrogate_key(df, ["k"], "sk")
+    keyed = add_surrogate_key(df, ["k"], "sk", single_partition_max=0)
+    assert keyed.count() == 5000
+    small = add_surrogate_key(df, ["k"], "sk")
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, keyed.collect()))
     expected = df.withColumn("sk", F.row_number().over(Window.orderBy("k")).cast("long"))
     assert sorted(map(tuple, keyed.collect())) == sorted(map(tuple, expected.collect()))
 
@@ -54,6 +57,19 @@ def test_fanout_guard_and_null_policy(spark):
     assert sorted(r.id for r in per_col.collect()) == [1, 2]
 
 
+def test_build_dimensions_single_scan(spark):
+    silver = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("b", 1, "x"), (None, 1, None)],
+                                   "p string, q int, r string")
+    from terrace.operators import DimensionSpec, build_dimensions
+    dims = build_dimensions(silver, {"p": DimensionSpec(("p",), "sk_p"),
+                                     "qr": DimensionSpec(("q", "r"), "sk_qr"),
+                                     "r": DimensionSpec(("r",), "sk_r", derived={"r_up": F.upper("r")})})
+    assert sorted(map(tuple, dims["p"].df.collect()), key=lambda t: t[1]) == [(None, 1), ("a", 2), ("b", 3)]
+    assert sorted(map(tuple, dims["qr"].df.collect()), key=lambda t: t[2]) == [(1, None, 1), (1, "x", 2), (2, "x", 3)]
+    assert sorted(map(tuple, dims["r"].df.collect()), key=lambda t: t[2]) == [(None, None, 1), ("x", "X", 2)]
+    assert dims["r"].attributes == ["r_up"] and dims["p"].rows == 3
+
+
 def test_fact_keys_exist_in_dimension(spark):
     silver = spark.range(0, 2000).select((F.col("id") % 37).alias("a"), (F.col("id") % 5).alias("b"),
                                          F.lit(1).alias("m"))
