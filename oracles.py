@@ -61,6 +61,7 @@ ORACLES: dict[str, str] = {
     "sink_max_records": """SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS files_over_cap
                            FROM lineitem""",
     "load_many_files": f"""SELECT {ORDER_SLICE} AS source, count(*) AS n_rows FROM orders GROUP BY 1""",
+    "stream_ingest_csv": "SELECT * FROM customer",
     # ------------------------------------------------------------------ projections / filters
     "project_columns": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
     "explode_array": "SELECT vec_id, label, unnest(embedding) AS x FROM embeddings",

@@ -25,6 +25,7 @@ from terrace.operators import (
 )
 from terrace.operators.star import enrich, join_small, left_lookup_first
 from terrace.session import shared_dir
+from terrace.streaming import ingest_landing
 from terrace.sources import (
     LoadSpec, load_many, read_csv, read_json_envelope, read_table, write_csv, write_json_envelope,
     write_table,
@@ -136,6 +137,20 @@ def load_many_files(spark, d):
     return union_all_by_name(*tagged).groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def stream_ingest_csv(spark, d):
+    """Landing CSV files arriving in two drops, ingested incrementally; the second run of
+    the stream loads only the new file."""
+    cust = _t(spark, d, "customer")
+    base = shared_dir(spark, "landing")
+    landing, target = f"{base}/customer_drops", f"{base}/customer_bronze"
+    checkpoint = shared_dir(spark, "stream-checkpoints")
+    write_csv(cust.filter(F.col("c_mktsegment") <= "FURNITURE"), f"{landing}/drop1")
+    ingest_landing(spark, f"{landing}/*", target, cust.schema, checkpoint=checkpoint)
+    write_csv(cust.filter(F.col("c_mktsegment") > "FURNITURE"), f"{landing}/drop2")
+    ingest_landing(spark, f"{landing}/*", target, cust.schema, checkpoint=checkpoint)
+    return read_table(spark, target)
+
+
 # --------------------------------------------------------------------------- projections / filters
 
 def project_columns(spark, d):
@@ -501,6 +516,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_partitioned_two_level": sink_partitioned_two_level,
     "sink_max_records": sink_max_records,
     "load_many_files": load_many_files,
+    "stream_ingest_csv": stream_ingest_csv,
     "project_columns": project_columns,
     "explode_array": explode_array,
     "flatten_struct": flatten_struct_q,
