@@ -245,3 +245,76 @@ ORACLES: dict[str, str] = {
                JOIN d_status ON s.o_orderstatus = d_status.o_orderstatus AND s.o_orderpriority = d_status.o_orderpriority
         GROUP BY 1, 2""",
 }
+
+
+def _dense(cols: list[str], sk: str, source: str) -> str:
+    order = ", ".join(f"{c} NULLS FIRST" for c in cols)
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS {sk} FROM (SELECT DISTINCT {', '.join(cols)} FROM {source})"
+
+
+def _on(alias: str, cols: list[str]) -> str:
+    return " AND ".join(f"s.{c} = {alias}.{c}" for c in cols)
+
+
+AREA_ORACLES: dict[str, str] = {
+    "currency_gold_fact": f"""
+        WITH s AS (
+          SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, l_discount AS denominacao, l_returnflag AS especie,
+                 CASE WHEN l_linestatus = 'O' THEN NULL ELSE CAST(round(l_quantity) AS INTEGER) END AS quant_produzida
+          FROM lineitem),
+        t AS ({_dense(['ano'], 'sk_tempo', 's')}),
+        dn AS ({_dense(['denominacao'], 'sk_denominacao', 's')}),
+        es AS ({_dense(['especie'], 'sk_especie', 's')})
+        SELECT t.sk_tempo, dn.sk_denominacao, es.sk_especie, s.quant_produzida, s.ano
+        FROM s JOIN t ON {_on('t', ['ano'])} JOIN dn ON {_on('dn', ['denominacao'])}
+               JOIN es ON {_on('es', ['especie'])}""",
+    "admissions_gold_fact": f"""
+        WITH src AS (
+          SELECT CASE WHEN o.o_orderstatus = 'F' AND o.o_orderpriority = '5-LOW' THEN NULL
+                      ELSE CAST(o.o_orderdate AS DATE) END AS data_internacao,
+                 upper(n.n_name) AS municipio, c.c_mktsegment AS sexo,
+                 CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE CAST(o.o_custkey % 90 AS INTEGER) END AS idade,
+                 o.o_orderpriority AS especialidade
+          FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+        s AS (SELECT *, CAST(year(data_internacao) AS INTEGER) AS ano, CAST(month(data_internacao) AS INTEGER) AS mes,
+                     CAST(day(data_internacao) AS INTEGER) AS dia FROM src),
+        de AS ({_dense(['especialidade'], 'sk_especialidade', 's')}),
+        dm AS ({_dense(['municipio'], 'sk_municipio', 's')}),
+        dd AS ({_dense(['data_internacao', 'ano', 'mes', 'dia'], 'sk_data', 's')}),
+        dx AS ({_dense(['sexo'], 'sk_sexo', 's')})
+        SELECT de.sk_especialidade, dm.sk_municipio, dx.sk_sexo, dd.sk_data, s.mes, s.idade, 1 AS qtd_internacoes
+        FROM s JOIN de ON {_on('de', ['especialidade'])} JOIN dm ON {_on('dm', ['municipio'])}
+               JOIN dd ON {_on('dd', ['data_internacao'])} JOIN dx ON {_on('dx', ['sexo'])}""",
+    "deaths_gold_fact": f"""
+        WITH ev AS (SELECT *, regexp_extract(props, '"k": (\\d+)', 1) AS k, user_id AS u FROM events),
+        raw AS (
+          SELECT CAST(year(ts) AS INTEGER) AS ano_obito, CAST(month(ts) AS INTEGER) AS mes_obito,
+                 CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'signup' THEN '<' || k ELSE k END AS age_text,
+                 event_type AS faixa_etaria,
+                 'CAP' || CAST(u % 3 AS VARCHAR) AS cid_capitulo, 'I' || CAST(u % 13 AS VARCHAR) AS cid_obito,
+                 'causa ' || CAST(u % 13 AS VARCHAR) AS desc_cid_obito, 'cor ' || CAST(u % 5 AS VARCHAR) AS cor_obito,
+                 'S' || CAST(u % 2 AS VARCHAR) AS sexo_obito, 'UF' || CAST(u % 4 AS VARCHAR) AS uf_moradia,
+                 'REG' || CAST(u % 6 AS VARCHAR) AS reg_moradia, 'RA' || CAST(u % 8 AS VARCHAR) AS reg_adm_moradia,
+                 'REGE' || CAST(u % 6 AS VARCHAR) AS reg_atendimento,
+                 'EST' || CAST(u % 11 AS VARCHAR) AS sigla_estab_atend, 'TIPO' || CAST(u % 2 AS VARCHAR) AS tipo_obito,
+                 CASE WHEN event_type <> 'view' THEN 'VIOL' || CAST(u % 3 AS VARCHAR) END AS tipo_violencia
+          FROM ev),
+        s AS (SELECT *, CAST(age_text AS INTEGER) AS idade_obito FROM raw
+              WHERE age_text IS NOT NULL AND regexp_matches(age_text, '^\\d+$')),
+        dt AS ({_dense(['ano_obito', 'mes_obito'], 'sk_tempo', 's')}),
+        dmo AS ({_dense(['uf_moradia', 'reg_moradia', 'reg_adm_moradia'], 'sk_local_moradia', 's')}),
+        dat AS ({_dense(['reg_atendimento', 'sigla_estab_atend'], 'sk_local_atendimento', 's')}),
+        dp AS ({_dense(['faixa_etaria', 'idade_obito', 'sexo_obito', 'cor_obito'], 'sk_pessoa', 's')}),
+        dc AS ({_dense(['cid_obito', 'desc_cid_obito', 'cid_capitulo'], 'sk_causa', 's')}),
+        dto AS ({_dense(['tipo_obito', 'tipo_violencia'], 'sk_tipo_obito', 's')})
+        SELECT dt.sk_tempo, dmo.sk_local_moradia, dat.sk_local_atendimento, dp.sk_pessoa, dc.sk_causa,
+               dto.sk_tipo_obito, s.mes_obito, 1 AS quantidade_obitos
+        FROM s JOIN dt ON {_on('dt', ['ano_obito', 'mes_obito'])}
+               JOIN dmo ON {_on('dmo', ['uf_moradia', 'reg_moradia', 'reg_adm_moradia'])}
+               JOIN dat ON {_on('dat', ['reg_atendimento', 'sigla_estab_atend'])}
+               JOIN dp ON {_on('dp', ['faixa_etaria', 'idade_obito', 'sexo_obito', 'cor_obito'])}
+               JOIN dc ON {_on('dc', ['cid_obito', 'desc_cid_obito', 'cid_capitulo'])}
+               JOIN dto ON {_on('dto', ['tipo_obito', 'tipo_violencia'])}""",
+}
+
+ORACLES.update(AREA_ORACLES)

@@ -572,3 +572,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_snowflake": dim_snowflake,
     "star_rollup": star_rollup_q,
 }
+
+from queries_areas import AREA_QUERIES  # noqa: E402  (whole subject-area jobs)
+
+QUERIES.update(AREA_QUERIES)
