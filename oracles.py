@@ -318,3 +318,147 @@ AREA_ORACLES: dict[str, str] = {
 }
 
 ORACLES.update(AREA_ORACLES)
+
+
+_RAIL_SILVER = """
+  SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS st, o_orderpriority AS pr,
+         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN NULL
+              ELSE CAST(o_orderdate AS DATE) END AS data_ocorrencia,
+         CASE WHEN o_orderpriority <> '3-MEDIUM' THEN lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':' ||
+              lpad(CAST(o_custkey % 60 AS VARCHAR), 2, '0') END AS hora_ocorrencia,
+         CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderkey % 5 AS INTEGER) END AS n_feridos,
+         CAST(o_custkey % 3 AS INTEGER) AS n_obitos,
+         o_orderstatus AS uf, 'M' || CAST(o_orderkey AS VARCHAR) AS municipio,
+         CASE WHEN o_custkey % 2 = 0 THEN 'S' ELSE 'N' END AS perimetro_urbano,
+         o_orderpriority AS gravidade, 'N' || CAST(o_custkey % 4 AS VARCHAR) AS natureza,
+         'C' || CAST(o_orderkey % 6 AS VARCHAR) AS causa_direta,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'S' ELSE 'N' END AS interrupcao,
+         'CONC' || CAST(o_custkey % 5 AS VARCHAR) AS concessionaria,
+         coalesce(CASE WHEN NOT (o_orderstatus = 'F' AND o_orderpriority = '2-HIGH')
+                       THEN 'L' || CAST(o_orderkey % 9 AS VARCHAR) END, 'nao_informada') AS linha,
+         coalesce(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'OF' END, 'nao_informada') AS outra_ferrovia,
+         'nao_informada' AS pn,
+         'E' || CAST(o_orderkey % 7 AS VARCHAR) AS estacao_anterior,
+         coalesce(CASE WHEN o_orderstatus <> 'O' THEN 'E' || CAST(o_custkey % 7 AS VARCHAR) END,
+                  'nao_informada') AS estacao_posterior,
+         'SERV' || CAST(o_custkey % 3 AS VARCHAR) AS servico_transporte,
+         CASE WHEN NOT (o_orderstatus = 'P' AND o_orderpriority = '2-HIGH')
+              THEN 'MERC' || CAST(o_orderkey % 4 AS VARCHAR) END AS mercadoria,
+         CAST(o_custkey % 4 AS VARCHAR) AS equipagem, 'P' || CAST(o_orderkey % 10 AS VARCHAR) AS prefixo
+  FROM orders"""
+
+_RAIL_DIMS = {
+    "dt": (["data_ocorrencia", "data_hora_ocorrencia", "ano", "mes"], "sk_tempo"),
+    "dl": (["uf", "municipio", "perimetro_urbano"], "sk_localizacao"),
+    "da": (["gravidade", "natureza", "causa_direta", "interrupcao"], "sk_acidente"),
+    "df": (["concessionaria", "linha", "estacao_anterior", "estacao_posterior", "outra_ferrovia", "pn"], "sk_ferrovia"),
+    "dtr": (["servico_transporte", "mercadoria", "equipagem", "prefixo"], "sk_transporte"),
+}
+
+ORACLES["rail_gold_fact"] = f"""
+    WITH b AS ({_RAIL_SILVER}),
+    s AS (SELECT *, CASE WHEN hora_ocorrencia IS NOT NULL THEN
+                   try_strptime(CAST(data_ocorrencia AS VARCHAR) || ' ' || hora_ocorrencia, '%Y-%m-%d %H:%M') END
+                   AS data_hora_ocorrencia,
+                 CAST(year(data_ocorrencia) AS INTEGER) AS ano, CAST(month(data_ocorrencia) AS INTEGER) AS mes FROM b),
+    {", ".join(f"{a} AS ({_dense(cols, sk, 's')})" for a, (cols, sk) in _RAIL_DIMS.items())}
+    SELECT dt.sk_tempo, dl.sk_localizacao, da.sk_acidente, df.sk_ferrovia, dtr.sk_transporte,
+           s.n_feridos, s.n_obitos, 1 AS quantidade_acidentes, s.ano, s.mes
+    FROM s JOIN dt ON s.data_ocorrencia = dt.data_ocorrencia AND s.ano = dt.ano AND s.mes = dt.mes
+                  AND s.data_hora_ocorrencia IS NOT DISTINCT FROM dt.data_hora_ocorrencia
+           JOIN dl ON {_on('dl', _RAIL_DIMS['dl'][0])} JOIN da ON {_on('da', _RAIL_DIMS['da'][0])}
+           JOIN df ON {_on('df', _RAIL_DIMS['df'][0])} JOIN dtr ON {_on('dtr', _RAIL_DIMS['dtr'][0])}"""
+
+_BEDS_COUNTS = ["qnt_uti_adulto", "qnt_uti_coronariana", "qnt_leitos_uti", "qnt_uti_neonatal", "qnt_uti_pediatrico",
+                "qnt_uti_queimado", "qnt_uti_sus_adulto", "qnt_uti_sus_coronariana", "qnt_uti_sus",
+                "qnt_uti_sus_neonatal", "qnt_uti_sus_pediatrico", "qnt_uti_sus_queimado", "qnt_total_leitos",
+                "qnt_total_leitos_sus"]
+# Source order of the count columns (the order the extract lists them), mapped to silver names.
+_BEDS_SOURCE_ORDER = ["qnt_uti_adulto", "qnt_uti_coronariana", "qnt_leitos_uti", "qnt_uti_neonatal",
+                      "qnt_uti_pediatrico", "qnt_uti_queimado", "qnt_uti_sus_adulto", "qnt_uti_sus_coronariana",
+                      "qnt_uti_sus", "qnt_uti_sus_neonatal", "qnt_uti_sus_pediatrico", "qnt_uti_sus_queimado",
+                      "qnt_total_leitos", "qnt_total_leitos_sus"]
+
+
+def _beds_count_expr(i: int, name: str) -> str:
+    value = f"CAST((p_partkey * {i + 1}) % 50 AS INTEGER)"
+    if i == 0:
+        value = f"CASE WHEN p_size > 45 THEN NULL ELSE {value} END"
+    return f"{value} AS {name}"
+
+
+ORACLES["beds_gold_fact"] = f"""
+    WITH s AS (
+      SELECT 'T' || CAST(p_size % 5 AS VARCHAR) AS cd_tipo_uni,
+             'ENTIDADE ' || CAST(p_partkey % 3 AS VARCHAR) AS desc_juri_hosp,
+             'TIPO ' || CAST(p_size % 5 AS VARCHAR) AS desc_tipo_uni,
+             'R' || CAST(p_partkey % 5 AS VARCHAR) AS regiao, p_brand AS municipio,
+             'UF' || CAST(p_partkey % 7 AS VARCHAR) AS uf,
+             CASE p_size % 6 WHEN 0 THEN 'M' WHEN 1 THEN 'E' WHEN 2 THEN 'D' WHEN 3 THEN 'S' WHEN 4 THEN 'Z' END
+                 AS tipo_gestao,
+             CASE p_size % 6 WHEN 0 THEN 'Municipal' WHEN 1 THEN 'Estadual' WHEN 2 THEN 'Dupla'
+                  WHEN 3 THEN 'Sem Gestão' ELSE 'Não informado' END AS desc_tipo_gestao,
+             {", ".join(_beds_count_expr(i, n) for i, n in enumerate(_BEDS_SOURCE_ORDER))}
+      FROM part),
+    dl AS ({_dense(['regiao', 'municipio', 'uf'], 'sk_localizacao', 's')}),
+    dg AS ({_dense(['tipo_gestao', 'desc_tipo_gestao'], 'sk_gestao', 's')}),
+    dn AS ({_dense(['desc_juri_hosp'], 'sk_natureza_juridica', 's')}),
+    du AS ({_dense(['cd_tipo_uni', 'desc_tipo_uni'], 'sk_tipo_unidade', 's')})
+    SELECT dl.sk_localizacao, dg.sk_gestao, dn.sk_natureza_juridica, du.sk_tipo_unidade,
+           {", ".join("s." + c for c in _BEDS_COUNTS)}, s.regiao, s.uf
+    FROM s JOIN dl ON {_on('dl', ['regiao', 'municipio', 'uf'])} JOIN dg ON {_on('dg', ['tipo_gestao', 'desc_tipo_gestao'])}
+           JOIN dn ON {_on('dn', ['desc_juri_hosp'])} JOIN du ON {_on('du', ['cd_tipo_uni', 'desc_tipo_uni'])}"""
+
+_FEATURES_ROW = """'P' || CAST(p_partkey AS VARCHAR) AS id_plano, {name} AS nm_plano, p_brand AS cd_plano,
+         CASE p_size % 5 WHEN 0 THEN 'COM' WHEN 1 THEN 'SEM' WHEN 2 THEN 'NAO_APLICA' WHEN 3 THEN 'NAO_IDENTIFICADO'
+              ELSE 'OUTROS' END AS obstetricia,
+         p_type AS cobertura, 'F' || CAST(p_partkey % 3 AS VARCHAR) AS tipo_financiamento,
+         CAST(p_partkey % 120 + 1 AS INTEGER) AS registro_operadora, 'ATIVO' AS situacao_plano,
+         CASE WHEN p_size % 7 <> 0 THEN 'Op ' || CAST(p_partkey % 120 + 1 AS VARCHAR) END AS razao_social,
+         (p_size % 2 = 1) AS lg_odontologico"""
+
+_FEATURE_ORDER = ["nm_plano", "cd_plano", "obstetricia", "cobertura", "tipo_financiamento", "registro_operadora",
+                  "situacao_plano", "razao_social", "lg_odontologico"]
+_PLAN_ORDER = ["nm_plano", "cd_plano", "obstetricia", "cobertura", "tipo_financiamento", "registro_operadora",
+               "situacao_plano", "nt_tipo", "sk_operadora"]
+
+
+def _nf(cols):
+    return ", ".join(f"{c} NULLS FIRST" for c in cols)
+
+
+ORACLES["health_plans_gold_fact"] = f"""
+    WITH pr AS (
+      SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS ano_mes,
+             'P' || CAST(l_partkey AS VARCHAR) AS id_plano, l_returnflag AS nt_tipo,
+             'N' || CAST(l_linenumber AS VARCHAR) AS cd_nota, CAST(l_suppkey % 11 + 1 AS INTEGER) AS cd_faixa_etaria,
+             CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice END AS vcm,
+             l_discount AS pct_desp_ass, l_tax AS pct_carreg, l_quantity AS pct_carreg_admin,
+             CAST(l_linenumber AS DOUBLE) AS pct_carreg_coml, l_tax AS pct_carreg_lucro,
+             CAST(year(l_shipdate) AS INTEGER) AS ano, CAST(month(l_shipdate) AS INTEGER) AS mes
+      FROM lineitem),
+    s AS (SELECT *, CASE cd_faixa_etaria WHEN 1 THEN '0-18' WHEN 2 THEN '19-23' WHEN 3 THEN '24-28'
+                     WHEN 4 THEN '29-33' WHEN 5 THEN '34-38' WHEN 6 THEN '39-43' WHEN 7 THEN '44-48'
+                     WHEN 8 THEN '49-53' WHEN 9 THEN '54-58' WHEN 10 THEN '59+' END AS faixa_etaria_desc FROM pr),
+    feat_raw AS (
+      SELECT {_FEATURES_ROW.format(name="p_name")} FROM part
+      UNION ALL
+      SELECT {_FEATURES_ROW.format(name="p_name || ' (copia)'")} FROM part WHERE p_size <= 5),
+    feat AS (SELECT * FROM feat_raw QUALIFY row_number() OVER (PARTITION BY id_plano ORDER BY {_nf(_FEATURE_ORDER)}) = 1),
+    op_members AS (SELECT o.s_suppkey AS reg_ans, min(f.razao_social) AS razao_social
+                   FROM supplier o LEFT JOIN feat f ON o.s_suppkey = f.registro_operadora GROUP BY o.s_suppkey),
+    dim_op AS (SELECT *, row_number() OVER (ORDER BY {_nf(['reg_ans', 'razao_social'])}) AS sk_operadora FROM op_members),
+    plan_members AS (
+      SELECT f.id_plano, f.nm_plano, f.cd_plano, f.obstetricia, f.cobertura, f.tipo_financiamento,
+             f.registro_operadora, f.situacao_plano, p.nt_tipo, d.sk_operadora
+      FROM feat f LEFT JOIN (SELECT DISTINCT id_plano, nt_tipo FROM s) p ON f.id_plano = p.id_plano
+                  LEFT JOIN dim_op d ON f.registro_operadora = d.reg_ans),
+    plan_dedup AS (SELECT * FROM plan_members QUALIFY row_number() OVER (PARTITION BY id_plano ORDER BY {_nf(_PLAN_ORDER)}) = 1),
+    dp AS (SELECT *, row_number() OVER (ORDER BY {_nf(['id_plano'] + _PLAN_ORDER)}) AS sk_plano FROM plan_dedup),
+    dfx AS ({_dense(['cd_faixa_etaria', 'faixa_etaria_desc'], 'sk_faixa_etaria', 's')}),
+    dt AS ({_dense(['ano_mes', 'ano', 'mes'], 'sk_tempo', 's')}),
+    dn AS ({_dense(['cd_nota'], 'sk_nota', 's')})
+    SELECT dp.sk_plano, dp.sk_operadora, dn.sk_nota, dfx.sk_faixa_etaria, dt.sk_tempo, s.vcm, s.pct_desp_ass,
+           s.pct_carreg, s.pct_carreg_admin, s.pct_carreg_coml, s.pct_carreg_lucro, s.mes, s.ano
+    FROM s JOIN dp ON s.id_plano = dp.id_plano JOIN dn ON s.cd_nota = dn.cd_nota
+           JOIN dfx ON s.cd_faixa_etaria = dfx.cd_faixa_etaria JOIN dt ON s.ano_mes = dt.ano_mes"""

@@ -88,6 +88,8 @@ def write_json_envelope(df: DataFrame, path: str, array_field: str = "value",
     envelopes = (df.withColumn("envelope_id", bucket)
                  .groupBy("envelope_id")
                  .agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(array_field)))
+    # NULL fields are written as ``null`` (not omitted), so a field that is NULL in every
+    # record of an envelope still appears in the schema a reader infers.
     (envelopes.repartition(buckets, "envelope_id")
-     .write.mode("overwrite").partitionBy("envelope_id").json(path))
+     .write.mode("overwrite").option("ignoreNullFields", False).partitionBy("envelope_id").json(path))
     return buckets
