@@ -16,6 +16,10 @@ from terrace.session import shared_dir
 from terrace.sources import read_table, write_csv, write_json_envelope
 
 
+# Records per landing envelope: an API-page-sized file, so envelopes parse in parallel.
+ENVELOPE_RECORDS = 10_000
+
+
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_table(spark, f"{d}/{name}.parquet")
 
@@ -36,7 +40,7 @@ def currency_gold_fact(spark, d):
         F.col("l_returnflag").alias("DESC_especie"),
         F.when(F.col("l_linestatus") == "O", F.concat(qty, F.lit(".5"))).otherwise(qty).alias("DESC_quant_produzida"))
     lay = _layout(spark, "currency")
-    write_json_envelope(records, lay.src(currency.SOURCE), array_field="value", records_per_file=100_000)
+    write_json_envelope(records, lay.src(currency.SOURCE), array_field="value", records_per_file=ENVELOPE_RECORDS)
     currency.run(spark, lay)
     return lay.read(spark, "gold", "fato")
 
@@ -151,7 +155,7 @@ def rail_gold_fact(spark, d):
               "acidentes_2020-2025.json": (o.filter(y.between(1997, 1999)), True, "dados"),
               "acidentes_2020-2026.json": (o.filter(y >= 1998), True, "dados")}
     for name, (part, newer, root) in slices.items():
-        write_json_envelope(_rail_record(part, newer), lay.src(name), array_field=root, records_per_file=100_000)
+        write_json_envelope(_rail_record(part, newer), lay.src(name), array_field=root, records_per_file=ENVELOPE_RECORDS)
     rail.run(spark, lay)
     return lay.read(spark, "gold", "fato_acidentes_ferroviarios")
 
@@ -185,7 +189,7 @@ def beds_gold_fact(spark, d):
         fields[src] = F.concat(F.lit("x"), (key % 3).cast("string"))
     lay = _layout(spark, "beds")
     write_json_envelope(p.select(*[v.alias(n) for n, v in fields.items()]), lay.src(beds.SOURCE),
-                        array_field="hospitais_leitos", records_per_file=100_000)
+                        array_field="hospitais_leitos", records_per_file=ENVELOPE_RECORDS)
     beds.run(spark, lay)
     return lay.read(spark, "gold", "fato_leitos")
 

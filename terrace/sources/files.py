@@ -79,17 +79,22 @@ def write_json_envelope(df: DataFrame, path: str, array_field: str = "value",
 
     Records are dealt round-robin (by row position, not content, so repeated rows do not
     pile up) over ``ceil(rows / records_per_file)`` buckets; every bucket becomes one
-    envelope in its own sub-folder, so no envelope (and no collecting task) grows with
+    envelope in its own sub-folder, holding about ``records_per_file`` records (each input
+    partition deals its rows evenly), so no envelope (and no collecting task) grows with
     the table. Returns the number of envelopes.
     """
     rows = df.count()
     buckets = max(1, math.ceil(rows / records_per_file))
     bucket = F.pmod(F.monotonically_increasing_id(), F.lit(buckets))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    # Partition by envelope first: the aggregation then runs inside those partitions and
+    # the whole write costs one shuffle.
     envelopes = (df.withColumn("envelope_id", bucket)
+                 .repartition(buckets, "envelope_id")
                  .groupBy("envelope_id")
-                 .agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(array_field)))
+                 .agg(F.collect_list(F.struct(*cols)).alias(array_field)))
     # NULL fields are written as ``null`` (not omitted), so a field that is NULL in every
     # record of an envelope still appears in the schema a reader infers.
-    (envelopes.repartition(buckets, "envelope_id")
-     .write.mode("overwrite").option("ignoreNullFields", False).partitionBy("envelope_id").json(path))
+    (envelopes.write.mode("overwrite").option("ignoreNullFields", False)
+     .partitionBy("envelope_id").json(path))
     return buckets
