@@ -395,7 +395,7 @@ def join_left_using(spark, d):
 def join_left_expr(spark, d):
     p = _t(spark, d, "part").select("p_partkey", "p_brand")
     li = _t(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_quantity")
-    j = enrich(p, li, F.col("p_partkey") == F.col("l_partkey"), dedupe_other=False)
+    j = enrich(p, li, (["p_partkey"], ["l_partkey"]), dedupe_other=False)
     return j.select("p_partkey", "p_brand", "l_orderkey", "l_linenumber", "l_quantity")
 
 

@@ -251,13 +251,54 @@ def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] |
     return df.join(right, on, how)
 
 
-def enrich(df: DataFrame, other: DataFrame, on: Column | Sequence[str], dedupe_other: bool = True,
-           how: str = "left") -> DataFrame:
-    """Left join that keeps every row of ``df``; ``other`` is de-duplicated first so an
-    exact duplicate on the right cannot multiply left rows. No broadcast hint: ``other``
-    may grow with the data, so AQE chooses (and splits skewed keys)."""
+def enrich(df: DataFrame, other: DataFrame, on: Sequence[str] | tuple[Sequence[str], Sequence[str]],
+           dedupe_other: bool = True, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """Left join that keeps every row of ``df`` (NULLs where ``other`` has no partner).
+
+    ``on`` is a key name or list of shared key names (USING: one copy of each key) or a
+    pair ``(df_keys, other_keys)`` of differently named keys (the two sides must then
+    have no other column name in common). ``other`` is de-duplicated first
+    unless ``dedupe_other=False``.
+
+    Skew: in a shuffled LEFT OUTER join only the preserved (left) side can be split, so a
+    right-side key holding a large share of ``other`` would land in one task. When ``df``
+    measures small, the join is instead rewritten as (a) ``other`` inner-joined to the
+    broadcast ``df`` (map-only: no shuffle, no skew) plus (b) the rows of ``df`` whose key
+    is absent from the distinct keys of ``other`` (a map-side combined aggregation). Larger
+    ``df`` falls back to the plain left join planned by AQE.
+    """
     right = other.dropDuplicates() if dedupe_other else other
-    return df.join(right, on, how)
+    if isinstance(on, str):
+        on = [on]
+    using = not (isinstance(on, tuple) and len(on) == 2 and not isinstance(on[0], str))
+    left_keys, right_keys = (list(on), list(on)) if using else (list(on[0]), list(on[1]))
+    if using:
+        plain = lambda: df.join(right, left_keys, "left")
+    else:
+        cond = reduce(lambda a, b: a & b, [df[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)])
+        plain = lambda: df.join(right, cond, "left")
+    _, size = measure(df)
+    if size > broadcast_limit:
+        return plain()
+
+    small = F.broadcast(df)
+    left_rest = [c for c in df.columns if not (using and c in left_keys)]
+    right_rest = [c for c in right.columns if not (using and c in right_keys)]
+    if using:
+        matched = right.join(small, left_keys, "inner")
+        out_cols = left_keys + left_rest + right_rest
+    else:
+        cond_b = reduce(lambda a, b: a & b, [small[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)])
+        matched = right.join(small, cond_b, "inner")
+        out_cols = df.columns + right.columns
+    matched = matched.select(*[_q(c) for c in out_cols])
+    present = right.select(*[_q(rk).alias(f"_k{i}") for i, rk in enumerate(right_keys)]).distinct()
+    anti_cond = reduce(lambda a, b: a & b, [_q(lk) == F.col(f"_k{i}") for i, lk in enumerate(left_keys)])
+    missing = df.join(present, anti_cond, "left_anti")
+    types = {f.name: f.dataType for f in right.schema.fields}
+    missing = missing.select(*[_q(c) for c in (left_keys + left_rest if using else df.columns)],
+                             *[F.lit(None).cast(types[c]).alias(c) for c in right_rest])
+    return matched.unionByName(missing)
 
 
 def left_lookup_first(df: DataFrame, df_key: str, other: DataFrame, other_key: str, value: str,

@@ -152,3 +152,21 @@ def test_json_envelope_roundtrip_and_guards(spark, tmp_path):
     empty.write_text(json.dumps({"value": [], "meta": 1}))
     arr = spark.read.option("multiLine", True).json(str(empty))
     assert explode_records(arr, "value").count() == 0
+
+
+def test_enrich_matches_plain_left_join_and_avoids_left_outer_shuffle(spark):
+    from terrace.operators.star import enrich
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "k int, v string")
+    hot = [(1, i) for i in range(2000)] + [(2, 7), (2, 7), (9, 1)]
+    right = spark.createDataFrame(hot, "rk int, w int")
+    got = enrich(left, right, (["k"], ["rk"]), dedupe_other=False)
+    want = left.join(right, left.k == right.rk, "left")
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert "LeftOuter" not in got._jdf.queryExecution().executedPlan().toString()
+    using = enrich(left, right.withColumnRenamed("rk", "k"), "k")
+    want_u = left.join(right.withColumnRenamed("rk", "k").dropDuplicates(), "k", "left")
+    assert using.columns == want_u.columns
+    assert sorted(map(tuple, using.collect()), key=repr) == sorted(map(tuple, want_u.collect()), key=repr)
+    fallback = enrich(left, right, (["k"], ["rk"]), dedupe_other=False, broadcast_limit=0)
+    assert sorted(map(tuple, fallback.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
