@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,21 @@ from terrace.operators.star import Dimension, DimensionSpec, build_dimensions, s
 from terrace.sources.tables import read_table, write_table
 
 FACT_MAX_RECORDS = 1_000_000
+# Independent table writes submitted at once from driver threads (Spark schedules jobs
+# from several threads side by side, filling executor slots idle between stages).
+WRITE_CONCURRENCY = 4
+
+T_ = TypeVar("T_")
+
+
+def concurrently(tasks: Sequence[Callable[[], T_]], workers: int = WRITE_CONCURRENCY) -> list[T_]:
+    """Run independent Spark actions (e.g. writes of different tables) side by side and
+    return their results in order; the first failure is raised."""
+    if len(tasks) <= 1 or workers <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]
 
 
 @dataclass(frozen=True)
@@ -57,5 +74,7 @@ def build_and_store(layout: Layout, source: DataFrame, specs: Mapping[str, DimSp
         name: DimensionSpec(spec.natural_key, spec.sk, spec.attributes,
                             {k: F.expr(v) for k, v in spec.derived.items()} if spec.derived else None)
         for name, spec in specs.items()})
-    return {name: store_dimension(dim, layout.path("gold", specs[name].table), layout.fmt)
-            for name, dim in dims.items()}
+    names = list(dims)
+    stored = concurrently([lambda n=n: store_dimension(dims[n], layout.path("gold", specs[n].table), layout.fmt)
+                           for n in names])
+    return dict(zip(names, stored))

@@ -14,7 +14,7 @@ from terrace.functions import (
 )
 from terrace.operators import DimRef, build_fact, dedupe
 from terrace.operators.star import enrich, left_lookup_first, store_dimension, build_dimension
-from terrace.plans.common import FACT_MAX_RECORDS, DimSpec, Layout, build_and_store
+from terrace.plans.common import FACT_MAX_RECORDS, DimSpec, Layout, build_and_store, concurrently
 from terrace.sources import read_csv
 
 AREA = "health_plans"
@@ -50,14 +50,21 @@ def _month_start(c: str):
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
-    pricing = read_csv(spark, layout.src(SOURCES["precificacao"]), delimiter=";")
-    month = _month_start("ANO_MES")
-    pricing = pricing.withColumns({"ano": F.year(month), "mes": F.month(month)})
-    layout.write(pricing, "bronze", f"{AREA}/precificacao", partition_by=["ano", "mes"])
-    features = read_csv(spark, layout.src(SOURCES["caracteristicas"]), delimiter=";")
-    layout.write(features, "bronze", f"{AREA}/caracteristicas")
-    operators = rename(read_csv(spark, layout.src(SOURCES["operadora"]), delimiter=";"), OPERATOR_RENAMES)
-    layout.write(operators, "bronze", f"{AREA}/operadora")
+    def pricing() -> None:
+        df = read_csv(spark, layout.src(SOURCES["precificacao"]), delimiter=";")
+        month = _month_start("ANO_MES")
+        df = df.withColumns({"ano": F.year(month), "mes": F.month(month)})
+        layout.write(df, "bronze", f"{AREA}/precificacao", partition_by=["ano", "mes"])
+
+    def features() -> None:
+        layout.write(read_csv(spark, layout.src(SOURCES["caracteristicas"]), delimiter=";"),
+                     "bronze", f"{AREA}/caracteristicas")
+
+    def operators() -> None:
+        df = rename(read_csv(spark, layout.src(SOURCES["operadora"]), delimiter=";"), OPERATOR_RENAMES)
+        layout.write(df, "bronze", f"{AREA}/operadora")
+
+    concurrently([pricing, features, operators])
 
 
 def clean_pricing(df: DataFrame) -> DataFrame:
@@ -84,12 +91,14 @@ def clean_operators(df: DataFrame) -> DataFrame:
 
 
 def silver(spark: SparkSession, layout: Layout) -> None:
-    pricing = clean_pricing(layout.read(spark, "bronze", f"{AREA}/precificacao"))
-    layout.write(pricing, "silver", f"{AREA}/precificacao", partition_by=["ano", "mes"])
-    layout.write(clean_features(layout.read(spark, "bronze", f"{AREA}/caracteristicas")),
-                 "silver", f"{AREA}/caracteristicas")
-    layout.write(clean_operators(layout.read(spark, "bronze", f"{AREA}/operadora")),
-                 "silver", f"{AREA}/operadora")
+    concurrently([
+        lambda: layout.write(clean_pricing(layout.read(spark, "bronze", f"{AREA}/precificacao")),
+                             "silver", f"{AREA}/precificacao", partition_by=["ano", "mes"]),
+        lambda: layout.write(clean_features(layout.read(spark, "bronze", f"{AREA}/caracteristicas")),
+                             "silver", f"{AREA}/caracteristicas"),
+        lambda: layout.write(clean_operators(layout.read(spark, "bronze", f"{AREA}/operadora")),
+                             "silver", f"{AREA}/operadora"),
+    ])
 
 
 def gold(spark: SparkSession, layout: Layout) -> None:
@@ -97,14 +106,15 @@ def gold(spark: SparkSession, layout: Layout) -> None:
     features = layout.read(spark, "silver", f"{AREA}/caracteristicas")
     operators = layout.read(spark, "silver", f"{AREA}/operadora")
 
-    d = build_and_store(layout, pricing, PRICING_DIMS)
-    faixa, tempo, nota = d["faixa"], d["tempo"], d["nota"]
+    def operator_dim():
+        # Operator: every registered operator, with the first known company name from the plans.
+        members = left_lookup_first(operators.select("reg_ans"), "reg_ans", features, "registro_operadora",
+                                    "razao_social")
+        return store_dimension(build_dimension(members, ["reg_ans"], "sk_operadora", ["razao_social"]),
+                               layout.path("gold", "dim_operadora"), layout.fmt)
 
-    # Operator: every registered operator, with the first known company name from the plans.
-    op_members = left_lookup_first(operators.select("reg_ans"), "reg_ans", features, "registro_operadora",
-                                   "razao_social")
-    operadora = store_dimension(build_dimension(op_members, ["reg_ans"], "sk_operadora", ["razao_social"]),
-                                layout.path("gold", "dim_operadora"), layout.fmt)
+    d, operadora = concurrently([lambda: build_and_store(layout, pricing, PRICING_DIMS), operator_dim])
+    faixa, tempo, nota = d["faixa"], d["tempo"], d["nota"]
 
     # Plan: features enriched with the technical-note type and the operator key (snowflake).
     plan_types = pricing.select("id_plano", "nt_tipo")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions import cast_columns, combine_date_time, lower_columns, parse_date, rename
 from terrace.operators import DimRef, build_fact, consolidate, fill_nulls
-from terrace.plans.common import DimSpec, Layout, build_and_store
+from terrace.plans.common import DimSpec, Layout, build_and_store, concurrently
 from terrace.sources import LoadSpec, load_many, read_json_envelope
 
 AREA = "rail"
@@ -53,8 +53,7 @@ def _stem(name: str) -> str:
 def bronze(spark: SparkSession, layout: Layout) -> None:
     specs = [LoadSpec(layout.src(name)) for name in SOURCES]
     tables = load_many(spark, specs, lambda s, spec: rename(read_json_envelope(s, spec.source), BRONZE_RENAMES))
-    for name, df in tables.items():
-        layout.write(df, "bronze", f"{AREA}/{name}")
+    concurrently([lambda n=n, df=df: layout.write(df, "bronze", f"{AREA}/{n}") for n, df in tables.items()])
 
 
 def clean_extract(df: DataFrame) -> DataFrame:
@@ -69,10 +68,12 @@ def clean_extract(df: DataFrame) -> DataFrame:
 
 
 def silver(spark: SparkSession, layout: Layout) -> None:
-    for name in SOURCES:
+    def one(name: str) -> None:
         df = clean_extract(layout.read(spark, "bronze", f"{AREA}/{_stem(name)}"))
         layout.write(df, "silver", f"{AREA}/{_stem(name)}", partition_by=["ano", "mes"])
 
+    concurrently([lambda n=n: one(n) for n in SOURCES])
+
 
 def consolidated(spark: SparkSession, layout: Layout) -> None:
     parts = [layout.read(spark, "silver", f"{AREA}/{_stem(n)}") for n in SOURCES]

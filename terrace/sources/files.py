@@ -58,8 +58,10 @@ def read_json_envelope(spark: SparkSession, path: str | list[str], array_field:
 
     ``array_field=None`` picks the only array-typed root key (an error when there are
     several). Records are flattened (``rec.*``); an empty or NULL array yields no rows.
-    Each file is one task (whole-file parse), so the records are redistributed into
-    ``partitions`` (default: the session's shuffle partitions) right after the explode.
+    Each file is one task (whole-file parse). When there are fewer envelope files than
+    cores, the records are dealt round-robin over ``partitions`` (default: the cluster's
+    default parallelism) right after the explode, so later work is not stuck in a few
+    tasks; with many files the parse is already spread and no shuffle is added.
     """
     reader = spark.read.option("multiLine", True)
     if schema is not None:
@@ -69,8 +71,10 @@ def read_json_envelope(spark: SparkSession, path: str | list[str], array_field:
     records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec"))
     if isinstance(records.schema["rec"].dataType, T.StructType):
         records = records.select("rec.*")
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return records.repartition(n)
+    n = partitions or spark.sparkContext.defaultParallelism
+    if len(raw.inputFiles()) < n:
+        records = records.repartition(n)
+    return records
 
 
 def write_json_envelope(df: DataFrame, path: str, array_field: str = "value",
