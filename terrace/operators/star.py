@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from terrace.operators.combine import distinct_members
 from terrace.operators.keys import SINGLE_PARTITION_MAX, key_members, payload_bytes
 from terrace.operators.keys import measure as _measure
+from terrace.operators.keys import measure_bounded
 from terrace.session import shared_dir
 from terrace.sources.tables import read_table, write_table
 
@@ -243,9 +244,10 @@ def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] |
                how: str = "inner", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Equi-join ``df`` to a table expected to be small. ``on`` is a condition, a list of
     conditions (AND-ed) or a list of names (USING: one copy of each key). The broadcast
-    hint is applied only after measuring ``small``; beyond the limit AQE picks the join."""
-    _, size = measure(small)
-    right = size_checked_broadcast(small, size, broadcast_limit)
+    hint is applied only after measuring ``small`` (bounded: an oversized input is detected
+    without a full pass); beyond the limit AQE picks the join."""
+    fits = measure_bounded(small, broadcast_limit)
+    right = F.broadcast(small) if fits is not None else small
     if isinstance(on, (list, tuple)) and on and all(isinstance(c, Column) for c in on):
         on = reduce(lambda a, b: a & b, on)
     return df.join(right, on, how)
@@ -277,8 +279,7 @@ def enrich(df: DataFrame, other: DataFrame, on: Sequence[str] | tuple[Sequence[s
     else:
         cond = reduce(lambda a, b: a & b, [df[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)])
         plain = lambda: df.join(right, cond, "left")
-    _, size = measure(df)
-    if size > broadcast_limit:
+    if measure_bounded(df, broadcast_limit) is None:
         return plain()
 
     small = F.broadcast(df)

@@ -23,6 +23,10 @@ def _scan_splits(df: DataFrame, parallelism: int) -> tuple[int, int] | None:
     """(row groups, bytes) of a parquet input with fewer files than ``parallelism``;
     None when the input has many files or is not on a local/mounted path. Only footers
     are read, and only for a handful of files."""
+    # Plenty of scan splits already: large input, nothing to do (and no file list pulled
+    # to the driver).
+    if df.rdd.getNumPartitions() >= 4 * parallelism:
+        return None
     files = df.inputFiles()
     if not files or len(files) >= parallelism:
         return None
