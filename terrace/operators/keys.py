@@ -50,14 +50,10 @@ def measure(df: DataFrame) -> tuple[int, int]:
 def measure_bounded(df: DataFrame, limit_bytes: int) -> tuple[int, int] | None:
     """(rows, payload bytes) of ``df`` if its payload is at most ``limit_bytes``, else None.
 
-    Every row costs at least 8 bytes per column, so a table with more than
-    ``limit_bytes / (8 * columns)`` rows is over the limit; counting through ``limit`` of
-    that many rows proves it without scanning the whole input. Only inputs under that row
-    bound are measured exactly.
+    One distributed aggregation (partial counts and byte sums per task, combined on one
+    row). A ``limit``-based early exit is deliberately not used: Spark plans it as a
+    single-partition exchange of up to the limit's rows, costlier than this pass.
     """
-    max_rows = max(1, limit_bytes // (8 * max(1, len(df.columns))))
-    if df.limit(max_rows + 1).count() > max_rows:
-        return None
     rows, size = measure(df)
     return (rows, size) if size <= limit_bytes else None
 
