@@ -34,11 +34,16 @@ class KeyedResult:
     bytes: int
 
 
-def payload_bytes(cols: Sequence[str]) -> Column:
-    """Aggregate: measured in-memory payload of ``cols`` (text by octet length, 8 bytes
-    for every other value). The size proof behind a broadcast decision."""
+def payload_row_bytes(cols: Sequence[str]) -> Column:
+    """Per-row payload of ``cols``: text by octet length plus 8 bytes for every value."""
     per_row = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in cols), F.lit(0))
-    return F.sum(per_row + F.lit(8 * len(cols)))
+    return per_row + F.lit(8 * len(cols))
+
+
+def payload_bytes(cols: Sequence[str]) -> Column:
+    """Aggregate: measured in-memory payload of ``cols``. The size proof behind a
+    broadcast decision."""
+    return F.sum(payload_row_bytes(cols))
 
 
 def measure(df: DataFrame) -> tuple[int, int]:

@@ -12,11 +12,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace.operators.combine import distinct_members
-from terrace.operators.keys import SINGLE_PARTITION_MAX, key_members, payload_bytes
+from terrace.operators.keys import SINGLE_PARTITION_MAX, key_members, payload_bytes, payload_row_bytes
 from terrace.operators.keys import measure as _measure
 from terrace.operators.keys import measure_bounded
 from terrace.session import shared_dir
@@ -86,8 +86,9 @@ def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
     """Build several dimensions of one source with a single scan.
 
     All member lists come out of one ``GROUPING SETS`` aggregation (partial aggregation
-    map-side, one shuffle), tagged by ``grouping_id``; the combined list is written once,
-    measured per dimension in one small pass, and numbered per dimension. On a large
+    map-side, one shuffle), tagged by ``grouping_id``; the combined list is written once
+    (measured per dimension by observed metrics of that same write) and numbered per
+    dimension. On a large
     source this replaces one full scan per dimension by one scan in total.
     """
     all_cols = list(dict.fromkeys(c for spec in specs.values() for c in spec.members))
@@ -99,15 +100,24 @@ def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
     sets = {name: gid_of(spec.members) for name, spec in specs.items()}
     if len(specs) == 1:
         only = next(iter(specs.values()))
-        combined = materialize(distinct_members(df, only.members).withColumn("_gid", F.lit(next(iter(sets.values())))),
-                               "members")
+        grouped = distinct_members(df, only.members).withColumn("_gid", F.lit(next(iter(sets.values()))))
     else:
         unique_sets = list(dict.fromkeys(tuple(spec.members) for spec in specs.values()))
         grouped = df.groupingSets([[_q(c) for c in cols] for cols in unique_sets], *[_q(c) for c in all_cols])
-        combined = materialize(grouped.agg(F.grouping_id().alias("_gid")), "members")
-    stats = {int(r["_gid"]): (int(r["n"]), int(r["b"] or 0))
-             for r in combined.groupBy("_gid").agg(F.count(F.lit(1)).alias("n"),
-                                                   payload_bytes(all_cols).alias("b")).collect()}
+        grouped = grouped.agg(F.grouping_id().alias("_gid"))
+    # Per-dimension row counts and payload bytes are observed while the member list is
+    # written (no second pass). They only steer strategy (broadcast, key path).
+    gids = sorted(set(sets.values()))
+    row_bytes = payload_row_bytes(all_cols)
+    observation = Observation("dimension_members")
+    observed = grouped.observe(observation, *[
+        m for g in gids for m in (F.count_if(F.col("_gid") == g).alias(f"n{g}"),
+                                  F.sum(F.when(F.col("_gid") == g, row_bytes)).alias(f"b{g}"))])
+    path = shared_dir(df.sparkSession, "members")
+    observed.write.mode("overwrite").parquet(path)
+    combined = df.sparkSession.read.parquet(path)
+    metrics = observation.get
+    stats = {g: (int(metrics.get(f"n{g}") or 0), int(metrics.get(f"b{g}") or 0)) for g in gids}
     out: dict[str, Dimension] = {}
     for name, spec in specs.items():
         members = combined.filter(F.col("_gid") == sets[name]).select(*[_q(c) for c in spec.members])
