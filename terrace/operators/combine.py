@@ -90,11 +90,13 @@ def consolidate(dfs: Sequence[DataFrame], keys: Sequence[str], fill: Mapping[str
     return dedupe(merged, keys, order_by)
 
 
-def preview(df: DataFrame, n: int = 20, order_by: Sequence[str] | None = None) -> DataFrame:
+def preview(df: DataFrame, n: int | None = 20, order_by: Sequence[str] | None = None) -> DataFrame:
     """The first ``n`` rows by ``order_by`` (default: all columns). Planned as a per-task
-    top-n followed by a merge, never a full sort."""
+    top-n followed by a merge, never a full sort. ``n=None`` lists every row in order
+    (a distributed range sort), for evidence listings such as a column's value list."""
     order = [_q(c).asc_nulls_first() for c in (order_by or df.columns)]
-    return df.orderBy(*order).limit(n)
+    ordered = df.orderBy(*order)
+    return ordered if n is None else ordered.limit(n)
 
 
 def count_rows(df: DataFrame, alias: str = "n_rows") -> DataFrame:
