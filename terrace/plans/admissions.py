@@ -23,7 +23,7 @@ DIMS = {
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
-    layout.write(read_csv(spark, layout.src(SOURCE)), "bronze", AREA)
+    layout.write(read_csv(spark, layout.src(SOURCE), sampling_ratio=layout.infer_sampling_ratio), "bronze", AREA)
 
 
 def silver(spark: SparkSession, layout: Layout) -> None:

@@ -60,7 +60,8 @@ DIMS = {
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
-    records = read_json_envelope(spark, layout.src(SOURCE), array_field="hospitais_leitos")
+    records = read_json_envelope(spark, layout.src(SOURCE), array_field="hospitais_leitos",
+                                 sampling_ratio=layout.infer_sampling_ratio)
     layout.write(records.drop(*BRONZE_DROP), "bronze", AREA)
 
 

@@ -35,11 +35,14 @@ def concurrently(tasks: Sequence[Callable[[], T_]], workers: int = WRITE_CONCURR
 class Layout:
     """Where an area's files live. ``landing`` holds the source extracts; ``warehouse``
     the bronze/silver/gold tables, addressed by path. ``fmt`` is the table format
-    (parquet by default; any format whose connector is on the classpath works)."""
+    (parquet by default; any format whose connector is on the classpath works).
+    ``infer_sampling_ratio`` lets landing-schema inference read a sample (rows of CSV,
+    whole files of JSON envelopes) instead of an extra full pass over large extracts."""
 
     landing: str
     warehouse: str
     fmt: str = "parquet"
+    infer_sampling_ratio: float | None = None
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{layer}/{table}"

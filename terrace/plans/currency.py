@@ -25,7 +25,8 @@ DIMS = {
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
-    records = read_json_envelope(spark, layout.src(SOURCE), array_field="value")
+    records = read_json_envelope(spark, layout.src(SOURCE), array_field="value",
+                                 sampling_ratio=layout.infer_sampling_ratio)
     layout.write(records, "bronze", AREA)
 
 

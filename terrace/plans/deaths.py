@@ -47,7 +47,7 @@ def age_profile(raw: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
-    raw = read_csv(spark, layout.src(SOURCE))
+    raw = read_csv(spark, layout.src(SOURCE), sampling_ratio=layout.infer_sampling_ratio)
     df = keep_matching(raw, "i_idade_anos", AGE_PATTERN)
     df = cast_columns(rename(df, BRONZE_RENAMES), BRONZE_CASTS)
     layout.write(df, "bronze", AREA, partition_by=["mes_obito"])

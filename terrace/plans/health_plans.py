@@ -51,17 +51,20 @@ def _month_start(c: str):
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
     def pricing() -> None:
-        df = read_csv(spark, layout.src(SOURCES["precificacao"]), delimiter=";")
+        df = read_csv(spark, layout.src(SOURCES["precificacao"]), delimiter=";",
+                      sampling_ratio=layout.infer_sampling_ratio)
         month = _month_start("ANO_MES")
         df = df.withColumns({"ano": F.year(month), "mes": F.month(month)})
         layout.write(df, "bronze", f"{AREA}/precificacao", partition_by=["ano", "mes"])
 
     def features() -> None:
-        layout.write(read_csv(spark, layout.src(SOURCES["caracteristicas"]), delimiter=";"),
+        layout.write(read_csv(spark, layout.src(SOURCES["caracteristicas"]), delimiter=";",
+                      sampling_ratio=layout.infer_sampling_ratio),
                      "bronze", f"{AREA}/caracteristicas")
 
     def operators() -> None:
-        df = rename(read_csv(spark, layout.src(SOURCES["operadora"]), delimiter=";"), OPERATOR_RENAMES)
+        df = rename(read_csv(spark, layout.src(SOURCES["operadora"]), delimiter=";",
+                      sampling_ratio=layout.infer_sampling_ratio), OPERATOR_RENAMES)
         layout.write(df, "bronze", f"{AREA}/operadora")
 
     concurrently([pricing, features, operators])

@@ -52,7 +52,11 @@ def _stem(name: str) -> str:
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
     specs = [LoadSpec(layout.src(name)) for name in SOURCES]
-    tables = load_many(spark, specs, lambda s, spec: rename(read_json_envelope(s, spec.source), BRONZE_RENAMES))
+    def load(s: SparkSession, spec: LoadSpec) -> DataFrame:
+        records = read_json_envelope(s, spec.source, sampling_ratio=layout.infer_sampling_ratio)
+        return rename(records, BRONZE_RENAMES)
+
+    tables = load_many(spark, specs, load)
     concurrently([lambda n=n, df=df: layout.write(df, "bronze", f"{AREA}/{n}") for n, df in tables.items()])
 
 

@@ -52,8 +52,8 @@ def _array_root_field(df: DataFrame, array_field: str | None) -> str:
 
 
 def read_json_envelope(spark: SparkSession, path: str | list[str], array_field: str | None = None,
-                       schema: T.StructType | None = None,
-                       partitions: int | None = None) -> DataFrame:
+                       schema: T.StructType | None = None, partitions: int | None = None,
+                       sampling_ratio: float | None = None) -> DataFrame:
     """Read whole-file JSON envelopes and return one flat row per record.
 
     ``array_field=None`` picks the only array-typed root key (an error when there are
@@ -66,6 +66,8 @@ def read_json_envelope(spark: SparkSession, path: str | list[str], array_field:
     reader = spark.read.option("multiLine", True)
     if schema is not None:
         reader = reader.schema(schema)
+    elif sampling_ratio is not None:
+        reader = reader.option("samplingRatio", sampling_ratio)
     raw = reader.json(path)
     field = _array_root_field(raw, array_field)
     records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec"))
