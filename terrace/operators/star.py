@@ -88,8 +88,8 @@ def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
     All member lists come out of one ``GROUPING SETS`` aggregation (partial aggregation
     map-side, one shuffle), tagged by ``grouping_id``; the combined list is written once
     (measured per dimension by observed metrics of that same write) and numbered per
-    dimension. On a large
-    source this replaces one full scan per dimension by one scan in total.
+    dimension. On a large source this replaces one full scan per dimension by one scan
+    in total.
     """
     all_cols = list(dict.fromkeys(c for spec in specs.values() for c in spec.members))
     n = len(all_cols)
@@ -254,8 +254,8 @@ def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] |
                how: str = "inner", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Equi-join ``df`` to a table expected to be small. ``on`` is a condition, a list of
     conditions (AND-ed) or a list of names (USING: one copy of each key). The broadcast
-    hint is applied only after measuring ``small`` (bounded: an oversized input is detected
-    without a full pass); beyond the limit AQE picks the join."""
+    hint is applied only after measuring ``small`` (one distributed aggregation); beyond
+    the limit AQE picks the join."""
     fits = measure_bounded(small, broadcast_limit)
     right = F.broadcast(small) if fits is not None else small
     if isinstance(on, (list, tuple)) and on and all(isinstance(c, Column) for c in on):
