@@ -9,6 +9,6 @@ plans      declarative bronze -> silver -> gold specifications for the six subje
 streaming  incremental landing-zone ingest with Structured Streaming (available-now trigger)
 """
 
-from terrace.session import build_session, shared_dir
+from terrace.session import build_session, configure, shared_dir
 
-__all__ = ["build_session", "shared_dir"]
+__all__ = ["build_session", "configure", "shared_dir"]

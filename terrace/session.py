@@ -39,8 +39,17 @@ def build_session(app: str = "terrace", conf: Mapping[str, str] | None = None,
     merged.update(conf or {})
     for key, value in merged.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    # getOrCreate() ignores static confs of an existing session; runtime SQL confs we can still set.
+    return configure(builder.getOrCreate(), merged)
+
+
+def configure(spark: SparkSession, conf: Mapping[str, str] | None = None) -> SparkSession:
+    """Apply the library's runtime SQL defaults (plus ``conf``) to a running session.
+
+    Static settings of an existing session cannot change; only ``spark.sql.*`` runtime
+    settings are applied.
+    """
+    merged = dict(DEFAULT_CONF)
+    merged.update(conf or {})
     for key, value in merged.items():
         if key.startswith("spark.sql.") and not key.startswith("spark.sql.warehouse"):
             try:

@@ -272,3 +272,13 @@ def test_health_plans(spark, tmp_path):
         ("dim_tempo", "sk_tempo"), ("dim_operadora", "sk_operadora")])
     assert fact.count() == 3
     assert rows(fact, "sk_plano", "sk_operadora", "ano", "mes") == [(1, 1, 2024, 1), (1, 1, 2024, 1), (2, 2, 2024, 2)]
+
+
+def test_run_job_cli(spark, tmp_path):
+    import run_job
+    lay = layout_for(tmp_path)
+    recs = [{"DESC_ano": "2020", "DESC_deno": "1", "DESC_especie": "Moeda", "DESC_quant_produzida": "5"}]
+    with open(f"{lay.landing}/dados_banco.json", "w", encoding="utf-8") as fh:
+        json.dump({"value": recs}, fh)
+    run_job.main(["currency", "--landing", lay.landing, "--warehouse", lay.warehouse])
+    assert rows(lay.read(spark, "gold", "fato"), "sk_tempo", "quant_produzida", "ano") == [(1, 5, 2020)]
