@@ -2,7 +2,8 @@
 
 Members must be unique on the ordering columns. Two paths:
 
-* **small** (measured row count under ``single_partition_max``): members are shuffled
+* **small** (measured rows under ``single_partition_max`` and payload under
+  ``SINGLE_PARTITION_MAX_BYTES``): members are shuffled
   into one partition, sorted there, and numbered by position. Re-evaluation gives the
   same numbers because the sort key is unique.
 * **large**: range-sort the members, tag each row with ``monotonically_increasing_id()``
@@ -25,6 +26,8 @@ from terrace.session import shared_dir
 
 _POSITION_BITS = 33
 SINGLE_PARTITION_MAX = 2_000_000
+# ...and at most this much payload: one task sorts the whole member list on that path.
+SINGLE_PARTITION_MAX_BYTES = 256 * 1024 * 1024
 
 
 @dataclass
@@ -73,7 +76,7 @@ def key_members(members: DataFrame, natural_key: Sequence[str], sk: str, rows: i
     first. ``rows``/``size`` are the measured row count and payload bytes."""
     spark = members.sparkSession
     cols = [F.col(f"`{c}`") for c in members.columns]
-    if rows <= single_partition_max:
+    if rows <= single_partition_max and size <= SINGLE_PARTITION_MAX_BYTES:
         keyed = (members.repartition(1).sortWithinPartitions(*_order(natural_key))
                  .select(*cols, (F.monotonically_increasing_id() + F.lit(1)).alias(sk)))
         return KeyedResult(keyed, rows, size + 8 * rows)
