@@ -263,8 +263,57 @@ def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] |
     return df.join(right, on, how)
 
 
+HOT_KEY_ROWS = 5_000_000
+MAX_SALTS = 1024
+
+
+def _salted_left_join(df: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
+                      using: bool, plain, hot_key_rows: int) -> DataFrame:
+    """LEFT JOIN that splits hot right-side keys over salted partitions.
+
+    Keys of ``right`` with more than ``hot_key_rows`` rows are found by a map-side combined
+    count; there are at most ``rows(right) / hot_key_rows`` of them, so that list is safe to
+    broadcast. Cold keys take the ordinary left join (no key is large any more). For hot
+    keys every left row has a partner, so an inner join is exact: left rows are replicated
+    over ``S`` salts and right rows spread over them, ``S = ceil(largest hot key /
+    hot_key_rows)``, so each task sees at most about ``hot_key_rows`` right rows of a key.
+    """
+    names = [f"_h{i}" for i in range(len(right_keys))]
+    counts = (right.groupBy(*[_q(c).alias(n) for c, n in zip(right_keys, names)])
+              .agg(F.count(F.lit(1)).alias("_n")))
+    not_null = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+    hot = counts.filter(not_null & (F.col("_n") > hot_key_rows))
+    stats = hot.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("top")).first()
+    if not stats["keys"]:
+        return plain(df, right)
+    salts = int(min(MAX_SALTS, -(-int(stats["top"]) // hot_key_rows)))
+    hot_b = F.broadcast(hot.select(*names, F.lit(True).alias("_hot")))
+
+    def tag(side: DataFrame, keys: list[str]) -> DataFrame:
+        cond = reduce(lambda a, b: a & b, [_q(k) == F.col(n) for k, n in zip(keys, names)])
+        return side.join(hot_b, cond, "left").drop(*names)
+
+    r_tagged, l_tagged = tag(right, right_keys), tag(df, left_keys)
+    r_cold = r_tagged.filter(F.col("_hot").isNull()).drop("_hot")
+    l_cold = l_tagged.filter(F.col("_hot").isNull()).drop("_hot")
+    r_hot = r_tagged.filter(F.col("_hot")).drop("_hot").withColumn("_salt", (F.rand(17) * salts).cast("int"))
+    l_hot = (l_tagged.filter(F.col("_hot")).drop("_hot")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    if using:
+        hot_joined = l_hot.join(r_hot, left_keys + ["_salt"], "inner").drop("_salt")
+    else:
+        lq = lambda c: F.col(f"`_sl`.`{c}`")
+        rq = lambda c: F.col(f"`_sr`.`{c}`")
+        cond = reduce(lambda a, b: a & b, [lq(lk) == rq(rk) for lk, rk in zip(left_keys, right_keys)])
+        hot_joined = (l_hot.alias("_sl").join(r_hot.alias("_sr"), cond & (lq("_salt") == rq("_salt")), "inner")
+                      .select(*[lq(c).alias(c) for c in df.columns], *[rq(c).alias(c) for c in right.columns]))
+    cold_joined = plain(l_cold, r_cold)
+    return cold_joined.unionByName(hot_joined.select(*[_q(c) for c in cold_joined.columns]))
+
+
 def enrich(df: DataFrame, other: DataFrame, on: Sequence[str] | tuple[Sequence[str], Sequence[str]],
-           dedupe_other: bool = True, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+           dedupe_other: bool = True, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+           hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Left join that keeps every row of ``df`` (NULLs where ``other`` has no partner).
 
     ``on`` is a key name or list of shared key names (USING: one copy of each key) or a
@@ -276,21 +325,23 @@ def enrich(df: DataFrame, other: DataFrame, on: Sequence[str] | tuple[Sequence[s
     right-side key holding a large share of ``other`` would land in one task. When ``df``
     measures small, the join is instead rewritten as (a) ``other`` inner-joined to the
     broadcast ``df`` (map-only: no shuffle, no skew) plus (b) the rows of ``df`` whose key
-    is absent from the distinct keys of ``other`` (a map-side combined aggregation). Larger
-    ``df`` falls back to the plain left join planned by AQE.
+    is absent from the distinct keys of ``other`` (a map-side combined aggregation). For a
+    larger ``df`` the hot keys of ``other`` (more than ``hot_key_rows`` rows) are split
+    over salted partitions and the rest takes the ordinary left join.
     """
     right = other.dropDuplicates() if dedupe_other else other
     if isinstance(on, str):
         on = [on]
     using = not (isinstance(on, tuple) and len(on) == 2 and not isinstance(on[0], str))
     left_keys, right_keys = (list(on), list(on)) if using else (list(on[0]), list(on[1]))
-    if using:
-        plain = lambda: df.join(right, left_keys, "left")
-    else:
-        cond = reduce(lambda a, b: a & b, [df[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)])
-        plain = lambda: df.join(right, cond, "left")
+    def plain(left: DataFrame, rgt: DataFrame) -> DataFrame:
+        if using:
+            return left.join(rgt, left_keys, "left")
+        cond = reduce(lambda a, b: a & b, [left[lk] == rgt[rk] for lk, rk in zip(left_keys, right_keys)])
+        return left.join(rgt, cond, "left")
+
     if measure_bounded(df, broadcast_limit) is None:
-        return plain()
+        return _salted_left_join(df, right, left_keys, right_keys, using, plain, hot_key_rows)
 
     small = F.broadcast(df)
     left_rest = [c for c in df.columns if not (using and c in left_keys)]

@@ -170,3 +170,21 @@ def test_enrich_matches_plain_left_join_and_avoids_left_outer_shuffle(spark):
     assert sorted(map(tuple, using.collect()), key=repr) == sorted(map(tuple, want_u.collect()), key=repr)
     fallback = enrich(left, right, (["k"], ["rk"]), dedupe_other=False, broadcast_limit=0)
     assert sorted(map(tuple, fallback.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_enrich_salts_hot_keys_when_both_sides_are_large(spark):
+    from terrace.operators.star import enrich
+    left = spark.createDataFrame([(k, f"l{k}") for k in range(20)] + [(0, "dup"), (None, "n")], "k int, a string")
+    right = spark.createDataFrame([(0, i) for i in range(900)] + [(1, 1), (5, 2), (5, 3), (None, 4)], "rk int, b int")
+    want = left.join(right, left.k == right.rk, "left")
+    got = enrich(left, right, (["k"], ["rk"]), dedupe_other=False, broadcast_limit=0, hot_key_rows=100)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()
+    r2 = right.withColumnRenamed("rk", "k")
+    got_u = enrich(left, r2, ["k"], dedupe_other=False, broadcast_limit=0, hot_key_rows=100)
+    want_u = left.join(r2, "k", "left")
+    assert got_u.columns == want_u.columns
+    assert sorted(map(tuple, got_u.collect()), key=repr) == sorted(map(tuple, want_u.collect()), key=repr)
+    none_hot = enrich(left, r2, ["k"], dedupe_other=False, broadcast_limit=0, hot_key_rows=10_000)
+    assert sorted(map(tuple, none_hot.collect()), key=repr) == sorted(map(tuple, want_u.collect()), key=repr)

@@ -83,3 +83,31 @@ def test_build_session_defaults(spark):
     assert s.conf.get("spark.sql.session.timeZone") == "UTC"
     assert s.conf.get("spark.sql.ansi.enabled") == "true"
     assert s.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_hot_fact_key_is_split_by_aqe_when_dimension_is_not_broadcast(spark):
+    """A key holding a third of the fact: with the dimension above the broadcast limit the
+    look-up is a shuffled join, and adaptive execution splits the hot partition."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        fact = spark.range(0, 60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v"))
+        dim = build_dimension(fact, ["k"], "sk")
+        out = build_fact(fact, [DimRef(dim)], measures=["v"], broadcast_limit=0)
+        assert out.count() == 60000
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

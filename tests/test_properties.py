@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from terrace.operators import DimRef, add_surrogate_key, build_dimension, build_fact, dedupe, star_rollup
 from terrace.operators.star import enrich
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 keys = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
 rows_strategy = st.lists(st.tuples(keys, st.integers(0, 3), st.text("abc", max_size=2)), min_size=1, max_size=60)
@@ -38,11 +38,14 @@ def test_dense_keys_equal_row_number(spark, rows, parts, distributed):
 
 @SETTINGS
 @given(left=st.lists(st.tuples(keys, st.text("xy", max_size=2)), min_size=1, max_size=20),
-       right=st.lists(st.tuples(keys, st.integers(0, 5)), max_size=40))
-def test_enrich_equals_left_join(spark, left, right):
+       right=st.lists(st.tuples(keys, st.integers(0, 5)), max_size=40),
+       path=st.sampled_from(["broadcast", "salted", "plain"]))
+def test_enrich_equals_left_join(spark, left, right, path):
     l_df = spark.createDataFrame(left, "k int, a string")
     r_df = spark.createDataFrame(right, "rk int, b int")
-    got = enrich(l_df, r_df, (["k"], ["rk"]), dedupe_other=False)
+    opts = {"broadcast": {}, "salted": {"broadcast_limit": 0, "hot_key_rows": 2},
+            "plain": {"broadcast_limit": 0, "hot_key_rows": 10**6}}[path]
+    got = enrich(l_df, r_df, (["k"], ["rk"]), dedupe_other=False, **opts)
     ref = l_df.join(r_df, l_df.k == r_df.rk, "left")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, ref.collect()), key=repr)
 
