@@ -159,7 +159,7 @@ def project_columns(spark, d):
 
 def explode_array(spark, d):
     e = _t(spark, d, "embeddings")
-    return e.select("vec_id", "label", F.explode("embedding").alias("x"))
+    return explode_records(e, "embedding", alias="x", keep=["vec_id", "label"])
 
 
 def flatten_struct_q(spark, d):

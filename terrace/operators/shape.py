@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def explode_records(df: DataFrame, field: str, alias: str = "rec") -> DataFrame:
+def explode_records(df: DataFrame, field: str, alias: str = "rec", keep: Sequence[str] = ()) -> DataFrame:
     """One row per element of the array column ``field`` (NULL or empty array -> no row),
-    with the element struct flattened into top-level columns."""
-    exploded = df.select(F.explode(F.col(f"`{field}`")).alias(alias))
+    with a struct element flattened into top-level columns (a scalar element becomes
+    column ``alias``). ``keep`` columns of the parent row are carried along."""
+    carried = [F.col(f"`{c}`") for c in keep]
+    exploded = df.select(*carried, F.explode(F.col(f"`{field}`")).alias(alias))
     element = exploded.schema[alias].dataType
-    return exploded.select(f"{alias}.*") if isinstance(element, T.StructType) else exploded
+    if isinstance(element, T.StructType):
+        return exploded.select(*carried, f"{alias}.*")
+    return exploded
 
 
 def flatten_struct(df: DataFrame, field: str) -> DataFrame:

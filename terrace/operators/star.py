@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace.operators.combine import distinct_members
-from terrace.operators.keys import SINGLE_PARTITION_MAX, key_members, payload_bytes, payload_row_bytes
+from terrace.operators.keys import SINGLE_PARTITION_MAX, key_members, payload_row_bytes
 from terrace.operators.keys import measure as _measure
 from terrace.operators.keys import measure_bounded
 from terrace.session import shared_dir
