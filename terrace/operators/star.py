@@ -8,6 +8,7 @@ as a shuffled join with skew splitting of hot fact keys.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -109,7 +110,7 @@ def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
     # written (no second pass). They only steer strategy (broadcast, key path).
     gids = sorted(set(sets.values()))
     row_bytes = payload_row_bytes(all_cols)
-    observation = Observation("dimension_members")
+    observation = Observation(f"dimension_members_{uuid.uuid4().hex}")  # unique: builds may run side by side
     observed = grouped.observe(observation, *[
         m for g in gids for m in (F.count_if(F.col("_gid") == g).alias(f"n{g}"),
                                   F.sum(F.when(F.col("_gid") == g, row_bytes)).alias(f"b{g}"))])
