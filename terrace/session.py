@@ -89,10 +89,10 @@ def shared_dir(spark: SparkSession, name: str = "scratch") -> str:
     Used for written intermediate tables and round-trip outputs; never a machine-local
     temporary folder unless the session itself is local.
     """
+    # The SparkContext's checkpoint folder is per application (it appends an id to
+    # spark.checkpoint.dir), so everything one application writes stays together.
     base = checkpoint_dir(spark).rstrip("/")
-    # The SparkContext appends a per-application sub-folder; keep tables beside it.
-    parent = base.rsplit("/", 1)[0] if "/" in base else base
-    path = f"{parent}/terrace-{name}/{uuid.uuid4().hex}"
+    path = f"{base}/terrace-{name}/{uuid.uuid4().hex}"
     if path.startswith("file:"):
         os.makedirs(path[len("file:"):], exist_ok=True)
     return path
