@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--format", default="parquet", help="table format (parquet, or delta with its jars)")
     parser.add_argument("--infer-sampling-ratio", type=float, default=None)
+    parser.add_argument("--evidence", action="store_true", help="log schema report and preview of each table")
     parser.add_argument("--conf", action="append", default=[], help="key=value Spark setting")
     args = parser.parse_args(argv)
 
@@ -38,7 +39,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"terrace-{args.area}", conf)
     module = AREAS[args.area]
     layers = args.layers or LAYERS.get(args.area, ["bronze", "silver", "gold"])
-    layout = Layout(args.landing, args.warehouse, args.format, args.infer_sampling_ratio)
+    if args.evidence:
+        import logging
+        logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
+    layout = Layout(args.landing, args.warehouse, args.format, args.infer_sampling_ratio, args.evidence)
     for layer in layers:
         step = getattr(module, layer, None)
         if step is None:

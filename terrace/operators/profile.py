@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LOG = logging.getLogger("terrace.evidence")
+
 
 def describe_schema(df: DataFrame) -> DataFrame:
     """One row per column: position (1-based), name, Spark type and non-NULL count.
@@ -28,3 +32,15 @@ def profile_filter(df: DataFrame, column: str, predicate: Column) -> DataFrame:
     return (df.groupBy(F.col(f"`{column}`").alias("value"))
             .agg(F.count(F.lit(1)).alias("rows"),
                  F.count_if(F.coalesce(predicate, F.lit(False))).alias("kept")))
+
+
+def log_evidence(df: DataFrame, name: str, rows: int = 20) -> None:
+    """Log a table's schema report (with non-NULL counts) and its first ``rows`` rows in
+    key order, as run evidence. Two small jobs; only the bounded results reach the driver."""
+    from terrace.operators.combine import preview
+
+    report = describe_schema(df).collect()
+    LOG.info("%s schema: %s", name, ", ".join(f"{r.position}:{r.name} {r.type} ({r.non_null} non-null)"
+                                              for r in report))
+    for row in preview(df, rows).collect():
+        LOG.info("%s row: %s", name, row.asDict())

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.star import Dimension, DimensionSpec, build_dimensions, store_dimension
+from terrace.operators.profile import log_evidence
 from terrace.sources.tables import read_table, write_table
 
 FACT_MAX_RECORDS = 1_000_000
@@ -37,12 +38,14 @@ class Layout:
     the bronze/silver/gold tables, addressed by path. ``fmt`` is the table format
     (parquet by default; any format whose connector is on the classpath works).
     ``infer_sampling_ratio`` lets landing-schema inference read a sample (rows of CSV,
-    whole files of JSON envelopes) instead of an extra full pass over large extracts."""
+    whole files of JSON envelopes) instead of an extra full pass over large extracts.
+    ``evidence=True`` logs every written table's schema report and a preview."""
 
     landing: str
     warehouse: str
     fmt: str = "parquet"
     infer_sampling_ratio: float | None = None
+    evidence: bool = False
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{layer}/{table}"
@@ -56,6 +59,8 @@ class Layout:
     def write(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = (),
               max_records: int | None = None) -> None:
         write_table(df, self.path(layer, table), self.fmt, partition_by, max_records)
+        if self.evidence:
+            log_evidence(read_table(df.sparkSession, self.path(layer, table), self.fmt), f"{layer}/{table}")
 
 
 @dataclass(frozen=True)

@@ -188,3 +188,15 @@ def test_enrich_salts_hot_keys_when_both_sides_are_large(spark):
     assert sorted(map(tuple, got_u.collect()), key=repr) == sorted(map(tuple, want_u.collect()), key=repr)
     none_hot = enrich(left, r2, ["k"], dedupe_other=False, broadcast_limit=0, hot_key_rows=10_000)
     assert sorted(map(tuple, none_hot.collect()), key=repr) == sorted(map(tuple, want_u.collect()), key=repr)
+
+
+def test_log_evidence(spark, caplog):
+    import logging
+
+    from terrace.operators.profile import log_evidence
+    df = spark.createDataFrame([(2, None), (1, "x")], "a int, b string")
+    with caplog.at_level(logging.INFO, logger="terrace.evidence"):
+        log_evidence(df, "t", rows=1)
+    text = caplog.text
+    assert "1:a int (2 non-null)" in text and "2:b string (1 non-null)" in text
+    assert "{'a': 1, 'b': 'x'}" in text and "'a': 2" not in text

@@ -280,5 +280,5 @@ def test_run_job_cli(spark, tmp_path):
     recs = [{"DESC_ano": "2020", "DESC_deno": "1", "DESC_especie": "Moeda", "DESC_quant_produzida": "5"}]
     with open(f"{lay.landing}/dados_banco.json", "w", encoding="utf-8") as fh:
         json.dump({"value": recs}, fh)
-    run_job.main(["currency", "--landing", lay.landing, "--warehouse", lay.warehouse])
+    run_job.main(["currency", "--landing", lay.landing, "--warehouse", lay.warehouse, "--evidence"])
     assert rows(lay.read(spark, "gold", "fato"), "sk_tempo", "quant_produzida", "ano") == [(1, 5, 2020)]
