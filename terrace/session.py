@@ -59,8 +59,17 @@ def configure(spark: SparkSession, conf: Mapping[str, str] | None = None) -> Spa
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one (e.g. a Spark Connect client)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    return sc is not None and sc.master.startswith("local")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -69,7 +78,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only a local session without one gets a private folder; on a cluster an unset
     checkpoint directory is an error, because lineage must be cut on shared storage.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -73,7 +73,10 @@ def read_json_envelope(spark: SparkSession, path: str | list[str], array_field:
     records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec"))
     if isinstance(records.schema["rec"].dataType, T.StructType):
         records = records.select("rec.*")
-    n = partitions or spark.sparkContext.defaultParallelism
+    try:
+        n = partitions or spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001  (no SparkContext, e.g. a Connect client)
+        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if len(raw.inputFiles()) < n:
         records = records.repartition(n)
     return records

@@ -58,8 +58,11 @@ def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, spread
     """
     df = spark.read.format(fmt).load(path)
     if spread and fmt == "parquet":
-        parallelism = spark.sparkContext.defaultParallelism
-        splits = _scan_splits(df, parallelism)
+        try:
+            parallelism = spark.sparkContext.defaultParallelism
+            splits = _scan_splits(df, parallelism)
+        except Exception:  # noqa: BLE001  (no SparkContext / RDD API, e.g. a Connect client)
+            return df
         if splits is not None and splits[0] < parallelism and splits[1] >= SPREAD_MIN_BYTES:
             df = df.repartition(parallelism)
     return df
