@@ -111,3 +111,42 @@ def test_hot_fact_key_is_split_by_aqe_when_dimension_is_not_broadcast(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_single_row_group_input_is_spread_and_split_input_is_not(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    import numpy as np
+
+    n = 300_000
+    noise = np.random.default_rng(7).integers(0, 2**63, size=n)
+    table = pa.table({"k": pa.array(range(n), pa.int64()),
+                      "s": pa.array([f"{v:016x}{v * 31 % 2**61:016x}" for v in noise.tolist()])})
+    one = str(tmp_path / "one.parquet")
+    pq.write_table(table, one, row_group_size=n)  # one big row group: one useful scan split
+    assert os.path.getsize(one) >= 4 * 1024 * 1024
+    spread = read_table(spark, one)
+    many = str(tmp_path / "many")
+    spark.range(0, 1000).repartition(64).write.parquet(many)  # many files: already split
+    kept = read_table(spark, many)
+    assert "RoundRobinPartitioning" in plan(spread)
+    assert "RoundRobinPartitioning" not in plan(kept)
+    assert spread.count() == n
+
+
+def test_envelopes_hold_a_bounded_number_of_records(spark, tmp_path):
+    import glob
+    import json as js
+
+    from terrace.sources import write_json_envelope
+    df = spark.range(0, 5000).repartition(6).select(F.col("id").alias("x"))
+    k = write_json_envelope(df, str(tmp_path / "env"), records_per_file=700)
+    sizes = []
+    for f in glob.glob(str(tmp_path / "env" / "*" / "*.json")):
+        with open(f, encoding="utf-8") as fh:
+            for line in fh:
+                if line.strip():
+                    sizes.append(len(js.loads(line)["value"]))
+    assert k == 8 and sum(sizes) == 5000
+    assert max(sizes) <= 700 + 6  # each input partition deals its rows evenly
