@@ -480,7 +480,8 @@ def dim_from_join(spark, d):
     s = _t(spark, d, "supplier").select("s_suppkey")
     li = _t(spark, d, "lineitem").select("l_suppkey", "l_returnflag")
     members = left_lookup_first(s, "s_suppkey", li, "l_suppkey", "l_returnflag", alias="first_flag")
-    return build_dimension(members, ["s_suppkey"], "sk_supplier", attributes=["first_flag"]).df
+    return build_dimension(members, ["s_suppkey"], "sk_supplier", attributes=["first_flag"],
+                           members_unique=True).df
 
 
 def dim_snowflake(spark, d):
@@ -493,7 +494,7 @@ def dim_snowflake(spark, d):
     members = dedupe(j.select("c_custkey", "c_name", "o_orderpriority", "sk_nation"), ["c_custkey"],
                      order_by=["o_orderpriority"])
     return build_dimension(members, ["c_custkey"], "sk_customer",
-                           attributes=["c_name", "o_orderpriority", "sk_nation"]).df
+                           attributes=["c_name", "o_orderpriority", "sk_nation"], members_unique=True).df
 
 
 def star_rollup_q(spark, d):

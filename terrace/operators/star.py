@@ -61,13 +61,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def build_dimension(df: DataFrame, natural_key: Sequence[str], sk: str,
                     attributes: Sequence[str] = (), derived: Mapping[str, Column] | None = None,
-                    single_partition_max: int = SINGLE_PARTITION_MAX) -> Dimension:
+                    single_partition_max: int = SINGLE_PARTITION_MAX, members_unique: bool = False) -> Dimension:
     """Distinct members of ``natural_key`` (+ ``attributes`` that depend on it) with a dense
     key 1..n in natural-key order. ``derived`` adds columns computed from the members
     (e.g. the hour of a timestamp). The member list is written once to shared storage, so
-    keys, measurements and later look-ups all read the same rows."""
+    keys, measurements and later look-ups all read the same rows.
+
+    ``members_unique=True`` states that ``df`` already has one row per member (e.g. the
+    output of :func:`dedupe` or of a ``groupBy`` on the key): the distinct, a full shuffle
+    of the member list, is then skipped."""
     return build_dimensions(df, {"_": DimensionSpec(tuple(natural_key), sk, tuple(attributes), derived)},
-                            single_partition_max)["_"]
+                            single_partition_max, members_unique)["_"]
 
 
 @dataclass(frozen=True)
@@ -83,7 +87,8 @@ class DimensionSpec:
 
 
 def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
-                     single_partition_max: int = SINGLE_PARTITION_MAX) -> dict[str, Dimension]:
+                     single_partition_max: int = SINGLE_PARTITION_MAX,
+                     members_unique: bool = False) -> dict[str, Dimension]:
     """Build several dimensions of one source with a single scan.
 
     All member lists come out of one ``GROUPING SETS`` aggregation (partial aggregation
@@ -101,7 +106,9 @@ def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
     sets = {name: gid_of(spec.members) for name, spec in specs.items()}
     if len(specs) == 1:
         only = next(iter(specs.values()))
-        grouped = distinct_members(df, only.members).withColumn("_gid", F.lit(next(iter(sets.values()))))
+        members = (df.select(*[_q(c) for c in only.members]) if members_unique
+                   else distinct_members(df, only.members))
+        grouped = members.withColumn("_gid", F.lit(next(iter(sets.values()))))
     else:
         unique_sets = list(dict.fromkeys(tuple(spec.members) for spec in specs.values()))
         grouped = df.groupingSets([[_q(c) for c in cols] for cols in unique_sets], *[_q(c) for c in all_cols])

@@ -113,7 +113,8 @@ def gold(spark: SparkSession, layout: Layout) -> None:
         # Operator: every registered operator, with the first known company name from the plans.
         members = left_lookup_first(operators.select("reg_ans"), "reg_ans", features, "registro_operadora",
                                     "razao_social")
-        return store_dimension(build_dimension(members, ["reg_ans"], "sk_operadora", ["razao_social"]),
+        return store_dimension(build_dimension(members, ["reg_ans"], "sk_operadora", ["razao_social"],
+                                               members_unique=True),
                                layout.path("gold", "dim_operadora"), layout.fmt)
 
     d, operadora = concurrently([lambda: build_and_store(layout, pricing, PRICING_DIMS), operator_dim])
@@ -126,7 +127,7 @@ def gold(spark: SparkSession, layout: Layout) -> None:
     plans = plans.join(op_keys, F.col("registro_operadora") == F.col("_reg"), "left").select(*PLAN_COLUMNS)
     plan_members = dedupe(plans, ["id_plano"])
     plano = store_dimension(build_dimension(plan_members, ["id_plano"], "sk_plano",
-                                            [c for c in PLAN_COLUMNS if c != "id_plano"]),
+                                            [c for c in PLAN_COLUMNS if c != "id_plano"], members_unique=True),
                             layout.path("gold", "dim_plano"), layout.fmt)
 
     fact = build_fact(pricing,
