@@ -62,6 +62,8 @@ ORACLES: dict[str, str] = {
                            FROM lineitem""",
     "load_many_files": f"""SELECT {ORDER_SLICE} AS source, count(*) AS n_rows FROM orders GROUP BY 1""",
     "stream_ingest_csv": "SELECT * FROM customer",
+    "stream_ingest_json_envelope": """SELECT l_orderkey, l_linenumber, l_returnflag,
+                                             CAST(l_quantity AS VARCHAR) AS l_quantity FROM lineitem""",
     # ------------------------------------------------------------------ projections / filters
     "project_columns": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
     "explode_array": "SELECT vec_id, label, unnest(embedding) AS x FROM embeddings",

@@ -151,6 +151,21 @@ def stream_ingest_csv(spark, d):
     return read_table(spark, target)
 
 
+def stream_ingest_json_envelope(spark, d):
+    """Page-sized JSON envelopes built from lineitem, ingested by the available-now file
+    stream: records exploded from each envelope and appended exactly once."""
+    from pyspark.sql import types as T
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag",
+                                          F.col("l_quantity").cast("string").alias("l_quantity"))
+    base = shared_dir(spark, "landing")
+    write_json_envelope(li, f"{base}/lineitem_envelopes", array_field="value", records_per_file=10_000)
+    record = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+                           T.StructField("l_returnflag", T.StringType()), T.StructField("l_quantity", T.StringType())])
+    target = f"{base}/lineitem_bronze"
+    ingest_landing(spark, f"{base}/lineitem_envelopes/*", target, record, fmt="json_envelope")
+    return read_table(spark, target)
+
+
 # --------------------------------------------------------------------------- projections / filters
 
 def project_columns(spark, d):
@@ -518,6 +533,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_max_records": sink_max_records,
     "load_many_files": load_many_files,
     "stream_ingest_csv": stream_ingest_csv,
+    "stream_ingest_json_envelope": stream_ingest_json_envelope,
     "project_columns": project_columns,
     "explode_array": explode_array,
     "flatten_struct": flatten_struct_q,
