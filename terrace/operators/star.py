@@ -99,6 +99,18 @@ def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
     """
     all_cols = list(dict.fromkeys(c for spec in specs.values() for c in spec.members))
     n = len(all_cols)
+    if n > MAX_GROUPING_COLUMNS and len(specs) > 1:
+        # grouping_id() is a 64-bit mask: pack the dimensions into passes that fit.
+        out: dict[str, Dimension] = {}
+        batch: dict[str, DimensionSpec] = {}
+        for name, spec in specs.items():
+            cols = set(c for sp in batch.values() for c in sp.members) | set(spec.members)
+            if batch and len(cols) > MAX_GROUPING_COLUMNS:
+                out.update(build_dimensions(df, batch, single_partition_max, members_unique))
+                batch = {}
+            batch[name] = spec
+        out.update(build_dimensions(df, batch, single_partition_max, members_unique))
+        return out
 
     def gid_of(cols: Sequence[str]) -> int:
         return sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in cols)
@@ -271,6 +283,7 @@ def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] |
     return df.join(right, on, how)
 
 
+MAX_GROUPING_COLUMNS = 60
 HOT_KEY_ROWS = 5_000_000
 MAX_SALTS = 1024
 

@@ -200,3 +200,14 @@ def test_log_evidence(spark, caplog):
     text = caplog.text
     assert "1:a int (2 non-null)" in text and "2:b string (1 non-null)" in text
     assert "{'a': 1, 'b': 'x'}" in text and "'a': 2" not in text
+
+
+def test_build_dimensions_packs_wide_stars_into_several_passes(spark, monkeypatch):
+    import terrace.operators.star as star
+    from terrace.operators import DimensionSpec, build_dimensions
+    monkeypatch.setattr(star, "MAX_GROUPING_COLUMNS", 2)
+    df = spark.createDataFrame([(1, "a", 2.0), (1, "b", 2.0)], "x int, y string, z double")
+    dims = build_dimensions(df, {"x": DimensionSpec(("x",), "sk_x"), "y": DimensionSpec(("y",), "sk_y"),
+                                 "z": DimensionSpec(("z",), "sk_z")})
+    assert [tuple(r) for r in dims["y"].df.orderBy("sk_y").collect()] == [("a", 1), ("b", 2)]
+    assert dims["x"].rows == 1 and dims["z"].rows == 1
