@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename many columns in one plan node. Source names are matched case-insensitively
-    and missing ones are ignored (older extracts lack some columns)."""
+    and missing ones are ignored (older extracts lack some columns). Two present columns
+    renamed to one name (both spellings of a field in one extract) is an error."""
     present = {c.lower(): c for c in df.columns}
     resolved = {present[src.lower()]: dst for src, dst in mapping.items() if src.lower() in present}
-    return df.withColumnsRenamed(resolved) if resolved else df
+    if not resolved:
+        return df
+    _check_unique([resolved.get(c, c) for c in df.columns])
+    return df.withColumnsRenamed(resolved)
 
 
 def _check_unique(names: list[str]) -> list[str]:

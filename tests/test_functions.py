@@ -79,3 +79,12 @@ def test_lower_and_safe_names(spark):
     clash = spark.createDataFrame([(1, 2)], "Ab int, aB int")
     with pytest.raises(ValueError):
         lower_columns(clash)
+
+
+def test_rename_rejects_two_spellings_in_one_extract(spark):
+    df = spark.createDataFrame([(1, 2)], "`Perímetro_Urbano` int, `Perímetro Urbano` int")
+    with pytest.raises(ValueError):
+        rename(df, {"Perímetro_Urbano": "perimetro_urbano", "Perímetro Urbano": "perimetro_urbano"})
+    one = spark.createDataFrame([(1,)], "`Perímetro Urbano` int")
+    assert rename(one, {"Perímetro_Urbano": "perimetro_urbano", "Perímetro Urbano": "perimetro_urbano"}).columns == [
+        "perimetro_urbano"]
