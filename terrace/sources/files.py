@@ -38,12 +38,14 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("delimiter", delimiter).csv(path)
 
 
-def _array_root_field(df: DataFrame, array_field: str | None) -> str:
+def _array_root_field(df: DataFrame, array_field: str | None) -> str | None:
     if array_field is not None:
         if array_field not in df.columns:
             raise ValueError(f"envelope has no root key {array_field!r}; keys: {df.columns}")
         return array_field
     arrays = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    if not arrays:
+        return None  # a bare top-level array: Spark already yields one row per record
     if len(arrays) != 1:
         raise ValueError(
             f"cannot pick the record array: {len(arrays)} array-typed root keys {arrays}; "
@@ -57,7 +59,8 @@ def read_json_envelope(spark: SparkSession, path: str | list[str], array_field:
     """Read whole-file JSON envelopes and return one flat row per record.
 
     ``array_field=None`` picks the only array-typed root key (an error when there are
-    several). Records are flattened (``rec.*``); an empty or NULL array yields no rows.
+    several); a file that is a bare top-level array is read as its records. Records are
+    flattened (``rec.*``); an empty or NULL array yields no rows.
     Each file is one task (whole-file parse). When there are fewer envelope files than
     cores, the records are dealt round-robin over ``partitions`` (default: the cluster's
     default parallelism) right after the explode, so later work is not stuck in a few
@@ -70,9 +73,12 @@ def read_json_envelope(spark: SparkSession, path: str | list[str], array_field:
         reader = reader.option("samplingRatio", sampling_ratio)
     raw = reader.json(path)
     field = _array_root_field(raw, array_field)
-    records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec"))
-    if isinstance(records.schema["rec"].dataType, T.StructType):
-        records = records.select("rec.*")
+    if field is None:
+        records = raw.drop(*[c for c in raw.columns if c == "envelope_id"])
+    else:
+        records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec"))
+        if isinstance(records.schema["rec"].dataType, T.StructType):
+            records = records.select("rec.*")
     try:
         n = partitions or spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001  (no SparkContext, e.g. a Connect client)

@@ -211,3 +211,10 @@ def test_build_dimensions_packs_wide_stars_into_several_passes(spark, monkeypatc
                                  "z": DimensionSpec(("z",), "sk_z")})
     assert [tuple(r) for r in dims["y"].df.orderBy("sk_y").collect()] == [("a", 1), ("b", 2)]
     assert dims["x"].rows == 1 and dims["z"].rows == 1
+
+
+def test_bare_top_level_array_is_read_as_records(spark, tmp_path):
+    p = tmp_path / "bare.json"
+    p.write_text(json.dumps([{"a": 1, "b": "x"}, {"a": 2, "b": "y"}]))
+    got = read_json_envelope(spark, str(p))
+    assert sorted(tuple(r) for r in got.select("a", "b").collect()) == [(1, "x"), (2, "y")]
