@@ -74,7 +74,7 @@ def read_json_envelope(spark: SparkSession, path: str | list[str], array_field:
     raw = reader.json(path)
     field = _array_root_field(raw, array_field)
     if field is None:
-        records = raw.drop(*[c for c in raw.columns if c == "envelope_id"])
+        records = raw
     else:
         records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec"))
         if isinstance(records.schema["rec"].dataType, T.StructType):
