@@ -9,15 +9,18 @@ so by the pigeonhole principle any two sets of the band that may link have an eq
 Equal words are what Spark joins; a set also enters each higher band in which it may have a
 partner. No pair that should link is missed; pairs that meet are verified on their shingles.
 
-Scale: equal sets are one node. Members of a word's group are first checked with the
-group's leader only, one row each; groups whose members then still belong to different
-components are compared completely, in tiles of bounded size. Near copies thus cost a row
-per copy and word, never a row per pair. Set fingerprints have 64 bits.
+Scale: equal sets are one node. Each word's group is known by its smallest member, the
+leader, and groups of one leader are one group, so a set stands in a few of them, however
+many words it shares. A group is cut into chunks, each pair of chunks is a tile of bounded
+size, and a tile gives the links of a spanning forest, the closest first, never all pairs. All
+this works on sketches; texts are read only for those links. Where a text refutes one, the
+groups of its component are compared again without it. Set fingerprints have 64 bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from terrace.llm.common import (broadcast_if_small, connected_components, document_key, free_name, materialize,
-                                python_workers)
+                                python_workers, rows_per_group)
 
 WORDS = 3
 LEAST, OUT_OF = 90, 100
@@ -72,9 +75,9 @@ def band_edges(largest: int) -> list[int]:
 
 
 def allowed_difference(total: int, least: int = LEAST, out_of: int = OUT_OF) -> int:
-    """Largest symmetric difference of two sets that link and have ``total`` elements
+    """Largest symmetric difference of two sets that link and have at most ``total`` elements
     together: i >= (total - i) least / out_of bounds total - 2 i."""
-    return total - 2 * -(-least * total // (least + out_of))
+    return total * (out_of - least) // (least + out_of)
 
 
 def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
@@ -83,21 +86,13 @@ def sketch(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(_U)
 
 
-def join_keys(hashes: np.ndarray, least: int = LEAST, out_of: int = OUT_OF) -> np.ndarray:
-    """Keys of all sketch words of a set, for its own band and for each higher one that may
-    hold a partner."""
-    size = len(hashes)
-    if not size:
-        return np.zeros(0, np.int64)
+@lru_cache(maxsize=100_000)
+def bands(size: int, least: int = LEAST, out_of: int = OUT_OF) -> list[tuple[int, int]]:
+    """(band, words of its sketches) for each band that a set of this size enters: its own
+    first, then each higher one that may hold a partner."""
     edges = band_edges(size * out_of // least + 1)
-    keys = []
-    for band, (low, high) in enumerate(zip(edges, edges[1:])):
-        if high <= size or low * least > size * out_of:
-            continue
-        words = allowed_difference(2 * (high - 1), least, out_of) + 1
-        seat = _U(band << 32) + np.arange(words, dtype=_U)
-        keys.append(_mix(sketch(hashes, words) + _mix(seat)))
-    return np.concatenate(keys).view(np.int64)
+    return [(band, allowed_difference(2 * (high - 1), least, out_of) + 1)
+            for band, (low, high) in enumerate(zip(edges, edges[1:])) if high > size and low * least <= size * out_of]
 
 
 def links(a: np.ndarray, b: np.ndarray, least: int = LEAST, out_of: int = OUT_OF) -> bool:
@@ -110,80 +105,149 @@ def links(a: np.ndarray, b: np.ndarray, least: int = LEAST, out_of: int = OUT_OF
 
 def document_sets(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, its identity (k1, k2), n_shingles, the set's fingerprint
-    (NULL for an empty set) and its join keys."""
+    (NULL for an empty set) and its sketches: the words for each of its bands."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(t) for t in batch["text"].tolist()]
+            plans = [bands(len(s)) if len(s) else [] for s in sets]
             yield pd.DataFrame({
                 "row": batch["row"], "n_shingles": [len(s) for s in sets],
                 "fp": pd.array([fingerprint(s) if len(s) else None for s in sets], "Int64"),
-                "keys": [join_keys(s) for s in sets]})
+                "bands": [[band for band, _ in plan] for plan in plans],
+                "words": [[sketch(s, words).view(np.int64) for _, words in plan] for s, plan in zip(sets, plans)]})
 
     k1, k2 = document_key(F.col("doc_id"), F.col("text"))
     out = (docs.select(F.struct("doc_id", k1.alias("k1"), k2.alias("k2")).alias("row"), "text")
-           .mapInPandas(run, "row struct<doc_id: bigint, k1: bigint, k2: bigint>, n_shingles long, fp long, keys array<long>"))
-    return out.select("row.*", "n_shingles", "fp", "keys")
+           .mapInPandas(run, "row struct<doc_id: bigint, k1: bigint, k2: bigint>, n_shingles long, fp long, "
+                             "bands array<int>, words array<array<long>>"))
+    return out.select("row.*", "n_shingles", "fp", "bands", "words")
 
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (u, v) of fingerprints whose texts' sets link."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            known: dict[int, np.ndarray] = {}
-            keep = []
-            for u, v, a, b in zip(batch["u"], batch["v"], batch["text_u"], batch["text_v"]):
-                for fp, text in ((u, a), (v, b)):
-                    if fp not in known:
-                        known[fp] = shingles(text)
-                keep.append(links(known[u], known[v]))
-            yield batch.loc[keep, ["u", "v"]]
-
-    u = texts.select(F.col("fp").alias("u"), F.col("text").alias("text_u"))
-    v = texts.select(F.col("fp").alias("v"), F.col("text").alias("text_v"))
-    return pairs.join(u, "u").join(v, "v").mapInPandas(run, "u long, v long")
+def _sketches(row_bands, row_words) -> dict[int, np.ndarray]:
+    return {int(b): np.asarray(w, np.int64).view(_U) for b, w in zip(row_bands, row_words)}
 
 
-def compare_groups(members: DataFrame, texts: DataFrame, groups: int) -> DataFrame:
-    """Links (u, v) within the tiles of ``members`` (key, ta, tb, chunk, fp, root): every two
-    that are not yet in one component are compared by sketch, then by shingles, until each
-    tile's components are known. Only links that join two components come back."""
+def compare_groups(members: DataFrame, groups: int) -> DataFrame:
+    """Pairs (u, v) within the tiles of ``members`` (lead, ta, tb, chunk, fp, root, n_shingles,
+    bands, words, refuted) that may link by their sketches: of every two that aren't in one
+    component (root) yet, those of a spanning forest of the tile, closest first. ``refuted``
+    has the partners that a set's text has ruled out."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        sets = {fp: shingles(t) for fp, t in zip(rows["fp"], rows["text"])}
         out = []
-        for _, tile in rows.groupby(["key", "ta", "tb"], sort=True):
+        for _, tile in rows.groupby(["lead", "ta", "tb"], sort=True):
             tile = tile.sort_values("fp", kind="stable")
             fps, chunk = tile["fp"].tolist(), tile["chunk"].to_numpy()
-            across = (tile["ta"] != tile["tb"]).iloc[0]
-            up = {r: r for r in tile["root"]}
+            across = bool((tile["ta"] != tile["tb"]).iloc[0])
+            sizes = tile["n_shingles"].to_numpy()
+            never = [() if r is None else set(r) for r in tile["refuted"]]
+            sketches = [_sketches(b, w) for b, w in zip(tile["bands"], tile["words"])]
+            # Two sets are compared in the larger one's band, which the smaller one enters too.
+            own = np.array([bands(n)[0][0] for n in sizes.tolist()])
+            near = []
+            for band in np.unique(own).tolist():
+                has = np.array([k for k in range(len(fps)) if band in sketches[k]])
+                matrix = np.array([sketches[k][band] for k in has])
+                for k in np.flatnonzero(own == band).tolist():
+                    apart = np.bitwise_count(matrix ^ sketches[k][band]).sum(axis=1)
+                    total = sizes[has] + sizes[k]
+                    use = (sizes[has] <= sizes[k]) & (apart * (LEAST + OUT_OF) <= (OUT_OF - LEAST) * total) & (has != k)
+                    if across:
+                        use &= chunk[has] != chunk[k]
+                    near += zip((apart[use] / total[use]).tolist(), [k] * int(use.sum()), has[use].tolist())
+            roots = tile["root"].tolist()
+            up = {r: r for r in roots}
 
             def top(x):
                 while up[x] != x:
-                    x = up[x]
+                    up[x] = x = up[up[x]]
                 return x
 
-            root = tile["root"].tolist()
-            own = [sets[fp] for fp in fps]
-            sizes = np.array([len(s) for s in own])
-            words = allowed_difference(2 * int(sizes.max())) + 1
-            bits = np.array([sketch(s, words) for s in own])
-            for a in range(len(fps) - 1):
-                apart = np.bitwise_count(bits[a + 1:] ^ bits[a]).sum(axis=1)
-                near = apart * (LEAST + OUT_OF) <= (OUT_OF - LEAST) * (sizes[a + 1:] + sizes[a])
-                if across:
-                    near &= chunk[a + 1:] != chunk[a]
-                for b in (np.flatnonzero(near) + a + 1).tolist():
-                    x, y = top(root[a]), top(root[b])
-                    if x != y and links(own[a], own[b]):
-                        up[max(x, y)] = min(x, y)
-                        out.append((fps[a], fps[b]))
+            for _, a, b in sorted(near):
+                x, y = top(roots[a]), top(roots[b])
+                if x != y and fps[b] not in never[a]:
+                    up[max(x, y)] = min(x, y)
+                    out.append((max(fps[a], fps[b]), min(fps[a], fps[b])))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    part = F.pmod(F.xxhash64("key", "ta", "tb"), F.lit(groups))
-    return (members.join(texts, "fp").withColumn("part", part).groupBy("part")
-            .applyInPandas(run, "u long, v long"))
+    part = F.pmod(F.xxhash64("lead", "ta", "tb"), F.lit(groups))
+    return members.withColumn("part", part).groupBy("part").applyInPandas(run, "u long, v long").distinct()
+
+
+def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(u, v, linked) for the pairs (u, v): whether the sets of their texts link."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known: dict[int, np.ndarray] = {}
+            linked = []
+            for u, v, a, b in zip(batch["u"], batch["v"], batch["text_u"], batch["text_v"]):
+                for fp, text in ((u, a), (v, b)):
+                    if fp not in known:
+                        known[fp] = shingles(text)
+                linked.append(links(known[u], known[v]))
+            yield batch[["u", "v"]].assign(linked=linked)
+
+    u = texts.select(F.col("fp").alias("u"), F.col("text").alias("text_u"))
+    v = texts.select(F.col("fp").alias("v"), F.col("text").alias("text_v"))
+    return pairs.join(u, "u").join(v, "v").mapInPandas(run, "u long, v long, linked boolean")
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(fp, text) for the fingerprints in ``wanted``, one document's text for each."""
+    need = broadcast_if_small(materialize(wanted.join(nodes.select("fp", "k1", "k2"), "fp"), "need"))
+    k1, k2 = document_key(F.col("doc_id"), F.col("text"))
+    found = docs.select(k1.alias("k1"), k2.alias("k2"), "text").join(need, ["k1", "k2"])
+    return materialize(found.groupBy("fp").agg(F.min("text").alias("text")), "texts")
+
+
+def tiles(members: DataFrame, nodes: DataFrame, refuted: DataFrame | None) -> DataFrame:
+    """``members`` (lead, fp, root) cut into tiles: chunks of about ``CHUNK_ROWS`` sets, every
+    two of a group in a tile of their own."""
+    groups = members.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
+    cut = (members.join(groups, "lead")
+           .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+           .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+           .select("lead", "fp", "root", "chunk", F.least("x", "chunk").alias("ta"), F.greatest("x", "chunk").alias("tb"))
+           .join(nodes.drop("k1", "k2"), "fp"))
+    if refuted is None:
+        return cut.withColumn("refuted", F.lit(None).cast("array<long>"))
+    both = refuted.select(F.col("u").alias("fp"), F.col("v").alias("other")).unionByName(
+        refuted.select(F.col("v").alias("fp"), F.col("u").alias("other")))
+    return cut.join(both.groupBy("fp").agg(F.collect_set("other").alias("refuted")), "fp", "left")
+
+
+def component_roots(docs: DataFrame, met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, root) of the sets that link, from the groups ``met`` (lead, fp)."""
+    members = met.withColumn("root", F.col("fp"))
+    confirmed = refuted = texts = None
+    while True:
+        pieces = rows_per_group(members, TILE_ROWS)
+        pending = materialize(compare_groups(tiles(members, nodes, refuted), pieces), "pending")
+        wanted = pending.select(F.explode(F.array("u", "v")).alias("fp")).distinct()
+        if texts is not None:
+            wanted = wanted.join(texts.select("fp"), "fp", "left_anti")
+        found = texts_of(docs, wanted, nodes)
+        texts = found if texts is None else texts.unionByName(found)
+        checked = materialize(verify(pending, texts), "checked")
+        believed = checked.drop("linked") if confirmed is None else confirmed.unionByName(checked.drop("linked"))
+        good, bad = (checked.where(F.col("linked") == ok).drop("linked") for ok in (True, False))
+        confirmed = good if confirmed is None else confirmed.unionByName(good)
+        roots = connected_components(confirmed)
+        if not bad.take(1):
+            return roots
+        # A refuted pair may have held a component together: the groups with members that were
+        # in one and no longer are get compared again, with what is known by now.
+        refuted = bad if refuted is None else refuted.unionByName(bad)
+        were = connected_components(believed).withColumnRenamed("root", "was")
+        torn = were.join(bad.select(F.col("u").alias("node")), "node").select("was").distinct()
+        now = (were.join(torn, "was").join(roots, "node", "left")
+               .select(F.col("node").alias("fp"), "was", F.coalesce("root", "node").alias("root")))
+        placed = met.join(now, "fp")
+        split = placed.groupBy("lead", "was").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        members = materialize(placed.join(split.select("lead", "was"), ["lead", "was"], "left_semi")
+                              .select("lead", "fp", "root"), "members")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -198,37 +262,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     python_workers(docs.sparkSession, rows=1000)
     sets = materialize(document_sets(docs), "sets")
-    keyed = sets.where(F.col("fp").isNotNull()).select("fp", F.explode("keys").alias("key"))
+    keyed = (sets.where(F.col("fp").isNotNull())
+             .select("fp", F.explode(F.arrays_zip("bands", "words")).alias("s"))
+             .select("fp", F.col("s.bands").alias("band"), F.posexplode("s.words").alias("at", "word"))
+             .select("fp", F.xxhash64("band", "at", "word").alias("key")))
     shared = materialize(keyed.groupBy("key").agg(F.min("fp").alias("lead"), F.max("fp").alias("most"))
                          .where(F.col("lead") < F.col("most")).select("key", "lead"), "shared")
-    met = materialize(keyed.join(broadcast_if_small(shared), "key").distinct(), "met")
-
-    # One text for each set that met another one.
-    need = (met.select("fp").distinct().join(sets, "fp").groupBy("fp")
-            .agg(F.min(F.struct("k1", "k2")).alias("k")).select("fp", "k.k1", "k.k2"))
-    need = broadcast_if_small(materialize(need, "need"))
-    k1, k2 = document_key(F.col("doc_id"), F.col("text"))
-    texts = materialize(docs.select(k1.alias("k1"), k2.alias("k2"), "text").join(need, ["k1", "k2"])
-                        .groupBy("fp").agg(F.min("text").alias("text")), "texts")
-
-    pairs = met.where(F.col("fp") != F.col("lead")).select(F.col("fp").alias("u"), F.col("lead").alias("v")).distinct()
-    found = materialize(verify(pairs, texts), "links")
-    roots = connected_components(found)
-
-    # Groups that still hold different components, but for those of two sets: their only pair is checked.
-    placed = (met.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
-              .withColumn("root", F.coalesce("root", "fp")))
-    open_groups = (placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("a"), F.max("root").alias("b"))
-                   .where("a < b and m > 2").select("key", F.ceil(F.col("m") / CHUNK_ROWS).cast("int").alias("chunks")))
-    members = (placed.join(open_groups, "key")
-               .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-               .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-               .select("key", "fp", "root", "chunk", F.least("x", "chunk").alias("ta"), F.greatest("x", "chunk").alias("tb")))
-    members = materialize(members, "members")
-    groups = max(1, -(-members.count() // TILE_ROWS))
-    more = materialize(compare_groups(members, texts, groups), "more")
-    if more.take(1):
-        roots = connected_components(found.unionByName(more))
+    met = materialize(keyed.join(broadcast_if_small(shared), "key").select("lead", "fp").distinct(), "met")
+    need = broadcast_if_small(materialize(met.select("fp").distinct(), "need"))
+    nodes = (sets.join(need, "fp").groupBy("fp")
+             .agg(F.min(F.struct("k1", "k2")).alias("k"), F.first("n_shingles").alias("n_shingles"),
+                  F.first("bands").alias("bands"), F.first("words").alias("words"))
+             .select("fp", "k.*", "n_shingles", "bands", "words"))
+    roots = component_roots(docs, met, materialize(nodes, "nodes"))
 
     grouped = (sets.select("doc_id", "k1", "k2", "n_shingles", "fp")
                .join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
