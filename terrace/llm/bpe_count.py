@@ -80,7 +80,7 @@ class RankMerger:
         counts = lengths.copy()
         symbols = self.start[np.frombuffer(b"".join(sequences), np.uint8)]
         owners = np.repeat(np.arange(len(sequences)), lengths)
-        while len(symbols) > 1:
+        while len(symbols):
             rank = np.full(len(symbols), _NONE, np.int32)
             inside = np.flatnonzero(owners[1:] == owners[:-1])
             rank[inside] = self.ranks(symbols[inside], symbols[inside + 1])

@@ -116,8 +116,9 @@ def take(rows: DataFrame, targets: DataFrame, block_rows: int = BLOCK_ROWS, seed
     names = rows.columns
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     units = (rows.join(targets.withColumnRenamed("source", "of"), rows["source"].eqNullSafe(F.col("of")))
-             .withColumn("whole", F.floor(ratio + SMALL).cast("long"))
-             .withColumn("p", F.when(F.col("size") > 0, F.greatest(ratio - F.col("whole"), F.lit(0.0))).otherwise(0.0))
+             .withColumn("ratio", F.when(F.col("size") > 0, ratio).otherwise(0.0))
+             .withColumn("whole", F.floor(F.col("ratio") + SMALL).cast("long"))
+             .withColumn("p", F.greatest(F.col("ratio") - F.col("whole"), F.lit(0.0)))
              .select(*names, "whole", "p"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in units.schema) + ", block long"
 

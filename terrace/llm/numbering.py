@@ -27,6 +27,8 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str], nam
     parts = rows.groupBy(*group, part).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(count))
     earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn(before, F.coalesce(F.sum(count).over(earlier), F.lit(0))).drop(count)
-    same = [rows[c].eqNullSafe(parts[c]) for c in [*group, part]]
+    theirs = {c: free_name(rows.columns, f"of_{c}") for c in [*group, part]}
+    parts = parts.withColumnsRenamed(theirs)
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`{of}`")) for c, of in theirs.items()]
     joined = rows.join(parts, same)
-    return joined.select(*[rows[c] for c in df.columns], (rows[at] - parts[first] + parts[before]).alias(name))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(at) - F.col(first) + F.col(before)).alias(name))

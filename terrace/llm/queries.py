@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrace.llm import best_fit, bpe_count, pivot_neardup, sketch_join, subword_classifier
+from terrace.llm import (best_fit, bpe_count, cube_mix, hash_tree, host_trust, line_suffix, one_bit_ann, pivot_neardup,
+                         sketch_join, subword_classifier)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,28 @@ def op3_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.assign(table(spark, sf_dir, "documents"), shards=24)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_suffix.delete_repeats(docs, min_words=50)
+
+
+def op6_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cube_mix.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+
+
+def op7_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (host_trust.judge(table(spark, sf_dir, "pages"))
+            .select("page_id", "host", "path", "rule", "verdict"))
+
+
+def op8_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_bit_ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(table(spark, sf_dir, "documents"), vocabulary(), capacity=1024, end_id=2)
 
@@ -42,6 +66,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_classifier.classify(docs, model, threshold=0.3)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five stages of corpus_pipeline.py, one after the other."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pivot_near_vectors, op2_token_counts, op3_parity_sketch_join,
-                            op9_best_fit_packing, op10_quality_classifier)}
+    f.__name__: f for f in (op1_pivot_near_vectors, op2_token_counts, op3_parity_sketch_join, op4_hash_tree_shards,
+                            op5_line_dedup, op6_cube_mix, op7_link_trust, op8_one_bit_search, op9_best_fit_packing,
+                            op10_quality_classifier, pipeline)}

@@ -13,8 +13,8 @@ Scale: equal sets are one node. Each word's group is known by its smallest membe
 leader, and groups of one leader are one group, so a set stands in a few of them, however
 many words it shares. A group is cut into chunks, each pair of chunks is a tile of bounded
 size, and a tile gives the links of a spanning forest, the closest first, never all pairs. All
-this works on sketches; texts are read only for those links. Where a text refutes one, the
-groups of its component are compared again without it. Set fingerprints have 64 bits.
+this works on sketches; texts are read only for those links. Where a text refutes one, what
+is left of its component is compared again, now by shingles. Set fingerprints have 64 bits.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from terrace.llm.common import (broadcast_if_small, connected_components, docume
 
 WORDS = 3
 LEAST, OUT_OF = 90, 100
-CHUNK_ROWS = 256
+CHUNK_ROWS = 1024
 TILE_ROWS = 4096
 _U = np.uint64
 
@@ -128,35 +128,45 @@ def _sketches(row_bands, row_words) -> dict[int, np.ndarray]:
     return {int(b): np.asarray(w, np.int64).view(_U) for b, w in zip(row_bands, row_words)}
 
 
-def compare_groups(members: DataFrame, groups: int) -> DataFrame:
-    """Pairs (u, v) within the tiles of ``members`` (lead, ta, tb, chunk, fp, root, n_shingles,
-    bands, words, refuted) that may link by their sketches: of every two that aren't in one
-    component (root) yet, those of a spanning forest of the tile, closest first. ``refuted``
-    has the partners that a set's text has ruled out."""
+def _near(tile: pd.DataFrame, across: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of a tile that may link by their sketches, closest first. Two sets are
+    compared in the larger one's band, which the smaller one enters too."""
+    sizes, chunk = tile["n_shingles"].to_numpy(), tile["chunk"].to_numpy()
+    sketches = [_sketches(b, w) for b, w in zip(tile["bands"], tile["words"])]
+    own = np.array([bands(n)[0][0] for n in sizes.tolist()])
+    left, right, ratio = [], [], []
+    for band in np.unique(own).tolist():
+        has = np.array([k for k, s in enumerate(sketches) if band in s])
+        matrix = np.array([sketches[k][band] for k in has])
+        for k in np.flatnonzero(own == band).tolist():
+            apart = np.bitwise_count(matrix ^ sketches[k][band]).sum(axis=1)
+            total = sizes[has] + sizes[k]
+            # A pair of one band is met twice; the earlier row counts it.
+            use = (own[has] < band) | (has > k)
+            use &= apart * (LEAST + OUT_OF) <= (OUT_OF - LEAST) * total
+            if across:
+                use &= chunk[has] != chunk[k]
+            right.append(has[use])
+            left.append(np.full(len(right[-1]), k))
+            ratio.append(apart[use] / total[use])
+    left, right, ratio = np.concatenate(left), np.concatenate(right), np.concatenate(ratio)
+    order = np.lexsort((right, left, ratio))
+    return left[order], right[order]
+
+
+def compare_groups(tiles: DataFrame, groups: int) -> DataFrame:
+    """Pairs (u, v) within ``tiles`` (lead, was, ta, tb, chunk, fp, root, n_shingles, bands, words,
+    and text or not): of every two that aren't in one component (root) yet, those of a
+    spanning forest of the tile. Without texts they may link by their sketches; with texts
+    they do link."""
+    exact = "text" in tiles.columns
+    key = ["lead", "was", "ta", "tb"]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, tile in rows.groupby(["lead", "ta", "tb"], sort=True):
-            tile = tile.sort_values("fp", kind="stable")
-            fps, chunk = tile["fp"].tolist(), tile["chunk"].to_numpy()
-            across = bool((tile["ta"] != tile["tb"]).iloc[0])
-            sizes = tile["n_shingles"].to_numpy()
-            never = [() if r is None else set(r) for r in tile["refuted"]]
-            sketches = [_sketches(b, w) for b, w in zip(tile["bands"], tile["words"])]
-            # Two sets are compared in the larger one's band, which the smaller one enters too.
-            own = np.array([bands(n)[0][0] for n in sizes.tolist()])
-            near = []
-            for band in np.unique(own).tolist():
-                has = np.array([k for k in range(len(fps)) if band in sketches[k]])
-                matrix = np.array([sketches[k][band] for k in has])
-                for k in np.flatnonzero(own == band).tolist():
-                    apart = np.bitwise_count(matrix ^ sketches[k][band]).sum(axis=1)
-                    total = sizes[has] + sizes[k]
-                    use = (sizes[has] <= sizes[k]) & (apart * (LEAST + OUT_OF) <= (OUT_OF - LEAST) * total) & (has != k)
-                    if across:
-                        use &= chunk[has] != chunk[k]
-                    near += zip((apart[use] / total[use]).tolist(), [k] * int(use.sum()), has[use].tolist())
-            roots = tile["root"].tolist()
+        out, sets = [], {}
+        for (_, _, ta, tb), tile in rows.groupby(key, sort=True):
+            tile = tile.sort_values("fp", kind="stable", ignore_index=True)
+            fps, roots = tile["fp"].tolist(), tile["root"].tolist()
             up = {r: r for r in roots}
 
             def top(x):
@@ -164,15 +174,22 @@ def compare_groups(members: DataFrame, groups: int) -> DataFrame:
                     up[x] = x = up[up[x]]
                 return x
 
-            for _, a, b in sorted(near):
+            for a, b in zip(*(side.tolist() for side in _near(tile, ta != tb))):
                 x, y = top(roots[a]), top(roots[b])
-                if x != y and fps[b] not in never[a]:
-                    up[max(x, y)] = min(x, y)
-                    out.append((max(fps[a], fps[b]), min(fps[a], fps[b])))
+                if x == y:
+                    continue
+                if exact:
+                    for k in (a, b):
+                        if fps[k] not in sets:
+                            sets[fps[k]] = shingles(tile["text"].iloc[k])
+                    if not links(sets[fps[a]], sets[fps[b]]):
+                        continue
+                up[max(x, y)] = min(x, y)
+                out.append((max(fps[a], fps[b]), min(fps[a], fps[b])))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    part = F.pmod(F.xxhash64("lead", "ta", "tb"), F.lit(groups))
-    return members.withColumn("part", part).groupBy("part").applyInPandas(run, "u long, v long").distinct()
+    part = F.pmod(F.xxhash64(*key), F.lit(groups))
+    return tiles.withColumn("part", part).groupBy("part").applyInPandas(run, "u long, v long").distinct()
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -202,52 +219,48 @@ def texts_of(docs: DataFrame, wanted: DataFrame, nodes: DataFrame) -> DataFrame:
     return materialize(found.groupBy("fp").agg(F.min("text").alias("text")), "texts")
 
 
-def tiles(members: DataFrame, nodes: DataFrame, refuted: DataFrame | None) -> DataFrame:
-    """``members`` (lead, fp, root) cut into tiles: chunks of about ``CHUNK_ROWS`` sets, every
-    two of a group in a tile of their own."""
-    groups = members.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
-    cut = (members.join(groups, "lead")
-           .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-           .withColumn("x", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-           .select("lead", "fp", "root", "chunk", F.least("x", "chunk").alias("ta"), F.greatest("x", "chunk").alias("tb"))
-           .join(nodes.drop("k1", "k2"), "fp"))
-    if refuted is None:
-        return cut.withColumn("refuted", F.lit(None).cast("array<long>"))
-    both = refuted.select(F.col("u").alias("fp"), F.col("v").alias("other")).unionByName(
-        refuted.select(F.col("v").alias("fp"), F.col("u").alias("other")))
-    return cut.join(both.groupBy("fp").agg(F.collect_set("other").alias("refuted")), "fp", "left")
+def cut_into_tiles(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``members`` (lead, was, fp, root, minor) cut into tiles: in each group (lead, was) the
+    minor members meet all others, every two chunks in a tile of their own."""
+    size = F.lit(CHUNK_ROWS)
+    groups = members.groupBy("lead", "was").agg(
+        F.ceil(F.count_if("minor") / size).cast("int").alias("few"), F.ceil(F.count_if(~F.col("minor")) / size).cast("int").alias("many"))
+    seat = F.xxhash64("fp")
+    chunk = F.when(F.col("minor"), F.pmod(seat, "few")).otherwise(F.col("few") + F.pmod(seat, "many")).cast("int")
+    meets = F.sequence(F.lit(0), F.when(F.col("minor"), F.col("few") + F.col("many")).otherwise(F.col("few")) - 1)
+    return (members.join(groups, ["lead", "was"]).withColumn("chunk", chunk).withColumn("x", F.explode(meets))
+            .select("lead", "was", "fp", "root", "chunk", F.least("x", "chunk").alias("ta"), F.greatest("x", "chunk").alias("tb"))
+            .join(nodes.drop("k1", "k2"), "fp"))
 
 
 def component_roots(docs: DataFrame, met: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, root) of the sets that link, from the groups ``met`` (lead, fp)."""
-    members = met.withColumn("root", F.col("fp"))
-    confirmed = refuted = texts = None
-    while True:
-        pieces = rows_per_group(members, TILE_ROWS)
-        pending = materialize(compare_groups(tiles(members, nodes, refuted), pieces), "pending")
-        wanted = pending.select(F.explode(F.array("u", "v")).alias("fp")).distinct()
-        if texts is not None:
-            wanted = wanted.join(texts.select("fp"), "fp", "left_anti")
-        found = texts_of(docs, wanted, nodes)
-        texts = found if texts is None else texts.unionByName(found)
-        checked = materialize(verify(pending, texts), "checked")
-        believed = checked.drop("linked") if confirmed is None else confirmed.unionByName(checked.drop("linked"))
-        good, bad = (checked.where(F.col("linked") == ok).drop("linked") for ok in (True, False))
-        confirmed = good if confirmed is None else confirmed.unionByName(good)
-        roots = connected_components(confirmed)
-        if not bad.take(1):
-            return roots
-        # A refuted pair may have held a component together: the groups with members that were
-        # in one and no longer are get compared again, with what is known by now.
-        refuted = bad if refuted is None else refuted.unionByName(bad)
-        were = connected_components(believed).withColumnRenamed("root", "was")
-        torn = were.join(bad.select(F.col("u").alias("node")), "node").select("was").distinct()
-        now = (were.join(torn, "was").join(roots, "node", "left")
-               .select(F.col("node").alias("fp"), "was", F.coalesce("root", "node").alias("root")))
-        placed = met.join(now, "fp")
-        split = placed.groupBy("lead", "was").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        members = materialize(placed.join(split.select("lead", "was"), ["lead", "was"], "left_semi")
-                              .select("lead", "fp", "root"), "members")
+    members = met.select("lead", F.lit(0).cast("long").alias("was"), "fp", F.col("fp").alias("root"), F.lit(True).alias("minor"))
+    forest = compare_groups(cut_into_tiles(members, nodes), rows_per_group(met, TILE_ROWS))
+    forest = materialize(forest, "forest")
+    texts = texts_of(docs, forest.select(F.explode(F.array("u", "v")).alias("fp")).distinct(), nodes)
+    checked = materialize(verify(forest, texts), "checked")
+    good, bad = (checked.where(F.col("linked") == ok).drop("linked") for ok in (True, False))
+    roots = connected_components(good)
+    if not bad.take(1):
+        return roots
+    # A refuted link may have held a component together. Where two members of a group were in
+    # one component and no longer are, its parts are compared by shingles: all that are in a
+    # smaller part with all others.
+    were = connected_components(forest).withColumnRenamed("root", "was")
+    torn = were.join(bad.select(F.col("u").alias("node")), "node").select("was").distinct()
+    now = (were.join(torn, "was").join(roots, "node", "left")
+           .select(F.col("node").alias("fp"), "was", F.coalesce("root", "node").alias("root")))
+    placed = materialize(met.join(now, "fp"), "torn")
+    parts = placed.groupBy("lead", "was", "root").agg(F.count(F.lit(1)).alias("n"))
+    split = (parts.groupBy("lead", "was").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("parts"))
+             .where("parts > 1").select("lead", "was", F.col("most.root").alias("major")))
+    members = materialize(placed.join(split, ["lead", "was"]).withColumn("minor", F.col("root") != F.col("major"))
+                          .select("lead", "was", "fp", "root", "minor"), "members")
+    texts = texts_of(docs, members.select("fp").distinct(), nodes)
+    tiles = cut_into_tiles(members, nodes).join(texts, "fp")
+    found = compare_groups(tiles, rows_per_group(members, TILE_ROWS // 2))
+    return connected_components(good.unionByName(materialize(found, "found")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from helpers import SCHEMA, clashing, documents, odd_rows, rows_of, words
 
+from pyspark.sql import functions as F
+
 from terrace.llm import line_suffix, pivot_neardup, sketch_join
 from terrace.llm.common import connected_components
 
@@ -156,27 +158,39 @@ def test_shingle_near_duplicates(spark, rows):
 
 
 def test_tiles_give_a_forest_of_all_that_may_link(spark):
-    """Of a chain of near documents every neighbour pair is needed, also across chunks; refuted
-    pairs and pairs of one component stay out."""
-    sets = {k: sketch_join.shingles(r[1]) for k, r in enumerate(chains()[:8])}
+    """Of a chain of near documents every neighbour pair is needed, also across chunks; pairs of
+    one component stay out, and of groups in parts only smaller ones are compared."""
+    texts = {k: r[1] for k, r in enumerate(chains()[:8])}
     rows = []
-    for lead, chunks in ((1, 1), (2, 2)):
-        for k, own in sets.items():
-            plan = sketch_join.bands(len(own))
-            words = [sketch_join.sketch(own, n).view(np.int64).tolist() for _, n in plan]
-            for x in range(chunks):
-                rows.append((lead, min(x, k % chunks), max(x, k % chunks), k % chunks, k, k, len(own), [b for b, _ in plan], words, None))
-    schema = ("lead long, ta int, tb int, chunk int, fp long, root long, n_shingles long, bands array<int>, "
-              "words array<array<long>>, refuted array<long>")
-    found = rows_of(sketch_join.compare_groups(spark.createDataFrame(rows, schema), 2), "u", "v")
-    assert {(k + 1, k) for k in range(7)} <= set(found)
-    one = [r[:5] + (0 if r[4] < 4 else r[4],) + r[6:9] + ([3] if r[4] == 4 else [4] if r[4] == 3 else None,) for r in rows[:8]]
-    assert {(5, 4), (6, 5), (7, 6)} <= set(rows_of(sketch_join.compare_groups(spark.createDataFrame(one, schema), 1), "u", "v")) - {(4, 3), (1, 0)}
+    for k, text in texts.items():
+        own = sketch_join.shingles(text)
+        plan = sketch_join.bands(len(own))
+        rows.append((k, 0, 0, len(own), [b for b, _ in plan], [sketch_join.sketch(own, n).view(np.int64).tolist() for _, n in plan]))
+    nodes = spark.createDataFrame(rows, "fp long, k1 long, k2 long, n_shingles long, bands array<int>, words array<array<long>>")
+    members = spark.createDataFrame([(1, 0, k, k, True) for k in texts] + [(2, 0, k, 0 if k <= 4 else k, k > 4) for k in texts],
+                                    "lead long, was long, fp long, root long, minor boolean")
+    with_text = spark.createDataFrame(list(texts.items()), "fp long, text string")
+    for chunk_rows in (1024, 3):
+        sketch_join.CHUNK_ROWS, old = chunk_rows, sketch_join.CHUNK_ROWS
+        try:
+            for extra in (False, True):
+                for lead, want in ((1, {(k + 1, k) for k in range(7)}), (2, {(5, 4), (6, 5), (7, 6)})):
+                    tiles = sketch_join.cut_into_tiles(members.where(F.col("lead") == lead), nodes)
+                    tiles = tiles.join(with_text, "fp") if extra else tiles
+                    assert want <= set(rows_of(sketch_join.compare_groups(tiles, 2), "u", "v")), (chunk_rows, extra, lead)
+        finally:
+            sketch_join.CHUNK_ROWS = old
 
 
 def test_refuted_links_send_groups_round_again(spark, monkeypatch):
-    """With sketches that rule nothing out, texts refute most links of the first round."""
-    monkeypatch.setattr(sketch_join.np, "bitwise_count", lambda x: np.zeros(x.shape, int), raising=False)
+    """With sketches that rule nothing out in the first round, texts refute most of its links."""
+    real = sketch_join._near
+
+    def blind(tile, across):
+        left, right = np.triu_indices(len(tile), 1)
+        return (left, right) if "text" not in tile.columns else real(tile, across)
+
+    monkeypatch.setattr(sketch_join, "_near", blind)
     rows = odd_rows()
     got = rows_of(sketch_join.near_duplicates(spark.createDataFrame(rows, SCHEMA)), "doc_id", "n_shingles", "component_id")
     assert got == brute_shingles(rows)

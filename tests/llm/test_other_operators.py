@@ -216,7 +216,7 @@ def test_pages_are_judged_by_rules_then_by_the_graph(spark):
     assert got == brute_pages(rows)
     verdict = {i: v for i, _, _, _, v in got}
     assert verdict[110] == "block" and verdict[130] == verdict[140] == "allow"  # the farm, the praised, the quiet
-    assert (verdict[1], verdict[2], verdict[3], verdict[4], verdict[5], verdict[6]) == ("allow", "allow", "block", "block", "allow", "allow")
+    assert (verdict[1], verdict[2], verdict[3], verdict[4], verdict[5], verdict[6]) == ("allow", "block", "block", "block", "allow", "allow")
     assert host_trust.judge(spark.createDataFrame([], PAGES)).collect() == []
 
 
@@ -248,7 +248,7 @@ def test_search_matches_brute_force(spark):
         for i, s in got[q]:
             assert s == pytest.approx(float(v @ good[i]), rel=1e-12)
     assert missed <= 4  # of 400: the bound holds but for a small chance
-    assert 540 not in got and [i for i, _ in got[520]] == [512]
+    assert not got[540] and [i for i, _ in got[520]] == [512]
     assert one_bit_ann.search(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
