@@ -25,7 +25,7 @@ from terrace.llm.common import materialize, python_workers, rows_per_group
 from terrace.llm.pivot_neardup import usable
 
 # Standard deviations of the estimate's error that the bound allows for.
-CONFIDENCE = 3.5
+CONFIDENCE = 3.0
 VECTOR_BLOCK, QUERY_BLOCK = 16_384, 2048
 
 
@@ -83,44 +83,55 @@ def exact(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def search_block(queries: pd.DataFrame, vectors: pd.DataFrame, k: int, centre: dict[int, np.ndarray],
                  seed: int = 3, confidence: float = CONFIDENCE) -> list[tuple]:
-    """(query_id, vec_id, score) of the k nearest of a block, for each query of a block."""
+    """(query_id, vec_id, score) of the k nearest of a block, for each query of a block.
+
+    Estimates and the first sifting of what the bound leaves are in single precision with
+    an allowance for its rounding (in double, if the numbers are too large or small for it);
+    the scores that count are in double precision."""
     out = []
     dims = queries["embedding"].map(len).to_numpy()
     theirs = vectors["embedding"].map(len).to_numpy()
     for dim in np.unique(dims):
-        part = vectors[theirs == dim]
+        part = vectors[theirs == dim].sort_values("vec_id", kind="stable")
         if not len(part):
             continue
         ids = part["vec_id"].to_numpy()
-        columns = np.ascontiguousarray(np.array(part["embedding"].tolist(), np.float64).T)
-        packed = np.frombuffer(b"".join(part["code"]), np.uint8).reshape(len(part), -1)
-        signs = (np.unpackbits(packed, axis=1, count=int(dim)).astype(np.float32) * 2 - 1) / np.sqrt(np.float32(dim))
-        length, fit = part["length"].to_numpy(), part["fit"].to_numpy()
-        scale = length / fit
-        spread = length * np.sqrt(np.maximum(1 - fit**2, 0)) / fit * confidence / np.sqrt(max(dim - 1, 1))
-        # Rounding in single precision, far below the bound, is allowed for as well.
-        spread = spread + length * 1e-5
+        rows = np.array(part["embedding"].tolist(), np.float64)
         asked = queries[dims == dim]
+        asked_ids = asked["vec_id"].to_numpy()
         q = np.array(asked["embedding"].tolist(), np.float64)
-        turned = (q @ rotation(int(dim), seed)).astype(np.float32)
-        base, norm = q @ centre[dim], np.linalg.norm(q, axis=1)
+        norm, longest = np.linalg.norm(q, axis=1), np.linalg.norm(rows, axis=1).max()
+        plain = all(1e-15 < x < 1e15 for x in (longest, norm.max(), norm.min()))
+        kind = np.float32 if plain else np.float64
+        rows_, q_ = rows.astype(kind), q.astype(kind)
+        packed = np.frombuffer(b"".join(part["code"]), np.uint8).reshape(len(part), -1)
+        signs = (np.unpackbits(packed, axis=1, count=int(dim)).astype(kind) * 2 - 1) / np.sqrt(kind(dim))
+        length, fit = part["length"].to_numpy(), part["fit"].to_numpy()
+        scale = (length / fit).astype(kind)
+        spread = (length * np.sqrt(np.maximum(1 - fit**2, 0)) / fit * confidence / np.sqrt(max(dim - 1, 1))).astype(kind)
+        slack = (norm * longest * (dim + 64) * 2 * np.finfo(kind).eps).astype(kind)
+        turned, base = (q @ rotation(int(dim), seed)).astype(kind), (q @ centre[dim]).astype(kind)
+        place = np.minimum(np.searchsorted(ids, asked_ids), len(ids) - 1)
+        here = ids[place] == asked_ids
         for a in range(0, len(asked), 128):
-            estimate = turned[a:a + 128] @ signs.T
-            for i, query_id in enumerate(asked["vec_id"].to_numpy()[a:a + 128].tolist()):
-                own = base[a + i] + estimate[i] * scale
-                own = np.where(ids == query_id, -np.inf, own)
-                reach = own + spread * norm[a + i]
-                n = min(k, len(ids) - int((ids == query_id).sum()))
+            estimates = turned[a:a + 128] @ signs.T * scale + base[a:a + 128, None]
+            for i, estimate in enumerate(estimates, a):
+                if here[i]:
+                    estimate[place[i]] = -np.inf
+                n = min(k, len(ids) - int(here[i]))
                 if not n:
                     continue
                 # The k best by estimate give a score that the k nearest reach in any case.
-                first = np.argpartition(-own, n - 1)[:n]
-                floor = exact(q[a + i], columns[:, first]).min()
-                near = np.flatnonzero(reach >= floor)
-                near = np.union1d(near, first)
-                score = exact(q[a + i], columns[:, near])
+                first = np.argpartition(estimate, len(ids) - n)[len(ids) - n:]
+                floor = (rows_[first] @ q_[i]).min() - slack[i]
+                left = estimate + spread * kind(norm[i]) >= floor
+                left[first] = True
+                near = np.flatnonzero(left)
+                rough = rows_[near] @ q_[i]
+                near = near[rough >= np.partition(rough, len(rough) - n)[len(rough) - n] - 2 * slack[i]]
+                score = exact(q[i], rows[near].T)
                 best = np.lexsort((ids[near], -score))[:n]
-                out += [(query_id, v, s) for v, s in zip(ids[near][best].tolist(), score[best].tolist())]
+                out += [(int(asked_ids[i]), v, s) for v, s in zip(ids[near][best].tolist(), score[best].tolist())]
     return out
 
 
