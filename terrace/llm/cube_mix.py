@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import free_name, materialize, python_workers, word_count
+from terrace.llm.common import broadcast_if_small, free_name, materialize, python_workers, word_count
 from terrace.llm.numbering import number_within
 
 BLOCK_ROWS = 8192
@@ -176,7 +176,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share
     stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     rows = materialize(stored.select(F.col(row).alias("row"), "source", word_count(F.col("text")).alias("size")), "sizes")
     targets = materialize(source_targets(rows, weights, share, most), "targets")
-    copies = (take(rows, targets).where("copies > 0")
-              .select(F.col("row").alias(row), F.col("copies").cast("int").alias(count)))
-    return (stored.join(copies, row)
+    copies = materialize(take(rows, targets).where("copies > 0")
+                         .select(F.col("row").alias(row), F.col("copies").cast("int").alias(count)), "copies")
+    return (stored.join(broadcast_if_small(copies), row)
             .withColumn(count, F.explode(F.sequence(F.lit(1), F.col(count)))).select(*names))

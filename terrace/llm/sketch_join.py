@@ -303,16 +303,19 @@ def keep_one(docs: DataFrame, near: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of ``near`` (near_duplicates of them): the one
     with the smallest id, of repeated rows one. Documents with an empty set all stay."""
     k1, k2 = document_key(F.col("doc_id"), F.col("text"))
+    times = near.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("times"))
     first = (near.where(F.col("grp").isNotNull()).groupBy("grp")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2")).alias("f"))
-             .select("f.k1", "f.k2"))
-    empty = near.where(F.col("grp").isNull()).select("k1", "k2").distinct()
+             .select("f.k1", "f.k2").join(times, ["k1", "k2"]))
+    empty = near.where(F.col("grp").isNull()).select("k1", "k2").distinct().withColumn("times", F.lit(1).cast("long"))
+    kept = materialize(first.unionByName(empty), "kept")
     names = docs.columns
     a, b = free_name(names, "k1"), free_name(names, "k2")
     keyed = docs.withColumn(a, k1).withColumn(b, k2)
 
-    def only(keys: DataFrame) -> DataFrame:
-        keys = materialize(keys.select(F.col("k1").alias(a), F.col("k2").alias(b)), "kept")
+    def only(condition: str) -> DataFrame:
+        keys = materialize(kept.where(condition).select(F.col("k1").alias(a), F.col("k2").alias(b)), "kept")
         return keyed.join(broadcast_if_small(keys), [a, b], "left_semi")
 
-    return only(first).dropDuplicates([a, b]).select(*names).unionByName(only(empty).select(*names))
+    # Only documents stored more than once need their rows brought together.
+    return only("times = 1").select(*names).unionByName(only("times > 1").dropDuplicates([a, b]).select(*names))
