@@ -240,6 +240,12 @@ ORACLES: dict[str, str] = {
                   ORDER BY o_orderpriority NULLS FIRST, c_name NULLS FIRST, sk_nation NULLS FIRST) = 1)
         SELECT *, row_number() OVER (ORDER BY c_custkey NULLS FIRST, c_name NULLS FIRST,
                                      o_orderpriority NULLS FIRST, sk_nation NULLS FIRST) AS sk_customer FROM m""",
+    "star_rollup_merges": """SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, o_orderstatus, count(o_custkey) AS n,
+            min(CAST(o_totalprice AS DECIMAL(18,2))) AS least, max(CAST(o_totalprice AS DECIMAL(18,2))) AS most,
+            CAST(sum(o_custkey) AS DOUBLE) / count(o_custkey) AS mean_key FROM orders GROUP BY 1, 2""",
+    "sink_partitioned_text_codes": """SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN '1'
+            WHEN o_custkey % 2 = 0 THEN '0' || CAST(o_custkey % 4 AS VARCHAR) ELSE CAST(o_custkey % 4 AS VARCHAR) END AS code
+            FROM orders""",
     "star_rollup": ORDERS_FACT + """
         SELECT CAST(year(s.o_date) AS INTEGER) AS ano, s.o_orderpriority, CAST(count(*) AS BIGINT) AS n_orders,
                CAST(sum(s.o_totalprice) AS DECIMAL(18,2)) AS total_price

@@ -17,7 +17,7 @@ from terrace.sources import read_table, write_csv, write_json_envelope
 
 
 # Records per landing envelope: an API-page-sized file, so envelopes parse in parallel.
-ENVELOPE_RECORDS = 10_000
+ENVELOPE_RECORDS = 100_000
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -50,7 +50,7 @@ def admissions_gold_fact(spark, d):
     o = _t(spark, d, "orders")
     cust = _t(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nation = _t(spark, d, "nation").select("n_nationkey", "n_name")
-    src = o.join(cust, o.o_custkey == cust.c_custkey).join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    src = o.join(cust, o.o_custkey == cust.c_custkey).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     no_time = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW")
     age = (F.col("o_custkey") % 90).cast("string")
     landing = src.select(
@@ -153,7 +153,7 @@ def rail_gold_fact(spark, d):
     from terrace.plans import rail
     slices = {"acidentes_2004-2020.json": (o.filter(y <= 1997), False, "acidentes"),
               "acidentes_2020-2025.json": (o.filter(y.between(1997, 1999)), True, "dados"),
-              "acidentes_2020-2026.json": (o.filter(y >= 1998), True, "dados")}
+              "acidentes_2020-2026.json": (o.filter((y >= 1998) | y.isNull()), True, "dados")}
     for name, (part, newer, root) in slices.items():
         write_json_envelope(_rail_record(part, newer), lay.src(name), array_field=root, records_per_file=ENVELOPE_RECORDS)
     rail.run(spark, lay)

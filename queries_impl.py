@@ -24,6 +24,7 @@ from terrace.operators import (
     union_all_by_name, with_constant,
 )
 from terrace.operators.star import enrich, join_small, left_lookup_first
+from terrace.plans.health_plans import AGE_BANDS
 from terrace.session import shared_dir
 from terrace.streaming import ingest_landing
 from terrace.sources import (
@@ -31,9 +32,6 @@ from terrace.sources import (
     write_table,
 )
 
-# The age-band labels of the health-plan pricing job, codes 1 to 10.
-AGE_BANDS = {1: "0-18", 2: "19-23", 3: "24-28", 4: "29-33", 5: "34-38",
-             6: "39-43", 7: "44-48", 8: "49-53", 9: "54-58", 10: "59+"}
 
 ORDER_STATUS_LABELS = {"F": "Finalizado", "O": "Aberto"}
 EVENT_TYPE_LABELS = {"click": "CLIQUE", "view": "VISUALIZACAO", "purchase": "COMPRA"}
@@ -100,6 +98,16 @@ def sink_partitioned(spark, d):
                        F.col("o_date").alias("o_orderdate"), "o_orderpriority", "o_year")
 
 
+def sink_partitioned_text_codes(spark, d):
+    """Codes such as 1 and 01 are different text and stay so as partition folders."""
+    out = shared_dir(spark, "tables") + "/orders_by_code"
+    number = (F.col("o_custkey") % 4).cast("string")
+    code = F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("0"), number)).otherwise(number)
+    o = _t(spark, d, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 5 == 0, F.lit("1")).otherwise(code).alias("code"))
+    write_table(o, out, partition_by=["code"])
+    return read_table(spark, out, partition_types={"code": "string"})
+
+
 def sink_partitioned_two_level(spark, d):
     out = shared_dir(spark, "tables") + "/lineitem_by_month"
     li = _t(spark, d, "lineitem").withColumns({
@@ -109,7 +117,7 @@ def sink_partitioned_two_level(spark, d):
     return read_table(spark, out)
 
 
-MAX_RECORDS = 2000
+MAX_RECORDS = 1_000_000
 
 
 def sink_max_records(spark, d):
@@ -124,7 +132,7 @@ def _order_slices(spark, d):
     o = _orders_silver(spark, d).drop("o_orderdate").withColumn("y", F.year("o_date"))
     return {"orders_1992_1996": o.filter(F.col("y") <= 1996).drop("y"),
             "orders_1997_1998": o.filter(F.col("y").between(1997, 1998)).drop("y"),
-            "orders_1999_2001": o.filter(F.col("y") >= 1999).drop("y")}
+            "orders_1999_2001": o.filter((F.col("y") >= 1999) | F.col("y").isNull()).drop("y")}
 
 
 def load_many_files(spark, d):
@@ -146,7 +154,7 @@ def stream_ingest_csv(spark, d):
     checkpoint = shared_dir(spark, "stream-checkpoints")
     write_csv(cust.filter(F.col("c_mktsegment") <= "FURNITURE"), f"{landing}/drop1")
     ingest_landing(spark, f"{landing}/*", target, cust.schema, checkpoint=checkpoint)
-    write_csv(cust.filter(F.col("c_mktsegment") > "FURNITURE"), f"{landing}/drop2")
+    write_csv(cust.filter((F.col("c_mktsegment") > "FURNITURE") | F.col("c_mktsegment").isNull()), f"{landing}/drop2")
     ingest_landing(spark, f"{landing}/*", target, cust.schema, checkpoint=checkpoint)
     return read_table(spark, target)
 
@@ -158,11 +166,11 @@ def stream_ingest_json_envelope(spark, d):
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag",
                                           F.col("l_quantity").cast("string").alias("l_quantity"))
     base = shared_dir(spark, "landing")
-    write_json_envelope(li, f"{base}/lineitem_envelopes", array_field="value", records_per_file=10_000)
+    write_json_envelope(li, f"{base}/lineitem_envelopes", array_field="value", records_per_file=100_000)
     record = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
                            T.StructField("l_returnflag", T.StringType()), T.StructField("l_quantity", T.StringType())])
     target = f"{base}/lineitem_bronze"
-    ingest_landing(spark, f"{base}/lineitem_envelopes/*", target, record, fmt="json_envelope")
+    ingest_landing(spark, f"{base}/lineitem_envelopes", target, record, fmt="json_envelope")
     return read_table(spark, target)
 
 
@@ -368,7 +376,7 @@ def consolidate_overlapping(spark, d):
     o = _orders_silver(spark, d).drop("o_orderdate")
     y = F.year("o_date")
     older = o.filter(y <= 1998)
-    newer = o.filter(y >= 1997).withColumn(
+    newer = o.filter((y >= 1997) | y.isNull()).withColumn(
         "o_orderpriority", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")))
     return consolidate([older, newer], keys=["o_orderkey"], fill={"o_orderpriority": "nao_informada"})
 
@@ -465,9 +473,9 @@ def snowflake_key_carry(spark, d):
 # --------------------------------------------------------------------------- keys, dimensions, roll-up
 
 def surrogate_key_dense(spark, d):
-    # single_partition_max=0: always the distributed path (range sort + per-partition offsets)
+    # range sort, then offsets per sort partition
     o = _orders_silver(spark, d)
-    return build_dimension(o, ["o_custkey", "o_date"], "sk_cliente_data", single_partition_max=0).df
+    return build_dimension(o, ["o_custkey", "o_date"], "sk_cliente_data").df
 
 
 def dim_build(spark, d):
@@ -517,11 +525,21 @@ def star_rollup_q(spark, d):
     fact = build_fact(silver, [DimRef(dims["date"]), DimRef(dims["status"])], measures=["o_totalprice"],
                       constants={"quantidade": 1})
     out = star_rollup(fact, [dims["date"], dims["status"]], ["ano", "o_orderpriority"],
-                      {"n_orders": F.sum("quantidade"), "total_price": F.sum("o_totalprice")})
+                      {"n_orders": ("sum", "quantidade"), "total_price": ("sum", "o_totalprice")})
     return out.select("ano", "o_orderpriority", F.col("n_orders").cast("long").alias("n_orders"),
                       F.col("total_price").cast("decimal(18,2)").alias("total_price"))
 
 
+def star_rollup_merges(spark, d):
+    """Every merge, with dimensions above the broadcast limit: the fact is reduced first."""
+    silver, dims = _orders_star(spark, d)
+    fact = build_fact(silver, [DimRef(dims["date"]), DimRef(dims["status"])], measures=["o_totalprice", "o_custkey"])
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    return star_rollup(fact, [dims["date"], dims["status"]], ["ano", "o_orderstatus"],
+                       {"n": ("count", "o_custkey"), "least": ("min", price), "most": ("max", price),
+                        "mean_key": ("avg", "o_custkey")}, broadcast_limit=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_table": scan_table,
     "scan_csv": scan_csv,
@@ -588,6 +606,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_from_join": dim_from_join,
     "dim_snowflake": dim_snowflake,
     "star_rollup": star_rollup_q,
+    "star_rollup_merges": star_rollup_merges,
+    "sink_partitioned_text_codes": sink_partitioned_text_codes,
 }
 
 from queries_areas import AREA_QUERIES  # noqa: E402  (whole subject-area jobs)

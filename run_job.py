@@ -30,7 +30,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--landing", required=True)
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--format", default="parquet", help="table format (parquet, or delta with its jars)")
-    parser.add_argument("--infer-sampling-ratio", type=float, default=None)
+    parser.add_argument("--time-lookup", choices=["full", "date"], default="full",
+                        help="rail gold: match the full time key, or the date only (every time of the day)")
     parser.add_argument("--evidence", action="store_true", help="log schema report and preview of each table")
     parser.add_argument("--conf", action="append", default=[], help="key=value Spark setting")
     args = parser.parse_args(argv)
@@ -42,12 +43,15 @@ def main(argv: list[str] | None = None) -> None:
     if args.evidence:
         import logging
         logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
-    layout = Layout(args.landing, args.warehouse, args.format, args.infer_sampling_ratio, args.evidence)
+    layout = Layout(args.landing, args.warehouse, args.format, args.evidence)
     for layer in layers:
         step = getattr(module, layer, None)
         if step is None:
             parser.error(f"{args.area} has no layer {layer!r}")
-        step(spark, layout)
+        if args.area == "rail" and layer == "gold":
+            step(spark, layout, args.time_lookup)
+        else:
+            step(spark, layout)
 
 
 if __name__ == "__main__":

@@ -18,10 +18,22 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# What a cast of text ignores around a value, and the shapes that may be cast at all. Text of
+# another shape is NULL without trying: a failing cast costs an exception for each value.
+_PAD = r"[\x00-\x20\x7F-\x9F\p{Z}]*"
+_WHOLE = rf"^{_PAD}[+-]?[0-9]+{_PAD}$"
+_SHAPES = {"tinyint": _WHOLE, "smallint": _WHOLE, "int": _WHOLE, "integer": _WHOLE, "bigint": _WHOLE, "long": _WHOLE,
+           "boolean": rf"(?i)^{_PAD}(t|true|y|yes|1|f|false|n|no|0){_PAD}$"}
+
+
 def try_cast(c: str | Column, to: str) -> Column:
     """Tolerant cast: text that does not parse becomes NULL (``' 7 '`` -> 7, ``'7.9'`` -> NULL
     for int, ``'y'``/``'1'`` -> true for boolean)."""
-    return _col(c).try_cast(to)
+    col, shape = _col(c), _SHAPES.get(to.lower())
+    if shape is None:
+        return col.try_cast(to)
+    # typeof is folded while the plan is made; other types than text are cast as they are.
+    return F.when((F.typeof(col) != "string") | col.cast("string").rlike(shape), col.try_cast(to))
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

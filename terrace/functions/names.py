@@ -13,6 +13,7 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename many columns in one plan node. Source names are matched case-insensitively
     and missing ones are ignored (older extracts lack some columns). Two present columns
     renamed to one name (both spellings of a field in one extract) is an error."""
+    _check_unique(df.columns)
     present = {c.lower(): c for c in df.columns}
     resolved = {present[src.lower()]: dst for src, dst in mapping.items() if src.lower() in present}
     if not resolved:
@@ -22,10 +23,11 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 
 def _check_unique(names: list[str]) -> list[str]:
+    """``names``, unless two are equal but for case: Spark could not tell them apart."""
     seen: dict[str, int] = {}
     for n in names:
-        seen[n] = seen.get(n, 0) + 1
-    dup = sorted(n for n, k in seen.items() if k > 1)
+        seen[n.lower()] = seen.get(n.lower(), 0) + 1
+    dup = sorted(n for n in names if seen[n.lower()] > 1)
     if dup:
         raise ValueError(f"column names collide after renaming: {dup}")
     return names

@@ -58,15 +58,15 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
 
 
 def first_non_null(df: DataFrame, keys: Sequence[str], column: str, alias: str | None = None,
-                   order_by: str | None = None) -> DataFrame:
-    """Per ``keys``, the first non-NULL ``column`` value by ``order_by`` (or the smallest
-    non-NULL value when no order is given). NULL when the group has none."""
+                   order_by: str | Sequence[str] | None = None) -> DataFrame:
+    """Per ``keys``, the first non-NULL ``column`` value by ``order_by`` (one column or several,
+    NULLs first; of values that tie the smallest), or the smallest non-NULL value when no order
+    is given. NULL when the group has none."""
+    order = [order_by] if isinstance(order_by, str) else list(order_by or [])
     value = _q(column)
-    if order_by is None:
-        agg = F.min(value)
-    else:
-        agg = F.min_by(value, F.when(value.isNotNull(), _q(order_by)))
-    return df.groupBy(*[_q(k) for k in keys]).agg(agg.alias(alias or column))
+    pick = F.struct(*[_q(c).alias(f"_o{i}") for i, c in enumerate(order)], value.alias("_v"))
+    first = F.min(F.when(value.isNotNull(), pick))["_v"]
+    return df.groupBy(*[_q(k) for k in keys]).agg(first.alias(alias or column))
 
 
 def union_all_by_name(*dfs: DataFrame) -> DataFrame:

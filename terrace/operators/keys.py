@@ -1,40 +1,21 @@
 """Dense, deterministic surrogate keys without a single-partition window over the data.
 
-Members must be unique on the ordering columns. Two paths:
-
-* **small** (measured rows under ``single_partition_max`` and payload under
-  ``SINGLE_PARTITION_MAX_BYTES``): members are shuffled
-  into one partition, sorted there, and numbered by position. Re-evaluation gives the
-  same numbers because the sort key is unique.
-* **large**: range-sort the members, tag each row with ``monotonically_increasing_id()``
-  (partition index in the high bits, position in the low 33 bits), cut the lineage by
-  writing the tagged rows to a table in the shared checkpoint folder, count rows per
-  partition (one row per partition: bounded by the partition count, not the data), turn
-  the counts into running offsets and add ``offset + position + 1``. The offsets table is
-  the only thing broadcast, and its size is the partition count.
+Members must be unique on the ordering columns. They are range-sorted, tagged with
+``monotonically_increasing_id()`` (partition index in the high bits, position in the low 33
+bits) and written to a table in the shared checkpoint folder, which cuts the lineage. The
+counts per sort partition become running offsets, one row per partition, and the key is
+offset + position + 1. Nothing is collected, and the path is the same at every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.session import shared_dir
 
 _POSITION_BITS = 33
-SINGLE_PARTITION_MAX = 2_000_000
-# ...and at most this much payload: one task sorts the whole member list on that path.
-SINGLE_PARTITION_MAX_BYTES = 256 * 1024 * 1024
-
-
-@dataclass
-class KeyedResult:
-    df: DataFrame
-    rows: int
-    bytes: int
 
 
 def payload_row_bytes(cols: Sequence[str]) -> Column:
@@ -70,49 +51,28 @@ def _order(natural_key: Sequence[str]) -> list[Column]:
     return [F.col(f"`{c}`").asc_nulls_first() for c in natural_key]
 
 
-def key_members(members: DataFrame, natural_key: Sequence[str], sk: str, rows: int, size: int,
-                single_partition_max: int = SINGLE_PARTITION_MAX) -> KeyedResult:
+def key_members(members: DataFrame, natural_key: Sequence[str], sk: str) -> DataFrame:
     """Number ``members`` (unique on ``natural_key``) 1..n in ``natural_key`` order, NULLs
-    first. ``rows``/``size`` are the measured row count and payload bytes."""
+    first."""
     spark = members.sparkSession
     cols = [F.col(f"`{c}`") for c in members.columns]
-    if rows <= single_partition_max and size <= SINGLE_PARTITION_MAX_BYTES:
-        keyed = (members.repartition(1).sortWithinPartitions(*_order(natural_key))
-                 .select(*cols, (F.monotonically_increasing_id() + F.lit(1)).alias(sk)))
-        return KeyedResult(keyed, rows, size + 8 * rows)
-
     path = shared_dir(spark, "keys")
-    (members.orderBy(*_order(natural_key))
-     .withColumn("_row_id", F.monotonically_increasing_id())
-     .write.mode("overwrite").parquet(path))
-    tagged = spark.read.parquet(path)
+    tagged = members.orderBy(*_order(natural_key)).withColumn("_row_id", F.monotonically_increasing_id())
+    tagged.write.mode("overwrite").parquet(path)
+    tagged = spark.read.schema(tagged.schema).parquet(path)
     part = F.shiftright(F.col("_row_id"), _POSITION_BITS)
     position = F.col("_row_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    counts = sorted((int(r["_part"]), int(r["_n"]))
-                    for r in tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).collect())
-    offsets, running = [], 0
-    for p, n in counts:
-        offsets.append((p, running))
-        running += n
-    # One row per sort partition: bounded by the partition count.
-    offsets_df = spark.createDataFrame(offsets, "_part long, _offset long")
-    keyed = (tagged.join(F.broadcast(offsets_df), part == F.col("_part"))
-             .select(*cols, (F.col("_offset") + position + F.lit(1)).alias(sk)))
-    return KeyedResult(keyed, running, size + 8 * running)
-
-
-def add_surrogate_key_with_stats(df: DataFrame, natural_key: Sequence[str], sk: str,
-                                 single_partition_max: int = SINGLE_PARTITION_MAX) -> KeyedResult:
-    """Like :func:`add_surrogate_key`, also returning row count and payload bytes."""
-    rows, size = measure(df)
-    return key_members(df, natural_key, sk, rows, size, single_partition_max)
+    counts = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return (tagged.join(offsets, part == F.col("_part"))
+            .select(*cols, (F.col("_offset") + position + F.lit(1)).alias(sk)))
 
 
-def add_surrogate_key(df: DataFrame, natural_key: Sequence[str], sk: str,
-                      single_partition_max: int = SINGLE_PARTITION_MAX) -> DataFrame:
+def add_surrogate_key(df: DataFrame, natural_key: Sequence[str], sk: str) -> DataFrame:
     """Add ``sk`` = 1..n, dense and ordered by ``natural_key`` (NULLs first).
 
     Rows must be unique on ``natural_key`` for the numbering to be stable; then the key
     depends only on the data, never on partition boundaries or on re-evaluation.
     """
-    return add_surrogate_key_with_stats(df, natural_key, sk, single_partition_max).df
+    return key_members(df, natural_key, sk)

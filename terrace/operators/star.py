@@ -15,9 +15,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.operators.combine import distinct_members
-from terrace.operators.keys import SINGLE_PARTITION_MAX, key_members, payload_row_bytes
+from terrace.operators.keys import key_members, payload_row_bytes
 from terrace.operators.keys import measure as _measure
 from terrace.operators.keys import measure_bounded
 from terrace.session import shared_dir
@@ -61,7 +62,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def build_dimension(df: DataFrame, natural_key: Sequence[str], sk: str,
                     attributes: Sequence[str] = (), derived: Mapping[str, Column] | None = None,
-                    single_partition_max: int = SINGLE_PARTITION_MAX, members_unique: bool = False) -> Dimension:
+                    members_unique: bool = False, allow_fanout: bool = False) -> Dimension:
     """Distinct members of ``natural_key`` (+ ``attributes`` that depend on it) with a dense
     key 1..n in natural-key order. ``derived`` adds columns computed from the members
     (e.g. the hour of a timestamp). The member list is written once to shared storage, so
@@ -70,8 +71,8 @@ def build_dimension(df: DataFrame, natural_key: Sequence[str], sk: str,
     ``members_unique=True`` states that ``df`` already has one row per member (e.g. the
     output of :func:`dedupe` or of a ``groupBy`` on the key): the distinct, a full shuffle
     of the member list, is then skipped."""
-    return build_dimensions(df, {"_": DimensionSpec(tuple(natural_key), sk, tuple(attributes), derived)},
-                            single_partition_max, members_unique)["_"]
+    return build_dimensions(df, {"_": DimensionSpec(tuple(natural_key), sk, tuple(attributes), derived, allow_fanout)},
+                            members_unique)["_"]
 
 
 @dataclass(frozen=True)
@@ -80,6 +81,7 @@ class DimensionSpec:
     sk: str
     attributes: tuple[str, ...] = ()
     derived: Mapping[str, Column] | None = None
+    allow_fanout: bool = False  # attributes need not depend on the natural key
 
     @property
     def members(self) -> list[str]:
@@ -87,7 +89,6 @@ class DimensionSpec:
 
 
 def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
-                     single_partition_max: int = SINGLE_PARTITION_MAX,
                      members_unique: bool = False) -> dict[str, Dimension]:
     """Build several dimensions of one source with a single scan.
 
@@ -106,10 +107,10 @@ def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
         for name, spec in specs.items():
             cols = set(c for sp in batch.values() for c in sp.members) | set(spec.members)
             if batch and len(cols) > MAX_GROUPING_COLUMNS:
-                out.update(build_dimensions(df, batch, single_partition_max, members_unique))
+                out.update(build_dimensions(df, batch, members_unique))
                 batch = {}
             batch[name] = spec
-        out.update(build_dimensions(df, batch, single_partition_max, members_unique))
+        out.update(build_dimensions(df, batch, members_unique))
         return out
 
     def gid_of(cols: Sequence[str]) -> int:
@@ -122,7 +123,8 @@ def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
                    else distinct_members(df, only.members))
         grouped = members.withColumn("_gid", F.lit(next(iter(sets.values()))))
     else:
-        unique_sets = list(dict.fromkeys(tuple(spec.members) for spec in specs.values()))
+        # A set is its columns, whatever their order: one grouping set for each grouping_id.
+        unique_sets = list(dict.fromkeys(tuple(c for c in all_cols if c in spec.members) for spec in specs.values()))
         grouped = df.groupingSets([[_q(c) for c in cols] for cols in unique_sets], *[_q(c) for c in all_cols])
         grouped = grouped.agg(F.grouping_id().alias("_gid"))
     # Per-dimension row counts and payload bytes are observed while the member list is
@@ -146,9 +148,18 @@ def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
         if spec.derived:
             members = members.withColumns(dict(spec.derived))
             derived_names = [c for c in spec.derived if c not in spec.members]
-        keyed = key_members(members, spec.members, spec.sk, rows, size, single_partition_max)
+        if not spec.allow_fanout and set(spec.members) != set(spec.natural_key):
+            distinct = members.select(*[_q(c) for c in spec.natural_key]).distinct().count()
+            if distinct != rows:
+                raise ValueError(f"{spec.sk}: {rows} members for {distinct} natural keys: the attributes "
+                                 f"{list(spec.attributes)} do not depend on {list(spec.natural_key)}; rows would fan out. "
+                                 "Add them to the key or pass allow_fanout=True")
+        keyed = key_members(members, spec.members, spec.sk)
         attrs = [c for c in spec.members if c not in spec.natural_key] + derived_names
-        out[name] = Dimension(keyed.df, list(spec.natural_key), spec.sk, attrs, keyed.rows, keyed.bytes)
+        # The key and the derived columns count as well: 8 bytes for each, text measured on demand.
+        fixed = all(not isinstance(keyed.schema[c].dataType, T.StringType) for c in derived_names)
+        out[name] = Dimension(keyed, list(spec.natural_key), spec.sk, attrs, rows if fixed else None,
+                              size + 8 * rows * (1 + len(derived_names)) if fixed else None)
     return out
 
 
@@ -239,35 +250,54 @@ def build_fact(silver: DataFrame, dims: Sequence[DimRef], measures: Sequence[str
     return fact.select(*out)
 
 
+MERGES = ("sum", "count", "min", "max", "avg")
+
+
 def star_rollup(fact: DataFrame, dims: Sequence[Dimension], group_by: Sequence[str],
-                measures: Mapping[str, Column], broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Aggregate an additive fact by dimension attributes.
+                measures: Mapping[str, tuple[str, str | Column]],
+                broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """Aggregate a fact by dimension attributes.
+
+    ``measures`` declares name -> (merge, fact column or expression), the merge one of
+    ``sum``, ``count``, ``min``, ``max`` and ``avg``; anything else is an error. ``count`` counts
+    non-NULL values, ``avg`` is a double.
 
     When every dimension is small enough to broadcast, the fact is joined map-side and
-    aggregated once (partial aggregation before the single shuffle). Otherwise the fact
-    is first reduced to one row per surrogate-key combination, so only that reduced set
-    takes part in the shuffled joins. ``measures`` must be re-aggregatable sums/counts
-    expressed over fact columns: name -> aggregate expression.
+    aggregated once (partial aggregation before the single shuffle). Otherwise the fact is
+    first reduced to one row per surrogate-key combination, so only that reduced set takes
+    part in the shuffled joins, and the partial results are merged. Values and types are the
+    same either way.
     """
+    for name, (merge, _) in measures.items():
+        if merge not in MERGES:
+            raise ValueError(f"measure {name!r}: {merge!r} is not one of {MERGES}")
+    value = {n: (_q(c) if isinstance(c, str) else c) for n, (_, c) in measures.items()}
+    # Partial aggregates that merge exactly; an average is its sum and count.
+    first: dict[str, Column] = {}
+    for name, (merge, _) in measures.items():
+        if merge == "avg":
+            first |= {f"{name}__s": F.sum(value[name]), f"{name}__n": F.count(value[name])}
+        else:
+            first[name] = getattr(F, merge)(value[name])
+    whole = fact.agg(*[e.alias(n) for n, e in first.items()]).schema
     measured = [d.measured() for d in dims]
-    all_small = all((d.bytes or 0) <= broadcast_limit for d in measured)
-    base = fact
-    agg_exprs = dict(measures)
-    if not all_small:
-        sks = [d.sk for d in measured]
-        base = fact.groupBy(*[_q(s) for s in sks]).agg(*[e.alias(n) for n, e in agg_exprs.items()])
-        agg_exprs = {n: F.sum(_q(n)) for n in agg_exprs}
+    base, aggregates = fact, first
+    if any((d.bytes or 0) > broadcast_limit for d in measured):
+        base = fact.groupBy(*[_q(d.sk) for d in measured]).agg(*[e.alias(n) for n, e in first.items()])
+        again = {n: (merge if merge in ("min", "max") else "sum") for n, (merge, _) in measures.items()}
+        aggregates = {n: getattr(F, again.get(n, "sum"))(_q(n)) for n in first}
     for d in measured:
         needed = [c for c in d.natural_key + d.attributes if c in group_by]
         right = d.df.select(_q(d.sk), *[_q(c) for c in needed])
         base = base.join(size_checked_broadcast(right, d.bytes or 0, broadcast_limit), d.sk)
-    return base.groupBy(*[_q(c) for c in group_by]).agg(*[e.alias(n) for n, e in agg_exprs.items()])
+    out = base.groupBy(*[_q(c) for c in group_by]).agg(*[e.alias(n) for n, e in aggregates.items()])
 
+    def result(name: str, merge: str) -> Column:
+        if merge == "avg":
+            return F.when(_q(f"{name}__n") > 0, _q(f"{name}__s").cast("double") / _q(f"{name}__n")).alias(name)
+        return _q(name).cast(whole[name].dataType).alias(name)
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, payload bytes) of ``df`` in one aggregation pass: the size proof behind a
-    broadcast hint for tables that did not come out of :func:`build_dimension`."""
-    return _measure(df)
+    return out.select(*[_q(c) for c in group_by], *[result(n, merge) for n, (merge, _) in measures.items()])
 
 
 def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] | Sequence[str],
@@ -285,7 +315,6 @@ def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] |
 
 MAX_GROUPING_COLUMNS = 60
 HOT_KEY_ROWS = 5_000_000
-MAX_SALTS = 1024
 
 
 def _salted_left_join(df: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
@@ -295,20 +324,20 @@ def _salted_left_join(df: DataFrame, right: DataFrame, left_keys: list[str], rig
     Keys of ``right`` with more than ``hot_key_rows`` rows are found by a map-side combined
     count; there are at most ``rows(right) / hot_key_rows`` of them, so that list is safe to
     broadcast. Cold keys take the ordinary left join (no key is large any more). For hot
-    keys every left row has a partner, so an inner join is exact: left rows are replicated
-    over ``S`` salts and right rows spread over them, ``S = ceil(largest hot key /
-    hot_key_rows)``, so each task sees at most about ``hot_key_rows`` right rows of a key.
+    keys every left row has a partner, so an inner join is exact: each key has
+    ``ceil(its rows / hot_key_rows)`` salts; its left rows are replicated over them and its
+    right rows spread by a hash of the row (the same whenever a task is run again), so a
+    task sees about ``hot_key_rows`` right rows of a key however large the key is.
     """
     names = [f"_h{i}" for i in range(len(right_keys))]
     counts = (right.groupBy(*[_q(c).alias(n) for c, n in zip(right_keys, names)])
               .agg(F.count(F.lit(1)).alias("_n")))
     not_null = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
     hot = counts.filter(not_null & (F.col("_n") > hot_key_rows))
-    stats = hot.agg(F.count(F.lit(1)).alias("keys"), F.max("_n").alias("top")).first()
-    if not stats["keys"]:
+    if not hot.take(1):
         return plain(df, right)
-    salts = int(min(MAX_SALTS, -(-int(stats["top"]) // hot_key_rows)))
-    hot_b = F.broadcast(hot.select(*names, F.lit(True).alias("_hot")))
+    salts = F.ceil(F.col("_n") / hot_key_rows).cast("int")
+    hot_b = F.broadcast(materialize(hot.select(*names, salts.alias("_hot")), "hot-keys"))
 
     def tag(side: DataFrame, keys: list[str]) -> DataFrame:
         cond = reduce(lambda a, b: a & b, [_q(k) == F.col(n) for k, n in zip(keys, names)])
@@ -317,9 +346,10 @@ def _salted_left_join(df: DataFrame, right: DataFrame, left_keys: list[str], rig
     r_tagged, l_tagged = tag(right, right_keys), tag(df, left_keys)
     r_cold = r_tagged.filter(F.col("_hot").isNull()).drop("_hot")
     l_cold = l_tagged.filter(F.col("_hot").isNull()).drop("_hot")
-    r_hot = r_tagged.filter(F.col("_hot")).drop("_hot").withColumn("_salt", (F.rand(17) * salts).cast("int"))
-    l_hot = (l_tagged.filter(F.col("_hot")).drop("_hot")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    r_hot = (r_tagged.filter(F.col("_hot").isNotNull())
+             .withColumn("_salt", F.pmod(F.xxhash64(*[_q(c) for c in right.columns]), F.col("_hot")).cast("int")).drop("_hot"))
+    l_hot = (l_tagged.filter(F.col("_hot").isNotNull())
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_hot") - 1))).drop("_hot"))
     if using:
         hot_joined = l_hot.join(r_hot, left_keys + ["_salt"], "inner").drop("_salt")
     else:

@@ -23,12 +23,12 @@ DIMS = {
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
-    layout.write(read_csv(spark, layout.src(SOURCE), sampling_ratio=layout.infer_sampling_ratio), "bronze", AREA)
+    layout.write(read_csv(spark, layout.src(SOURCE)), "bronze", AREA)
 
 
 def silver(spark: SparkSession, layout: Layout) -> None:
     df = layout.read(spark, "bronze", AREA)
-    admitted = parse_date(F.col("data_internacao").cast("string"), "dd/MM/yyyy HH:mm")
+    admitted = parse_date("data_internacao", "dd/MM/yyyy HH:mm")
     df = df.withColumn("data_internacao", admitted).withColumns({
         "ano": F.year("data_internacao"),
         "mes": F.month("data_internacao"),
@@ -40,7 +40,7 @@ def silver(spark: SparkSession, layout: Layout) -> None:
 
 
 def gold(spark: SparkSession, layout: Layout) -> None:
-    s = layout.read(spark, "silver", AREA)
+    s = layout.read(spark, "silver", AREA, {"sexo": "string", "mes": "int"})
     d = build_and_store(layout, s, DIMS)
     fact = build_fact(
         s,

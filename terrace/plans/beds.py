@@ -38,6 +38,7 @@ RENAMES = {
     "tipo_da_gestao_do_hospital": "tipo_gestao",
     "unidade_da_federacao_onde_fica_o_hospital": "uf",
 }
+# The bed counts and the columns that the source jobs drop.
 COUNTS = ["qnt_uti_adulto", "qnt_uti_coronariana", "qnt_leitos_uti", "qnt_uti_neonatal", "qnt_uti_pediatrico",
           "qnt_uti_queimado", "qnt_uti_sus_adulto", "qnt_uti_sus_coronariana", "qnt_uti_sus",
           "qnt_uti_sus_neonatal", "qnt_uti_sus_pediatrico", "qnt_uti_sus_queimado", "qnt_total_leitos",
@@ -60,8 +61,7 @@ DIMS = {
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
-    records = read_json_envelope(spark, layout.src(SOURCE), array_field="hospitais_leitos",
-                                 sampling_ratio=layout.infer_sampling_ratio)
+    records = read_json_envelope(spark, layout.src(SOURCE), array_field="hospitais_leitos")
     layout.write(records.drop(*BRONZE_DROP), "bronze", AREA)
 
 
@@ -76,7 +76,7 @@ def silver(spark: SparkSession, layout: Layout) -> None:
 
 
 def gold(spark: SparkSession, layout: Layout) -> None:
-    s = layout.read(spark, "silver", AREA)
+    s = layout.read(spark, "silver", AREA, {"regiao": "string", "uf": "string"})
     d = build_and_store(layout, s, DIMS)
     fact = build_fact(s, [DimRef(d["localizacao"]), DimRef(d["gestao"]), DimRef(d["natureza"]),
                           DimRef(d["tipo_unidade"])],

@@ -37,14 +37,11 @@ class Layout:
     """Where an area's files live. ``landing`` holds the source extracts; ``warehouse``
     the bronze/silver/gold tables, addressed by path. ``fmt`` is the table format
     (parquet by default; any format whose connector is on the classpath works).
-    ``infer_sampling_ratio`` lets landing-schema inference read a sample (rows of CSV,
-    whole files of JSON envelopes) instead of an extra full pass over large extracts.
     ``evidence=True`` logs every written table's schema report and a preview."""
 
     landing: str
     warehouse: str
     fmt: str = "parquet"
-    infer_sampling_ratio: float | None = None
     evidence: bool = False
 
     def path(self, layer: str, table: str) -> str:
@@ -53,8 +50,9 @@ class Layout:
     def src(self, name: str) -> str:
         return f"{self.landing.rstrip('/')}/{name}"
 
-    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
-        return read_table(spark, self.path(layer, table), self.fmt)
+    def read(self, spark: SparkSession, layer: str, table: str,
+             partition_types: Mapping[str, str] | None = None) -> DataFrame:
+        return read_table(spark, self.path(layer, table), self.fmt, partition_types)
 
     def write(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = (),
               max_records: int | None = None) -> None:

@@ -25,8 +25,7 @@ DIMS = {
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
-    records = read_json_envelope(spark, layout.src(SOURCE), array_field="value",
-                                 sampling_ratio=layout.infer_sampling_ratio)
+    records = read_json_envelope(spark, layout.src(SOURCE), array_field="value")
     layout.write(records, "bronze", AREA)
 
 
@@ -36,7 +35,7 @@ def silver(spark: SparkSession, layout: Layout) -> None:
 
 
 def gold(spark: SparkSession, layout: Layout) -> None:
-    s = layout.read(spark, "silver", AREA)
+    s = layout.read(spark, "silver", AREA, {"ano": "int"})
     dims = build_and_store(layout, s, DIMS)
     fact = build_fact(s, [DimRef(dims[k]) for k in DIMS], measures=["quant_produzida"], degenerate=["ano"])
     layout.write(fact, "gold", "fato", partition_by=["ano"])

@@ -15,6 +15,7 @@ AREA = "deaths"
 SOURCE = "obitos.csv"
 AGE_PATTERN = r"^\d+$"
 
+# Bronze names and casts.
 BRONZE_RENAMES = {"i_faixa_etaria": "faixa_etaria", "i_mes_obito": "mes_obito"}
 BRONZE_CASTS = {"i_ano_obito": "int", "i_idade_anos": "int", "mes_obito": "int"}
 # Source -> silver names. The last two name columns bronze already renamed
@@ -47,19 +48,20 @@ def age_profile(raw: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
-    raw = read_csv(spark, layout.src(SOURCE), sampling_ratio=layout.infer_sampling_ratio)
+    raw = read_csv(spark, layout.src(SOURCE))
+    layout.write(age_profile(raw), "bronze", f"{AREA}_age_profile")
     df = keep_matching(raw, "i_idade_anos", AGE_PATTERN)
     df = cast_columns(rename(df, BRONZE_RENAMES), BRONZE_CASTS)
     layout.write(df, "bronze", AREA, partition_by=["mes_obito"])
 
 
 def silver(spark: SparkSession, layout: Layout) -> None:
-    df = rename(layout.read(spark, "bronze", AREA), SILVER_RENAMES)
+    df = rename(layout.read(spark, "bronze", AREA, {"mes_obito": "int"}), SILVER_RENAMES)
     layout.write(df, "silver", AREA, partition_by=["mes_obito", "uf_moradia"])
 
 
 def gold(spark: SparkSession, layout: Layout) -> None:
-    s = layout.read(spark, "silver", AREA)
+    s = layout.read(spark, "silver", AREA, {"mes_obito": "int", "uf_moradia": "string"})
     d = build_and_store(layout, s, DIMS)
     fact = build_fact(s, [DimRef(d[k]) for k in DIMS], degenerate=["mes_obito"],
                       constants={"quantidade_obitos": 1})

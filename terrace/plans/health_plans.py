@@ -51,20 +51,17 @@ def _month_start(c: str):
 
 def bronze(spark: SparkSession, layout: Layout) -> None:
     def pricing() -> None:
-        df = read_csv(spark, layout.src(SOURCES["precificacao"]), delimiter=";",
-                      sampling_ratio=layout.infer_sampling_ratio)
+        df = read_csv(spark, layout.src(SOURCES["precificacao"]), delimiter=";")
         month = _month_start("ANO_MES")
         df = df.withColumns({"ano": F.year(month), "mes": F.month(month)})
         layout.write(df, "bronze", f"{AREA}/precificacao", partition_by=["ano", "mes"])
 
     def features() -> None:
-        layout.write(read_csv(spark, layout.src(SOURCES["caracteristicas"]), delimiter=";",
-                      sampling_ratio=layout.infer_sampling_ratio),
+        layout.write(read_csv(spark, layout.src(SOURCES["caracteristicas"]), delimiter=";"),
                      "bronze", f"{AREA}/caracteristicas")
 
     def operators() -> None:
-        df = rename(read_csv(spark, layout.src(SOURCES["operadora"]), delimiter=";",
-                      sampling_ratio=layout.infer_sampling_ratio), OPERATOR_RENAMES)
+        df = rename(read_csv(spark, layout.src(SOURCES["operadora"]), delimiter=";"), OPERATOR_RENAMES)
         layout.write(df, "bronze", f"{AREA}/operadora")
 
     concurrently([pricing, features, operators])
@@ -80,7 +77,8 @@ def clean_pricing(df: DataFrame) -> DataFrame:
 
 
 def clean_features(df: DataFrame) -> DataFrame:
-    df = lower_columns(df)
+    # A code that is no number matches no operator; it must not stop the job.
+    df = cast_columns(lower_columns(df), {"registro_operadora": "int"})
     df = df.withColumns({
         "lg_odontologico": F.col("lg_odontologico").cast("string").try_cast("boolean"),
         "obstetricia": recode("obstetricia", OBSTETRICS, OBSTETRICS_DEFAULT),
@@ -90,7 +88,7 @@ def clean_features(df: DataFrame) -> DataFrame:
 
 def clean_operators(df: DataFrame) -> DataFrame:
     df = cast_columns(lower_columns(df), {"reg_ans": "int", "prazo_validade": "int"})
-    return df.withColumns({c: parse_date(F.col(c).cast("string"), "dd/MM/yyyy") for c in OPERATOR_DATES})
+    return df.withColumns({c: parse_date(c, "dd/MM/yyyy") for c in OPERATOR_DATES})
 
 
 def silver(spark: SparkSession, layout: Layout) -> None:
@@ -105,7 +103,7 @@ def silver(spark: SparkSession, layout: Layout) -> None:
 
 
 def gold(spark: SparkSession, layout: Layout) -> None:
-    pricing = layout.read(spark, "silver", f"{AREA}/precificacao")
+    pricing = layout.read(spark, "silver", f"{AREA}/precificacao", {"ano": "int", "mes": "int"})
     features = layout.read(spark, "silver", f"{AREA}/caracteristicas")
     operators = layout.read(spark, "silver", f"{AREA}/operadora")
 
@@ -121,8 +119,9 @@ def gold(spark: SparkSession, layout: Layout) -> None:
     faixa, tempo, nota = d["faixa"], d["tempo"], d["nota"]
 
     # Plan: features enriched with the technical-note type and the operator key (snowflake).
-    plan_types = pricing.select("id_plano", "nt_tipo")
-    plans = enrich(features, plan_types, "id_plano")
+    # One type per plan before the join, NULL first: the one that the plan's row keeps.
+    plan_types = pricing.groupBy("id_plano").agg(F.min(F.struct("nt_tipo")).alias("t")).select("id_plano", "t.nt_tipo")
+    plans = enrich(features, plan_types, "id_plano", dedupe_other=False)
     op_keys = operadora.df.select(F.col("reg_ans").alias("_reg"), "sk_operadora")
     plans = plans.join(op_keys, F.col("registro_operadora") == F.col("_reg"), "left").select(*PLAN_COLUMNS)
     plan_members = dedupe(plans, ["id_plano"])

@@ -22,7 +22,9 @@ from terrace.sources import LoadSpec, load_many, read_json_envelope
 AREA = "rail"
 # The three published extracts (two overlap in 2020-2025).
 SOURCES = ["acidentes_2004-2020.json", "acidentes_2020-2025.json", "acidentes_2020-2026.json"]
+PARTITIONS = {"ano": "int", "mes": "int"}
 
+# Published column names, their targets, the consolidation key and fillers.
 BRONZE_RENAMES = {"Perímetro_Urbano": "perimetro_urbano", "Perímetro Urbano": "perimetro_urbano"}
 SILVER_RENAMES = {"estação_anterior": "estacao_anterior", "estação_posterior": "estacao_posterior",
                   "interrupção": "interrupcao", "quilômetro_inicial": "quilometro_inicial",
@@ -53,7 +55,7 @@ def _stem(name: str) -> str:
 def bronze(spark: SparkSession, layout: Layout) -> None:
     specs = [LoadSpec(layout.src(name)) for name in SOURCES]
     def load(s: SparkSession, spec: LoadSpec) -> DataFrame:
-        records = read_json_envelope(s, spec.source, sampling_ratio=layout.infer_sampling_ratio)
+        records = read_json_envelope(s, spec.source)
         return rename(records, BRONZE_RENAMES)
 
     tables = load_many(spark, specs, load)
@@ -62,7 +64,7 @@ def bronze(spark: SparkSession, layout: Layout) -> None:
 
 def clean_extract(df: DataFrame) -> DataFrame:
     df = rename(lower_columns(df), SILVER_RENAMES)
-    df = df.withColumn("data_ocorrencia", parse_date(F.col("data_ocorrencia").cast("string"), "dd/MM/yyyy"))
+    df = df.withColumn("data_ocorrencia", parse_date("data_ocorrencia", "dd/MM/yyyy"))
     df = df.withColumns({
         "data_hora_ocorrencia": combine_date_time("data_ocorrencia", "hora_ocorrencia"),
         "ano": F.year("data_ocorrencia"),
@@ -80,13 +82,13 @@ def silver(spark: SparkSession, layout: Layout) -> None:
 
 
 def consolidated(spark: SparkSession, layout: Layout) -> None:
-    parts = [layout.read(spark, "silver", f"{AREA}/{_stem(n)}") for n in SOURCES]
+    parts = [layout.read(spark, "silver", f"{AREA}/{_stem(n)}", PARTITIONS) for n in SOURCES]
     merged = consolidate(parts, keys=DEDUPE_KEY, fill={"linha": NOT_INFORMED})
     layout.write(merged, "silver", f"{AREA}/acidentes_consolidado", partition_by=["ano", "mes"])
 
 
 def gold(spark: SparkSession, layout: Layout, time_lookup: str = "full") -> None:
-    s = fill_nulls(layout.read(spark, "silver", f"{AREA}/acidentes_consolidado"), GOLD_FILL)
+    s = fill_nulls(layout.read(spark, "silver", f"{AREA}/acidentes_consolidado", PARTITIONS), GOLD_FILL)
     d = build_and_store(layout, s, DIMS)
     if time_lookup == "full":
         tempo = DimRef(d["tempo"], null_policy={"data_hora_ocorrencia": "match"})

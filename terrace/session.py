@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Defaults every job in this library relies on. Callers may override any of them.
@@ -54,8 +55,9 @@ def configure(spark: SparkSession, conf: Mapping[str, str] | None = None) -> Spa
         if key.startswith("spark.sql.") and not key.startswith("spark.sql.warehouse"):
             try:
                 spark.conf.set(key, value)
-            except Exception:  # static SQL conf on an already running session
-                pass
+            except AnalysisException as error:
+                if "CANNOT_MODIFY" not in str(error):  # a static setting of a running session stays
+                    raise
     return spark
 
 

@@ -8,28 +8,23 @@ writer caps the records per envelope so no single file (or task) grows with the
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str | list[str], delimiter: str = ",",
-             schema: T.StructType | str | None = None, header: bool = True,
-             sampling_ratio: float | None = None) -> DataFrame:
+             schema: T.StructType | str | None = None, header: bool = True) -> DataFrame:
     """Headered CSV scan.
 
     With ``schema`` the scan is a single pass; without it Spark infers the types with an
-    extra pass (optionally over a sample, ``sampling_ratio``), as the landing jobs do.
+    extra pass over all rows, as the landing jobs do.
     """
     reader = spark.read.option("header", header).option("delimiter", delimiter)
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", True)
-        if sampling_ratio is not None:
-            reader = reader.option("samplingRatio", sampling_ratio)
     return reader.csv(path)
 
 
@@ -54,62 +49,43 @@ def _array_root_field(df: DataFrame, array_field: str | None) -> str | None:
 
 
 def read_json_envelope(spark: SparkSession, path: str | list[str], array_field: str | None = None,
-                       schema: T.StructType | None = None, partitions: int | None = None,
-                       sampling_ratio: float | None = None) -> DataFrame:
+                       schema: T.StructType | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Read whole-file JSON envelopes and return one flat row per record.
 
     ``array_field=None`` picks the only array-typed root key (an error when there are
     several); a file that is a bare top-level array is read as its records. Records are
     flattened (``rec.*``); an empty or NULL array yields no rows.
-    Each file is one task (whole-file parse). When there are fewer envelope files than
-    cores, the records are dealt round-robin over ``partitions`` (default: the cluster's
-    default parallelism) right after the explode, so later work is not stuck in a few
-    tasks; with many files the parse is already spread and no shuffle is added.
+    Each file is one task (whole-file parse); adaptive execution and the writers downstream
+    even out what follows. A malformed file (one that was cut off, say) is an error;
+    ``mode="PERMISSIVE"`` reads the others and leaves it out.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", True).option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
-    elif sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
     raw = reader.json(path)
     field = _array_root_field(raw, array_field)
     if field is None:
-        records = raw
-    else:
-        records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec"))
-        if isinstance(records.schema["rec"].dataType, T.StructType):
-            records = records.select("rec.*")
-    try:
-        n = partitions or spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001  (no SparkContext, e.g. a Connect client)
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if len(raw.inputFiles()) < n:
-        records = records.repartition(n)
-    return records
+        return raw
+    records = raw.select(F.explode(F.col(f"`{field}`")).alias("rec"))
+    return records.select("rec.*") if isinstance(records.schema["rec"].dataType, T.StructType) else records
 
 
 def write_json_envelope(df: DataFrame, path: str, array_field: str = "value",
-                        records_per_file: int = 100_000) -> int:
+                        records_per_file: int = 100_000) -> None:
     """Write ``df`` as JSON envelope files, at most ``records_per_file`` records each.
 
-    Records are dealt round-robin (by row position, not content, so repeated rows do not
-    pile up) over ``ceil(rows / records_per_file)`` buckets; every bucket becomes one
-    envelope in its own sub-folder, holding about ``records_per_file`` records (each input
-    partition deals its rows evenly), so no envelope (and no collecting task) grows with
-    the table. Returns the number of envelopes.
+    Every input partition cuts its rows, by position, into envelopes of its own, so the cap
+    holds exactly, the input is evaluated once, and neither an envelope nor a collecting task
+    grows with the table. One envelope is one file.
     """
-    rows = df.count()
-    buckets = max(1, math.ceil(rows / records_per_file))
-    bucket = F.pmod(F.monotonically_increasing_id(), F.lit(buckets))
+    row = F.monotonically_increasing_id()
     cols = [F.col(f"`{c}`") for c in df.columns]
-    # Partition by envelope first: the aggregation then runs inside those partitions and
-    # the whole write costs one shuffle.
-    envelopes = (df.withColumn("envelope_id", bucket)
-                 .repartition(buckets, "envelope_id")
-                 .groupBy("envelope_id")
-                 .agg(F.collect_list(F.struct(*cols)).alias(array_field)))
+    part, position = F.shiftright(row, 33), row.bitwiseAND(F.lit((1 << 33) - 1))
+    envelopes = (df.select(F.struct(*cols).alias("rec"), part.alias("part"),
+                           F.floor(position / records_per_file).alias("chunk"))
+                 .groupBy("part", "chunk").agg(F.collect_list("rec").alias(array_field)))
     # NULL fields are written as ``null`` (not omitted), so a field that is NULL in every
-    # record of an envelope still appears in the schema a reader infers.
-    (envelopes.write.mode("overwrite").option("ignoreNullFields", False)
-     .partitionBy("envelope_id").json(path))
-    return buckets
+    # record of an envelope still appears in the schema a reader infers. One record to a file
+    # keeps each envelope a file of its own.
+    (envelopes.select(F.col(f"`{array_field}`")).write.mode("overwrite").option("ignoreNullFields", False)
+     .option("maxRecordsPerFile", 1).json(path))

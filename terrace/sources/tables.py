@@ -2,70 +2,31 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 DEFAULT_FORMAT = "parquet"
-# Inputs smaller than this are never spread: a shuffle would cost more than it saves.
-SPREAD_MIN_BYTES = 4 * 1024 * 1024
-
-
-def _local_path(uri: str) -> str | None:
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri if uri.startswith("/") else None
-
-
-def _scan_splits(df: DataFrame, parallelism: int) -> tuple[int, int] | None:
-    """(row groups, bytes) of a parquet input with fewer files than ``parallelism``;
-    None when the input has many files or is not on a local/mounted path. Only footers
-    are read, and only for a handful of files."""
-    # Plenty of scan splits already: large input, nothing to do (and no file list pulled
-    # to the driver).
-    if df.rdd.getNumPartitions() >= 4 * parallelism:
-        return None
-    files = df.inputFiles()
-    if not files or len(files) >= parallelism:
-        return None
-    try:
-        import pyarrow.parquet as pq
-    except ImportError:  # pragma: no cover
-        return None
-    groups = size = 0
-    for f in files:
-        local = _local_path(f)
-        if local is None or not os.path.exists(local):
-            return None
-        meta = pq.ParquetFile(local).metadata
-        groups += meta.num_row_groups
-        size += os.path.getsize(local)
-    return groups, size
-
-
-def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, spread: bool = True) -> DataFrame:
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT,
+               partition_types: Mapping[str, str] | None = None) -> DataFrame:
     """Scan a stored table by path. Hive-style partition folders become columns and
     filters on them prune folders (``PartitionFilters`` in the plan).
 
-    ``spread``: a parquet split never cuts a row group, so an input written as one big
-    row group (typical of single-process extract tools) scans in one task however many
-    cores there are. When the input has fewer row groups than the cluster has cores and is
-    not tiny, rows are dealt round-robin over ``defaultParallelism`` partitions right
-    after the scan (filters and column pruning still reach the scan). Inputs with many
-    files or row groups, i.e. anything large, are left exactly as the scan splits them.
+    Folder names carry no type: Spark infers one, and ``01`` and ``1`` become the same integer.
+    ``partition_types`` declares the types that were written (column -> type); columns that
+    the table doesn't have are ignored.
     """
     df = spark.read.format(fmt).load(path)
-    if spread and fmt == "parquet":
-        try:
-            parallelism = spark.sparkContext.defaultParallelism
-            splits = _scan_splits(df, parallelism)
-        except Exception:  # noqa: BLE001  (no SparkContext / RDD API, e.g. a Connect client)
-            return df
-        if splits is not None and splits[0] < parallelism and splits[1] >= SPREAD_MIN_BYTES:
-            df = df.repartition(parallelism)
-    return df
+    declared = {c.lower(): t for c, t in (partition_types or {}).items()}
+    if not any(f.name.lower() in declared for f in df.schema):
+        return df
+    schema = T.StructType([T.StructField(f.name, T._parse_datatype_string(declared[f.name.lower()]), True)
+                           if f.name.lower() in declared else f for f in df.schema])
+    return spark.read.format(fmt).schema(schema).load(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT,

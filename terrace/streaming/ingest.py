@@ -29,7 +29,7 @@ def _landing_stream(spark: SparkSession, source: str, fmt: str, schema: T.Struct
     if fmt == "json_envelope":
         envelope = T.StructType([T.StructField(array_field, T.ArrayType(schema))])
         raw = (spark.readStream.schema(envelope).option("maxFilesPerTrigger", max_files)
-               .option("multiLine", True).json(source))
+               .option("multiLine", True).option("mode", "FAILFAST").json(source))
         return raw.select(F.explode(F.col(f"`{array_field}`")).alias("rec")).select("rec.*")
     raise ValueError("fmt must be 'csv' or 'json_envelope'")
 

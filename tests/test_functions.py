@@ -88,3 +88,18 @@ def test_rename_rejects_two_spellings_in_one_extract(spark):
     one = spark.createDataFrame([(1,)], "`Perímetro Urbano` int")
     assert rename(one, {"Perímetro_Urbano": "perimetro_urbano", "Perímetro Urbano": "perimetro_urbano"}).columns == [
         "perimetro_urbano"]
+
+
+def test_guarded_casts_keep_the_meaning_of_a_cast(spark):
+    texts = [" 7 ", "+7", "-7", "7.9", "", " ", "abc", "2147483648", "-2147483648", "\t7\n", "7a", "1e3", None, "T", "yes", " N ", "0", "maybe", "1"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for kind in ("int", "bigint", "boolean", "double"):
+        rows = df.select("s", try_cast("s", kind).alias("a"), F.col("s").try_cast(kind).alias("b")).collect()
+        assert [r.a for r in rows] == [r.b for r in rows], kind
+    assert spark.createDataFrame([(7.9,)], "x double").select(try_cast("x", "int")).first()[0] == 7
+
+
+def test_rename_sees_names_that_differ_by_case(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, B int")
+    with pytest.raises(ValueError):
+        rename(df, {"a": "b"})

@@ -27,10 +27,10 @@ def test_dedupe_is_deterministic_and_skew_safe(spark):
 
 def test_surrogate_key_dense_across_partitions(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("k")).repartition(17)
-    keyed = add_surrogate_key(df, ["k"], "sk", single_partition_max=0)
+    keyed = add_surrogate_key(df, ["k"], "sk")
     assert keyed.count() == 5000
-    small = add_surrogate_key(df, ["k"], "sk")
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, keyed.collect()))
+    again = add_surrogate_key(df.repartition(3), ["k"], "sk")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, keyed.collect()))
     expected = df.withColumn("sk", F.row_number().over(Window.orderBy("k")).cast("long"))
     assert sorted(map(tuple, keyed.collect())) == sorted(map(tuple, expected.collect()))
 
@@ -87,10 +87,17 @@ def test_star_rollup_small_and_large_paths(spark):
     dg = build_dimension(silver, ["g"], "sk_g")
     dh = build_dimension(silver, ["h"], "sk_h")
     fact = build_fact(silver, [DimRef(dg), DimRef(dh)], measures=["one", "v"])
-    measures = {"n": F.sum("one"), "total": F.sum("v")}
+    measures = {"n": ("sum", "one"), "total": ("sum", "v"), "k": ("count", "v"), "lo": ("min", "v"), "hi": ("max", "v"),
+                "mean": ("avg", "v"), "dec": ("sum", F.col("v").cast("decimal(10,2)"))}
     small = star_rollup(fact, [dg, dh], ["g"], measures)
     large = star_rollup(fact, [dg, dh], ["g"], measures, broadcast_limit=0)
-    expected = silver.groupBy("g").agg(F.sum("one").alias("n"), F.sum("v").alias("total"))
+    expected = silver.groupBy("g").agg(F.sum("one").alias("n"), F.sum("v").alias("total"), F.count("v").alias("k"),
+                                       F.min("v").alias("lo"), F.max("v").alias("hi"), F.avg("v").alias("mean"),
+                                       F.sum(F.col("v").cast("decimal(10,2)")).alias("dec"))
+    assert small.dtypes == large.dtypes == expected.dtypes
+    for limit in (0, 10**9):
+        with pytest.raises(ValueError):
+            star_rollup(fact, [dg, dh], ["g"], {"x": ("median", "v")}, broadcast_limit=limit)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, expected.collect()))
     assert sorted(map(tuple, large.collect())) == sorted(map(tuple, expected.collect()))
 
@@ -129,6 +136,10 @@ def test_first_non_null_and_preview(spark):
     df = spark.createDataFrame([(1, 3, None), (1, 1, None), (1, 2, "b"), (2, 1, None)], "k int, o int, v string")
     got = sorted(map(tuple, first_non_null(df, ["k"], "v", order_by="o").collect()))
     assert got == [(1, "b"), (2, None)]
+    tied = spark.createDataFrame([(1, 1, 2, "x"), (1, 1, 1, "z"), (1, 1, 2, "a")], "k int, o int, p int, v string")
+    for n in (1, 2, 3):  # ties give the smallest value, whatever the order of the rows
+        assert first_non_null(tied.repartition(n), ["k"], "v", order_by="o").collect()[0].v == "a"
+    assert first_non_null(tied, ["k"], "v", order_by=["o", "p"]).collect()[0].v == "z"
     assert [r.o for r in preview(df, 2, order_by=["o"]).collect()] == [1, 1]
 
 
@@ -139,8 +150,7 @@ def test_describe_schema(spark):
 
 def test_json_envelope_roundtrip_and_guards(spark, tmp_path):
     df = spark.range(0, 45).select(F.col("id").alias("x"), (F.col("id") * 2).alias("y"))
-    n = write_json_envelope(df, str(tmp_path / "env"), array_field="value", records_per_file=10)
-    assert n == 5
+    write_json_envelope(df, str(tmp_path / "env"), array_field="value", records_per_file=10)
     back = read_json_envelope(spark, str(tmp_path / "env"))
     assert sorted(map(tuple, back.select("x", "y").collect())) == sorted(map(tuple, df.collect()))
     two = tmp_path / "two.json"
@@ -218,3 +228,36 @@ def test_bare_top_level_array_is_read_as_records(spark, tmp_path):
     p.write_text(json.dumps([{"a": 1, "b": "x"}, {"a": 2, "b": "y"}]))
     got = read_json_envelope(spark, str(p))
     assert sorted(tuple(r) for r in got.select("a", "b").collect()) == [(1, "x"), (2, "y")]
+
+
+def test_grouping_sets_with_the_same_columns_are_one(spark):
+    from terrace.operators import DimensionSpec, build_dimensions
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a")], "k int, g string")
+    dims = build_dimensions(df, {"kg": DimensionSpec(("k", "g"), "sk1"), "gk": DimensionSpec(("g", "k"), "sk2")})
+    assert dims["kg"].df.count() == 2 and dims["gk"].df.count() == 2
+
+
+def test_attributes_must_depend_on_the_key(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "k int, v string")
+    with pytest.raises(ValueError, match="do not depend"):
+        build_dimension(df, ["k"], "sk", attributes=["v"])
+    assert build_dimension(df, ["k"], "sk", attributes=["v"], allow_fanout=True).df.count() == 3
+
+
+def test_salts_follow_each_hot_key(spark):
+    from terrace.operators.star import enrich
+    left = spark.createDataFrame([(k, f"l{k}") for k in range(6)], "k int, a string")
+    right = spark.createDataFrame([(k, i) for k, n in ((0, 900), (1, 150), (2, 40), (3, 1)) for i in range(n)], "k int, b int")
+    got = enrich(left, right, ["k"], broadcast_limit=0, hot_key_rows=60)
+    want = left.join(right, "k", "left")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_truncated_envelope_is_an_error_unless_allowed(spark, tmp_path):
+    (tmp_path / "env").mkdir()
+    (tmp_path / "env" / "a.json").write_text(json.dumps({"value": [{"x": 1}, {"x": 2}]}))
+    (tmp_path / "env" / "b.json").write_text('{"value": [{"x": 3}, {"x"')
+    with pytest.raises(Exception):
+        read_json_envelope(spark, str(tmp_path / "env")).collect()
+    kept = read_json_envelope(spark, str(tmp_path / "env"), array_field="value", mode="PERMISSIVE")
+    assert sorted(r.x for r in kept.select("x").collect()) == [1, 2]

@@ -151,7 +151,7 @@ def test_admissions(spark, tmp_path):
         ["06/03/2024 11:00", "Águas Claras", "F", "12a", "Pediatria"],
         ["xx", "Brasília", "M", "30", "Cardio"],
         ["07/03/2024 09:00", "Goiânia", "", "50", "Clinica"]])
-    admissions.run(spark, Layout(lay.landing, lay.warehouse, infer_sampling_ratio=1.0))
+    admissions.run(spark, Layout(lay.landing, lay.warehouse))
     silver = lay.read(spark, "silver", "admissions")
     assert rows(silver, "municipio") == srt([("BRASILIA",), ("GOIANIA",), ("SAO JOAO",), ("ÁGUAS CLARAS",)])
     assert rows(silver.filter(F.col("municipio") == "SAO JOAO"), "data_internacao", "ano", "mes", "dia", "idade") == [
