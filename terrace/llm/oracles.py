@@ -1,5 +1,110 @@
-"""DuckDB SQL for the training-data queries that SQL can express."""
+"""DuckDB SQL for the training-data queries that SQL can express on whole tables.
+
+Not here, and tested against brute force instead: token counts and packing (merges of a
+tokenizer), the checksums of sharding, cube sampling, the classifier, and the pipeline that
+is made of them.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from terrace.llm.host_trust import LINK, LOWER, PARTS, RULES, UPPER
+
+_VECTORS = """SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0"""
+
+_REACH = """reach AS (SELECT id, id AS root FROM nodes
+    UNION SELECT l.v, r.root FROM reach r JOIN links l ON l.u = r.id),
+  component AS (SELECT id, min(root) AS root FROM reach GROUP BY id)"""
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _lowered(x: str) -> str:
+    return f"translate({x}, '{UPPER}', '{LOWER}')"
+
+
+def _pages(rounds: int = 20, threshold: float = 0.5) -> str:
+    fits = []
+    for verdict, host, path in sorted(RULES, key=lambda r: -len(r[1] + r[2])):
+        test = f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+        fits.append((test, f"'{host}{path}'", f"'{verdict}'"))
+    rule = "CASE " + " ".join(f"WHEN {t} THEN {r}" for t, r, _ in fits) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {t} THEN {v}" for t, _, v in fits) + " END"
+    link = LINK.replace("'", "''")
+    steps = []
+    for k in range(rounds):
+        steps.append(f"""r{k + 1} AS MATERIALIZED (SELECT s.host, s.good, s.bad,
+          (0.15 + 0.85 * coalesce((SELECT sum(trust) FROM r{k} WHERE host NOT IN (SELECT src FROM edges)), 0)) * s.good
+            + 0.85 * coalesce((SELECT sum(r.trust / o.n) FROM edges e JOIN r{k} r ON r.host = e.src
+                JOIN n_out o ON o.host = e.src WHERE e.dst = s.host), 0) AS trust,
+          (0.15 + 0.85 * coalesce((SELECT sum(distrust) FROM r{k} WHERE host NOT IN (SELECT dst FROM edges)), 0)) * s.bad
+            + 0.85 * coalesce((SELECT sum(r.distrust / i.n) FROM edges e JOIN r{k} r ON r.host = e.dst
+                JOIN n_in i ON i.host = e.dst WHERE e.src = s.host), 0) AS distrust
+          FROM seeds s)""")
+    return f"""WITH parts AS (SELECT page_id, html, {_lowered(f"regexp_extract(coalesce(url, ''), '{PARTS}', 1)")} AS host,
+        regexp_extract(coalesce(url, ''), '{PARTS}', 2) AS path FROM pages),
+      p AS MATERIALIZED (SELECT *, {rule} AS rule, {verdict} AS by_rule FROM parts),
+      edges AS MATERIALIZED (SELECT DISTINCT host AS src, dst FROM (SELECT host,
+          unnest(list_transform(regexp_extract_all(coalesce(html, ''), '{link}', 1), lambda h: {_lowered('h')})) AS dst FROM p)
+        WHERE host <> dst AND host <> ''),
+      n_out AS (SELECT src AS host, count(*) AS n FROM edges GROUP BY 1),
+      n_in AS (SELECT dst AS host, count(*) AS n FROM edges GROUP BY 1),
+      hosts AS MATERIALIZED (SELECT host, coalesce(2 * sum(by_rule = 'allow') > sum(seen), false) AS g,
+          coalesce(2 * sum(by_rule = 'block') > sum(seen), false) AS b
+        FROM (SELECT host, by_rule, 1 AS seen FROM p WHERE host <> ''
+              UNION ALL SELECT src, NULL, 0 FROM edges UNION ALL SELECT dst, NULL, 0 FROM edges) GROUP BY host),
+      seeds AS MATERIALIZED (SELECT host, CASE WHEN g THEN 1.0 / (SELECT sum(CAST(g AS INT)) FROM hosts) ELSE 0.0 END::DOUBLE AS good,
+          CASE WHEN b THEN 1.0 / (SELECT sum(CAST(b AS INT)) FROM hosts) ELSE 0.0 END::DOUBLE AS bad FROM hosts),
+      r0 AS MATERIALIZED (SELECT *, good AS trust, bad AS distrust FROM seeds),
+      {", ".join(steps)}
+      SELECT p.page_id, p.host, p.path, p.rule, coalesce(p.by_rule,
+          CASE WHEN r.distrust > r.trust AND r.distrust * (SELECT count(*) FROM hosts) >= {threshold} THEN 'block' ELSE 'allow' END) AS verdict
+      FROM p LEFT JOIN r{rounds} r ON r.host = p.host"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_pivot_near_vectors": f"""WITH RECURSIVE nodes AS (SELECT vec_id AS id, label, v FROM ({_VECTORS}) WHERE label IS NOT NULL),
+      links AS (SELECT a.id AS u, b.id AS v FROM nodes a JOIN nodes b ON a.label = b.label AND a.id <> b.id
+          AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+      {_REACH}
+      SELECT e.vec_id, coalesce(l.n, 0)::BIGINT AS n_links, coalesce(c.root, e.vec_id) AS component_id,
+        coalesce(c.root, e.vec_id) = e.vec_id AS kept
+      FROM embeddings e LEFT JOIN component c ON c.id = e.vec_id
+      LEFT JOIN (SELECT u, count(*) AS n FROM links GROUP BY u) l ON l.u = e.vec_id""",
+    "op3_parity_sketch_join": f"""WITH RECURSIVE words AS (SELECT doc_id,
+        regexp_extract_all({_lowered("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
+      sets AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1),
+          lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+      grams AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+      nodes AS (SELECT doc_id AS id FROM sets),
+      links AS MATERIALIZED (SELECT a.doc_id AS u, b.doc_id AS v FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+      {_REACH}
+      SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.root AS component_id FROM sets s JOIN component c ON c.id = s.doc_id""",
+    "op5_line_dedup": f"""WITH lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS no
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+      own AS MATERIALIZED (SELECT doc_id, line, no, len(regexp_extract_all(line, '{_WORD}')) AS words FROM lines
+        WHERE regexp_matches(line, '{_WORD}')),
+      summed AS MATERIALIZED (SELECT *, row_number() OVER d AS i, sum(words) OVER d AS upto FROM own
+        WINDOW d AS (PARTITION BY doc_id ORDER BY no)),
+      ends AS MATERIALIZED (SELECT a.doc_id, a.i, a.no, min(b.i) AS e, min(b.no) AS last FROM summed a JOIN summed b
+        ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50 GROUP BY ALL),
+      stretches AS (SELECT x.doc_id, x.i, x.no, x.last, string_agg(s.line, chr(10) ORDER BY s.i) AS body
+        FROM ends x JOIN summed s ON s.doc_id = x.doc_id AND s.i BETWEEN x.i AND x.e GROUP BY ALL),
+      later AS (SELECT * FROM stretches QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, i) > 1),
+      gone AS (SELECT DISTINCT doc_id, unnest(generate_series(no, last)) AS no FROM later),
+      kept AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.no) FILTER (WHERE g.no IS NULL) AS text,
+          count(*) AS n_lines, count(g.no) AS n_deleted
+        FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.no = l.no GROUP BY l.doc_id)
+      SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+        coalesce(k.n_lines, 0)::INTEGER AS n_lines, coalesce(k.n_deleted, 0)::INTEGER AS n_deleted
+      FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+    "op7_link_trust": _pages(),
+    "op8_one_bit_search": f"""WITH nodes AS ({_VECTORS}),
+      near AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score FROM nodes q JOIN nodes c
+        ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+      SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+      FROM near QUALIFY rank <= 20""",
+}
