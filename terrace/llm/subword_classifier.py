@@ -150,16 +150,26 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     """Learn from at most ``sample`` labelled documents that are not held out.
 
     The sample is the ``sample`` labels with the smallest hash of the id, whatever the order
-    or partitioning of the tables; its bound is what may be broadcast and collected. Rows
+    or partitioning of the tables; its bound is what may be broadcast and brought into one task. Rows
     with a NULL label, id or text are left out; a repeated label is an example each time.
     """
     picked = (labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y"))
               .where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
               .orderBy(F.xxhash64("id", F.lit(seed)), "id", "y").limit(sample))
+    python_workers(docs.sparkSession)
     rows = (docs.select(F.col("doc_id").alias("id"), "text").where(F.col("text").isNotNull())
-            .join(F.broadcast(picked), "id").select("id", "y", "text").toPandas())
-    rows = rows.sort_values(["id", "y", "text"], kind="stable")
-    return train(rows["text"].tolist(), rows["y"].tolist(), seed=seed)
+            .join(F.broadcast(picked), "id").select(F.lit(1).alias("all"), "id", "y", "text"))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["id", "y", "text"], kind="stable")
+        model = train(part["text"].tolist(), part["y"].tolist(), seed=seed)
+        return pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    # The bounded sample is learned from in one task; only the weights come to the driver.
+    learned = rows.groupBy("all").applyInPandas(run, "weights binary, bias double").collect()
+    if not learned:
+        return train([], [], seed=seed)
+    return Classifier(np.frombuffer(learned[0]["weights"], np.float32), learned[0]["bias"])
 
 
 def score_column(model: Classifier, text: Column) -> Column:
