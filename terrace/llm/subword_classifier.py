@@ -151,14 +151,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
 
     The sample is the ``sample`` labels with the smallest hash of the id, whatever the order
     or partitioning of the tables; its bound is what may be broadcast and brought into one task. Rows
-    with a NULL label, id or text are left out; a repeated label is an example each time.
+    with a NULL label, id or text are left out; a repeated label is an example each time. Of
+    documents that share an id the one with the smallest text is learned from.
     """
     picked = (labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y"))
               .where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
               .orderBy(F.xxhash64("id", F.lit(seed)), "id", "y").limit(sample))
     python_workers(docs.sparkSession)
-    rows = (docs.select(F.col("doc_id").alias("id"), "text").where(F.col("text").isNotNull())
-            .join(F.broadcast(picked), "id").select(F.lit(1).alias("all"), "id", "y", "text"))
+    # One text for each id: an id that many rows share must not grow the task that learns.
+    texts = (docs.select(F.col("doc_id").alias("id"), "text").where(F.col("text").isNotNull())
+             .join(F.broadcast(picked.select("id").distinct()), "id").groupBy("id").agg(F.min("text").alias("text")))
+    rows = texts.join(F.broadcast(picked), "id").select(F.lit(1).alias("all"), "id", "y", "text")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["id", "y", "text"], kind="stable")

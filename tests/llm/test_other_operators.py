@@ -289,6 +289,14 @@ def test_classifier_does_not_learn_held_out_rows(spark):
     assert np.array_equal(a.weights, b.weights)
 
 
+def test_classifier_learns_one_text_of_an_id_that_many_rows_share(spark):
+    rows, labels = quality_tables(spark)
+    hot = next(k for k in range(400) if zlib.crc32(str(k).encode()) % 5)
+    more = [(hot, "zzz" + " ".join(words(40, 7000 + k)), "en", "s", 1) for k in range(50)] + [rows[hot]] * 50
+    a, b = (subword_classifier.fit(documents(spark, r), labels) for r in (rows, rows + more))
+    assert np.array_equal(a.weights, b.weights) and a.bias == b.bias
+
+
 def test_classifier_without_labels_scores_the_prior(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
