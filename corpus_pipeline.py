@@ -36,8 +36,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the smallest doc_id, of each group of near-duplicates."""
-    return sketch_join.keep_one(docs, sketch_join.near_duplicates(docs))
+    """Keep one document, the smallest doc_id, of each group of near-duplicates: linked by a
+    Jaccard similarity of 0.8 or more on shingles of five words."""
+    return sketch_join.keep_one(docs, sketch_join.near_duplicates(docs, length=5, least=80, out_of=100))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
