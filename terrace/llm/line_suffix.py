@@ -8,9 +8,10 @@ longest common prefix is at least that many lines. Only prefixes that occur at l
 twice keep a rank, so the tables shrink to what repeats.
 
 A run of lines is deleted if it has at least ``min_words`` words and occurs earlier (by
-doc_id, then line). Every such run is a union of its shortest stretches of ``min_words``
-words, and equal suffixes have equal shortest stretches, so it is enough to find those: the
-stretch of L lines from a line on is the interval of two ranks at depth 2^k <= L, its first
+doc_id, then line). Every such run is a union of shortest stretches of ``min_words`` words:
+those that start at its lines and, for the last lines, with too few words from there on, the one
+that ends at its end. Equal stretches are shortest wherever they occur, so it is enough to
+find those: a stretch of L lines is the interval of two ranks at depth 2^k <= L, its first
 and its last 2^k lines. Doubling stops at the depth of the longest such stretch, at most
 ``min_words`` lines; deeper ranks could not change a deletion. What is left over is merged
 into maximal runs. The first copy of every line always stays.
@@ -54,39 +55,52 @@ def line_table(docs: DataFrame) -> DataFrame:
 
 def with_stretch(lines: DataFrame, min_words: int) -> DataFrame:
     """Add ``need``, the least number of lines from here on that hold ``min_words`` words, and
-    ``last``, the number of the last of them; 0 and NULL if an unranked line comes before."""
+    ``last``, the number of the last of them; 0 and NULL if an unranked line comes before. Also
+    ``back`` and ``first``, the same for the lines that end here; 0 and NULL as well if their
+    first line's own stretch is the same one."""
     w = Window.partitionBy("k1", "k2").orderBy("i")
     lines = lines.withColumn("isle", F.col("i") - F.row_number().over(w))
-    ahead = Window.partitionBy("k1", "k2", "isle").orderBy("i").rowsBetween(0, min_words - 1)
-    lines = lines.withColumn("ahead", F.collect_list(F.struct("words", "line_no")).over(ahead))
+    isle = Window.partitionBy("k1", "k2", "isle").orderBy("i")
+    line = F.struct("words", "line_no")
+    lines = (lines.withColumn("ahead", F.collect_list(line).over(isle.rowsBetween(0, min_words - 1)))
+             .withColumn("behind", F.reverse(F.collect_list(line).over(isle.rowsBetween(1 - min_words, 0)))))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("words"))
-    reach = F.aggregate(
-        "ahead", zero,
-        lambda a, x: F.when(a["words"] >= min_words, a).otherwise(
-            F.struct((a["n"] + 1).alias("n"), (a["words"] + x["words"]).alias("words"))),
-        lambda a: F.when(a["words"] >= min_words, a["n"]).otherwise(0))
-    return (lines.withColumn("need", reach).withColumn("last", F.get("ahead", F.col("need") - 1)["line_no"])
-            .drop("isle", "ahead"))
+
+    def reach(side: str, beyond: Column) -> Column:
+        return F.aggregate(
+            side, zero,
+            lambda a, x: F.when(a["words"] >= min_words, a).otherwise(
+                F.struct((a["n"] + 1).alias("n"), (a["words"] + x["words"]).alias("words"))),
+            lambda a: F.when(a["words"] - beyond >= min_words, a["n"]).otherwise(0))
+
+    # A stretch that has too few words without its last line is the shortest from its start too.
+    return (lines.withColumn("need", reach("ahead", F.lit(0))).withColumn("last", F.get("ahead", F.col("need") - 1)["line_no"])
+            .withColumn("back", reach("behind", F.col("words"))).withColumn("first", F.get("behind", F.col("back") - 1)["line_no"])
+            .drop("isle", "ahead", "behind"))
 
 
 def repeated_stretches(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """(k1, k2, doc_id, i, first, last, copies, and the earliest copy's doc_id as of_doc): the
-    shortest stretches of ``min_words`` words that occur earlier as well."""
+    shortest stretches of ``min_words`` words, from a line on or up to one, that occur earlier as
+    well."""
     lines = line_table(docs)
     ranks = _ranks(lines, "h1", "h2")
     ranked = (lines.join(ranks, ["h1", "h2"]).drop("h1", "h2").dropDuplicates(["k1", "k2", "i"]))
     base = materialize(with_stretch(ranked, min_words), "lines")
-    starts = base.where("need > 0")
+    keys = ("doc_id", "k1", "k2")
+    starts = base.where("need > 0").select(*keys, "i", "need", F.col("line_no").alias("first"), "last").unionByName(
+        base.where("back > 0").select(*keys, (F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("need"),
+                                      "first", F.col("line_no").alias("last")))
     deepest = starts.agg(F.max("need")).first()[0] or 1
     level, found, k = base.select("k1", "k2", "i", "rank"), [], 0
     while True:
         depth = 1 << k
-        here = starts.where(F.col("need").between(depth, 2 * depth - 1)).drop("rank")
+        here = starts.where(F.col("need").between(depth, 2 * depth - 1))
         first = level.select("k1", "k2", "i", F.col("rank").alias("a"))
         tail = level.select("k1", "k2", (F.col("i") + depth).alias("end"), F.col("rank").alias("b"))
         found.append(here.withColumn("end", F.col("i") + F.col("need")).join(first, ["k1", "k2", "i"])
                      .join(tail, ["k1", "k2", "end"])
-                     .select("need", "a", "b", "doc_id", "k1", "k2", "i", F.col("line_no").alias("first"), "last"))
+                     .select("need", "a", "b", "doc_id", "k1", "k2", "i", "first", "last"))
         if 2 * depth > deepest:
             break
         after = Window.partitionBy("k1", "k2").orderBy("i").rangeBetween(depth, depth)
