@@ -54,7 +54,7 @@ def means(vectors: DataFrame) -> dict[int, np.ndarray]:
 
 
 def encode(vectors: DataFrame, centre: dict[int, np.ndarray], seed: int = 3) -> DataFrame:
-    """``vectors`` (vec_id, embedding) with code (packed sign bits), length and fit."""
+    """``vectors`` (row, vec_id, embedding) with code (packed sign bits), length and fit."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -63,12 +63,12 @@ def encode(vectors: DataFrame, centre: dict[int, np.ndarray], seed: int = 3) ->
                 turned = rest @ rotation(dim, seed)
                 length = np.linalg.norm(turned, axis=1)
                 fit = np.abs(turned).sum(axis=1) / np.sqrt(dim) / np.where(length > 0, length, 1)
-                yield pd.DataFrame({"vec_id": part["vec_id"], "embedding": part["embedding"],
+                yield pd.DataFrame({"row": part["row"], "vec_id": part["vec_id"], "embedding": part["embedding"],
                                     "code": [x.tobytes() for x in np.packbits(turned > 0, axis=1)],
                                     "length": length, "fit": np.where(length > 0, fit, 1.0)})
 
-    return vectors.select("vec_id", "embedding").mapInPandas(
-        run, f"vec_id long, embedding {vectors.schema['embedding'].dataType.simpleString()}, "
+    return vectors.select("row", "vec_id", "embedding").mapInPandas(
+        run, f"row long, vec_id long, embedding {vectors.schema['embedding'].dataType.simpleString()}, "
              "code binary, length double, fit double")
 
 
@@ -83,7 +83,7 @@ def exact(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def search_block(queries: pd.DataFrame, vectors: pd.DataFrame, k: int, centre: dict[int, np.ndarray],
                  seed: int = 3, confidence: float = CONFIDENCE) -> list[tuple]:
-    """(query_id, vec_id, score) of the k nearest of a block, for each query of a block.
+    """(query_row, query_id, vec_id, score) of the k nearest of a block, for each query of a block.
 
     Estimates and the first sifting of what the bound leaves are in single precision with
     an allowance for its rounding (in double, if the numbers are too large or small for it);
@@ -92,13 +92,13 @@ def search_block(queries: pd.DataFrame, vectors: pd.DataFrame, k: int, centre: d
     dims = queries["embedding"].map(len).to_numpy()
     theirs = vectors["embedding"].map(len).to_numpy()
     for dim in np.unique(dims):
-        part = vectors[theirs == dim].sort_values("vec_id", kind="stable")
+        part = vectors[theirs == dim].sort_values(["vec_id", "row"], kind="stable")
         if not len(part):
             continue
         ids = part["vec_id"].to_numpy()
         rows = np.array(part["embedding"].tolist(), np.float64)
         asked = queries[dims == dim]
-        asked_ids = asked["vec_id"].to_numpy()
+        asked_ids, asked_rows = asked["vec_id"].to_numpy(), asked["row"].to_numpy()
         q = np.array(asked["embedding"].tolist(), np.float64)
         norm, longest = np.linalg.norm(q, axis=1), np.linalg.norm(rows, axis=1).max()
         plain = all(1e-15 < x < 1e15 for x in (longest, norm.max(), norm.min()))
@@ -111,8 +111,8 @@ def search_block(queries: pd.DataFrame, vectors: pd.DataFrame, k: int, centre: d
         spread = (length * np.sqrt(np.maximum(1 - fit**2, 0)) / fit * confidence / np.sqrt(max(dim - 1, 1))).astype(kind)
         slack = (norm * longest * (dim + 64) * 2 * np.finfo(kind).eps).astype(kind)
         turned, base = (q @ rotation(int(dim), seed)).astype(kind), (q @ centre[dim]).astype(kind)
-        place = np.minimum(np.searchsorted(ids, asked_ids), len(ids) - 1)
-        here = ids[place] == asked_ids
+        place = pd.Index(part["row"]).get_indexer(asked_rows)
+        here = place >= 0
         for a in range(0, len(asked), 128):
             estimates = turned[a:a + 128] @ signs.T * scale + base[a:a + 128, None]
             for i, estimate in enumerate(estimates, a):
@@ -131,7 +131,7 @@ def search_block(queries: pd.DataFrame, vectors: pd.DataFrame, k: int, centre: d
                 near = near[rough >= np.partition(rough, len(rough) - n)[len(rough) - n] - 2 * slack[i]]
                 score = exact(q[i], rows[near].T)
                 best = np.lexsort((ids[near], -score))[:n]
-                out += [(int(asked_ids[i]), v, s) for v, s in zip(ids[near][best].tolist(), score[best].tolist())]
+                out += [(int(asked_rows[i]), int(asked_ids[i]), v, s) for v, s in zip(ids[near][best].tolist(), score[best].tolist())]
     return out
 
 
@@ -142,14 +142,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, vector_block: int
 
     Nearest first, ties to the smaller vec_id; all candidates if there are fewer than ``k``.
     Vectors that are NULL, empty, zero or hold NULL or non-finite components and rows without
-    a vec_id take no part. Of rows that repeat a vec_id, one counts, the one with the
-    smallest vector. Vectors of different length have no inner product and don't meet. Other
+    a vec_id take no part. Rows that repeat a vec_id all count, as queries (each with ranks
+    of its own) and as candidates, also of one another. Vectors of different length have no inner product and don't meet. Other
     columns are ignored.
     """
     python_workers(vectors.sparkSession)
-    rows = (vectors.select("vec_id", "embedding").where(usable() & F.col("vec_id").isNotNull())
-            .groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
-    rows = materialize(rows, "vectors")
+    rows = vectors.select("vec_id", "embedding").where(usable() & F.col("vec_id").isNotNull())
+    rows = materialize(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "embedding"), "vectors")
     centre = means(rows)
     coded = materialize(encode(rows, centre), "codes")
     queries = rows.where(F.coalesce(is_query, F.lit(False)))
@@ -158,17 +157,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, vector_block: int
     def numbers(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = (queries.withColumn("qb", F.pmod(F.xxhash64("vec_id", F.lit("query")), F.lit(n_queries)).cast("int"))
+    left = (queries.withColumn("qb", F.pmod(F.xxhash64("row", F.lit("query")), F.lit(n_queries)).cast("int"))
             .withColumn("vb", numbers(n_vectors)))
-    right = (coded.withColumn("vb", F.pmod(F.xxhash64("vec_id"), F.lit(n_vectors)).cast("int"))
+    right = (coded.withColumn("vb", F.pmod(F.xxhash64("row"), F.lit(n_vectors)).cast("int"))
              .withColumn("qb", numbers(n_queries)))
 
     def run(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         found = search_block(q, v, k, centre) if len(q) and len(v) else []
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+        return pd.DataFrame(found, columns=["query_row", "query_id", "vec_id", "score"])
 
     found = (left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb"))
-             .applyInPandas(run, "query_id long, vec_id long, score double"))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+             .applyInPandas(run, "query_row long, query_id long, vec_id long, score double"))
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
