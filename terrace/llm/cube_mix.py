@@ -21,7 +21,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.common import broadcast_if_small, free_name, materialize, python_workers, word_count
@@ -106,6 +106,20 @@ def _seed(*parts) -> int:
     return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "little")
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``again``: NULL for one row of those that are equal, 1, 2 ... for the others,
+    so that equal rows spread over blocks. A hash skips the NULL."""
+    group, row = rows.columns, free_name(rows.columns, "row")
+    stored = materialize(rows.withColumn(row, F.monotonically_increasing_id()), "rows")
+    numbered = number_within(stored, group, [row], "again").drop(row)
+    return numbered.withColumn("again", F.when(F.col("again") > 0, F.col("again")))
+
+
+def block(keys: Sequence[str], level: int, blocks: Column) -> Column:
+    """The block of a unit, by its keys."""
+    return F.pmod(F.xxhash64(*keys, F.lit(level)), blocks)
+
+
 def take(rows: DataFrame, targets: DataFrame, block_rows: int = BLOCK_ROWS, seed: int = 5) -> DataFrame:
     """``rows`` (key..., source, size) with ``copies``: how often each is taken.
 
@@ -142,7 +156,7 @@ def take(rows: DataFrame, targets: DataFrame, block_rows: int = BLOCK_ROWS, seed
         blocks = materialize(blocks, "blocks")
         last = (blocks.agg(F.max("blocks")).first()[0] or 1) <= 1
         dealt = (units.join(blocks, units["source"].eqNullSafe(F.col("of"))).drop("of")
-                 .withColumn("block", F.pmod(F.xxhash64(*keys, F.lit(level)), F.col("blocks"))).drop("blocks"))
+                 .withColumn("block", block(keys, level, F.col("blocks"))).drop("blocks"))
         flown = materialize(dealt.groupBy("source", "block").applyInPandas(fly(level, last), schema).drop("block"), "flown")
         is_open = (F.col("p") > 0) & (F.col("p") < 1)
         done = flown.where(~is_open)
@@ -161,7 +175,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     are one source of their own, the last. Every row is a unit, also if it repeats another;
     equal rows are interchangeable. An empty table gives no rows. Other columns are ignored.
     """
-    rows = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    rows = materialize(told_apart(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))), "sizes")
     targets = materialize(source_targets(rows, weights, share, most), "targets")
     copies = take(rows, targets)
     return (copies.join(targets.withColumnRenamed("source", "of"), copies["source"].eqNullSafe(F.col("of")))
