@@ -64,6 +64,32 @@ def _pages(rounds: int = 20, threshold: float = 0.5) -> str:
       FROM p LEFT JOIN r{rounds} r ON r.host = p.host"""
 
 
+def _codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (SELECT r, p, e, d FROM (
+            SELECT x.r, x.p, c.e, sum((x.x - c.x) * (x.x - c.x)) AS d FROM x JOIN c{k} c ON x.p = c.p AND x.j = c.j GROUP BY ALL)
+          QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1)""")
+        if k < rounds:
+            steps.append(f"""c{k + 1} AS MATERIALIZED (SELECT c.p, c.e, c.j, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN
+              (SELECT p, e, j, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x FROM (SELECT a.p, a.e, x.j, sum(x.x) AS s, count(*) AS n
+                FROM a{k} a JOIN x ON x.r = a.r AND x.p = a.p GROUP BY ALL)) m ON m.p = c.p AND m.e = c.e AND m.j = c.j)""")
+    return f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+          list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+      x AS MATERIALIZED (SELECT r, (i - 1) // (n // {parts}) AS p, (i - 1) % (n // {parts}) AS j, x FROM (
+        SELECT r, len(v) AS n, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept)),
+      c0 AS MATERIALIZED (SELECT p, r - 1 AS e, j, x FROM x WHERE r <= {entries}),
+      {", ".join(steps)},
+      coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+      SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+        (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, j)) FROM c{rounds}) AS codebooks_sha256
+      FROM kept k JOIN coded c ON c.r = k.r"""
+
+
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
 ORACLES: dict[str, str] = {
     "op1_pivot_near_vectors": f"""WITH RECURSIVE nodes AS (SELECT vec_id AS id, label, v FROM ({_VECTORS}) WHERE label IS NOT NULL),
       links AS (SELECT a.id AS u, b.id AS v FROM nodes a JOIN nodes b ON a.label = b.label AND a.id <> b.id
@@ -107,4 +133,30 @@ ORACLES: dict[str, str] = {
         ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
       SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
       FROM near QUALIFY rank <= 20""",
+    "op11_fill_middle": """WITH given AS (SELECT doc_id, coalesce(text, '') AS text,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+      cut AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u,
+        list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(h, k, 8) AS BIGINT)) AS h FROM given),
+      placed AS (SELECT *, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+          WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+      pieces AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+        coalesce(array_to_string(u[b + 1:n], ''), '') AS s FROM placed)
+      SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+          ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM pieces""",
+    "op12_leak_scan": f"""WITH item AS (SELECT item_id, regexp_extract_all({_lowered("text")}, '{_ITEM_WORD}') AS w FROM benchmark),
+      windows AS MATERIALIZED (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(len(w), 10) AS m, unnest(list_transform(
+        range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS g FROM item WHERE len(w) > 0),
+      doc AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_lowered("text")}, '{_ITEM_WORD}'), []) AS w FROM documents),
+      grams AS (SELECT r, s.m, unnest(range(1, len(w) - s.m + 2)) AS i, w FROM doc, (SELECT DISTINCT m FROM windows) s WHERE len(w) >= s.m),
+      found AS MATERIALIZED (SELECT r, d.m, i, x.item FROM (SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS g FROM grams) d
+        JOIN windows x ON x.m = d.m AND x.g = d.g),
+      words AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + m)) AS j FROM found) GROUP BY r),
+      items AS (SELECT r, list_sort(list(DISTINCT item)) AS ids FROM found WHERE item IS NOT NULL GROUP BY r)
+      SELECT d.doc_id, len(d.w) AS n_words, coalesce(w.n, 0) AS n_hit, coalesce(len(i.ids), 0) AS n_items,
+        sha256(coalesce(array_to_string(i.ids, ','), '')) AS items_sha256, w.n IS NOT NULL AS contaminated
+      FROM doc d LEFT JOIN words w ON w.r = d.r LEFT JOIN items i ON i.r = d.r""",
+    "op13_dual_tree_codes": _codes(),
 }

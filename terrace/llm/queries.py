@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import (best_fit, bpe_count, cube_mix, hash_tree, host_trust, line_suffix, one_bit_ann, pivot_neardup,
-                         sketch_join, subword_classifier)
+from terrace.llm import (best_fit, bpe_count, cube_mix, dual_tree, fill_middle, hash_tree, host_trust, leak_scan, line_suffix,
+                         one_bit_ann, pivot_neardup, sketch_join, subword_classifier)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,26 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_classifier.classify(docs, model, threshold=0.3)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = fill_middle.transform(docs, plain_above=90, spm_below=20)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2(F.col("output"), 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = leak_scan.find(docs, table(spark, sf_dir, "benchmark"), size=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_dual_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline.py, one after the other."""
     import corpus_pipeline
@@ -76,4 +96,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pivot_near_vectors, op2_token_counts, op3_parity_sketch_join, op4_hash_tree_shards,
                             op5_line_dedup, op6_cube_mix, op7_link_trust, op8_one_bit_search, op9_best_fit_packing,
-                            op10_quality_classifier, pipeline)}
+                            op10_quality_classifier, op11_fill_middle, op12_leak_scan, op13_dual_tree_codes, pipeline)}
