@@ -146,7 +146,7 @@ def delete_repeats(docs: DataFrame, min_words: int = 50) -> DataFrame:
     more: n_lines (of the text as it was) and n_deleted.
 
     Lines are what line feeds separate; they are compared as they are. Lines without a word
-    are not compared; they go only where they lie inside a deleted run. NULL and empty texts
+    are not compared; they go only where they lie inside one of the shortest stretches that go. NULL and empty texts
     and documents without a repeat stay as they are. Rows with the same id and text are one
     document and get the same result. Documents without an id come last in the order. Other
     columns pass through untouched.

@@ -115,10 +115,14 @@ ORACLES: dict[str, str] = {
         WHERE regexp_matches(line, '{_WORD}')),
       summed AS MATERIALIZED (SELECT *, row_number() OVER d AS i, sum(words) OVER d AS upto FROM own
         WINDOW d AS (PARTITION BY doc_id ORDER BY no)),
-      ends AS MATERIALIZED (SELECT a.doc_id, a.i, a.no, min(b.i) AS e, min(b.no) AS last FROM summed a JOIN summed b
-        ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50 GROUP BY ALL),
-      stretches AS (SELECT x.doc_id, x.i, x.no, x.last, string_agg(s.line, chr(10) ORDER BY s.i) AS body
-        FROM ends x JOIN summed s ON s.doc_id = x.doc_id AND s.i BETWEEN x.i AND x.e GROUP BY ALL),
+      -- A run of 50 words or more is the union of the shortest such runs from each of its lines on and,
+      -- for lines too near its end, the shortest that ends where it ends.
+      runs AS MATERIALIZED (SELECT a.doc_id, a.i, min(b.i) AS e FROM summed a JOIN summed b
+          ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50 GROUP BY ALL
+        UNION SELECT b.doc_id, max(a.i) AS i, b.i AS e FROM summed a JOIN summed b
+          ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50 GROUP BY b.doc_id, b.i),
+      stretches AS (SELECT x.doc_id, x.i, min(s.no) AS no, max(s.no) AS last, string_agg(s.line, chr(10) ORDER BY s.i) AS body
+        FROM runs x JOIN summed s ON s.doc_id = x.doc_id AND s.i BETWEEN x.i AND x.e GROUP BY x.doc_id, x.i, x.e),
       later AS (SELECT * FROM stretches QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, i) > 1),
       gone AS (SELECT DISTINCT doc_id, unnest(generate_series(no, last)) AS no FROM later),
       kept AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.no) FILTER (WHERE g.no IS NULL) AS text,

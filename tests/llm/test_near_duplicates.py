@@ -224,7 +224,7 @@ def test_shingle_near_duplicates_of_nothing(spark):
 # lines
 
 def brute_lines(rows, min_words):
-    """Later copies of every stretch of lines with at least ``min_words`` words."""
+    """Later copies of every run of lines with at least ``min_words`` words, of any length."""
     docs = sorted({(i is None, i or 0, t) for i, t, *_ in rows if t is not None}, key=repr)
     docs.sort(key=lambda d: (d[0], d[1]))
     seen, gone = set(), {}
@@ -233,12 +233,14 @@ def brute_lines(rows, min_words):
         cut = set()
         for a in range(len(lines)):
             for b in range(a, len(lines)):
-                stretch = tuple(x for _, x in lines[a:b + 1])
-                if sum(len(x.encode().split()) for x in stretch) >= min_words:
-                    if stretch in seen:
-                        cut |= set(range(lines[a][0], lines[b][0] + 1))
-                    seen.add(stretch)
-                    break
+                run = tuple(x for _, x in lines[a:b + 1])
+                size = [len(x.encode().split()) for x in run]
+                if sum(size) >= min_words:
+                    if run in seen:
+                        cut |= {k for k, _ in lines[a:b + 1]}
+                        if min(sum(size[1:]), sum(size[:-1])) < min_words:  # lines without a word go with shortest runs
+                            cut |= set(range(lines[a][0], lines[b][0] + 1))
+                    seen.add(run)
         gone[(none, doc_id, text)] = cut
     out = []
     for i, t, *_ in rows:

@@ -80,7 +80,7 @@ def test_pipeline_run_equals_its_stages_and_takes_an_empty_table(spark, small, t
 
 def test_registered_names():
     numbers = [int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
