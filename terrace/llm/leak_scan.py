@@ -83,8 +83,13 @@ class WindowSet:
     """The hash set that is broadcast: windows (words joined by one space) and their items."""
 
     def __init__(self, windows: list[str], items: list[list[str]]):
-        self.items = items
-        self.number = {w.encode(): k for k, w in enumerate(windows)}
+        self.number: dict[bytes, int] = {}
+        self.items: list[list[str]] = []
+        for w, ids in zip(windows, items):  # a window with many items has several rows
+            k = self.number.setdefault(w.encode(), len(self.items))
+            if k == len(self.items):
+                self.items.append([])
+            self.items[k].extend(ids)
         by_size: dict[int, list[bytes]] = {}
         for w in self.number:
             by_size.setdefault(w.count(b" ") + 1, []).append(w)
