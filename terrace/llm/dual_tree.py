@@ -142,18 +142,21 @@ def assign(points: np.ndarray, entries: np.ndarray, leaf: int = LEAF,
         node, entry = node[by], entry[by]
     if len(node):  # leaves with several entries: every point with each of them
         bounds = parts.bounds[level]
-        sizes = bounds[node + 1] - bounds[node]
-        owner, at = _ragged(bounds[node], sizes)
-        which = book.order[book.bounds[book_level][entry[owner]]]
-        gap = parts.points[at] - entries[which]
+        lead = np.flatnonzero(np.diff(node, prepend=-1))
+        open_, entry_count = node[lead], np.diff(np.append(lead, len(node)))
+        leaf_of, at = _ragged(bounds[open_], bounds[open_ + 1] - bounds[open_])
+        point, pair = _ragged(lead[leaf_of], entry_count[leaf_of])
+        which = book.order[book.bounds[book_level][entry[pair]]]
+        gap = parts.points[at[point]] - entries[which]
         far = (gap * gap).sum(axis=1)
-        by = np.lexsort((which, far, at))
-        nearest = by[np.flatnonzero(np.diff(at[by], prepend=-1))]
-        in_order[at[nearest]] = which[nearest]
-        np.add.at(sums, which[nearest], parts.points[at[nearest]])
-        np.add.at(counts, which[nearest], 1)
+        begin = np.flatnonzero(np.diff(point, prepend=-1))
+        least = np.minimum.reduceat(far, begin)
+        nearest = np.minimum.reduceat(np.where(far == least[point], which, k), begin)
+        in_order[at] = nearest
+        np.add.at(sums, nearest, parts.points[at])
+        np.add.at(counts, nearest, 1)
         if stats is not None:
-            stats["pairs"] = stats.get("pairs", 0) + len(at)
+            stats["pairs"] = stats.get("pairs", 0) + len(pair)
     codes[parts.order] = in_order
     return codes, sums, counts
 
