@@ -2,20 +2,26 @@
 
 Members must be unique on the ordering columns. They are range-sorted, tagged with
 ``monotonically_increasing_id()`` (partition index in the high bits, position in the low 33
-bits) and written to a table in the shared checkpoint folder, which cuts the lineage. The
-counts per sort partition become running offsets, one row per partition, and the key is
-offset + position + 1. Nothing is collected, and the path is the same at every size.
+bits) and written to a table in the shared checkpoint folder, which cuts the lineage. That
+write observes how many rows each sort partition has; their running sums are the offsets, and
+the key is offset + position + 1, a projection of the stored rows. No second pass counts
+anything, nothing but the partition counts reaches the driver, and the path is the same at
+every size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace.session import shared_dir
 
 _POSITION_BITS = 33
+ROW_ID = "_row_id"
 
 
 def payload_row_bytes(cols: Sequence[str]) -> Column:
@@ -51,22 +57,56 @@ def _order(natural_key: Sequence[str]) -> list[Column]:
     return [F.col(f"`{c}`").asc_nulls_first() for c in natural_key]
 
 
-def key_members(members: DataFrame, natural_key: Sequence[str], sk: str) -> DataFrame:
-    """Number ``members`` (unique on ``natural_key``) 1..n in ``natural_key`` order, NULLs
-    first."""
-    spark = members.sparkSession
-    cols = [F.col(f"`{c}`") for c in members.columns]
-    path = shared_dir(spark, "keys")
-    tagged = members.orderBy(*_order(natural_key)).withColumn("_row_id", F.monotonically_increasing_id())
-    tagged.write.mode("overwrite").parquet(path)
-    tagged = spark.read.schema(tagged.schema).parquet(path)
-    part = F.shiftright(F.col("_row_id"), _POSITION_BITS)
-    position = F.col("_row_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    counts = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return (tagged.join(offsets, part == F.col("_part"))
-            .select(*cols, (F.col("_offset") + position + F.lit(1)).alias(sk)))
+def order_of(natural_key: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{c}`").asc_nulls_first() for c in natural_key]
+
+
+@dataclass
+class Tagged:
+    """Stored rows in sort order, their ``ROW_ID``, the first rank of each sort partition, and
+    what was observed while they were written."""
+
+    df: DataFrame
+    offsets: list[int]
+    metrics: dict[str, object]
+
+    def rank(self) -> Column:
+        """Place of a row in the whole order, from 1."""
+        position = F.col(ROW_ID).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+        if len(self.offsets) > 1:
+            known = F.split(F.lit(",".join(map(str, self.offsets))), ",").cast("array<bigint>")
+            position = position + F.element_at(known, (F.shiftright(F.col(ROW_ID), _POSITION_BITS) + 1).cast("int"))
+        return position + F.lit(1)
+
+
+def write_tagged(ranged: DataFrame, name: str, metrics: Mapping[str, Column] | None = None) -> Tagged:
+    """Write ``ranged`` (range-partitioned and sorted within its partitions) once, with row ids,
+    observing ``metrics`` and the rows of each partition.
+
+    The counts per partition are a histogram of the partition index with more bins than there
+    are partitions, so every index keeps a bin of its own and the counts are exact. The
+    metrics sit in the writing stage, whose tasks count once however often one is run again.
+    """
+    spark = ranged.sparkSession
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+               int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0))
+    tagged = ranged.withColumn(ROW_ID, F.monotonically_increasing_id())
+    part = F.shiftright(F.col(ROW_ID), _POSITION_BITS).cast("double")
+    observation = Observation(f"{name}_{uuid.uuid4().hex}")  # unique: builds may run side by side
+    observed = tagged.observe(observation, F.count(F.lit(1)).alias("_rows"),
+                              F.histogram_numeric(part, F.lit(2 * most + 16)).alias("_parts"),
+                              *[m.alias(k) for k, m in (metrics or {}).items()])
+    path = shared_dir(spark, name)
+    observed.write.mode("overwrite").parquet(path)
+    seen = dict(observation.get)
+    counts = {int(b["x"]): int(b["y"]) for b in (seen.pop("_parts") or [])}
+    if sum(counts.values()) != seen["_rows"] or len(counts) > most:
+        raise RuntimeError(f"{name}: {seen['_rows']} rows, but {sum(counts.values())} in {len(counts)} partitions")
+    offsets, total = [], 0
+    for k in range(max(counts, default=-1) + 1):
+        offsets.append(total)
+        total += counts.get(k, 0)
+    return Tagged(spark.read.schema(tagged.schema).parquet(path), offsets, seen)
 
 
 def add_surrogate_key(df: DataFrame, natural_key: Sequence[str], sk: str) -> DataFrame:
@@ -75,4 +115,5 @@ def add_surrogate_key(df: DataFrame, natural_key: Sequence[str], sk: str) -> Dat
     Rows must be unique on ``natural_key`` for the numbering to be stable; then the key
     depends only on the data, never on partition boundaries or on re-evaluation.
     """
-    return key_members(df, natural_key, sk)
+    tagged = write_tagged(df.orderBy(*order_of(natural_key)), "keys")
+    return tagged.df.select(*[F.col(f"`{c}`") for c in df.columns], tagged.rank().alias(sk))

@@ -8,19 +8,17 @@ as a shuffled join with skew splitting of hot fact keys.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.operators.combine import distinct_members
-from terrace.operators.keys import key_members, payload_row_bytes
 from terrace.operators.keys import measure as _measure
-from terrace.operators.keys import measure_bounded
+from terrace.operators.keys import measure_bounded, order_of, payload_row_bytes, write_tagged
 from terrace.session import shared_dir
 from terrace.sources.tables import read_table, write_table
 
@@ -87,78 +85,124 @@ class DimensionSpec:
     def members(self) -> list[str]:
         return list(dict.fromkeys(self.natural_key + self.attributes))
 
+    @property
+    def key(self) -> list[str]:
+        """The columns that tell members apart: the natural key, with the attributes if they may differ."""
+        return self.members if self.allow_fanout else list(dict.fromkeys(self.natural_key))
+
+
+def _merged(orders: Sequence[Sequence[str]]) -> list[str] | None:
+    """One order of all columns that keeps each of ``orders``, or None if they contradict."""
+    left, out = [list(o) for o in orders], []
+    while any(left):
+        head = next((o[0] for o in left if o and not any(o[0] in other[1:] for other in left)), None)
+        if head is None:
+            return None
+        out.append(head)
+        left = [o[1:] if o and o[0] == head else o for o in left]
+    return out
+
+
+def _passes(specs: Mapping[str, DimensionSpec]) -> list[dict[str, DimensionSpec]]:
+    """Dimensions that one pass can build: at most ``MAX_GROUPING_COLUMNS`` columns (grouping_id
+    is a 64-bit mask), key orders that don't contradict, and the same key where the columns are
+    the same."""
+    out: list[dict[str, DimensionSpec]] = []
+    for name, spec in specs.items():
+        for batch in out:
+            both = [*batch.values(), spec]
+            if (len({c for s in both for c in s.members}) <= MAX_GROUPING_COLUMNS
+                    and _merged([s.key for s in both]) is not None
+                    and all(s.key == spec.key for s in batch.values() if set(s.members) == set(spec.members))):
+                batch[name] = spec
+                break
+        else:
+            out.append({name: spec})
+    return out
+
 
 def build_dimensions(df: DataFrame, specs: Mapping[str, DimensionSpec],
                      members_unique: bool = False) -> dict[str, Dimension]:
-    """Build several dimensions of one source with a single scan.
+    """Build several dimensions of one source with a single scan, a single sort and one write.
 
     All member lists come out of one ``GROUPING SETS`` aggregation (partial aggregation
-    map-side, one shuffle), tagged by ``grouping_id``; the combined list is written once
-    (measured per dimension by observed metrics of that same write) and numbered per
-    dimension. On a large source this replaces one full scan per dimension by one scan
-    in total.
+    map-side, one shuffle), tagged by ``grouping_id``. The combined list is range-sorted by that
+    tag and the natural keys, so each dimension is a stretch of it, and written once with row
+    ids. The same write observes rows and bytes per dimension and the rows per sort partition,
+    from which the keys are a projection. Where attributes should depend on the natural key, the
+    sorted rows of a key are merged before the write (no further shuffle) and keys with more than
+    one combination are counted along with the rest.
     """
-    all_cols = list(dict.fromkeys(c for spec in specs.values() for c in spec.members))
+    out: dict[str, Dimension] = {}
+    for batch in _passes(specs):
+        out.update(_build_pass(df, batch, members_unique))
+    return {name: out[name] for name in specs}
+
+
+def _build_pass(df: DataFrame, specs: Mapping[str, DimensionSpec], members_unique: bool) -> dict[str, Dimension]:
+    keys = _merged([s.key for s in specs.values()])
+    all_cols = keys + [c for c in dict.fromkeys(c for s in specs.values() for c in s.members) if c not in keys]
     n = len(all_cols)
-    if n > MAX_GROUPING_COLUMNS and len(specs) > 1:
-        # grouping_id() is a 64-bit mask: pack the dimensions into passes that fit.
-        out: dict[str, Dimension] = {}
-        batch: dict[str, DimensionSpec] = {}
-        for name, spec in specs.items():
-            cols = set(c for sp in batch.values() for c in sp.members) | set(spec.members)
-            if batch and len(cols) > MAX_GROUPING_COLUMNS:
-                out.update(build_dimensions(df, batch, members_unique))
-                batch = {}
-            batch[name] = spec
-        out.update(build_dimensions(df, batch, members_unique))
-        return out
-
-    def gid_of(cols: Sequence[str]) -> int:
-        return sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in cols)
-
-    sets = {name: gid_of(spec.members) for name, spec in specs.items()}
+    sets = {name: sum(1 << (n - 1 - i) for i, c in enumerate(all_cols) if c not in spec.members)
+            for name, spec in specs.items()}
+    gids = sorted(set(sets.values()))
     if len(specs) == 1:
-        only = next(iter(specs.values()))
-        members = (df.select(*[_q(c) for c in only.members]) if members_unique
-                   else distinct_members(df, only.members))
-        grouped = members.withColumn("_gid", F.lit(next(iter(sets.values()))))
+        grouped = df.select(*[_q(c) for c in all_cols]) if members_unique else distinct_members(df, all_cols)
+        tag: list[Column] = []
     else:
         # A set is its columns, whatever their order: one grouping set for each grouping_id.
         unique_sets = list(dict.fromkeys(tuple(c for c in all_cols if c in spec.members) for spec in specs.values()))
         grouped = df.groupingSets([[_q(c) for c in cols] for cols in unique_sets], *[_q(c) for c in all_cols])
         grouped = grouped.agg(F.grouping_id().alias("_gid"))
-    # Per-dimension row counts and payload bytes are observed while the member list is
-    # written (no second pass). They only steer strategy (broadcast, key path).
-    gids = sorted(set(sets.values()))
-    row_bytes = payload_row_bytes(all_cols)
-    observation = Observation(f"dimension_members_{uuid.uuid4().hex}")  # unique: builds may run side by side
-    observed = grouped.observe(observation, *[
-        m for g in gids for m in (F.count_if(F.col("_gid") == g).alias(f"n{g}"),
-                                  F.sum(F.when(F.col("_gid") == g, row_bytes)).alias(f"b{g}"))])
-    path = shared_dir(df.sparkSession, "members")
-    observed.write.mode("overwrite").parquet(path)
-    combined = df.sparkSession.read.parquet(path)
-    metrics = observation.get
-    stats = {g: (int(metrics.get(f"n{g}") or 0), int(metrics.get(f"b{g}") or 0)) for g in gids}
+        tag = [F.col("_gid")]
+    # A column can be part of one dimension's key and an attribute of another.
+    keyed_in = {c: [sets[m] for m, s in specs.items() if c in s.key] for c in keys}
+    member_in = {c: [sets[m] for m, s in specs.items() if c in s.members] for c in keys}
+    masked = [c for c in keys if set(keyed_in[c]) != set(member_in[c])]
+    attributes = [c for c in all_cols if c not in keys] + masked
+    key_names = [f"_key_{c}" if c in masked else c for c in keys]
+    grouped = grouped.withColumns({f"_key_{c}": F.when(F.col("_gid").isin(keyed_in[c]), _q(c)) for c in masked})
+    ranged = grouped.repartitionByRange(*tag, *order_of(key_names))
+    metrics: dict[str, Column] = {}
+    if attributes:
+        one = F.struct(*[_q(c) for c in attributes])
+        ranged = (ranged.groupBy(*tag, *[_q(c) for c in key_names]).agg(F.min(one).alias("_low"), F.max(one).alias("_high"))
+                  .withColumns({f"_attr_{c}": F.col(f"_low.`{c}`") for c in attributes}))
+    ranged = ranged.sortWithinPartitions(*tag, *order_of(key_names))
+    row_bytes = payload_row_bytes(key_names + [f"_attr_{c}" for c in attributes])
+    for g in gids:
+        mine = F.col("_gid") == g if tag else F.lit(True)
+        metrics[f"n{g}"] = F.count_if(mine)
+        metrics[f"b{g}"] = F.sum(F.when(mine, row_bytes))
+        if attributes:
+            metrics[f"v{g}"] = F.count_if(mine & ~F.col("_low").eqNullSafe(F.col("_high")))
+    tagged = write_tagged(ranged, "members", metrics)
+    base, before = {}, 0
+    for g in gids:
+        base[g] = before
+        before += int(tagged.metrics[f"n{g}"] or 0)
     out: dict[str, Dimension] = {}
     for name, spec in specs.items():
-        members = combined.filter(F.col("_gid") == sets[name]).select(*[_q(c) for c in spec.members])
-        rows, size = stats.get(sets[name], (0, 0))
+        g = sets[name]
+        rows, size = int(tagged.metrics[f"n{g}"] or 0), int(tagged.metrics[f"b{g}"] or 0)
+        several = int(tagged.metrics.get(f"v{g}") or 0)
+        if several:
+            raise ValueError(f"{spec.sk}: {several} of {rows} natural keys have more than one combination of the attributes "
+                             f"{list(spec.attributes)}, which do not depend on {list(spec.natural_key)}; rows would fan out. "
+                             "Add them to the key or pass allow_fanout=True")
+        stored = {c: (f"_key_{c}" if c in masked else c) if c in spec.key else f"_attr_{c}" for c in spec.members}
+        members = tagged.df.filter(F.col("_gid") == g) if tag else tagged.df
+        members = members.select(*[_q(stored[c]).alias(c) for c in spec.members],
+                                 (tagged.rank() - F.lit(base[g])).alias(spec.sk))
         derived_names: list[str] = []
         if spec.derived:
             members = members.withColumns(dict(spec.derived))
             derived_names = [c for c in spec.derived if c not in spec.members]
-        if not spec.allow_fanout and set(spec.members) != set(spec.natural_key):
-            distinct = members.select(*[_q(c) for c in spec.natural_key]).distinct().count()
-            if distinct != rows:
-                raise ValueError(f"{spec.sk}: {rows} members for {distinct} natural keys: the attributes "
-                                 f"{list(spec.attributes)} do not depend on {list(spec.natural_key)}; rows would fan out. "
-                                 "Add them to the key or pass allow_fanout=True")
-        keyed = key_members(members, spec.members, spec.sk)
+            members = members.select(*[_q(c) for c in spec.members + derived_names], _q(spec.sk))
         attrs = [c for c in spec.members if c not in spec.natural_key] + derived_names
         # The key and the derived columns count as well: 8 bytes for each, text measured on demand.
-        fixed = all(not isinstance(keyed.schema[c].dataType, T.StringType) for c in derived_names)
-        out[name] = Dimension(keyed, list(spec.natural_key), spec.sk, attrs, rows if fixed else None,
+        fixed = all(not isinstance(members.schema[c].dataType, T.StringType) for c in derived_names)
+        out[name] = Dimension(members, list(spec.natural_key), spec.sk, attrs, rows if fixed else None,
                               size + 8 * rows * (1 + len(derived_names)) if fixed else None)
     return out
 
