@@ -262,6 +262,7 @@ def lookup(fact: DataFrame, ref: DimRef, alias: str, broadcast_limit: int = DEFA
     fact_on = list(ref.fact_on or on)
     if len(fact_on) != len(on):
         raise ValueError("fact_on and on must have the same length")
+    check_key_types(fact, fact_on, ref.dim.df, on)
     dim = ref.dim.measured()
     right_cols = list(dict.fromkeys(on + [dim.sk] + list(ref.carry)))
     right = dim.df.select(*[_q(c).alias(f"{alias}__{c}") for c in right_cols])
@@ -350,6 +351,8 @@ def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] |
     conditions (AND-ed) or a list of names (USING: one copy of each key). The broadcast
     hint is applied only after measuring ``small`` (one distributed aggregation); beyond
     the limit AQE picks the join."""
+    if isinstance(on, (list, tuple)) and all(isinstance(c, str) for c in on):
+        check_key_types(df, on, small, on)
     fits = measure_bounded(small, broadcast_limit)
     right = F.broadcast(small) if fits is not None else small
     if isinstance(on, (list, tuple)) and on and all(isinstance(c, Column) for c in on):
@@ -359,56 +362,59 @@ def join_small(df: DataFrame, small: DataFrame, on: Column | Sequence[Column] |
 
 MAX_GROUPING_COLUMNS = 60
 HOT_KEY_ROWS = 5_000_000
-
-
-def _salted_left_join(df: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
-                      using: bool, plain, hot_key_rows: int) -> DataFrame:
-    """LEFT JOIN that splits hot right-side keys over salted partitions.
-
-    Keys of ``right`` with more than ``hot_key_rows`` rows are found by a map-side combined
-    count; there are at most ``rows(right) / hot_key_rows`` of them, so that list is safe to
-    broadcast. Cold keys take the ordinary left join (no key is large any more). For hot
-    keys every left row has a partner, so an inner join is exact: each key has
-    ``ceil(its rows / hot_key_rows)`` salts; its left rows are replicated over them and its
-    right rows spread by a hash of the row (the same whenever a task is run again), so a
-    task sees about ``hot_key_rows`` right rows of a key however large the key is.
+# Keys that one sketch follows, how many hot ones are used at most, and groups that merge sketches first.
+TRACKED_KEYS = 20_000
+HOT_KEYS = 1_000
+SKETCH_GROUPS = 256
+_SKETCHED = (T.BooleanType, T.IntegralType, T.FloatType, T.DoubleType, T.DecimalType, T.StringType, T.DateType, T.TimestampType)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], more_than: int, names: Sequence[str], tracked: int = TRACKED_KEYS) -> DataFrame | None:
+    """The keys that hold more than ``more_than`` rows of ``df`` by a heavy-hitter sketch, as a
+    local table of the key columns (called ``names``) and ``_hot``, how many times ``more_than``
+    they hold; None if there is none. Keys with a NULL part are left out.
+
+    One pass over the key columns. Every task keeps a sketch of ``tracked`` keys; they merge in
+    ``SKETCH_GROUPS`` groups first, then those do, so no task reads all of them. A key
+    with more than about four times rows / ``tracked`` rows cannot be missed. Estimates may be a
+    little high, which costs a salt and no result. Every listed key occurs in ``df``.
     """
-    names = [f"_h{i}" for i in range(len(right_keys))]
-    counts = (right.groupBy(*[_q(c).alias(n) for c, n in zip(right_keys, names)])
-              .agg(F.count(F.lit(1)).alias("_n")))
-    not_null = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
-    hot = counts.filter(not_null & (F.col("_n") > hot_key_rows))
-    if not hot.take(1):
-        return plain(df, right)
-    salts = F.ceil(F.col("_n") / hot_key_rows).cast("int")
-    hot_b = F.broadcast(materialize(hot.select(*names, salts.alias("_hot")), "hot-keys"))
-
-    def tag(side: DataFrame, keys: list[str]) -> DataFrame:
-        cond = reduce(lambda a, b: a & b, [_q(k) == F.col(n) for k, n in zip(keys, names)])
-        return side.join(hot_b, cond, "left").drop(*names)
-
-    r_tagged, l_tagged = tag(right, right_keys), tag(df, left_keys)
-    r_cold = r_tagged.filter(F.col("_hot").isNull()).drop("_hot")
-    l_cold = l_tagged.filter(F.col("_hot").isNull()).drop("_hot")
-    r_hot = (r_tagged.filter(F.col("_hot").isNotNull())
-             .withColumn("_salt", F.pmod(F.xxhash64(*[_q(c) for c in right.columns]), F.col("_hot")).cast("int")).drop("_hot"))
-    l_hot = (l_tagged.filter(F.col("_hot").isNotNull())
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_hot") - 1))).drop("_hot"))
-    if using:
-        hot_joined = l_hot.join(r_hot, left_keys + ["_salt"], "inner").drop("_salt")
-    else:
-        lq = lambda c: F.col(f"`_sl`.`{c}`")
-        rq = lambda c: F.col(f"`_sr`.`{c}`")
-        cond = reduce(lambda a, b: a & b, [lq(lk) == rq(rk) for lk, rk in zip(left_keys, right_keys)])
-        hot_joined = (l_hot.alias("_sl").join(r_hot.alias("_sr"), cond & (lq("_salt") == rq("_salt")), "inner")
-                      .select(*[lq(c).alias(c) for c in df.columns], *[rq(c).alias(c) for c in right.columns]))
-    cold_joined = plain(l_cold, r_cold)
-    return cold_joined.unionByName(hot_joined.select(*[_q(c) for c in cold_joined.columns]))
+    types = [df.schema[k].dataType for k in keys]
+    whole = len(keys) == 1 and isinstance(types[0], _SKETCHED)
+    item = _q(keys[0]) if whole else F.to_json(F.struct(*[_q(k).alias(n) for k, n in zip(keys, names)]))
+    not_null = reduce(lambda a, b: a & b, [_q(k).isNotNull() for k in keys])
+    first = (df.where(not_null).select(item.alias("_item"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_some"))
+             .groupBy("_some").agg(F.expr(f"approx_top_k_accumulate(_item, {tracked})").alias("_sketch")))
+    # Grouped by a constant: without rows there is no sketch to combine.
+    top = first.groupBy(F.lit("all").alias("_all")).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {tracked}), {min(HOT_KEYS, tracked)})").alias("t")).first()
+    hot = [(r["item"], -(-r["count"] // more_than)) for r in (top["t"] if top else []) if r["count"] > more_than]
+    if not hot:
+        return None
+    kind = types[0] if whole else T.StringType()
+    table = df.sparkSession.createDataFrame(hot, T.StructType([T.StructField("_item", kind), T.StructField("_hot", T.LongType())]))
+    if whole:
+        return table.select(F.col("_item").alias(names[0]), F.col("_hot").cast("int").alias("_hot"))
+    back = T.StructType([T.StructField(n, t) for n, t in zip(names, types)])
+    return table.select(F.from_json("_item", back).alias("k"), F.col("_hot").cast("int").alias("_hot")).select("k.*", "_hot")
+
+
+def check_key_types(left: DataFrame, left_keys: Sequence[str], right: DataFrame, right_keys: Sequence[str]) -> None:
+    """Key pairs must be of comparable kinds: under ANSI rules one text that is no number would
+    otherwise stop the job that compares it with numbers."""
+    def kind(t: T.DataType) -> str:
+        return "number" if isinstance(t, T.NumericType) else "time" if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) \
+            else "any" if isinstance(t, T.NullType) else t.typeName()
+
+    for lk, rk in zip(left_keys, right_keys):
+        lt, rt = left.schema[lk].dataType, right.schema[rk].dataType
+        if kind(lt) != kind(rt) and "any" not in (kind(lt), kind(rt)):
+            raise TypeError(f"join keys {lk!r} ({lt.simpleString()}) and {rk!r} ({rt.simpleString()}) have different types; "
+                            "cast one of them (try_cast keeps dirty values as NULL)")
 
 
 def enrich(df: DataFrame, other: DataFrame, on: Sequence[str] | tuple[Sequence[str], Sequence[str]],
-           dedupe_other: bool = True, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-           hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+           dedupe_other: bool = True, hot_key_rows: int = HOT_KEY_ROWS, other_unique: bool = False) -> DataFrame:
     """Left join that keeps every row of ``df`` (NULLs where ``other`` has no partner).
 
     ``on`` is a key name or list of shared key names (USING: one copy of each key) or a
@@ -417,45 +423,47 @@ def enrich(df: DataFrame, other: DataFrame, on: Sequence[str] | tuple[Sequence[s
     unless ``dedupe_other=False``.
 
     Skew: in a shuffled LEFT OUTER join only the preserved (left) side can be split, so a
-    right-side key holding a large share of ``other`` would land in one task. When ``df``
-    measures small, the join is instead rewritten as (a) ``other`` inner-joined to the
-    broadcast ``df`` (map-only: no shuffle, no skew) plus (b) the rows of ``df`` whose key
-    is absent from the distinct keys of ``other`` (a map-side combined aggregation). For a
-    larger ``df`` the hot keys of ``other`` (more than ``hot_key_rows`` rows) are split
-    over salted partitions and the rest takes the ordinary left join.
+    key of ``other`` with a large share of its rows would land in one task. One pass over the
+    keys of ``other`` sketches its heavy hitters (:func:`hot_keys`). If any has more than
+    ``hot_key_rows`` rows, its rows are spread over salts by a hash of the whole row (the same
+    whenever a task is run again), its left rows are copied to every salt, and copies that meet
+    no row are dropped: a hot key has partners, so each left row keeps some. All other keys have
+    one salt. It is one left join either way: ``df`` is scanned once, ``other`` twice.
+    ``other_unique=True`` states that ``other`` has at most one row a key; there is no sketch then.
     """
-    right = other.dropDuplicates() if dedupe_other else other
     if isinstance(on, str):
         on = [on]
     using = not (isinstance(on, tuple) and len(on) == 2 and not isinstance(on[0], str))
     left_keys, right_keys = (list(on), list(on)) if using else (list(on[0]), list(on[1]))
-    def plain(left: DataFrame, rgt: DataFrame) -> DataFrame:
-        if using:
-            return left.join(rgt, left_keys, "left")
-        cond = reduce(lambda a, b: a & b, [left[lk] == rgt[rk] for lk, rk in zip(left_keys, right_keys)])
-        return left.join(rgt, cond, "left")
-
-    if measure_bounded(df, broadcast_limit) is None:
-        return _salted_left_join(df, right, left_keys, right_keys, using, plain, hot_key_rows)
-
-    small = F.broadcast(df)
-    left_rest = [c for c in df.columns if not (using and c in left_keys)]
-    right_rest = [c for c in right.columns if not (using and c in right_keys)]
+    check_key_types(df, left_keys, other, right_keys)
+    names = [f"_h{i}" for i in range(len(right_keys))]
+    hot = None if other_unique else hot_keys(other, right_keys, hot_key_rows, names)
+    right = other.dropDuplicates() if dedupe_other else other
+
+    # Positions instead of names inside the join, so the sides cannot clash.
+    l_names, r_names = [f"_l{i}" for i in range(len(df.columns))], [f"_r{i}" for i in range(len(right.columns))]
+    l_of, r_of = dict(zip(df.columns, l_names)), dict(zip(right.columns, r_names))
+    lt, rt = df.toDF(*l_names), right.toDF(*r_names)
+    conds = [F.col(l_of[lk]) == F.col(r_of[rk]) for lk, rk in zip(left_keys, right_keys)]
+    if hot is not None:
+        def with_salts(side: DataFrame, keys: list[str]) -> DataFrame:
+            match = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip(keys, names)])
+            return side.join(F.broadcast(hot), match, "left").drop(*names).withColumn("_hot", F.coalesce("_hot", F.lit(1)))
+
+        lt = (with_salts(lt, [l_of[k] for k in left_keys])
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_hot") - 1))))
+        rt = (with_salts(rt, [r_of[k] for k in right_keys])
+              .withColumn("_rsalt", F.pmod(F.xxhash64(*r_names), F.col("_hot")).cast("int")).drop("_hot"))
+        conds.append(F.col("_salt") == F.col("_rsalt"))
+    joined = lt.join(rt, reduce(lambda a, b: a & b, conds), "left")
+    if hot is not None:
+        joined = joined.where((F.col("_hot") == 1) | F.col("_rsalt").isNotNull())
     if using:
-        matched = right.join(small, left_keys, "inner")
-        out_cols = left_keys + left_rest + right_rest
+        out = [(l_of[c], c) for c in left_keys + [c for c in df.columns if c not in left_keys]]
+        out += [(r_of[c], c) for c in right.columns if c not in right_keys]
     else:
-        cond_b = reduce(lambda a, b: a & b, [small[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)])
-        matched = right.join(small, cond_b, "inner")
-        out_cols = df.columns + right.columns
-    matched = matched.select(*[_q(c) for c in out_cols])
-    present = right.select(*[_q(rk).alias(f"_k{i}") for i, rk in enumerate(right_keys)]).distinct()
-    anti_cond = reduce(lambda a, b: a & b, [_q(lk) == F.col(f"_k{i}") for i, lk in enumerate(left_keys)])
-    missing = df.join(present, anti_cond, "left_anti")
-    types = {f.name: f.dataType for f in right.schema.fields}
-    missing = missing.select(*[_q(c) for c in (left_keys + left_rest if using else df.columns)],
-                             *[F.lit(None).cast(types[c]).alias(c) for c in right_rest])
-    return matched.unionByName(missing)
+        out = [(l_of[c], c) for c in df.columns] + [(r_of[c], c) for c in right.columns]
+    return joined.select(*[F.col(n).alias(c) for n, c in out])
 
 
 def left_lookup_first(df: DataFrame, df_key: str, other: DataFrame, other_key: str, value: str,
@@ -463,6 +471,7 @@ def left_lookup_first(df: DataFrame, df_key: str, other: DataFrame, other_key: s
     """``df`` left-joined to ``other`` and grouped back to one row per ``df_key`` with the
     first (smallest) non-NULL ``value``. ``other`` is reduced to one row per key *before*
     the join (min is decomposable), so a key with millions of matches never fans out."""
+    check_key_types(df, [df_key], other, [other_key])
     reduced = other.groupBy(_q(other_key).alias("_k")).agg(F.min(_q(value)).alias(alias or value))
     joined = df.join(reduced, _q(df_key) == F.col("_k"), "left").drop("_k")
     return joined.groupBy(_q(df_key)).agg(F.min(_q(alias or value)).alias(alias or value))

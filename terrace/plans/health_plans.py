@@ -121,7 +121,7 @@ def gold(spark: SparkSession, layout: Layout) -> None:
     # Plan: features enriched with the technical-note type and the operator key (snowflake).
     # One type per plan before the join, NULL first: the one that the plan's row keeps.
     plan_types = pricing.groupBy("id_plano").agg(F.min(F.struct("nt_tipo")).alias("t")).select("id_plano", "t.nt_tipo")
-    plans = enrich(features, plan_types, "id_plano", dedupe_other=False)
+    plans = enrich(features, plan_types, "id_plano", dedupe_other=False, other_unique=True)
     op_keys = operadora.df.select(F.col("reg_ans").alias("_reg"), "sk_operadora")
     plans = plans.join(op_keys, F.col("registro_operadora") == F.col("_reg"), "left").select(*PLAN_COLUMNS)
     plan_members = dedupe(plans, ["id_plano"])

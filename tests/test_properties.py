@@ -39,13 +39,11 @@ def test_dense_keys_equal_row_number(spark, rows, parts, distributed):
 @SETTINGS
 @given(left=st.lists(st.tuples(keys, st.text("xy", max_size=2)), min_size=1, max_size=20),
        right=st.lists(st.tuples(keys, st.integers(0, 5)), max_size=40),
-       path=st.sampled_from(["broadcast", "salted", "plain"]))
-def test_enrich_equals_left_join(spark, left, right, path):
+       hot_key_rows=st.sampled_from([1, 2, 10**6]))
+def test_enrich_equals_left_join(spark, left, right, hot_key_rows):
     l_df = spark.createDataFrame(left, "k int, a string")
     r_df = spark.createDataFrame(right, "rk int, b int")
-    opts = {"broadcast": {}, "salted": {"broadcast_limit": 0, "hot_key_rows": 2},
-            "plain": {"broadcast_limit": 0, "hot_key_rows": 10**6}}[path]
-    got = enrich(l_df, r_df, (["k"], ["rk"]), dedupe_other=False, **opts)
+    got = enrich(l_df, r_df, (["k"], ["rk"]), dedupe_other=False, hot_key_rows=hot_key_rows)
     ref = l_df.join(r_df, l_df.k == r_df.rk, "left")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, ref.collect()), key=repr)
 
