@@ -276,15 +276,55 @@ def lookup(fact: DataFrame, ref: DimRef, alias: str, broadcast_limit: int = DEFA
     return joined.select(*[_q(c) for c in fact.columns if c not in {dim.sk, *ref.carry}], *keep)
 
 
+def _together(silver: DataFrame, dims: Sequence[DimRef], broadcast_limit: int) -> list[DimRef]:
+    """The look-ups too large to broadcast, if there are several and all their key columns are
+    ``silver``'s own (not keys that other look-ups add)."""
+    added = {c.lower() for ref in dims for c in [ref.dim.sk, *ref.carry]}
+    own = {c.lower() for c in silver.columns} - added
+    large = [ref for ref in dims if (ref.dim.measured().bytes or 0) > broadcast_limit
+             and all(c.lower() in own for c in ref.fact_on or ref.key_columns())]
+    return large if len(large) > 1 else []
+
+
+def lookup_together(fact: DataFrame, refs: Sequence[DimRef], broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """Several look-ups with one shuffle of ``fact``: its distinct key combinations (partial
+    aggregation map-side, key columns only) are joined to every dimension, and the combinations
+    with all their surrogate keys once to ``fact``. NULL policies and fan-out hold as in
+    :func:`lookup`; adaptive execution splits hot combinations of the last join."""
+    null_safe: dict[str, bool] = {}
+    for ref in refs:
+        on = ref.key_columns()
+        for f_col, d_col in zip(ref.fact_on or on, on):
+            # One look-up that drops NULLs is enough to lose the row.
+            null_safe[f_col] = null_safe.get(f_col, True) and ref.policy(d_col) == "match"
+    combos = fact.select(*[_q(c) for c in null_safe])
+    for c, kept in null_safe.items():
+        if not kept:
+            combos = combos.where(_q(c).isNotNull())
+    combos = combos.distinct()
+    for i, ref in enumerate(refs):
+        combos = lookup(combos, ref, f"g{i}", broadcast_limit)
+    added = list(dict.fromkeys(c for ref in refs for c in [ref.dim.sk, *ref.carry]))
+    right = combos.select(*[_q(c).alias(f"_combo_{c}") for c in [*null_safe, *added]])
+    conds = [_q(c).eqNullSafe(F.col(f"`_combo_{c}`")) if kept else _q(c) == F.col(f"`_combo_{c}`") for c, kept in null_safe.items()]
+    joined = fact.join(right, reduce(lambda a, b: a & b, conds))
+    return joined.select(*[_q(c) for c in fact.columns if c not in added], *[F.col(f"`_combo_{c}`").alias(c) for c in added])
+
+
 def build_fact(silver: DataFrame, dims: Sequence[DimRef], measures: Sequence[str | Column] = (),
                degenerate: Sequence[str] = (), constants: Mapping[str, object] | None = None,
                broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Chain one inner look-up per dimension and keep keys, measures and ``degenerate``
     (pass-through) columns. Under the default NULL policy a row whose natural key has a
-    NULL part has no member to match and is dropped."""
-    fact = silver
+    NULL part has no member to match and is dropped.
+
+    Dimensions below the broadcast limit are map-side joins. Two or more above it are looked up
+    together (:func:`lookup_together`), so the fact is shuffled once, not once for each."""
+    large = _together(silver, dims, broadcast_limit)
+    fact = lookup_together(silver, large, broadcast_limit) if large else silver
     for i, ref in enumerate(dims):
-        fact = lookup(fact, ref, f"d{i}", broadcast_limit)
+        if not any(ref is x for x in large):
+            fact = lookup(fact, ref, f"d{i}", broadcast_limit)
     sk_cols = []
     for ref in dims:
         sk_cols += [ref.dim.sk] + [c for c in ref.carry if c not in sk_cols]
@@ -307,11 +347,11 @@ def star_rollup(fact: DataFrame, dims: Sequence[Dimension], group_by: Sequence[s
     ``sum``, ``count``, ``min``, ``max`` and ``avg``; anything else is an error. ``count`` counts
     non-NULL values, ``avg`` is a double.
 
-    When every dimension is small enough to broadcast, the fact is joined map-side and
-    aggregated once (partial aggregation before the single shuffle). Otherwise the fact is
-    first reduced to one row per surrogate-key combination, so only that reduced set takes
-    part in the shuffled joins, and the partial results are merged. Values and types are the
-    same either way.
+    Dimensions small enough to broadcast are joined map-side. If all are, the fact is aggregated
+    once (partial aggregation before the single shuffle). Otherwise it is first reduced to one row
+    per attribute group of the small dimensions and surrogate keys of the large ones, so only that
+    reduced set takes part in the shuffled joins, and the partial results are merged. Values and
+    types are the same either way.
     """
     for name, (merge, _) in measures.items():
         if merge not in MERGES:
@@ -325,16 +365,23 @@ def star_rollup(fact: DataFrame, dims: Sequence[Dimension], group_by: Sequence[s
         else:
             first[name] = getattr(F, merge)(value[name])
     whole = fact.agg(*[e.alias(n) for n, e in first.items()]).schema
-    measured = [d.measured() for d in dims]
+    small = [d for d in dims if (d.measured().bytes or 0) <= broadcast_limit]
+    large = [d for d in dims if not any(d is x for x in small)]
+
+    def attributes(d: Dimension) -> list[str]:
+        return [c for c in d.natural_key + d.attributes if c in group_by]
+
     base, aggregates = fact, first
-    if any((d.bytes or 0) > broadcast_limit for d in measured):
-        base = fact.groupBy(*[_q(d.sk) for d in measured]).agg(*[e.alias(n) for n, e in first.items()])
+    for d in small:
+        base = base.join(F.broadcast(d.df.select(_q(d.sk), *[_q(c) for c in attributes(d)])), d.sk)
+    if large:
+        later = {c for d in large for c in attributes(d)}
+        groups = [c for c in group_by if c not in later]
+        base = base.groupBy(*[_q(c) for c in groups], *[_q(d.sk) for d in large]).agg(*[e.alias(n) for n, e in first.items()])
         again = {n: (merge if merge in ("min", "max") else "sum") for n, (merge, _) in measures.items()}
         aggregates = {n: getattr(F, again.get(n, "sum"))(_q(n)) for n in first}
-    for d in measured:
-        needed = [c for c in d.natural_key + d.attributes if c in group_by]
-        right = d.df.select(_q(d.sk), *[_q(c) for c in needed])
-        base = base.join(size_checked_broadcast(right, d.bytes or 0, broadcast_limit), d.sk)
+    for d in large:
+        base = base.join(d.df.select(_q(d.sk), *[_q(c) for c in attributes(d)]), d.sk)
     out = base.groupBy(*[_q(c) for c in group_by]).agg(*[e.alias(n) for n, e in aggregates.items()])
 
     def result(name: str, merge: str) -> Column:
