@@ -12,20 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.sources.landing import land_csv
+
 
 def read_csv(spark: SparkSession, path: str | list[str], delimiter: str = ",",
              schema: T.StructType | str | None = None, header: bool = True) -> DataFrame:
     """Headered CSV scan.
 
-    With ``schema`` the scan is a single pass; without it Spark infers the types with an
-    extra pass over all rows, as the landing jobs do.
+    With ``schema`` the scan is lazy and typed by it. Without one the types are those of the
+    values, as the landing jobs infer them, yet the extract is parsed once
+    (:func:`terrace.sources.landing.land_csv`).
     """
-    reader = spark.read.option("header", header).option("delimiter", delimiter)
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return land_csv(spark, path, delimiter, header)
+    return spark.read.option("header", header).option("delimiter", delimiter).schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, delimiter: str = ",") -> None:

@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_FORMAT = "parquet"
+# Formats whose tables are plain folders of files (others keep a schema of their own).
+FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro")
+
+
+# A hidden folder of a partitioned table (readers skip names that begin with an underscore).
+SCHEMA_FOLDER = "_schema"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema that :func:`write_table` left beside a partitioned table, or None."""
+    try:
+        lines = spark.read.schema("value string").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}").collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return T.StructType.fromJson(json.loads(lines[0]["value"])) if len(lines) == 1 else None
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT,
@@ -16,16 +36,21 @@ def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT,
     """Scan a stored table by path. Hive-style partition folders become columns and
     filters on them prune folders (``PartitionFilters`` in the plan).
 
-    Folder names carry no type: Spark infers one, and ``01`` and ``1`` become the same integer.
-    ``partition_types`` declares the types that were written (column -> type); columns that
-    the table doesn't have are ignored.
+    Folder names carry no type: Spark would infer one, and ``01`` and ``1`` become the same
+    integer. Tables of :func:`write_table` carry their schema, which is used as it is. For
+    tables written elsewhere ``partition_types`` declares the types (column -> type); columns
+    that the table doesn't have are ignored.
     """
-    df = spark.read.format(fmt).load(path)
+    schema = stored_schema(spark, path) if fmt in FILE_FORMATS else None
+    reader = spark.read.format(fmt)
+    df = reader.schema(schema).load(path) if schema is not None else reader.load(path)
     declared = {c.lower(): t for c, t in (partition_types or {}).items()}
     if not any(f.name.lower() in declared for f in df.schema):
         return df
-    schema = T.StructType([T.StructField(f.name, T._parse_datatype_string(declared[f.name.lower()]), True)
-                           if f.name.lower() in declared else f for f in df.schema])
+    types = {c: T._parse_datatype_string(t) for c, t in declared.items()}
+    if all(types.get(f.name.lower(), f.dataType) == f.dataType for f in df.schema):
+        return df
+    schema = T.StructType([T.StructField(f.name, types.get(f.name.lower(), f.dataType), True) for f in df.schema])
     return spark.read.format(fmt).schema(schema).load(path)
 
 
@@ -39,7 +64,10 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT,
     with Spark's ``REBALANCE`` hint: each partition value is written by few tasks (few,
     large files instead of tasks x values small ones), and adaptive execution splits a
     value that holds a large share of the rows over several tasks, so skew cannot pile
-    it into one writer.
+    it into one writer. A partitioned table also gets its schema in a hidden folder, written
+    by the same call right after the rows and replaced with them, so a reader knows the
+    partition columns' types; if a run dies in between, readers infer them as for any other
+    table, and the rerun mends it.
     Never overwrite a path that ``df`` itself reads: a Parquet overwrite is not atomic.
     """
     if rebalance and partition_by:
@@ -50,6 +78,14 @@ def write_table(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT,
     if max_records:
         writer = writer.option("maxRecordsPerFile", int(max_records))
     writer.save(path)
+    if partition_by and fmt in FILE_FORMATS:
+        last = [c.lower() for c in partition_by]
+        fields = [f for f in df.schema if f.name.lower() not in last]
+        fields += [next(f for f in df.schema if f.name.lower() == c) for c in last]
+        text = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]).json()
+        spark = df.sparkSession
+        (spark.range(1, numPartitions=1).select(F.lit(text).alias("value"))
+         .write.mode("overwrite").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}"))
 
 
 @dataclass

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrace import build_session
 from terrace.operators import DimRef, build_dimension, build_fact, dedupe, first_non_null
 from terrace.sources import read_table, write_table
+from terrace.sources.tables import stored_schema
 
 SF = "/root/testdata/sf0.001"
 PKG = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "terrace")
@@ -118,11 +119,30 @@ def test_scan_is_left_as_spark_splits_it(spark):
 
 
 def test_text_partition_values_stay_text(spark, tmp_path):
-    df = spark.createDataFrame([(1, "01", None), (2, "1", None)], "id int, u string, e string")
-    write_table(df, str(tmp_path / "t"), partition_by=["u", "e"])
-    back = read_table(spark, str(tmp_path / "t"), partition_types={"u": "string", "e": "string"})
-    assert sorted((r.id, r.u, r.e) for r in back.collect()) == [(1, "01", None), (2, "1", None)]
+    df = spark.createDataFrame([(1, "01", None, 2.0), (2, "1", None, None)], "id int, u string, e string, n double")
+    write_table(df, str(tmp_path / "t"), partition_by=["u", "E", "n"])
+    for declared in (None, {"u": "string", "e": "string"}):
+        back = read_table(spark, str(tmp_path / "t"), partition_types=declared)
+        assert [(f.name, f.dataType.simpleString()) for f in back.schema] == [
+            ("id", "int"), ("u", "string"), ("e", "string"), ("n", "double")]
+        assert sorted((r.id, r.u, r.e, r.n) for r in back.collect()) == [(1, "01", None, 2.0), (2, "1", None, None)]
     write_table(back, str(tmp_path / "again"), partition_by=["u", "e"])
+    assert "PartitionFilters: [isnotnull(u" in plan(read_table(spark, str(tmp_path / "t")).where("u = '01'"))
+
+
+def test_stored_schema_follows_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame([(1, "01")], "id int, u string"), path, partition_by=["u"])
+    write_table(spark.createDataFrame([(1, 7, "x")], "u int, id long, v string"), path, partition_by=["u"])
+    assert read_table(spark, path).dtypes == [("id", "bigint"), ("v", "string"), ("u", "int")]
+    write_table(spark.createDataFrame([(3,)], "z int"), path)  # a plain table keeps no folder of it
+    assert [tuple(r) for r in read_table(spark, path).collect()] == [(3,)] and stored_schema(spark, path) is None
+
+
+def test_tables_written_elsewhere_take_declared_types(spark, tmp_path):
+    spark.createDataFrame([(1, "01"), (2, "1")], "id int, u string").write.partitionBy("u").parquet(str(tmp_path / "t"))
+    assert {r.u for r in read_table(spark, str(tmp_path / "t")).collect()} == {1}
+    assert {r.u for r in read_table(spark, str(tmp_path / "t"), partition_types={"U": "string"}).collect()} == {"01", "1"}
 
 
 def test_envelopes_hold_a_bounded_number_of_records(spark, tmp_path):
