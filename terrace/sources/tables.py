@@ -6,7 +6,6 @@ import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,14 +19,19 @@ FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro")
 SCHEMA_FOLDER = "_schema"
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, asked of its own file system (any store Spark reads)."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
+
+
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema that :func:`write_table` left beside a partitioned table, or None."""
-    try:
-        lines = spark.read.schema("value string").text(f"{path.rstrip('/')}/{SCHEMA_FOLDER}").collect()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    folder = f"{path.rstrip('/')}/{SCHEMA_FOLDER}"
+    if not _exists(spark, folder):
+        return None
+    lines = spark.read.schema("value string").text(folder).collect()
     return T.StructType.fromJson(json.loads(lines[0]["value"])) if len(lines) == 1 else None
 
 
