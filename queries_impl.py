@@ -26,7 +26,7 @@ from terrace.operators import (
 from terrace.operators.star import enrich, join_small, left_lookup_first
 from terrace.plans.health_plans import AGE_BANDS
 from terrace.session import shared_dir
-from terrace.streaming import ingest_landing
+from terrace.streaming import ingest_landing, read_landed
 from terrace.sources import (
     LoadSpec, load_many, read_csv, read_json_envelope, read_table, write_csv, write_json_envelope,
     write_table,
@@ -156,7 +156,7 @@ def stream_ingest_csv(spark, d):
     ingest_landing(spark, f"{landing}/*", target, cust.schema, checkpoint=checkpoint)
     write_csv(cust.filter((F.col("c_mktsegment") > "FURNITURE") | F.col("c_mktsegment").isNull()), f"{landing}/drop2")
     ingest_landing(spark, f"{landing}/*", target, cust.schema, checkpoint=checkpoint)
-    return read_table(spark, target)
+    return read_landed(spark, target)
 
 
 def stream_ingest_json_envelope(spark, d):
@@ -171,7 +171,7 @@ def stream_ingest_json_envelope(spark, d):
                            T.StructField("l_returnflag", T.StringType()), T.StructField("l_quantity", T.StringType())])
     target = f"{base}/lineitem_bronze"
     ingest_landing(spark, f"{base}/lineitem_envelopes", target, record, fmt="json_envelope")
-    return read_table(spark, target)
+    return read_landed(spark, target)
 
 
 # --------------------------------------------------------------------------- projections / filters

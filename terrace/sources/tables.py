@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.session import _context
+
 DEFAULT_FORMAT = "parquet"
 # Formats whose tables are plain folders of files (others keep a schema of their own).
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro")
@@ -21,7 +23,9 @@ SCHEMA_FOLDER = "_schema"
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is there, asked of its own file system (any store Spark reads)."""
-    context = spark.sparkContext
+    context = _context(spark)
+    if context is None:  # a client without a JVM of its own infers, as for any other table
+        return False
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
 

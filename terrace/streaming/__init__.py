@@ -1,5 +1,5 @@
-"""Incremental landing-zone ingest with Structured Streaming."""
+"""Structured Streaming re-expression of the bronze ingest."""
 
-from terrace.streaming.ingest import ingest_landing
+from terrace.streaming.ingest import ingest_landing, quarantine_of, read_landed, report_of
 
-__all__ = ["ingest_landing"]
+__all__ = ["ingest_landing", "quarantine_of", "read_landed", "report_of"]
