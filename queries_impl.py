@@ -515,7 +515,7 @@ def dim_snowflake(spark, d):
     j = join_small(j, dim_nation.df.select("n_nationkey", "sk_nation"),
                    F.col("c_nationkey") == F.col("n_nationkey"), how="left")
     members = dedupe(j.select("c_custkey", "c_name", "o_orderpriority", "sk_nation"), ["c_custkey"],
-                     order_by=["o_orderpriority"])
+                     order_by=["o_orderpriority"], late_rows=False)  # most customers have several orders
     return build_dimension(members, ["c_custkey"], "sk_customer",
                            attributes=["c_name", "o_orderpriority", "sk_nation"], members_unique=True).df
 

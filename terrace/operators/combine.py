@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.operators.keys import store_counted
 from terrace.operators.shape import fill_nulls
 
 
@@ -36,13 +37,32 @@ def sorted_distinct_values(df: DataFrame, column: str) -> DataFrame:
     return distinct_values(df, column).orderBy(_q(column).asc_nulls_first())
 
 
+DUPLICATE_KEYS_LIMIT = 64 * 1024 * 1024
+
+
+def key_digest(keys: Sequence[str]) -> list[Column]:
+    """128 bits of hash of a key, NULLs told apart from values: equal keys have equal digests, and
+    at 10^12 keys the chance that any two different ones do is below 10^-14."""
+    cols = [_q(k) for k in keys]
+    nulls = F.concat(*[F.when(c.isNull(), "n").otherwise("v") for c in cols])
+    return [F.xxhash64(nulls, *cols), F.xxhash64(F.lit("second"), *reversed(cols), nulls)]
+
+
 def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
-           ascending: bool = True) -> DataFrame:
+           ascending: bool = True, late_rows: bool = True) -> DataFrame:
     """Keep exactly one row per ``keys`` combination, chosen deterministically.
 
     The survivor has the smallest (``ascending``) or largest ``order_by`` tuple, NULLs
     ordered first; ``order_by`` defaults to all non-key columns, so the choice never
     depends on partitioning. Rows that tie on every column are identical anyway.
+
+    Keys are grouped by a digest of two longs, never sorted as text. Most rows of an extract are
+    the only ones of their key, and those need no comparing: a hash aggregate over the digests
+    alone finds the keys with several rows first. If the list of those is small (measured; up to
+    ``DUPLICATE_KEYS_LIMIT`` it is broadcast), all other rows stay where they are and only rows of
+    listed keys are shuffled and compared. Otherwise, or with ``late_rows=False`` (``df`` is costly
+    to evaluate, or known to repeat most keys), all rows go through one aggregation. A key that
+    holds a third of the rows reaches the reducer as one partial row per map task either way.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -50,11 +70,25 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
     payload = order + [c for c in rest if c not in order]
     if not payload:
         return df.dropDuplicates(keys)
-    fields = [_q(c).alias(f"_f{i}") for i, c in enumerate(payload)]
+    first, second = key_digest(keys)
+    marked = df.withColumns({"_k1": first, "_k2": second})
+    names = payload + [k for k in keys if k not in payload]
     pick = F.min if ascending else F.max
-    picked = df.groupBy(*[_q(k) for k in keys]).agg(pick(F.struct(*fields)).alias("_best"))
-    return picked.select(*[_q(k) for k in keys],
-                         *[F.col(f"_best._f{i}").alias(c) for i, c in enumerate(payload)])
+
+    def survivors(rows: DataFrame) -> DataFrame:
+        best = rows.groupBy("_k1", "_k2").agg(pick(F.struct(*[_q(c).alias(f"_f{i}") for i, c in enumerate(names)])).alias("_best"))
+        of = {c: F.col(f"_best._f{i}") for i, c in enumerate(names)}
+        return best.select(*[of[c].alias(c) for c in keys + [c for c in payload if c not in keys]])
+
+    if not late_rows:
+        return survivors(marked)
+    repeated = marked.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k1", "_k2")
+    rows, repeated = store_counted(repeated, "repeated-keys")
+    if rows * 32 > DUPLICATE_KEYS_LIMIT:
+        return survivors(marked)
+    out = keys + [c for c in payload if c not in keys]
+    alone = marked.join(F.broadcast(repeated), ["_k1", "_k2"], "left_anti").select(*[_q(c) for c in out])
+    return alone.unionByName(survivors(marked.join(F.broadcast(repeated), ["_k1", "_k2"], "left_semi")))
 
 
 def first_non_null(df: DataFrame, keys: Sequence[str], column: str, alias: str | None = None,

@@ -57,6 +57,15 @@ def _order(natural_key: Sequence[str]) -> list[Column]:
     return [F.col(f"`{c}`").asc_nulls_first() for c in natural_key]
 
 
+def store_counted(df: DataFrame, name: str) -> tuple[int, DataFrame]:
+    """Write ``df`` to the shared folder (a lineage cut) and read it back, with the row count that
+    the write observed."""
+    observation = Observation(f"{name}_{uuid.uuid4().hex}")
+    path = shared_dir(df.sparkSession, name)
+    df.observe(observation, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return int(observation.get["rows"]), df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def order_of(natural_key: Sequence[str]) -> list[Column]:
     return [F.col(f"`{c}`").asc_nulls_first() for c in natural_key]
 

@@ -124,7 +124,7 @@ def gold(spark: SparkSession, layout: Layout) -> None:
     plans = enrich(features, plan_types, "id_plano", dedupe_other=False, other_unique=True)
     op_keys = operadora.df.select(F.col("reg_ans").alias("_reg"), "sk_operadora")
     plans = plans.join(op_keys, F.col("registro_operadora") == F.col("_reg"), "left").select(*PLAN_COLUMNS)
-    plan_members = dedupe(plans, ["id_plano"])
+    plan_members = dedupe(plans, ["id_plano"], late_rows=False)
     plano = store_dimension(build_dimension(plan_members, ["id_plano"], "sk_plano",
                                             [c for c in PLAN_COLUMNS if c != "id_plano"], members_unique=True),
                             layout.path("gold", "dim_plano"), layout.fmt)
