@@ -377,6 +377,56 @@ ORACLES["rail_gold_fact"] = f"""
            JOIN dl ON {_on('dl', _RAIL_DIMS['dl'][0])} JOIN da ON {_on('da', _RAIL_DIMS['da'][0])}
            JOIN df ON {_on('df', _RAIL_DIMS['df'][0])} JOIN dtr ON {_on('dtr', _RAIL_DIMS['dtr'][0])}"""
 
+# The revised extracts as the jobs store them: one SELECT for each, nothing filled but the line.
+_RAIL_REVISED = """
+  SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' THEN NULL
+              ELSE CAST(o_orderdate AS DATE) END AS data_ocorrencia,
+         CASE WHEN o_orderpriority <> '3-MEDIUM' THEN lpad(CAST(o_orderkey % 3 AS VARCHAR), 2, '0') || ':00' END AS hora_ocorrencia,
+         CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST((o_orderkey + {r}) % 5 AS INTEGER) END AS n_feridos,
+         CAST(o_custkey % 3 AS INTEGER) AS n_obitos, o_orderstatus AS uf, 'M' || CAST(o_orderkey % 50 AS VARCHAR) AS municipio,
+         CASE WHEN o_custkey % 2 = 0 THEN 'S' ELSE 'N' END AS perimetro_urbano, o_orderpriority AS gravidade,
+         'N' || CAST(o_custkey % 4 AS VARCHAR) AS natureza, 'C' || CAST((o_orderkey + {r}) % 6 AS VARCHAR) AS causa_direta,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'S' ELSE 'N' END AS interrupcao, 'CONC' || CAST(o_custkey % 5 AS VARCHAR) AS concessionaria,
+         CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 'nao_informada'
+              ELSE 'L' || CAST(o_orderkey % 9 AS VARCHAR) END AS linha,
+         CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'OF' END AS outra_ferrovia, CAST(NULL AS VARCHAR) AS pn,
+         'E' || CAST(o_orderkey % 7 AS VARCHAR) AS estacao_anterior,
+         CASE WHEN o_orderstatus <> 'O' THEN 'E' || CAST(o_custkey % 7 AS VARCHAR) END AS estacao_posterior,
+         'SERV' || CAST(o_custkey % 3 AS VARCHAR) AS servico_transporte,
+         CASE WHEN NOT (o_orderstatus = 'P' AND o_orderpriority = '2-HIGH') THEN 'MERC' || CAST(o_orderkey % 4 AS VARCHAR) END AS mercadoria,
+         CAST(o_custkey % 4 AS VARCHAR) AS equipagem, 'P' || CAST(o_orderkey % 10 AS VARCHAR) AS prefixo,
+         CAST(o_orderkey % 100 AS VARCHAR) AS quilometro_inicial
+  FROM orders WHERE {where}"""
+# The order of the stored columns outside the consolidation key, which chooses the survivor.
+_RAIL_SURVIVOR = ["perimetro_urbano", "causa_direta", "data_ocorrencia", "equipagem", "estacao_anterior", "estacao_posterior",
+                  "gravidade", "hora_ocorrencia", "interrupcao", "mercadoria", "n_feridos", "n_obitos", "outra_ferrovia", "pn",
+                  "prefixo", "quilometro_inicial", "servico_transporte", "uf"]
+
+
+def _rail_revised_fact(time: str) -> str:
+    year = "year(o_orderdate)"
+    extracts = (f"{year} <= 1997", f"{year} BETWEEN 1997 AND 1999", f"{year} >= 1998 OR o_orderdate IS NULL")
+    union = " UNION ALL ".join(_RAIL_REVISED.format(r=k, where=w) for k, w in enumerate(extracts))
+    filled = ("estacao_anterior", "estacao_posterior", "outra_ferrovia", "pn")
+    return f"""
+    WITH b AS (SELECT *, CASE WHEN hora_ocorrencia IS NOT NULL THEN
+                   try_strptime(CAST(data_ocorrencia AS VARCHAR) || ' ' || hora_ocorrencia, '%Y-%m-%d %H:%M') END AS data_hora_ocorrencia,
+                 CAST(year(data_ocorrencia) AS INTEGER) AS ano, CAST(month(data_ocorrencia) AS INTEGER) AS mes FROM ({union})),
+    one AS (SELECT * FROM b QUALIFY row_number() OVER (
+        PARTITION BY data_hora_ocorrencia, linha, municipio, concessionaria, natureza
+        ORDER BY {", ".join(f"{c} NULLS FIRST" for c in [*_RAIL_SURVIVOR, "ano", "mes"])}) = 1),
+    s AS (SELECT * REPLACE ({", ".join(f"coalesce({c}, 'nao_informada') AS {c}" for c in filled)}) FROM one),
+    {", ".join(f"{a} AS ({_dense(cols, sk, 's')})" for a, (cols, sk) in _RAIL_DIMS.items())}
+    SELECT dt.sk_tempo, dl.sk_localizacao, da.sk_acidente, df.sk_ferrovia, dtr.sk_transporte,
+           s.n_feridos, s.n_obitos, 1 AS quantidade_acidentes, s.ano, s.mes
+    FROM s JOIN dt ON s.data_ocorrencia = dt.data_ocorrencia AND s.ano = dt.ano AND s.mes = dt.mes {time}
+           JOIN dl ON {_on('dl', _RAIL_DIMS['dl'][0])} JOIN da ON {_on('da', _RAIL_DIMS['da'][0])}
+           JOIN df ON {_on('df', _RAIL_DIMS['df'][0])} JOIN dtr ON {_on('dtr', _RAIL_DIMS['dtr'][0])}"""
+
+
+ORACLES["rail_overlaps_gold_fact"] = _rail_revised_fact("AND s.data_hora_ocorrencia IS NOT DISTINCT FROM dt.data_hora_ocorrencia")
+ORACLES["rail_by_date_gold_fact"] = _rail_revised_fact("")
+
 _BEDS_COUNTS = ["qnt_uti_adulto", "qnt_uti_coronariana", "qnt_leitos_uti", "qnt_uti_neonatal", "qnt_uti_pediatrico",
                 "qnt_uti_queimado", "qnt_uti_sus_adulto", "qnt_uti_sus_coronariana", "qnt_uti_sus",
                 "qnt_uti_sus_neonatal", "qnt_uti_sus_pediatrico", "qnt_uti_sus_queimado", "qnt_total_leitos",
@@ -421,7 +471,7 @@ _FEATURES_ROW = """'P' || CAST(p_partkey AS VARCHAR) AS id_plano, {name} AS nm_p
          CASE p_size % 5 WHEN 0 THEN 'COM' WHEN 1 THEN 'SEM' WHEN 2 THEN 'NAO_APLICA' WHEN 3 THEN 'NAO_IDENTIFICADO'
               ELSE 'OUTROS' END AS obstetricia,
          p_type AS cobertura, 'F' || CAST(p_partkey % 3 AS VARCHAR) AS tipo_financiamento,
-         CAST(p_partkey % 120 + 1 AS INTEGER) AS registro_operadora, 'ATIVO' AS situacao_plano,
+         CASE WHEN p_size % 13 <> 0 THEN CAST(p_partkey % 120 + 1 AS INTEGER) END AS registro_operadora, 'ATIVO' AS situacao_plano,
          CASE WHEN p_size % 7 <> 0 THEN 'Op ' || CAST(p_partkey % 120 + 1 AS VARCHAR) END AS razao_social,
          (p_size % 2 = 1) AS lg_odontologico"""
 
@@ -453,8 +503,9 @@ ORACLES["health_plans_gold_fact"] = f"""
       UNION ALL
       SELECT {_FEATURES_ROW.format(name="p_name || ' (copia)'")} FROM part WHERE p_size <= 5),
     feat AS (SELECT * FROM feat_raw QUALIFY row_number() OVER (PARTITION BY id_plano ORDER BY {_nf(_FEATURE_ORDER)}) = 1),
-    op_members AS (SELECT o.s_suppkey AS reg_ans, min(f.razao_social) AS razao_social
-                   FROM supplier o LEFT JOIN feat f ON o.s_suppkey = f.registro_operadora GROUP BY o.s_suppkey),
+    op AS (SELECT CASE WHEN s_suppkey % 29 <> 0 THEN s_suppkey END AS reg_ans FROM supplier),
+    op_members AS (SELECT o.reg_ans, min(f.razao_social) AS razao_social
+                   FROM op o LEFT JOIN feat f ON o.reg_ans = f.registro_operadora GROUP BY o.reg_ans),
     dim_op AS (SELECT *, row_number() OVER (ORDER BY {_nf(['reg_ans', 'razao_social'])}) AS sk_operadora FROM op_members),
     plan_members AS (
       SELECT f.id_plano, f.nm_plano, f.cd_plano, f.obstetricia, f.cobertura, f.tipo_financiamento,

@@ -106,23 +106,26 @@ AREA_QUERIES = {
 }
 
 
-def _rail_record(o: DataFrame, newer: bool) -> DataFrame:
+def _rail_record(o: DataFrame, newer: bool, revision: int | None = None) -> DataFrame:
+    """Accident records of orders. With a ``revision`` (one per extract) places and times are shared
+    by many orders, and extracts tell the same accident differently."""
     k, c, st, pr = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
     lbl = lambda prefix, col, m: F.concat(F.lit(prefix), (col % m).cast("string"))
+    shared, r = revision is not None, revision or 0
     impossible = (st == "P") & (pr == "1-URGENT")
     fields = {
         "data_ocorrencia": F.when(impossible, F.concat(F.lit("31/02/"), F.year("o_orderdate").cast("string")))
                             .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")),
-        "hora_ocorrencia": F.when(pr != "3-MEDIUM", F.concat(F.lpad((k % 24).cast("string"), 2, "0"), F.lit(":"),
-                                                             F.lpad((c % 60).cast("string"), 2, "0"))),
-        "n_feridos": F.when(pr == "5-LOW", F.lit("x")).otherwise((k % 5).cast("string")),
+        "hora_ocorrencia": F.when(pr != "3-MEDIUM", F.concat(F.lpad((k % (3 if shared else 24)).cast("string"), 2, "0"), F.lit(":"),
+                                                             F.lit("00") if shared else F.lpad((c % 60).cast("string"), 2, "0"))),
+        "n_feridos": F.when(pr == "5-LOW", F.lit("x")).otherwise(((k + r) % 5).cast("string")),
         "n_obitos": (c % 3).cast("string"),
         "uf": st,
-        "municipio": F.concat(F.lit("M"), k.cast("string")),
+        "municipio": F.concat(F.lit("M"), (k % 50 if shared else k).cast("string")),
         ("Perímetro Urbano" if newer else "Perímetro_Urbano"): F.when(c % 2 == 0, F.lit("S")).otherwise(F.lit("N")),
         "gravidade": pr,
         "natureza": lbl("N", c, 4),
-        "causa_direta": lbl("C", k, 6),
+        "causa_direta": lbl("C", k + r, 6),
         "interrupção": F.when(k % 2 == 0, F.lit("S")).otherwise(F.lit("N")),
         "concessionaria": lbl("CONC", c, 5),
         "linha": F.when(~((st == "F") & (pr == "2-HIGH")), lbl("L", k, 9)),
@@ -143,10 +146,9 @@ def _rail_record(o: DataFrame, newer: bool) -> DataFrame:
     return o.select(*[v.alias(n) for n, v in fields.items()])
 
 
-def rail_gold_fact(spark, d):
-    """Rail job over three overlapping JSON extracts built from orders (years <= 1997,
-    1997-1999, >= 1998; two spellings of one column; newer-only columns). The dedupe key
-    is unique per order, so the overlaps collapse to one row per order."""
+def _rail_fact(spark, d, revised: bool, time_lookup: str) -> DataFrame:
+    """Rail job over three JSON extracts of orders (years <= 1997, 1997-1999, >= 1998; two
+    spellings of one column; newer-only columns)."""
     o = _t(spark, d, "orders")
     y = F.year("o_orderdate")
     lay = _layout(spark, "rail")
@@ -154,13 +156,32 @@ def rail_gold_fact(spark, d):
     slices = {"acidentes_2004-2020.json": (o.filter(y <= 1997), False, "acidentes"),
               "acidentes_2020-2025.json": (o.filter(y.between(1997, 1999)), True, "dados"),
               "acidentes_2020-2026.json": (o.filter((y >= 1998) | y.isNull()), True, "dados")}
-    for name, (part, newer, root) in slices.items():
-        write_json_envelope(_rail_record(part, newer), lay.src(name), array_field=root, records_per_file=ENVELOPE_RECORDS)
-    rail.run(spark, lay)
+    for k, (name, (part, newer, root)) in enumerate(slices.items()):
+        write_json_envelope(_rail_record(part, newer, k if revised else None), lay.src(name), array_field=root,
+                            records_per_file=ENVELOPE_RECORDS)
+    rail.run(spark, lay, time_lookup)
     return lay.read(spark, "gold", "fato_acidentes_ferroviarios")
 
 
-AREA_QUERIES["rail_gold_fact"] = rail_gold_fact
+def rail_gold_fact(spark, d):
+    """Equal overlaps: the dedupe key is unique per order, so they collapse to one row per order."""
+    return _rail_fact(spark, d, False, "full")
+
+
+def rail_overlaps_gold_fact(spark, d):
+    """Overlaps that differ, and places and times shared by many accidents: the consolidation key
+    chooses among different rows, and the location dimension has few members."""
+    return _rail_fact(spark, d, True, "full")
+
+
+def rail_by_date_gold_fact(spark, d):
+    """The same extracts with the date-only time look-up: each accident joins every distinct time
+    of its day."""
+    return _rail_fact(spark, d, True, "date")
+
+
+AREA_QUERIES.update({"rail_gold_fact": rail_gold_fact, "rail_overlaps_gold_fact": rail_overlaps_gold_fact,
+                     "rail_by_date_gold_fact": rail_by_date_gold_fact})
 
 
 def beds_gold_fact(spark, d):
@@ -218,6 +239,8 @@ def health_plans_gold_fact(spark, d):
         comma("l_tax").alias("PCT_CARREG_LUCRO"))
     key, size = F.col("p_partkey"), F.col("p_size")
     reg = (key % 120 + 1).cast("string")
+    # Some operator codes are no numbers: they match no operator and must not stop the job.
+    reg_text = F.when(size % 13 == 0, F.concat(reg, F.lit("x"))).otherwise(reg)
     maternity = (F.when(size % 5 == 0, F.lit("COM OBSTETRICIA")).when(size % 5 == 1, F.lit("SEM OBSTETRICIA"))
                  .when(size % 5 == 2, F.lit("NAO SE APLICA")).when(size % 5 == 3, F.lit("NAO IDENTIFICADO"))
                  .otherwise(F.lit("XYZ")))
@@ -227,7 +250,7 @@ def health_plans_gold_fact(spark, d):
                          F.col("p_brand").alias("CD_PLANO"), maternity.alias("OBSTETRICIA"),
                          F.col("p_type").alias("COBERTURA"),
                          F.concat(F.lit("F"), (key % 3).cast("string")).alias("TIPO_FINANCIAMENTO"),
-                         reg.alias("REGISTRO_OPERADORA"), F.lit("ATIVO").alias("SITUACAO_PLANO"),
+                         reg_text.alias("REGISTRO_OPERADORA"), F.lit("ATIVO").alias("SITUACAO_PLANO"),
                          F.when(size % 7 != 0, F.concat(F.lit("Op "), reg)).alias("RAZAO_SOCIAL"),
                          (size % 2).cast("string").alias("LG_ODONTOLOGICO"))
 
@@ -235,8 +258,9 @@ def health_plans_gold_fact(spark, d):
         features_of(part.filter(size <= 5), F.concat(F.col("p_name"), F.lit(" (copia)"))))
     day = lambda n: F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), n), "dd/MM/yyyy")
     nk = F.col("s_nationkey")
+    code = F.col("s_suppkey").cast("string")
     operators = sup.select(
-        F.col("s_suppkey").cast("string").alias("reg ans"),
+        F.when(F.col("s_suppkey") % 29 == 0, F.concat(F.lit("?"), code)).otherwise(code).alias("reg ans"),
         F.when(nk % 2 == 0, F.lit("S")).otherwise(F.lit("N")).alias("Operadora Medico-Hospitalar"),
         F.when(nk % 5 == 0, F.lit("x")).otherwise(nk.cast("string")).alias("prazo_validade"),
         day(F.col("s_suppkey").cast("int")).alias("data_da_primeira_acreditacao"),
