@@ -37,16 +37,24 @@ def _digits(text: Column) -> Column:
 
 
 def types_that_hold(text: Column) -> Column:
-    """The bits of all types that can hold a value; NULL for NULL, 0 if only text can."""
+    """The bits of all types that can hold a value; NULL for NULL, 0 if only text can.
+
+    The first character and a few contained ones rule most kinds out before a pattern or a cast is
+    tried: words cost next to nothing, short whole numbers one pattern.
+    """
+    head = F.ascii(text)
+    number_or_time = head.between(ord("0"), ord("9")) | (head <= ord(" ")) | head.isin(*map(ord, "+-.NI"))
     as_long = text.try_cast("bigint")
-    whole = (F.when(as_long.between(-(1 << 31), (1 << 31) - 1), INT | LONG | DECIMAL | DOUBLE)
+    whole = (F.when((F.length(text) <= 9) | as_long.between(-(1 << 31), (1 << 31) - 1), INT | LONG | DECIMAL | DOUBLE)
              .when(as_long.isNotNull(), LONG | DECIMAL | DOUBLE)
              .when(_digits(text) <= _MOST_DIGITS, DECIMAL | DOUBLE).otherwise(DOUBLE))
-    return (F.when(text.isNull(), F.lit(None).cast("int")).when(text.rlike(_WHOLE), whole)
-            .when(text.rlike(_DOUBLE) & text.try_cast("double").isNotNull(), DOUBLE)
-            .when(text.rlike(_DATE) & text.try_cast("date").isNotNull(), DATE | TIMESTAMP)
-            .when(text.rlike(_TIME) & text.try_cast("timestamp").isNotNull(), TIMESTAMP)
-            .when(F.lower(text).isin("true", "false"), BOOLEAN).otherwise(0))
+    time = F.when((text.contains("-") | text.contains(":")) & text.rlike(_TIME) & text.try_cast("timestamp").isNotNull(), TIMESTAMP)
+    word = (F.when(~head.isin(*map(ord, "TtFf")), 0).when(F.lower(text).isin("true", "false"), BOOLEAN)
+            .when(head == ord("T"), F.coalesce(time, F.lit(0))).otherwise(0))
+    return (F.when(text.isNull(), F.lit(None).cast("int")).when(~number_or_time, word).when(text.rlike(_WHOLE), whole)
+            .when(~text.contains("/") & ~text.contains(":") & text.rlike(_DOUBLE) & text.try_cast("double").isNotNull(), DOUBLE)
+            .when((F.length(text) == 10) & text.rlike(_DATE) & text.try_cast("date").isNotNull(), DATE | TIMESTAMP)
+            .otherwise(F.coalesce(time, F.lit(0))))
 
 
 def narrowest(bits: int | None, digits: int | None) -> str:
@@ -66,14 +74,17 @@ def land_csv(spark: SparkSession, path: str | list[str], delimiter: str = ",", h
     names = text.columns
     staged = [f"c{k}" for k in range(len(names))]  # positions: file names may hold any character
     text = text.toDF(*staged)
+    # One lambda over an array of all columns: written out for every column, the checks would be too
+    # much generated code for the JVM to compile.
+    kinds = text.withColumn("kinds", F.transform(F.array(*staged), lambda x: F.struct(
+        types_that_hold(x).alias("bits"), F.when((F.length(x) > 18) & x.rlike(_WHOLE), _digits(x)).alias("digits"))))
     metrics = [F.count(F.lit(1)).alias("rows")]
-    for c in staged:
-        col = F.col(c)
-        metrics.append(F.bit_and(types_that_hold(col)).alias(f"t_{c}"))
-        metrics.append(F.max(F.when(col.rlike(_WHOLE) & (F.length(col) > 18), _digits(col))).alias(f"d_{c}"))
+    for k, c in enumerate(staged):
+        kind = F.get("kinds", F.lit(k))
+        metrics += [F.bit_and(kind["bits"]).alias(f"t_{c}"), F.max(kind["digits"]).alias(f"d_{c}")]
     observation = Observation(f"landing_{uuid.uuid4().hex}")  # unique: extracts may land side by side
     out = shared_dir(spark, "landing-text")
-    text.observe(observation, *metrics).write.mode("overwrite").parquet(out)
+    kinds.observe(observation, *metrics).drop("kinds").write.mode("overwrite").parquet(out)
     seen = observation.get
     stored = spark.read.schema(text.schema).parquet(out)
     typed = [(c, name, narrowest(seen.get(f"t_{c}"), seen.get(f"d_{c}"))) for c, name in zip(staged, names)]
