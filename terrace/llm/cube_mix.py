@@ -184,13 +184,24 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5,
                     most: float = 2.0) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with their own columns."""
+    """The rows of ``docs`` as often as the mix takes them, with their own columns.
+
+    What is taken depends on the rows alone, not on their order or partitions: rows are known by
+    128 bits of hash of all their columns, and equal rows, which are interchangeable, by a number.
+    """
     names = docs.columns
     row, count = free_name(names, "row_no"), free_name(names, "copies")
     stored = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    rows = materialize(stored.select(F.col(row).alias("row"), "source", word_count(F.col("text")).alias("size")), "sizes")
-    targets = materialize(source_targets(rows, weights, share, most), "targets")
-    copies = materialize(take(rows, targets).where("copies > 0")
-                         .select(F.col("row").alias(row), F.col("copies").cast("int").alias(count)), "copies")
+    every = [F.col(f"`{c}`") for c in names]
+    null = F.concat(*[F.when(c.isNull(), "n").otherwise("v") for c in every])
+    known = stored.select(F.col(row).alias("row"), F.xxhash64(null, *every).alias("k1"),
+                          F.xxhash64(F.lit("second"), *reversed(every), null).alias("k2"),
+                          F.col("source"), word_count(F.col("text")).alias("size"))
+    known = materialize(number_within(known, ["k1", "k2"], ["row"], "again"), "sizes")
+    targets = materialize(source_targets(known, weights, share, most), "targets")
+    taken = take(known.select("k1", "k2", "again", "source", "size"), targets).where("copies > 0")
+    copies = materialize(taken.select("k1", "k2", "again", F.col("copies").cast("int").alias(count))
+                         .join(known.select(F.col("row").alias(row), "k1", "k2", "again"), ["k1", "k2", "again"])
+                         .select(row, count), "copies")
     return (stored.join(broadcast_if_small(copies), row)
             .withColumn(count, F.explode(F.sequence(F.lit(1), F.col(count)))).select(*names))

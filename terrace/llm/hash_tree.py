@@ -33,13 +33,18 @@ class Shard:
     weight: float = 1.0
 
 
-def topology(shards: int, planned: int = 24, racks: int = 2, rack_size: int = 4) -> list[Shard]:
-    """``planned`` shards in regions of ``racks`` racks of ``rack_size``; every further shard
-    is a region of one rack of one shard."""
+def topology(shards: int, base: int = 24, racks: int = 2, rack_size: int = 4) -> list[Shard]:
+    """The first ``base`` shards in regions of ``racks`` racks of ``rack_size``; every further
+    shard is a region of one rack of one shard, so it takes keys from all and gives none back.
+
+    ``base`` belongs to the cluster, not to a call: whoever adds shards keeps the one the cluster
+    was built with (0: every shard a region). A tree of fewer shards than ``base`` has no base.
+    """
+    base = base if shards >= base else 0
     region_size = racks * rack_size
-    tree = [Shard(k, k // region_size, k % region_size // rack_size) for k in range(min(shards, planned))]
-    first = -(-planned // region_size)
-    return tree + [Shard(k, first + k - planned, 0) for k in range(planned, shards)]
+    tree = [Shard(k, k // region_size, k % region_size // rack_size) for k in range(base)]
+    first = -(-base // region_size)
+    return tree + [Shard(k, first + k - base, 0) for k in range(base, shards)]
 
 
 def _draw(key: Column, name: str, weight: float) -> Column:
@@ -80,9 +85,11 @@ def place(df: DataFrame, key: Column, tree: Sequence[Shard], region: str, rack:
                                for k, shards in inside.items()}) for r, inside in racks.items()}))
 
 
-def assign(docs: DataFrame, shards: int = 24) -> DataFrame:
+def assign(docs: DataFrame, shards: int = 24, base: int = 24) -> DataFrame:
     """Put every row of ``docs`` (doc_id, text; other columns are ignored) into a shard.
 
+    ``base`` as in :func:`topology`; below it the cluster has none, and keeps none when it grows.
+
     Columns: doc_id, size (UTF-8 bytes of the text and 8 more; a NULL text has none),
     text_crc32 (unsigned; 0 for NULL), law (always ``key``: id and shard count decide),
     shard, slot (gapless from 0 within the shard, by id, then size and checksum),
@@ -93,7 +100,7 @@ def assign(docs: DataFrame, shards: int = 24) -> DataFrame:
     rows = docs.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("key").alias("law"))
-    rows = place(rows, key, topology(shards), "region", "rack", "shard")
-    rows = place(rows, key, topology(shards + 1), "grown_region", "grown_rack", "grown_shard")
+    rows = place(rows, key, topology(shards, base), "region", "rack", "shard")
+    rows = place(rows, key, topology(shards + 1, base if shards >= base else 0), "grown_region", "grown_rack", "grown_shard")
     rows = number_within(rows.drop("grown_region", "grown_rack"), ["shard"], ["doc_id", "size", "text_crc32"], "slot")
     return rows.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "region", "rack")

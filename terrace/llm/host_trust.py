@@ -10,9 +10,10 @@ distrust exceeds its trust and reaches ``threshold`` times the mean host's share
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace.llm.common import materialize
@@ -51,18 +52,20 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where((F.col("src") != F.col("dst")) & (F.col("src") != "")).distinct()
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 20,
-              tolerance: float = 1e-9) -> DataFrame:
+def propagate(hosts: DataFrame, edges: DataFrame, tolerance: float, damping: float = 0.85,
+              most_rounds: int = 1000) -> DataFrame:
     """(host, trust, distrust) from ``hosts`` (host, good, bad: seed weights that sum to 1 or are
     all 0) and ``edges``. What a host without outgoing links holds goes back to the seeds.
-    Stops after ``rounds`` or when the vectors move by less than ``tolerance`` in all."""
+    Rounds go on until the vectors are nearer than ``tolerance``, in all, to where they converge: a
+    round leaves at most ``damping`` of the distance, so that is known from how far it moved them.
+    Not converging in ``most_rounds`` is an error."""
     out = edges.groupBy(F.col("src").alias("host")).agg(F.count(F.lit(1)).alias("n_out"))
     into = edges.groupBy(F.col("dst").alias("host")).agg(F.count(F.lit(1)).alias("n_in"))
     nodes = materialize(hosts.join(out, "host", "left").join(into, "host", "left"), "nodes")
     rank = nodes.select("host", "good", "bad", "n_out", "n_in", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
-    for _ in range(rounds):
-        held_t, held_d = rank.agg(F.sum(F.when(F.col("n_out").isNull(), F.col("trust"))),
-                                  F.sum(F.when(F.col("n_in").isNull(), F.col("distrust")))).first()
+    held_t, held_d = rank.agg(F.sum(F.when(F.col("n_out").isNull(), F.col("trust"))),
+                              F.sum(F.when(F.col("n_in").isNull(), F.col("distrust")))).first()
+    for k in range(most_rounds):
         forward = (edges.join(rank.where("trust > 0").select(F.col("host").alias("src"), (F.col("trust") / F.col("n_out")).alias("t")), "src")
                    .select(F.col("dst").alias("host"), "t", F.lit(0.0).alias("d")))
         back = (edges.join(rank.where("distrust > 0").select(F.col("host").alias("dst"), (F.col("distrust") / F.col("n_in")).alias("d")), "dst")
@@ -72,11 +75,17 @@ def propagate(hosts: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
             "host", "good", "bad", "n_out", "n_in", F.col("trust").alias("t0"), F.col("distrust").alias("d0"),
             ((1 - damping + damping * F.lit(float(held_t or 0))) * F.col("good") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
             ((1 - damping + damping * F.lit(float(held_d or 0))) * F.col("bad") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust")))
-        new = materialize(new, "ranks")
-        moved = new.agg(F.sum(F.abs(F.col("trust") - F.col("t0")) + F.abs(F.col("distrust") - F.col("d0")))).first()[0]
-        rank = new.drop("t0", "d0")
-        if (moved or 0) < tolerance:
+        # The write of a round observes how far it moved, and what the next has to hand back.
+        seen = Observation(f"round_{k}_{uuid.uuid4().hex}")
+        new = new.observe(seen, F.sum(F.abs(F.col("trust") - F.col("t0")) + F.abs(F.col("distrust") - F.col("d0"))).alias("moved"),
+                          F.sum(F.when(F.col("n_out").isNull(), F.col("trust"))).alias("held_t"),
+                          F.sum(F.when(F.col("n_in").isNull(), F.col("distrust"))).alias("held_d"))
+        rank = materialize(new.drop("t0", "d0"), "ranks")
+        held_t, held_d = seen.get["held_t"], seen.get["held_d"]
+        if (seen.get["moved"] or 0) * damping / (1 - damping) < tolerance:
             break
+    else:
+        raise RuntimeError(f"link graph did not converge in {most_rounds} rounds")
     return rank.select("host", "trust", "distrust")
 
 
@@ -106,7 +115,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, thres
     n, good, bad = hosts.agg(F.count(F.lit(1)), F.count_if("good"), F.count_if("bad")).first()
     seeds = hosts.select("host", (F.col("good").cast("double") / max(good, 1)).alias("good"),
                          (F.col("bad").cast("double") / max(bad, 1)).alias("bad"))
-    ranks = propagate(seeds, edges).withColumnRenamed("host", "of")
+    # A thousandth of the share that blocks: nearer to the limit no verdict is meaningful.
+    ranks = propagate(seeds, edges, tolerance=threshold / max(n, 1) / 1000).withColumnRenamed("host", "of")
     blocked = (F.col("distrust") > F.col("trust")) & (F.col("distrust") * n >= threshold)
     return ruled.join(ranks, ruled["host"] == F.col("of"), "left").select(
         "page_id", "host", "path", "rule",

@@ -7,7 +7,7 @@ is made of them.
 
 from __future__ import annotations
 
-from terrace.llm.host_trust import LINK, LOWER, PARTS, RULES, UPPER
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _VECTORS = """SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
@@ -25,14 +25,14 @@ def _lowered(x: str) -> str:
     return f"translate({x}, '{UPPER}', '{LOWER}')"
 
 
-def _pages(rounds: int = 20, threshold: float = 0.5) -> str:
-    fits = []
-    for verdict, host, path in sorted(RULES, key=lambda r: -len(r[1] + r[2])):
-        test = f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
-        fits.append((test, f"'{host}{path}'", f"'{verdict}'"))
+def _pages(rounds: int = 150, threshold: float = 0.5) -> str:
+    # The longest rule that fits comes first: example.net/en/, example.com/de/, org/fr/, net/.
+    fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", f"'{h}{p}'", f"'{v}'")
+            for v, h, p in (("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"), ("block", "net", "/"))]
     rule = "CASE " + " ".join(f"WHEN {t} THEN {r}" for t, r, _ in fits) + " END"
     verdict = "CASE " + " ".join(f"WHEN {t} THEN {v}" for t, _, v in fits) + " END"
-    link = LINK.replace("'", "''")
+    parts = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+    link = r"""(?i)(?:href|src)\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"''\s<>]+)"""
     steps = []
     for k in range(rounds):
         steps.append(f"""r{k + 1} AS MATERIALIZED (SELECT s.host, s.good, s.bad,
@@ -43,8 +43,8 @@ def _pages(rounds: int = 20, threshold: float = 0.5) -> str:
             + 0.85 * coalesce((SELECT sum(r.distrust / i.n) FROM edges e JOIN r{k} r ON r.host = e.dst
                 JOIN n_in i ON i.host = e.dst WHERE e.src = s.host), 0) AS distrust
           FROM seeds s)""")
-    return f"""WITH parts AS (SELECT page_id, html, {_lowered(f"regexp_extract(coalesce(url, ''), '{PARTS}', 1)")} AS host,
-        regexp_extract(coalesce(url, ''), '{PARTS}', 2) AS path FROM pages),
+    return f"""WITH parts AS (SELECT page_id, html, {_lowered(f"regexp_extract(coalesce(url, ''), '{parts}', 1)")} AS host,
+        regexp_extract(coalesce(url, ''), '{parts}', 2) AS path FROM pages),
       p AS MATERIALIZED (SELECT *, {rule} AS rule, {verdict} AS by_rule FROM parts),
       edges AS MATERIALIZED (SELECT DISTINCT host AS src, dst FROM (SELECT host,
           unnest(list_transform(regexp_extract_all(coalesce(html, ''), '{link}', 1), lambda h: {_lowered('h')})) AS dst FROM p)

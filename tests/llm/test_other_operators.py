@@ -60,12 +60,22 @@ def test_shards_match_brute_force_on_odd_rows(spark):
 
 
 def test_one_more_shard_takes_rows_only_into_itself():
-    for n in (24, 25, 30):
-        before, after = hash_tree.topology(n), hash_tree.topology(n + 1)
-        moved = [(a, b) for k in range(1500) for a, b in [(brute_shard(k, before), brute_shard(k, after))] if a != b]
+    for n in range(1, 41):
+        # The tree of one more shard keeps the base that the tree of n has.
+        before, after = hash_tree.topology(n), hash_tree.topology(n + 1, 24 if n >= 24 else 0)
+        moved = [(a, b) for k in range(1500 if n < 6 or n > 22 else 400) for a, b in [(brute_shard(k, before), brute_shard(k, after))] if a != b]
         assert moved and {b for _, b in moved} == {n}
 
 
+@pytest.mark.parametrize("n", [10, 20, 23])
+def test_the_law_holds_for_fewer_shards_than_a_base(spark, n):
+    df = spark.range(1500).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    rows = hash_tree.assign(df, n).collect()
+    assert {r.shard for r in rows} == set(range(n)) and all(r.grown_shard in (r.shard, n) for r in rows)
+    grown = {r.doc_id: r.shard for r in hash_tree.assign(df, n + 1, base=0).collect()}
+    assert all(grown[r.doc_id] == r.grown_shard for r in rows)
+
+
 def test_weights_are_followed_and_movement_stays_in_the_subtrees():
     tree = hash_tree.topology(24)
     counts = Counter(brute_shard(k, tree) for k in range(6000))
@@ -161,6 +171,13 @@ def test_mixed_documents_repeat_whole_rows(spark):
     assert sum(taken.values()) > sum(words_in.values())
 
 
+def test_mixed_documents_do_not_depend_on_partitions(spark):
+    rows = odd_rows() + [(None, "same words here", "en", "a", 1)] * 40 + [(5000 + k, f"w{k} " * (k % 40 + 1), "en", f"s{k % 3}", k) for k in range(900)]
+    docs = documents(spark, rows)
+    out = [Counter(map(tuple, cube_mix.mixed_documents(docs.repartition(n)).collect())) for n in (3, 5)]
+    assert out[0] == out[1] and sum(out[0].values()) > len(rows)
+
+
 # urls
 
 PAGES = "page_id long, url string, html string, host string, verdict string, rule string"
@@ -182,7 +199,7 @@ def page_rows():
     return rows
 
 
-def brute_pages(rows, threshold=0.5, rounds=20):
+def brute_pages(rows, threshold=0.5, rounds=300):
     pages, edges = [], set()
     for page_id, url, html, *_ in rows:
         m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
@@ -220,6 +237,26 @@ def test_pages_are_judged_by_rules_then_by_the_graph(spark):
     assert host_trust.judge(spark.createDataFrame([], PAGES)).collect() == []
 
 
+def test_trust_and_distrust_reach_the_ends_of_a_long_chain(spark):
+    n = 60
+    names = ["fine.org", *[f"h{k}.example.biz" for k in range(1, n - 1)], "bad.net"]
+    rows = [(k, f"https://{h}/" + ("fr/x" if k == 0 else "p"), f'<a href="https://{names[k + 1]}/p">n</a>' if k + 1 < n else "")
+            for k, h in enumerate(names)]
+    out = host_trust.judge(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = rows_of(out, "page_id", "host", "path", "rule", "verdict")
+    assert got == brute_pages(rows, rounds=100)
+    ranks = {r.page_id: (r.trust, r.distrust) for r in out.collect()}
+    assert 0 < ranks[n - 1][0] == pytest.approx(ranks[0][0] * 0.85 ** 59, rel=1e-2)
+    assert 0 < ranks[0][1] == pytest.approx(ranks[n - 1][1] * 0.85 ** 59, rel=1e-2)
+
+
+def test_a_graph_that_cannot_settle_in_time_is_an_error(spark):
+    hosts = spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 1.0)], "host string, good double, bad double")
+    edges = spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string")
+    with pytest.raises(RuntimeError, match="converge"):
+        host_trust.propagate(hosts, edges, tolerance=1e-12, most_rounds=3)
+
+
 # search
 
 def test_search_matches_brute_force(spark):
