@@ -55,7 +55,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("quality classifier", quality), ("line dedup", line_dedup), ("n-gram Jaccard join", near_dedup),
     ("mixing sources", mixing), ("best-fit packing", packing)]
 
-#: Subword scores, cube sampling and token ids have no SQL; tests/llm holds every stage against brute force.
+#: Subword scores, cube sampling and token ids have no SQL. tests/llm hold line dedup, near-duplicates and packing
+#: against brute force, quality against held-out labels, and mixing against its targets and its own reruns.
 ORACLE_SQL = None
 
 
