@@ -5,10 +5,17 @@ looks up the merge rank of every neighbouring pair, takes each sequence's lowest
 applies that pair everywhere in its sequence at once (left to right, without overlap), for
 all sequences together. A sequence without a known pair is done; its surviving symbols are
 its tokens. Nothing is counted token by token in Python.
+
+A round costs a look at every symbol that is left. That suits pre-tokens of a few letters;
+an unbroken run of 100,000 letters has thousands of different lowest ranks. Sequences over
+``LONG`` symbols are merged by rounds over linked arrays: positions wait in a list per rank,
+and a round takes one rank in all of those sequences and touches only its places and their
+neighbours.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -21,6 +28,8 @@ from terrace.llm.common import python_workers
 from terrace.llm.pieces import PRETOKENS, PieceCache, cut
 
 _NONE = np.int32(2**31 - 1)
+# Symbols of a sequence from which rounds over its active pairs alone are the quicker ones.
+LONG = 512
 
 
 def byte_symbols() -> dict[str, int]:
@@ -77,6 +86,13 @@ class RankMerger:
     def count(self, sequences: list[bytes]) -> np.ndarray:
         """Number of symbols that survive all merges, for each byte string."""
         lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
+        long = np.flatnonzero(lengths > LONG)
+        if len(long):
+            out = np.zeros(len(sequences), np.int64)
+            out[long] = self.count_long([sequences[k] for k in long])
+            short = np.flatnonzero(lengths <= LONG)
+            out[short] = self.count([sequences[k] for k in short])
+            return out
         counts = lengths.copy()
         symbols = self.start[np.frombuffer(b"".join(sequences), np.uint8)]
         owners = np.repeat(np.arange(len(sequences)), lengths)
@@ -102,6 +118,60 @@ class RankMerger:
             symbols, owners = symbols[live], owners[live]
         return counts
 
+    def count_long(self, sequences: list[bytes]) -> np.ndarray:
+        """What ``count`` gives for byte strings that are not empty, in time that follows their
+        merges: each round takes the lowest rank that is left in any, and only the pairs next to
+        a merge are ranked again."""
+        symbols = self.start[np.frombuffer(b"".join(sequences), np.uint8)]
+        n = len(symbols)
+        first = np.cumsum([0, *map(len, sequences[:-1])])
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[first - 1], before[first] = n, -1
+        there = np.ones(n, np.int64)
+        # Rank of the pair that begins at each symbol; a symbol that is gone begins none.
+        rank = np.full(n, _NONE, np.int32)
+        waiting: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def note(places: np.ndarray) -> None:
+            places = places[rank[places] != _NONE]
+            places = places[np.argsort(rank[places], kind="stable")]
+            ranks = rank[places]
+            edges = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1], True]) if len(ranks) else []
+            for a, b in zip(edges[:-1], edges[1:]):
+                r = int(ranks[a])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(queue, r)
+                waiting[r].append(places[a:b])
+
+        places = np.flatnonzero(after < n)
+        rank[places] = self.ranks(symbols[places], symbols[places + 1])
+        note(places)
+        while queue:
+            low = heapq.heappop(queue)
+            hits = np.unique(np.concatenate(waiting.pop(low)))
+            hits = hits[rank[hits] == low]
+            if not len(hits):
+                continue
+            # Of touching pairs (a a a), every second one of the run stays a pair.
+            order = np.arange(len(hits))
+            begins = np.r_[True, after[hits[:-1]] != hits[1:]]
+            hits = hits[(order - np.maximum.accumulate(np.where(begins, order, 0))) % 2 == 0]
+            gone = after[hits]
+            symbols[hits], after[hits], rank[gone], there[gone] = self.merged[low], after[gone], _NONE, 0
+            follow = after[hits]
+            inside = follow < n
+            before[follow[inside]] = hits[inside]
+            ahead = before[hits]
+            places = np.unique(np.concatenate([hits, ahead[ahead >= 0]]))
+            ends = after[places] >= n
+            rank[places[ends]] = _NONE
+            places = places[~ends]
+            rank[places] = self.ranks(symbols[places], symbols[after[places]])
+            note(places)
+        return np.add.reduceat(there, first)
+
     def count_pieces(self, pieces: list[str]) -> list[int]:
         """Tokens of each piece of text, by way of its distinct pre-tokens."""
         split = [PRETOKENS.findall(x) for x in pieces]
