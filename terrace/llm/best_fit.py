@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.bpe_count import byte_symbols
-from terrace.llm.common import materialize, rows_per_group, python_workers
+from terrace.llm.common import free_name, materialize, python_workers
+from terrace.llm.numbering import number_within
 from terrace.llm.pieces import PATTERN
 
 PIECES = "row struct<doc_id: bigint>, piece int, start long, length long, ids_crc32 long"
@@ -167,29 +168,20 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id:
             .mapInPandas(run, PIECES + (", ids array<long>" if with_ids else "")))
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, rows_a_task: int = 50_000) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     """Add sequence_id and offset to ``pieces`` (columns of token_pieces).
 
-    The pieces are written once to the shared folder. Numbering within a length uses hash
-    groups of about ``rows_a_task`` rows plus running offsets, so a length that holds most
-    rows is still many tasks. The driver sees one histogram row per length, at most
-    ``capacity``; the plan made from it is what the last join broadcasts, and its size
-    depends on ``capacity`` alone. An empty input packs into no sequences.
+    The pieces are written once to the shared folder and numbered within their length by a
+    range sort, so a length that holds most rows is still many tasks; so are equal rows,
+    which the order of the stored table tells apart. The driver sees one histogram row per
+    length, at most ``capacity``; the plan made from it is what the last join broadcasts, and
+    its size depends on ``capacity`` alone. An empty input packs into no sequences.
     """
     spark = pieces.sparkSession
-    pieces = materialize(pieces, "pieces")
-    groups = rows_per_group(pieces, rows_a_task)
-    order = ["row", "piece", "start", "ids_crc32"]
-    pieces = pieces.withColumn("part", F.pmod(F.xxhash64(*order), F.lit(groups)))
-    counts = pieces.groupBy("length", "part").count()
-    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "part").orderBy(*order)
-    numbered = (pieces.withColumn("no", F.row_number().over(within) - 1)
-                .join(starts, ["length", "part"])
-                .withColumn("no", F.col("no") + F.col("before")))
-    histogram = {int(r["length"]): int(r["n"]) for r in
-                 counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
+    names, row = pieces.columns, free_name(pieces.columns, "stored")
+    pieces = materialize(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
+    numbered = number_within(pieces, ["length"], ["row", "piece", "start", "ids_crc32", row])
+    histogram = {int(r["length"]): int(r["count"]) for r in pieces.groupBy("length").count().collect()}
     plan = spark.createDataFrame(
         plan_best_fit(histogram, capacity),
         "p_length long, first_no long, last_no long, per_bin long, first_bin long, p_offset long")
@@ -200,7 +192,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, rows_a_task: int = 50_000) ->
         F.col("row.doc_id").alias("doc_id"), "piece", "start", "length", "ids_crc32",
         (F.col("first_bin") + F.floor(at / F.col("per_bin"))).cast("long").alias("sequence_id"),
         (F.col("p_offset") + at % F.col("per_bin") * F.col("length")).alias("offset"),
-        *(["ids"] if "ids" in pieces.columns else []))
+        *(["ids"] if "ids" in names else []))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:

@@ -1,6 +1,7 @@
 """Token counts and packing against the public tokenizer library and one-by-one best fit."""
 
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -8,9 +9,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 from helpers import clashing, documents, odd_rows, rows_of
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from terrace.llm import best_fit, bpe_count
+from terrace.llm.numbering import number_within
 from terrace.llm.pieces import cut, is_plain
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +57,32 @@ def test_cache_limit_changes_nothing(library):
         assert count([text]) == [len(ids(library, text))]
 
 
+def unbroken(kind, n):
+    rng = random.Random(n)
+    return "".join(rng.choice(kind) for _ in range(n))
+
+
+@pytest.mark.parametrize("kind", ["abcdefghijklmnopqrstuvwxyz", "a", "ab", "éa日😀", ["the", "ing", "er", "s"], "="])
+def test_long_pretokens_match_the_library(library, kind):
+    count = bpe_count.counter(VOCABULARY)
+    texts = [unbroken(kind, n) for n in (511, 512, 513, 514, 2000, 20_001)]
+    assert count(texts) == [len(ids(library, t)) for t in texts]
+
+
+def test_both_ways_of_merging_agree():
+    merger, rng = bpe_count.counter(VOCABULARY).merger, random.Random(4)
+    for _ in range(200):
+        sequences = [unbroken("aab treéin", rng.randint(1, 60)).encode() for _ in range(rng.randint(1, 9))]
+        assert merger.count_long(sequences).tolist() == merger.count(sequences).tolist()
+
+
+def test_time_of_an_unbroken_run_follows_its_length():
+    count, text = bpe_count.counter(VOCABULARY), unbroken("abcdefghijklmnopqrstuvwxyz", 400_000)
+    begin = time.process_time()
+    assert 200_000 < count([text])[0] < 300_000
+    assert time.process_time() - begin < 8  # under 1 s here; 40 s when rounds look at every symbol
+
+
 def test_token_counts_of_odd_documents(spark, library):
     got = rows_of(bpe_count.token_counts(clashing(documents(spark)), VOCABULARY), "doc_id", "n_bytes", "n_tokens", "over_limit")
     want = []
@@ -117,6 +146,31 @@ def test_packing_of_odd_documents(spark, library):
     assert len(bins) == len(brute_best_fit([w[3] for w in want], 64))
 
 
+def test_equal_rows_are_packed_one_by_one_and_in_several_tasks(spark, monkeypatch):
+    rows = [(None, None, None, None, None)] * 700 + [(None, "", "en", "a", 1)] * 500 + [(k, "one two", "en", "a", 1) for k in range(300)]
+    numbered = []
+
+    def watch(df, group, order, name="no"):
+        out = number_within(df, group, order, name)
+        numbered.append(out)
+        return out
+
+    monkeypatch.setattr(best_fit, "number_within", watch)
+    out = best_fit.pack_documents(documents(spark, rows).repartition(6), VOCABULARY, capacity=16).collect()
+    assert len(out) == 1500 and len({(r.sequence_id, r.offset) for r in out}) == 1500
+    rooms = defaultdict(int)
+    for r in out:
+        rooms[r.sequence_id] += r.length
+    assert max(rooms.values()) <= 16 and len(rooms) == len(brute_best_fit([r.length for r in out], 16))
+    got = numbered[0].where("length = 1").select("no").collect()
+    assert sorted(r.no for r in got) == list(range(1200))
+    # The sort tells equal rows apart, so it can spread them.
+    plan = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    pieces = best_fit.token_pieces(plan.repartition(6), VOCABULARY, 16).withColumn("stored", F.monotonically_increasing_id())
+    spread = pieces.repartitionByRange(6, "length", "row", "stored").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in spread) < 600
+
+
 def test_pieces_carry_ids_on_request(spark, library):
     docs = documents(spark, [(1, "one two three four five six", None, None, None)])
     rows = best_fit.pack(best_fit.token_pieces(docs, VOCABULARY, capacity=4, with_ids=True), 4).orderBy("piece").collect()
