@@ -75,8 +75,12 @@ def normalize_text(c: str | Column, fold_upper: bool = False) -> Column:
 
 def parse_decimal_comma(c: str | Column, to: str = "double") -> Column:
     """``'1234,56'`` -> 1234.56. Thousands separators are not removed, so ``'1.234,56'``
-    becomes ``'1.234.56'`` and then NULL."""
-    return F.regexp_replace(_col(c).cast("string"), ",", ".").try_cast(to)
+    becomes ``'1.234.56'`` and then NULL, without a failing cast, which costs an exception for each
+    value: no number has two points."""
+    text = F.replace(_col(c).cast("string"), F.lit(","), F.lit("."))
+    if not to.lower().startswith(("double", "float", "decimal")):
+        return text.try_cast(to)
+    return F.when(F.substring_index(text, ".", 2) == text, text.try_cast(to))
 
 
 def underscores_to_spaces(c: str | Column) -> Column:

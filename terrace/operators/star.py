@@ -286,6 +286,17 @@ def _together(silver: DataFrame, dims: Sequence[DimRef], broadcast_limit: int) -
     return large if len(large) > 1 else []
 
 
+def _map_side_first(silver: DataFrame, dims: Sequence[DimRef], broadcast_limit: int) -> list[DimRef]:
+    """The look-ups that are broadcast and may come before all others: on ``silver``'s own columns,
+    without fan-out, and adding no column that ``silver`` has or that two look-ups add."""
+    added = [c.lower() for ref in dims for c in [ref.dim.sk, *ref.carry]]
+    clash = {c for c in added if added.count(c) > 1} | {c.lower() for c in silver.columns}
+    own = {c.lower() for c in silver.columns} - set(added)
+    return [ref for ref in dims if (ref.dim.measured().bytes or 0) <= broadcast_limit and not ref.allow_fanout
+            and all(c.lower() in own for c in ref.fact_on or ref.key_columns())
+            and not any(c.lower() in clash for c in [ref.dim.sk, *ref.carry])]
+
+
 def lookup_together(fact: DataFrame, refs: Sequence[DimRef], broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Several look-ups with one shuffle of ``fact``: its distinct key combinations (partial
     aggregation map-side, key columns only) are joined to every dimension, and the combinations
@@ -318,12 +329,19 @@ def build_fact(silver: DataFrame, dims: Sequence[DimRef], measures: Sequence[str
     (pass-through) columns. Under the default NULL policy a row whose natural key has a
     NULL part has no member to match and is dropped.
 
-    Dimensions below the broadcast limit are map-side joins. Two or more above it are looked up
-    together (:func:`lookup_together`), so the fact is shuffled once, not once for each."""
+    Dimensions below the broadcast limit are map-side joins. They come first, as far as they
+    neither fan out nor need keys that other look-ups add: rows that are shuffled for the large
+    ones then carry surrogate keys in place of natural ones. Two or more above the limit are looked
+    up together (:func:`lookup_together`), so the fact is shuffled once, not once for each."""
     large = _together(silver, dims, broadcast_limit)
-    fact = lookup_together(silver, large, broadcast_limit) if large else silver
+    small = _map_side_first(silver, dims, broadcast_limit)
+    fact = silver
+    for i, ref in enumerate(dims):
+        if any(ref is x for x in small):
+            fact = lookup(fact, ref, f"d{i}", broadcast_limit)
+    fact = lookup_together(fact, large, broadcast_limit) if large else fact
     for i, ref in enumerate(dims):
-        if not any(ref is x for x in large):
+        if not any(ref is x for x in [*small, *large]):
             fact = lookup(fact, ref, f"d{i}", broadcast_limit)
     sk_cols = []
     for ref in dims:

@@ -102,6 +102,14 @@ def silver(spark: SparkSession, layout: Layout) -> None:
     ])
 
 
+def plan_types_of(pricing: DataFrame) -> DataFrame:
+    """One type per plan, NULL first: the one that the plan's row keeps. The pairs are told apart by
+    a hash aggregate; a minimum of text alone would sort all of pricing, map-side as well. (The
+    optimizer drops a plain distinct below a minimum, so the pairs are counted.)"""
+    pairs = pricing.groupBy("id_plano", "nt_tipo").agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    return (pairs.groupBy("id_plano").agg(F.min(F.struct("nt_tipo")).alias("t")).select("id_plano", "t.nt_tipo"))
+
+
 def gold(spark: SparkSession, layout: Layout) -> None:
     pricing = layout.read(spark, "silver", f"{AREA}/precificacao", {"ano": "int", "mes": "int"})
     features = layout.read(spark, "silver", f"{AREA}/caracteristicas")
@@ -119,8 +127,7 @@ def gold(spark: SparkSession, layout: Layout) -> None:
     faixa, tempo, nota = d["faixa"], d["tempo"], d["nota"]
 
     # Plan: features enriched with the technical-note type and the operator key (snowflake).
-    # One type per plan before the join, NULL first: the one that the plan's row keeps.
-    plan_types = pricing.groupBy("id_plano").agg(F.min(F.struct("nt_tipo")).alias("t")).select("id_plano", "t.nt_tipo")
+    plan_types = plan_types_of(pricing)
     plans = enrich(features, plan_types, "id_plano", dedupe_other=False, other_unique=True)
     op_keys = operadora.df.select(F.col("reg_ans").alias("_reg"), "sk_operadora")
     plans = plans.join(op_keys, F.col("registro_operadora") == F.col("_reg"), "left").select(*PLAN_COLUMNS)

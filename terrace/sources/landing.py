@@ -23,8 +23,12 @@ from pyspark.sql import functions as F
 from terrace.session import shared_dir
 
 # Types from narrow to wide within their family, each with its bit.
-INT, LONG, DECIMAL, DOUBLE, DATE, TIMESTAMP, BOOLEAN = (1 << k for k in range(7))
+_BITS = 7
+INT, LONG, DECIMAL, DOUBLE, DATE, TIMESTAMP, BOOLEAN = (1 << k for k in range(_BITS))
+_SHORT = r"^[0-9]{1,9}$"
 _WHOLE = r"^[+-]?[0-9]+$"
+# How everything but words, truth values and times with a leading T begins.
+_NUMBER_OR_TIME = r"^(?:[0-9\x00-\x20+.-]|Na|In)"
 _DOUBLE = (r"^\s*[+-]?(?:NaN|Inf|Infinity|(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
            r"|0[xX][0-9a-fA-F]*\.?[0-9a-fA-F]*[pP][+-]?[0-9]+)[fFdD]?)\s*$")
 _DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
@@ -39,11 +43,11 @@ def _digits(text: Column) -> Column:
 def types_that_hold(text: Column) -> Column:
     """The bits of all types that can hold a value; NULL for NULL, 0 if only text can.
 
-    The first character and a few contained ones rule most kinds out before a pattern or a cast is
-    tried: words cost next to nothing, short whole numbers one pattern.
+    It runs for every value of an extract, mostly as it is written here, so the commonest kinds are
+    told by one test each: no type but text holds a comma, short whole numbers and dates have a
+    shape of their own, and how a value begins rules numbers and times out for most words.
     """
     head = F.ascii(text)
-    number_or_time = head.between(ord("0"), ord("9")) | (head <= ord(" ")) | head.isin(*map(ord, "+-.NI"))
     as_long = text.try_cast("bigint")
     whole = (F.when((F.length(text) <= 9) | as_long.between(-(1 << 31), (1 << 31) - 1), INT | LONG | DECIMAL | DOUBLE)
              .when(as_long.isNotNull(), LONG | DECIMAL | DOUBLE)
@@ -51,9 +55,11 @@ def types_that_hold(text: Column) -> Column:
     time = F.when((text.contains("-") | text.contains(":")) & text.rlike(_TIME) & text.try_cast("timestamp").isNotNull(), TIMESTAMP)
     word = (F.when(~head.isin(*map(ord, "TtFf")), 0).when(F.lower(text).isin("true", "false"), BOOLEAN)
             .when(head == ord("T"), F.coalesce(time, F.lit(0))).otherwise(0))
-    return (F.when(text.isNull(), F.lit(None).cast("int")).when(~number_or_time, word).when(text.rlike(_WHOLE), whole)
-            .when(~text.contains("/") & ~text.contains(":") & text.rlike(_DOUBLE) & text.try_cast("double").isNotNull(), DOUBLE)
+    return (F.when(text.isNull(), F.lit(None).cast("int")).when(text.contains(","), 0)
+            .when(text.rlike(_SHORT), INT | LONG | DECIMAL | DOUBLE).when(~text.rlike(_NUMBER_OR_TIME), word)
             .when((F.length(text) == 10) & text.rlike(_DATE) & text.try_cast("date").isNotNull(), DATE | TIMESTAMP)
+            .when(text.rlike(_WHOLE), whole)
+            .when(~text.contains("/") & ~text.contains(":") & text.rlike(_DOUBLE) & text.try_cast("double").isNotNull(), DOUBLE)
             .otherwise(F.coalesce(time, F.lit(0))))
 
 
@@ -75,13 +81,14 @@ def land_csv(spark: SparkSession, path: str | list[str], delimiter: str = ",", h
     staged = [f"c{k}" for k in range(len(names))]  # positions: file names may hold any character
     text = text.toDF(*staged)
     # One lambda over an array of all columns: written out for every column, the checks would be too
-    # much generated code for the JVM to compile.
-    kinds = text.withColumn("kinds", F.transform(F.array(*staged), lambda x: F.struct(
-        types_that_hold(x).alias("bits"), F.when((F.length(x) > 18) & x.rlike(_WHOLE), _digits(x)).alias("digits"))))
+    # much generated code for the JVM to compile. It gives one number a value, the digits of long
+    # whole numbers above the bits: making a struct for each would cost more than the checks.
+    kinds = text.withColumn("kinds", F.transform(F.array(*staged), lambda x: types_that_hold(x) + F.when(
+        F.octet_length(x) > 18, F.when(x.rlike(_WHOLE), F.shiftleft(_digits(x), _BITS)).otherwise(0)).otherwise(0)))
     metrics = [F.count(F.lit(1)).alias("rows")]
     for k, c in enumerate(staged):
         kind = F.get("kinds", F.lit(k))
-        metrics += [F.bit_and(kind["bits"]).alias(f"t_{c}"), F.max(kind["digits"]).alias(f"d_{c}")]
+        metrics += [F.bit_and(kind.bitwiseAND(F.lit((1 << _BITS) - 1))).alias(f"t_{c}"), F.max(F.shiftright(kind, _BITS)).alias(f"d_{c}")]
     observation = Observation(f"landing_{uuid.uuid4().hex}")  # unique: extracts may land side by side
     out = shared_dir(spark, "landing-text")
     kinds.observe(observation, *metrics).drop("kinds").write.mode("overwrite").parquet(out)
