@@ -18,6 +18,8 @@ from terrace.sources import read_table, write_csv, write_json_envelope
 
 # Records per landing envelope: an API-page-sized file, so envelopes parse in parallel.
 ENVELOPE_RECORDS = 100_000
+# An envelope repeats its field names in every record and is read whole, so nothing is lost by it.
+ENVELOPE_CODEC = "gzip"
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -40,7 +42,8 @@ def currency_gold_fact(spark, d):
         F.col("l_returnflag").alias("DESC_especie"),
         F.when(F.col("l_linestatus") == "O", F.concat(qty, F.lit(".5"))).otherwise(qty).alias("DESC_quant_produzida"))
     lay = _layout(spark, "currency")
-    write_json_envelope(records, lay.src(currency.SOURCE), array_field="value", records_per_file=ENVELOPE_RECORDS)
+    write_json_envelope(records, lay.src(currency.SOURCE), array_field="value", records_per_file=ENVELOPE_RECORDS,
+                        compression=ENVELOPE_CODEC)
     currency.run(spark, lay)
     return lay.read(spark, "gold", "fato")
 
@@ -153,12 +156,14 @@ def _rail_fact(spark, d, revised: bool, time_lookup: str) -> DataFrame:
     y = F.year("o_orderdate")
     lay = _layout(spark, "rail")
     from terrace.plans import rail
+    from terrace.plans.common import concurrently
     slices = {"acidentes_2004-2020.json": (o.filter(y <= 1997), False, "acidentes"),
               "acidentes_2020-2025.json": (o.filter(y.between(1997, 1999)), True, "dados"),
               "acidentes_2020-2026.json": (o.filter((y >= 1998) | y.isNull()), True, "dados")}
-    for k, (name, (part, newer, root)) in enumerate(slices.items()):
-        write_json_envelope(_rail_record(part, newer, k if revised else None), lay.src(name), array_field=root,
-                            records_per_file=ENVELOPE_RECORDS)
+    concurrently([lambda k=k, name=name, part=part, newer=newer, root=root: write_json_envelope(
+        _rail_record(part, newer, k if revised else None), lay.src(name), array_field=root,
+        records_per_file=ENVELOPE_RECORDS, compression=ENVELOPE_CODEC)
+        for k, (name, (part, newer, root)) in enumerate(slices.items())])
     rail.run(spark, lay, time_lookup)
     return lay.read(spark, "gold", "fato_acidentes_ferroviarios")
 
@@ -210,7 +215,7 @@ def beds_gold_fact(spark, d):
         fields[src] = F.concat(F.lit("x"), (key % 3).cast("string"))
     lay = _layout(spark, "beds")
     write_json_envelope(p.select(*[v.alias(n) for n, v in fields.items()]), lay.src(beds.SOURCE),
-                        array_field="hospitais_leitos", records_per_file=ENVELOPE_RECORDS)
+                        array_field="hospitais_leitos", records_per_file=ENVELOPE_RECORDS, compression=ENVELOPE_CODEC)
     beds.run(spark, lay)
     return lay.read(spark, "gold", "fato_leitos")
 
@@ -225,7 +230,7 @@ def health_plans_gold_fact(spark, d):
     names, unknown maternity labels) and operators from supplier."""
     from terrace.plans import health_plans
     li, part, sup = _t(spark, d, "lineitem"), _t(spark, d, "part"), _t(spark, d, "supplier")
-    comma = lambda c: F.regexp_replace(F.col(c).cast("string"), r"\.", ",")
+    comma = lambda c: F.replace(F.col(c).cast("string"), F.lit("."), F.lit(","))
     pricing = li.select(
         F.date_format(F.trunc("l_shipdate", "month"), "yyyy-MM-dd").alias("ANO_MES"),
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("ID_PLANO"),

@@ -38,6 +38,8 @@ def sorted_distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 DUPLICATE_KEYS_LIMIT = 64 * 1024 * 1024
+# Rows of one key from which they are combined before the shuffle.
+HOT_DUPLICATES = 100_000
 
 
 def key_digest(keys: Sequence[str]) -> list[Column]:
@@ -60,9 +62,11 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
     the only ones of their key, and those need no comparing: a hash aggregate over the digests
     alone finds the keys with several rows first. If the list of those is small (measured; up to
     ``DUPLICATE_KEYS_LIMIT`` it is broadcast), all other rows stay where they are and only rows of
-    listed keys are shuffled and compared. Otherwise, or with ``late_rows=False`` (``df`` is costly
-    to evaluate, or known to repeat most keys), all rows go through one aggregation. A key that
-    holds a third of the rows reaches the reducer as one partial row per map task either way.
+    listed keys are shuffled and compared. Otherwise rows are shuffled once and sorted only there:
+    most keys have too few rows for the sort of a map-side aggregation to pay. Only keys with more
+    than ``HOT_DUPLICATES`` rows, of which there are few, keep it. With ``late_rows=False`` (``df``
+    is costly to evaluate, or known to repeat most keys) all rows go through one aggregation. A key
+    that holds a third of the rows reaches the reducer as one partial row per map task either way.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -82,10 +86,16 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
 
     if not late_rows:
         return survivors(marked)
-    repeated = marked.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k1", "_k2")
+    repeated = marked.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     rows, repeated = store_counted(repeated, "repeated-keys")
     if rows * 32 > DUPLICATE_KEYS_LIMIT:
-        return survivors(marked)
+        hot = repeated.where(F.col("_n") > HOT_DUPLICATES).select("_k1", "_k2")
+        if hot.isEmpty():
+            return survivors(marked.repartition("_k1", "_k2"))
+        hot = F.broadcast(hot)
+        cold = marked.join(hot, ["_k1", "_k2"], "left_anti").repartition("_k1", "_k2")
+        return survivors(cold).unionByName(survivors(marked.join(hot, ["_k1", "_k2"], "left_semi")))
+    repeated = repeated.select("_k1", "_k2")
     out = keys + [c for c in payload if c not in keys]
     alone = marked.join(F.broadcast(repeated), ["_k1", "_k2"], "left_anti").select(*[_q(c) for c in out])
     return alone.unionByName(survivors(marked.join(F.broadcast(repeated), ["_k1", "_k2"], "left_semi")))

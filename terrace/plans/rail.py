@@ -58,8 +58,12 @@ def bronze(spark: SparkSession, layout: Layout) -> None:
         records = read_json_envelope(s, spec.source)
         return rename(records, BRONZE_RENAMES)
 
-    tables = load_many(spark, specs, load)
-    concurrently([lambda n=n, df=df: layout.write(df, "bronze", f"{AREA}/{n}") for n, df in tables.items()])
+    def one(spec: LoadSpec) -> None:
+        # Reading an extract infers its types, a pass of its own: extracts take it side by side.
+        for n, df in load_many(spark, [spec], load).items():
+            layout.write(df, "bronze", f"{AREA}/{n}")
+
+    concurrently([lambda spec=spec: one(spec) for spec in specs])
 
 
 def clean_extract(df: DataFrame) -> DataFrame:
