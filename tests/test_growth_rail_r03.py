@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+import queries_areas
 from terrace.operators import combine, dedupe
 from terrace.sources import read_json_envelope, write_json_envelope
 
@@ -47,3 +48,11 @@ def test_rows_with_many_repeated_keys_are_sorted_once_after_the_shuffle(spark, t
     if hot > 600:
         before, after = plan_of(dedupe(df, ["k"])).split("Exchange hashpartitioning(_k1", 1)
         assert "Sort [_k1" in before and "Sort" not in after  # plans read from the result down to the scan
+
+
+def test_envelopes_of_the_queries_are_packed_by_a_fast_codec(spark, tmp_path):
+    rows = [(i, None if i % 3 else f"á{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "x bigint, `a b` string").coalesce(1)
+    write_json_envelope(df, str(tmp_path / "e"), array_field="dados", records_per_file=20, compression=queries_areas.ENVELOPE_CODEC)
+    assert len(glob.glob(str(tmp_path / "e" / "*.json.lz4"))) == 3 and not glob.glob(str(tmp_path / "e" / "*.gz"))
+    assert sorted(map(tuple, read_json_envelope(spark, str(tmp_path / "e")).select("x", "a b").collect())) == rows
