@@ -19,8 +19,19 @@ def spark():
          .config("spark.sql.ansi.enabled", "true")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="terrace-tests-"))
+         .config("spark.sql.maxMetadataStringLength", "1000")  # plans name whole paths
          .config("spark.driver.memory", "4g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def no_job_group(request):
+    """A job group that one test sets would hide the jobs of later ones."""
+    yield
+    if "spark" in request.fixturenames:
+        context = request.getfixturevalue("spark").sparkContext
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            context.setLocalProperty(name, None)
