@@ -58,8 +58,10 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
     ordered first; ``order_by`` defaults to all non-key columns, so the choice never
     depends on partitioning. Rows that tie on every column are identical anyway.
 
-    Keys are grouped by a digest of two longs, never sorted as text. Most rows of an extract are
-    the only ones of their key, and those need no comparing: a hash aggregate over the digests
+    Keys are grouped by a digest of two longs, never sorted as text. The first long alone deals rows
+    out and lists keys, the second tells keys apart that share it and is only worked out where rows
+    are grouped, so it is not shuffled. Most rows of an extract are
+    the only ones of their key, and those need no comparing: a hash aggregate over the first long
     alone finds the keys with several rows first. If the list of those is small (measured; up to
     ``DUPLICATE_KEYS_LIMIT`` it is broadcast), all other rows stay where they are and only rows of
     listed keys are shuffled and compared. Otherwise rows are shuffled once and sorted only there:
@@ -75,30 +77,30 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None =
     if not payload:
         return df.dropDuplicates(keys)
     first, second = key_digest(keys)
-    marked = df.withColumns({"_k1": first, "_k2": second})
+    marked = df.withColumn("_k1", first)
     names = payload + [k for k in keys if k not in payload]
     pick = F.min if ascending else F.max
 
     def survivors(rows: DataFrame) -> DataFrame:
-        best = rows.groupBy("_k1", "_k2").agg(pick(F.struct(*[_q(c).alias(f"_f{i}") for i, c in enumerate(names)])).alias("_best"))
+        best = rows.withColumn("_k2", second).groupBy("_k1", "_k2").agg(pick(F.struct(*[_q(c).alias(f"_f{i}") for i, c in enumerate(names)])).alias("_best"))
         of = {c: F.col(f"_best._f{i}") for i, c in enumerate(names)}
         return best.select(*[of[c].alias(c) for c in keys + [c for c in payload if c not in keys]])
 
     if not late_rows:
         return survivors(marked)
-    repeated = marked.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = marked.groupBy("_k1").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     rows, repeated = store_counted(repeated, "repeated-keys")
     if rows * 32 > DUPLICATE_KEYS_LIMIT:
-        hot = repeated.where(F.col("_n") > HOT_DUPLICATES).select("_k1", "_k2")
+        hot = repeated.where(F.col("_n") > HOT_DUPLICATES).select("_k1")
         if hot.isEmpty():
-            return survivors(marked.repartition("_k1", "_k2"))
+            return survivors(marked.repartition("_k1"))
         hot = F.broadcast(hot)
-        cold = marked.join(hot, ["_k1", "_k2"], "left_anti").repartition("_k1", "_k2")
-        return survivors(cold).unionByName(survivors(marked.join(hot, ["_k1", "_k2"], "left_semi")))
-    repeated = repeated.select("_k1", "_k2")
+        cold = marked.join(hot, "_k1", "left_anti").repartition("_k1")
+        return survivors(cold).unionByName(survivors(marked.join(hot, "_k1", "left_semi")))
+    repeated = repeated.select("_k1")
     out = keys + [c for c in payload if c not in keys]
-    alone = marked.join(F.broadcast(repeated), ["_k1", "_k2"], "left_anti").select(*[_q(c) for c in out])
-    return alone.unionByName(survivors(marked.join(F.broadcast(repeated), ["_k1", "_k2"], "left_semi")))
+    alone = marked.join(F.broadcast(repeated), "_k1", "left_anti").select(*[_q(c) for c in out])
+    return alone.unionByName(survivors(marked.join(F.broadcast(repeated), "_k1", "left_semi")))
 
 
 def first_non_null(df: DataFrame, keys: Sequence[str], column: str, alias: str | None = None,

@@ -56,3 +56,20 @@ def test_envelopes_of_the_queries_are_packed_by_a_fast_codec(spark, tmp_path):
     write_json_envelope(df, str(tmp_path / "e"), array_field="dados", records_per_file=20, compression=queries_areas.ENVELOPE_CODEC)
     assert len(glob.glob(str(tmp_path / "e" / "*.json.lz4"))) == 3 and not glob.glob(str(tmp_path / "e" / "*.gz"))
     assert sorted(map(tuple, read_json_envelope(spark, str(tmp_path / "e")).select("x", "a b").collect())) == rows
+
+
+@pytest.mark.parametrize("listed, hot", [(0, 100_000), (0, 20), (1 << 26, 100_000)])
+def test_one_half_of_a_digest_is_shuffled_and_the_other_tells_keys_apart(spark, tmp_path, monkeypatch, listed, hot):
+    monkeypatch.setattr(combine, "DUPLICATE_KEYS_LIMIT", listed)
+    monkeypatch.setattr(combine, "HOT_DUPLICATES", hot)
+    i = F.col("id")
+    spark.range(0, 300, 1, 4).select(F.when(i % 7 != 0, (i % 110).cast("string")).alias("k"), (i % 2).alias("l"),
+                                     (i % 5).cast("string").alias("v")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    want = df.groupBy("k", "l").agg(F.min("v")).collect()
+    shuffled = plan_of(dedupe(df, ["k", "l"])).split("Exchange hashpartitioning(_k1", 1)[1] if (listed, hot) == (0, 100_000) else ""
+    assert "_k2" not in shuffled
+    digest = combine.key_digest
+    monkeypatch.setattr(combine, "key_digest", lambda keys: [F.pmod(digest(keys)[0], F.lit(3)), digest(keys)[1]])
+    got = dedupe(df, ["k", "l"]).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, want)))
